@@ -27,8 +27,9 @@ def match_terms(texts: DataFrame, doc: str, text: str, terms: DataFrame, term: s
     sized = distinct_terms.withColumn("_k", F.size(text_parts(F.col(term))))
     lengths = [r["_k"] for r in sized.select("_k").distinct().collect()]
     parts = texts.select(F.col(doc), text_parts(F.col(text)).alias("_parts"))
-    is_word = lambda x: x.rlike(r"^[\p{L}\p{N}_]")
-    starts = F.filter(F.sequence(F.lit(1), F.size("_parts")), lambda i: is_word(F.get(F.col("_parts"), i - 1)))
+    # Words and separators alternate, so the words are every second part.
+    first = F.when(F.get(F.col("_parts"), F.lit(0)).rlike(r"^[\p{L}\p{N}_]"), 1).otherwise(2)
+    starts = F.when(F.size("_parts") >= first, F.sequence(first, F.size("_parts"), F.lit(2)))
     located = parts.filter(F.size("_parts") > 0).select(doc, "_parts", starts.alias("_starts"))
 
     def runs_of(k: int) -> Column:

@@ -1,6 +1,6 @@
 """All named queries. Importing the modules fills the registry."""
 
-from loamwork.plans import joining, tabular  # noqa: F401
+from loamwork.plans import joining, reporting, tabular  # noqa: F401
 from loamwork.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
