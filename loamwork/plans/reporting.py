@@ -120,13 +120,10 @@ def residual_anomaly(spark, sf):
 
 @query(
     "anomaly_kpi",
-    FLAGGED_SQL + " SELECT CAST(count(*) FILTER (WHERE is_anomaly) AS BIGINT) AS n_anomalies, round(coalesce(max(residual), 0), 4) AS max_score, round(coalesce(avg(residual * residual), 0), 4) AS mean_score FROM (SELECT is_anomaly, residual FROM f)",
+    FLAGGED_SQL + " SELECT CAST(count(*) FILTER (WHERE is_anomaly) AS BIGINT) AS n_anomalies, round(coalesce(max(abs(residual)), 0), 4) AS max_score, round(coalesce(avg(abs(residual)), 0), 4) AS mean_score FROM f",
 )
 def anomaly_kpi(spark, sf):
-    scored = flagged(spark, sf)
-    top = A.anomaly_kpis(scored, "is_anomaly", "residual").select("n_anomalies", "max_score")
-    squared = A.anomaly_kpis(scored.withColumn("sq", F.col("residual") * F.col("residual")), "is_anomaly", "sq").select("n_anomalies", "mean_score")
-    return top.join(squared, "n_anomalies")
+    return A.anomaly_kpis(flagged(spark, sf).withColumn("size", F.abs("residual")), "is_anomaly", "size")
 
 
 @query(
