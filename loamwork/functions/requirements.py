@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loamwork.functions import wordlists as W
-from loamwork.functions.text import normalize_space, strip_accents, word_count
+from loamwork.functions.text import bind, normalize_space, strip_accents, word_count
 from loamwork.functions.values import clamp, literal_map, recode
 
 
@@ -91,11 +91,12 @@ def guess_seniority(text: Column) -> Column:
 
 def requirement_key(text: Column) -> Column:
     """Plain key of a requirement text: synonyms, without filler phrases, aliases."""
-    plain = F.replace(strip_accents(F.lower(normalize_space(text))), F.lit("&"), F.lit(" and "))
-    key = recode(F.regexp_replace(plain, r"[^a-zA-Z0-9+.#/ ]+", " "), W.SYNONYMS)
+    bare = bind(F.lower(normalize_space(text)), strip_accents)
+    plain = F.regexp_replace(F.replace(bare, F.lit("&"), F.lit(" and ")), r"[^a-zA-Z0-9+.#/ ]+", " ")
+    key = bind(plain, lambda k: recode(k, W.SYNONYMS))
     for phrase in W.STOP_PHRASES:
         key = F.regexp_replace(key, rf"\b{re.escape(phrase)}\b", " ")
-    return recode(F.trim(F.regexp_replace(key, r"\s+", " ")), W.ALIASES)
+    return bind(F.trim(F.regexp_replace(key, r"\s+", " ")), lambda k: recode(k, W.ALIASES))
 
 
 def canonical_requirement(text: Column, key: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -31,6 +32,11 @@ def _accent_pairs() -> tuple[str, str]:
 ACCENTED, UNACCENTED = _accent_pairs()
 
 
+def bind(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def normalize_space(c: Column) -> Column:
     """NUL and every run of white space become one space; ends are trimmed."""
     return F.trim(F.regexp_replace(c, SPACE_CLASS + "+", " "))

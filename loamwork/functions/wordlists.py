@@ -139,22 +139,29 @@ CATEGORIES = ["hard_skill", "experience", "education", "language", "soft_skill",
 PRIORITIES = ["must", "nice", "unknown"]
 
 
-def portable_pattern(pattern: str) -> str:
-    r"""Pattern with Unicode word boundaries spelled out, as Java and RE2 have no common ``\b``.
+EDGE, WORD = r"[^\p{L}\p{N}_]", r"[\p{L}\p{N}_]"
 
-    Behind a sign such as ``+`` a boundary needs a word character, as it does in the original.
+
+def portable_pattern(pattern: str) -> tuple[str, str, str]:
+    r"""(start, core, end) of a pattern with Unicode word boundaries spelled out.
+
+    Java and RE2 have no common ``\b``. Behind a sign such as ``+`` a boundary needs a word
+    character, as it does in the original.
     """
-    edge, word = r"[^\p{L}\p{N}_]", r"[\p{L}\p{N}_]"
-    body = pattern.replace(r"\d", r"\p{Nd}")
-    head = rf"(?:^|{edge})" if body.startswith(r"\b") else ""
-    tail = ""
-    core = body.removeprefix(r"\b")
+    core = pattern.replace(r"\d", r"\p{Nd}")
+    start = rf"(?:^|{EDGE})" if core.startswith(r"\b") else ""
+    core, end = core.removeprefix(r"\b"), ""
     if core.endswith(r"\b"):
         core = core.removesuffix(r"\b")
-        tail = rf"(?:$|{edge})" if core[-1].isalnum() or core[-1] == ")" else word
-    return head + core + tail
+        end = rf"(?:$|{EDGE})" if core[-1].isalnum() or core[-1] == ")" else WORD
+    return start, core, end
 
 
 def any_pattern(patterns: list[str]) -> str:
-    """One alternation for a list of patterns."""
-    return "|".join(portable_pattern(p) for p in patterns)
+    """One pattern for a list; patterns with the same boundaries share them, so that a position
+    that is no word start is left after one look."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for pattern in patterns:
+        start, core, end = portable_pattern(pattern)
+        groups.setdefault((start, end), []).append(core)
+    return "|".join(f"{start}(?:{'|'.join(cores)}){end}" for (start, end), cores in groups.items())

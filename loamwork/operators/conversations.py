@@ -15,7 +15,7 @@ from loamwork.operators.joins import lookup_join
 def assemble(turns: DataFrame, conv: str, turn: str, text: Column, name: str, sep: str = "", per_part: int = 1000) -> DataFrame:
     """(conv, part, name): texts in turn order, joined per part."""
     rows = turns.select(conv, turn, F.floor(F.col(turn) / per_part).alias("part"), text.alias("_t"))
-    ordered = F.array_sort(F.collect_list(F.struct(turn, "_t")))
+    ordered = F.sort_array(F.collect_list(F.struct(turn, "_t")))
     return rows.groupBy(conv, "part").agg(F.array_join(F.transform(ordered, lambda s: s["_t"]), sep).alias(name))
 
 

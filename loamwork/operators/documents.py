@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from loamwork.functions.text import is_header_footer_line, is_heading_line, split_lines, split_words
+from loamwork.session import hold
 
 
 def first_occurrences(docs: DataFrame, doc: str, items: Column, limit: int | None = None) -> DataFrame:
@@ -18,11 +19,11 @@ def first_occurrences(docs: DataFrame, doc: str, items: Column, limit: int | Non
     Sorting the entries of a row by key and place puts repeats side by side, so the work per
     document grows with n log n.
     """
-    placed = F.array_sort(F.transform(items, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("p"), x.alias("x"))))
-    sorted_rows = docs.select(doc, placed.alias("_s"))
+    placed = F.sort_array(F.transform(items, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("p"), x.alias("x"))))
+    sorted_rows = hold(docs, _s=placed).select(doc, "_s")
     is_first = lambda e, i: (i == 0) | (F.get(F.col("_s"), F.greatest(i - 1, F.lit(0)))["k"] != e["k"])
     firsts = sorted_rows.select(doc, F.filter("_s", is_first).alias("_f"))
-    back = F.transform(F.array_sort(F.transform("_f", lambda e: F.struct(e["p"].alias("p"), e["x"].alias("x")))), lambda e: e["x"])
+    back = F.transform(F.sort_array(F.transform("_f", lambda e: F.struct(e["p"].alias("p"), e["x"].alias("x")))), lambda e: e["x"])
     return firsts.select(doc, (back if limit is None else F.slice(back, 1, limit)).alias("items"))
 
 
@@ -33,9 +34,10 @@ def heading_sections(docs: DataFrame, doc: str, text: str, known_lines: list[str
     """
     trimmed = F.transform(split_lines(F.col(text)), lambda x: F.trim(x))
     kept = F.filter(trimmed, lambda x: (x != "") & ~is_header_footer_line(x, known_lines))
-    rows = docs.select(doc, F.transform(kept, lambda x: F.struct(x.alias("t"), is_heading_line(x).alias("h"))).alias("_l"))
+    marked = F.transform(kept, lambda x: F.struct(x.alias("t"), is_heading_line(x).alias("h")))
+    rows = hold(docs, _l=marked).select(doc, "_l")
     heads = F.filter(F.transform("_l", lambda e, i: F.when(e["h"], i)), lambda i: i.isNotNull())
-    placed = rows.withColumn("_h", heads).withColumn("_n", F.size("_l"))
+    placed = hold(rows, _h=heads, _n=F.size("_l"))
     text_of = lambda part: F.array_join(F.transform(part, lambda e: e["t"]), "\n")
     whole = F.struct(F.lit("__DOCUMENT__").alias("header"), text_of(F.filter("_l", lambda e: ~e["h"])).alias("body"))
 
@@ -50,7 +52,7 @@ def heading_sections(docs: DataFrame, doc: str, text: str, known_lines: list[str
 def chunk_words(docs: DataFrame, doc: str, text: str, size: int = 220, overlap: int = 55, least: int = 20) -> DataFrame:
     """(doc, chunk, text): word windows; a later window with fewer than ``least`` words is left out."""
     step = max(1, size - overlap)
-    worded = docs.select(doc, split_words(F.col(text)).alias("_w")).filter(F.size("_w") > 0)
+    worded = hold(docs, _w=split_words(F.col(text))).select(doc, "_w").filter(F.size("_w") > 0)
     starts = F.filter(F.sequence(F.lit(0), F.size("_w") - 1, F.lit(step)), lambda s: (s == 0) | (F.size("_w") - s >= least))
     chunks = F.transform(starts, lambda s: F.array_join(F.slice(F.col("_w"), s + 1, size), " "))
     return worded.select(doc, F.posexplode(chunks).alias("chunk", "text"))

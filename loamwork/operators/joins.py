@@ -40,7 +40,7 @@ def role_or_global(roles: DataFrame, role_rows: DataFrame, global_rows: DataFram
     The global rows (one per feature, so few) travel as one array in a scalar subquery.
     """
     own = roles.join(role_rows, role, "inner")
-    everyone = F.array_sort(F.collect_list(F.struct(*global_rows.columns)))
+    everyone = F.sort_array(F.collect_list(F.struct(*global_rows.columns)))
     missing = roles.join(role_rows.select(role).distinct(), role, "left_anti")
     filled = missing.select(role, F.explode(global_rows.agg(everyone).scalar()).alias("g")).select(role, "g.*")
     return own.select(role, *global_rows.columns).unionByName(filled)

@@ -42,7 +42,7 @@ def stratified_split(
     near = lookup_join(df.select(label, *keys, bucket.alias("_b"), draw.alias("u")), holding, [label, "_b"], "inner")
     rank = F.row_number().over(Window.partitionBy(label, "_b", "i").orderBy("u", *keys))
     points = near.withColumn("r", rank).filter(F.col("r") == F.col("k"))
-    per_label = points.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("i", F.struct("u", *keys).alias("p")))).alias("_points"))
+    per_label = points.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("i", F.struct("u", *keys).alias("p")))).alias("_points"))
     passed = F.size(F.filter(F.coalesce("_points", F.array().cast(per_label.schema["_points"].dataType)), lambda e: e["p"] < place))
     split = F.element_at(F.array(*[F.lit(n) for n in names]), passed + 1)
     return lookup_join(df, per_label, label).withColumn("split", split).drop("_points")
@@ -59,7 +59,7 @@ def cumulative_distribution(df: DataFrame, column: str) -> DataFrame:
     upto = F.sum("n").over(Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
     everything = F.sum("n").over(Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     cum = counts.select((upto / everything).alias("cum"), "value")
-    return cum.agg(F.array_sort(F.collect_list(F.struct("cum", "value"))).alias("steps"))
+    return cum.agg(F.sort_array(F.collect_list(F.struct("cum", "value"))).alias("steps"))
 
 
 def draw_category(steps: Column, u: Column) -> Column:

@@ -87,5 +87,5 @@ def mean_vectors(df: DataFrame, group: str, vector: str) -> DataFrame:
     """Mean vector per group, averaged place by place."""
     places = df.select(group, F.posexplode(vector).alias("i", "x"))
     means = places.groupBy(group, "i").agg(F.avg("x").alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("i", "x")))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "x")))
     return means.groupBy(group).agg(F.transform(ordered, lambda e: e["x"]).alias(vector))

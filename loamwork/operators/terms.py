@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamwork.operators.joins import lookup_join
+from loamwork.session import hold
 
 PARTS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
 
@@ -26,11 +27,11 @@ def match_terms(texts: DataFrame, doc: str, text: str, terms: DataFrame, term: s
     distinct_terms = terms.select(term).distinct().withColumn("_run", F.lower(term))
     sized = distinct_terms.withColumn("_k", F.size(text_parts(F.col(term))))
     lengths = [r["_k"] for r in sized.select("_k").distinct().collect()]
-    parts = texts.select(F.col(doc), text_parts(F.col(text)).alias("_parts"))
+    parts = hold(texts, _parts=text_parts(F.col(text))).select(doc, "_parts")
     # Words and separators alternate, so the words are every second part.
     first = F.when(F.get(F.col("_parts"), F.lit(0)).rlike(r"^[\p{L}\p{N}_]"), 1).otherwise(2)
     starts = F.when(F.size("_parts") >= first, F.sequence(first, F.size("_parts"), F.lit(2)))
-    located = parts.filter(F.size("_parts") > 0).select(doc, "_parts", starts.alias("_starts"))
+    located = hold(parts.filter(F.size("_parts") > 0), _starts=starts)
 
     def runs_of(k: int) -> Column:
         return F.transform("_starts", lambda i: F.array_join(F.slice(F.col("_parts"), i, k), ""))
@@ -46,5 +47,5 @@ def top_terms(matches: DataFrame, doc: str, term: str, order: list[Column], limi
     """(doc, terms): the first ``limit`` terms per text in one line. A text has few terms."""
     place = F.row_number().over(Window.partitionBy(doc).orderBy(*order))
     kept = matches.withColumn("_place", place).filter(F.col("_place") <= limit)
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("_place"), F.col(term).alias("t"))))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col("_place"), F.col(term).alias("t"))))
     return kept.groupBy(doc).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), sep).alias("terms"))

@@ -198,7 +198,7 @@ def json_struct_validate(spark, sf):
     "SELECT user_id, string_agg(DISTINCT event_type, ';' ORDER BY event_type) AS skills, '' AS languages, CAST(count(DISTINCT event_type) AS INTEGER) AS n_skills FROM events GROUP BY user_id",
 )
 def candidate_lists(spark, sf):
-    kinds = table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("kinds"))
+    kinds = table(spark, sf, "events").groupBy("user_id").agg(F.sort_array(F.collect_set("event_type")).alias("kinds"))
     doubled = F.concat(F.transform("kinds", lambda k: F.concat(F.lit("  "), k)), F.transform("kinds", F.upper), F.array(F.lit(" ")))
     lists = jsons.candidate_lists(F.to_json(F.struct(doubled.alias("skills"), F.lit("none").alias("languages"))))
     return kinds.select("user_id", lists.alias("l")).select(

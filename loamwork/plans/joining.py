@@ -9,7 +9,7 @@ from loamwork.operators import joins as J
 from loamwork.operators import ordered as O
 from loamwork.operators import terms as M
 from loamwork.plans.registry import query
-from loamwork.session import table
+from loamwork.session import spread, table
 
 METRICS = ["click", "error", "purchase", "signup", "view"]
 DAILY_SQL = "SELECT strftime(ts, '%Y-%m-%d') AS day, round(avg(value), 6) AS {0} FROM events WHERE event_type = '{0}' GROUP BY 1"
@@ -94,7 +94,7 @@ def term_table(spark, sf):
 
 
 def matched_terms(spark, sf):
-    return M.match_terms(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", term_table(spark, sf), "term")
+    return M.match_terms(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text", term_table(spark, sf), "term")
 
 
 @query("join_terms_in_text", TERM_COUNT_SQL + "SELECT doc_id, term FROM hits WHERE n > 0")

@@ -18,7 +18,7 @@ from loamwork.operators import requirements as RQ
 from loamwork.operators import similarity as SM
 from loamwork.plans.joining import TERM_COUNT_SQL, matched_terms
 from loamwork.plans.registry import query
-from loamwork.session import table
+from loamwork.session import cut_lineage, hold, spread, table
 
 
 def q(text: str) -> str:
@@ -31,7 +31,7 @@ def space_sql(x: str) -> str:
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 @query("normalize_space", f"SELECT doc_id, {space_sql('text')} AS clean FROM documents")
@@ -164,7 +164,8 @@ DUP_SQL = """CASE WHEN a = '' OR b = '' THEN false ELSE a = b OR ((contains(a, b
 )
 def looks_like_duplicate(spark, sf):
     shortened = F.expr("'more ' || left(line, length(line) - length(line) % 7 * 3)")
-    return ad_lines(spark, sf).select("doc_id", "pos", T.looks_like_duplicate(T.normalize_key(F.col("line")), T.normalize_key(shortened)).alias("duplicate"))
+    keyed = hold(ad_lines(spark, sf), a=T.normalize_key(F.col("line")), b=T.normalize_key(shortened))
+    return keyed.select("doc_id", "pos", T.looks_like_duplicate(F.col("a"), F.col("b")).alias("duplicate"))
 
 
 @query("job_requirements")
@@ -222,7 +223,7 @@ def requirement_key(spark, sf):
 
 @query("canonical_requirement", f"WITH {REQ_ROWS_SQL}, {keyed_sql('reqs')}, {CANON_SQL} SELECT doc_id, pos, canonical_key, canonical_text, category_hint, confidence FROM canon")
 def canonical_requirement(spark, sf):
-    keyed = requirement_rows(spark, sf).withColumn("key", R.requirement_key(F.col("text")))
+    keyed = hold(requirement_rows(spark, sf), key=R.requirement_key(F.col("text")))
     return keyed.select("doc_id", "pos", R.canonical_requirement(F.col("text"), F.col("key")).alias("c")).select("doc_id", "pos", "c.*")
 
 
@@ -233,7 +234,7 @@ def canonical_requirement(spark, sf):
                CASE WHEN score <= 0.25 THEN 'strong_concrete' WHEN score >= 0.75 THEN 'strong_generic' ELSE 'weak' END AS band FROM g""",
 )
 def genericness_score(spark, sf):
-    keyed = requirement_rows(spark, sf).withColumn("key", R.requirement_key(F.col("text")))
+    keyed = hold(requirement_rows(spark, sf), key=R.requirement_key(F.col("text")))
     return keyed.select("doc_id", "pos", R.genericness(F.col("key")).alias("g")).select("doc_id", "pos", "g.*")
 
 
@@ -267,7 +268,7 @@ def weak_output_flag(spark, sf):
 
 @query("merge_requirement_lists")
 def merge_requirement_lists(spark, sf):
-    primary = cleaned(spark, sf).withColumn("pos", F.substring("id", 2, 9).cast("int"))
+    primary = cut_lineage(cleaned(spark, sf).withColumn("pos", F.substring("id", 2, 9).cast("int")))
     secondary = RQ.job_requirements(ads(spark, sf), "doc_id", "text").withColumn("pos", F.substring("id", 2, 9).cast("int"))
     weak = RQ.weak_output_flags(primary, "doc_id")
     return RQ.merge_requirement_lists(primary, secondary, weak, "doc_id", "pos")

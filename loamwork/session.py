@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -28,6 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hold(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    The optimizer copies an expensive expression into every place that uses its column. The
+    output of a generator is not copied, so a one-row expansion keeps the value.
+    """
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.explode(F.array(made)).alias("_held")).select(*df.columns, *[f"_held.{n}" for n in columns])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than that; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 
