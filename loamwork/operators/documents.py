@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from loamwork.functions.text import is_header_footer_line, is_heading_line, split_lines, split_words
+from loamwork.functions.text import cache_key, is_header_footer_line, is_heading_line, split_lines, split_words
 from loamwork.session import hold
 
 
@@ -119,13 +119,12 @@ def chunk_chars(docs: DataFrame, doc: str, text: str, size: int = 1200, overlap:
 def score_distinct(
     docs: DataFrame, key: str, text: str, load: Callable[[], Callable[[list[str]], list[float]]], batch: int = 4
 ) -> DataFrame:
-    """Add ``score`` from a user model; every distinct text (by cache key) is scored once.
+    """(key, score) from a user model; every distinct text (by cache key) is scored once.
 
     ``load`` runs once per task and returns the batch function. A failed batch is tried once more.
+    Only keys and scores meet in the join back; AQE splits the rows of a text with many copies.
     """
-    from loamwork.functions.text import cache_key
-
-    keyed = docs.withColumn("_ck", cache_key("score", "", F.col(text)))
+    keyed = docs.select(key, text, cache_key("score", "", F.col(text)).alias("_ck"))
     once = keyed.groupBy("_ck").agg(F.min(text).alias("_text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,4 +140,4 @@ def score_distinct(
             yield pd.DataFrame({"_ck": frame["_ck"], "score": scores})
 
     scored = once.mapInPandas(run, "_ck string, score double")
-    return keyed.join(scored, "_ck", "left").drop("_ck")
+    return keyed.select(key, "_ck").join(scored, "_ck", "left").select(key, "score")

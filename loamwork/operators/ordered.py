@@ -96,12 +96,6 @@ def seconds_from_start(df: DataFrame, label: str, time: str, name: str) -> DataF
     return lookup_join(df, starts, label).withColumn(name, seconds).drop("_start")
 
 
-def first_per_key(df: DataFrame, keys: list[Column | str], order: str) -> DataFrame:
-    """First record per key by ``order``; combined before the shuffle."""
-    named = [(F.col(k) if isinstance(k, str) else k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    return df.groupBy(*named).agg(F.min_by(F.struct(*df.columns), F.col(order)).alias("_row")).select("_row.*")
-
-
 def sorted_ranges(df: DataFrame, *order: str) -> DataFrame:
     """Rows range-partitioned and sorted by any key type, with the fixed range number ``_range``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loamwork.functions.values import hash_unit
 from loamwork.operators.joins import lookup_join
 from loamwork.operators.ordered import global_row_number
-from loamwork.session import cut_lineage
+from loamwork.session import cut_lineage, hold
 
 
 def random_split(df: DataFrame, key: str, share: float, seed: int = 0) -> DataFrame:
@@ -26,7 +26,9 @@ def stratified_split(
     ``cuts`` are cumulative. Bucket counts locate each cut, only the rows of the buckets that hold
     a cut are ordered, and the cut points then go to every row. No label is gathered in one task.
     """
-    draw = hash_unit(*[F.col(k) for k in keys], seed=seed)
+    columns = df.columns
+    df = hold(df, _u=hash_unit(*[F.col(k) for k in keys], seed=seed))
+    draw = F.col("_u")
     place = F.struct(draw.alias("u"), *keys)
     bucket = F.floor(draw * buckets)
     counts = df.groupBy(label, bucket.alias("_b")).agg(F.count("*").alias("n"))
@@ -45,7 +47,7 @@ def stratified_split(
     per_label = points.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("i", F.struct("u", *keys).alias("p")))).alias("_points"))
     passed = F.size(F.filter(F.coalesce("_points", F.array().cast(per_label.schema["_points"].dataType)), lambda e: e["p"] < place))
     split = F.element_at(F.array(*[F.lit(n) for n in names]), passed + 1)
-    return lookup_join(df, per_label, label).withColumn("split", split).drop("_points")
+    return lookup_join(df, per_label, label).select(*columns, split.alias("split"))
 
 
 def capped_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
@@ -62,6 +64,9 @@ def cumulative_distribution(df: DataFrame, column: str) -> DataFrame:
     return cum.agg(F.sort_array(F.collect_list(F.struct("cum", "value"))).alias("steps"))
 
 
+MOST_STEPS = 10_000
+
+
 def draw_category(steps: Column, u: Column) -> Column:
     """Value whose cumulative step first exceeds u."""
     return F.get(F.filter(steps, lambda e: e["cum"] > u), F.lit(0))["value"]
@@ -72,16 +77,21 @@ def draw_columns(
 ) -> DataFrame:
     """Add independently drawn columns to ``rows``.
 
-    Category columns (few values) use an array of cumulative shares. Numeric columns draw a row
-    number and fetch its value by an equality join; the numbers are uniform, so no key is hot.
+    Category columns use an array of cumulative shares. Numeric columns, and categories with more
+    than ``MOST_STEPS`` values, draw a row number and fetch its value by an equality join; the
+    numbers are uniform, so no key is hot. Both ways draw from the same distribution.
     """
+    many: list[str] = []
     keys = [F.col(k) for k in row_key]
     out = rows
     for c in categorical:
-        u = hash_unit(*keys, F.lit(c), seed=seed)
-        stepped = out.withColumn("_steps", cumulative_distribution(source, c).scalar()).withColumn("_u", u)
-        out = stepped.withColumn(c, draw_category(F.col("_steps"), F.col("_u"))).drop("_steps", "_u")
-    for c in numeric:
+        if source.select(c).distinct().limit(MOST_STEPS + 1).count() > MOST_STEPS:
+            many.append(c)
+            continue
+        stepped = out.withColumn("_steps", cumulative_distribution(source, c).scalar())
+        drawn = hold(stepped, _u=hash_unit(*keys, F.lit(c), seed=seed))
+        out = drawn.withColumn(c, draw_category(F.col("_steps"), F.col("_u"))).drop("_steps", "_u")
+    for c in [*many, *numeric]:
         have = source.filter(F.col(c).isNotNull()).select(key, c)
         numbered = cut_lineage(global_row_number(have, key, "_n")).select("_n", c)
         n = numbered.count()

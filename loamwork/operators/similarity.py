@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamwork.operators.ordered import global_row_number
 from loamwork.session import cut_lineage
 
 
@@ -59,17 +58,18 @@ def topk_similarity(
 ) -> DataFrame:
     """(query_id, chunk_id, similarity, place): the k most similar chunks of each query.
 
-    Queries go to the tasks in blocks of at most ``block`` vectors, one scan per block, so what is
-    sent never grows beyond that. Every task keeps k rows per query; the merge sees only those.
+    Queries go to the tasks in hashed blocks of about ``block`` vectors, one scan per block, so what
+    is sent does not grow with their number. Every task keeps k rows per query; the merge sees only those.
     """
-    asked = cut_lineage(global_row_number(queries.select(F.col(query_id).cast("bigint").alias("q"), F.col(query_vector).alias("v")), "q", "n"))
+    asked = cut_lineage(queries.select(F.col(query_id).cast("bigint").alias("q"), F.col(query_vector).alias("v")))
     blocks = -(-asked.count() // block)
     searched = chunks.select(F.col(chunk_id).cast("bigint"), F.col(vector))
     parts = []
     for b in range(blocks):
-        rows = asked.filter((F.col("n") > b * block) & (F.col("n") <= (b + 1) * block)).orderBy("n").collect()
-        ids = np.array([r["q"] for r in rows], dtype="int64")
-        parts.append(_scan(searched, ids, np.array([r["v"] for r in rows], dtype="float64"), k, floor))
+        rows = asked.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).collect()
+        if rows:
+            ids = np.array([r["q"] for r in rows], dtype="int64")
+            parts.append(_scan(searched, ids, np.array([r["v"] for r in rows], dtype="float64"), k, floor))
     if not parts:
         return searched.sparkSession.createDataFrame([], "query_id bigint, chunk_id bigint, similarity double, place int")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "chunk_id"))

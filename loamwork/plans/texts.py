@@ -490,7 +490,7 @@ def html_sql() -> str:
 
 @query("clean_html", html_sql())
 def clean_html(spark, sf):
-    return PG.clean_html(table(spark, sf, "pages"), "page_id", "html")
+    return PG.clean_html(spread(table(spark, sf, "pages").select("page_id", "html")), "page_id", "html")
 
 
 # --- vectors -------------------------------------------------------------------------------------------
@@ -526,5 +526,4 @@ def topk_similarity(spark, sf):
 @query("batch_score", "SELECT doc_id, CAST(length(text) AS DOUBLE) AS score FROM documents")
 def batch_score(spark, sf):
     """A toy model that measures texts; each distinct normalised text is scored once."""
-    clean = documents(spark, sf)
-    return D.score_distinct(clean, "doc_id", "text", lambda: (lambda texts: [float(len(t)) for t in texts])).select("doc_id", "score")
+    return D.score_distinct(documents(spark, sf), "doc_id", "text", lambda: (lambda texts: [float(len(t)) for t in texts]))

@@ -38,10 +38,10 @@ def sample_rows(df: DataFrame, first: Sequence[str], metrics: Sequence[str], tot
 def with_dead_rows(samples: DataFrame, hosts: DataFrame, host: str, cycle: str, metrics: Sequence[str], error: str = "unreachable") -> DataFrame:
     """One row per polling cycle and expected host; hosts without a sample carry the error text.
 
-    The expected hosts travel as one array, so the grid needs no join of its own.
+    A batch covers few cycles, so they travel as one array to the hosts, whose number is open.
     """
-    expected = hosts.agg(F.collect_set(host).alias("h")).scalar()
-    grid = samples.select(cycle).distinct().withColumn("_h", expected).select(cycle, F.explode("_h").alias(host))
+    cycles = samples.agg(F.collect_set(cycle).alias("c")).scalar()
+    grid = hosts.select(host).distinct().withColumn("_c", cycles).select(F.explode("_c").alias(cycle), host)
     seen = samples.withColumn("_seen", F.lit(True))
     joined = grid.join(seen, [cycle, host], "left")
     return joined.select(
