@@ -113,17 +113,18 @@ def select_threshold(sweep: DataFrame, metric: str) -> DataFrame:
 
 def model_comparison(scored: dict[str, DataFrame], y: str, score: str, fixed: float, metric: str) -> DataFrame:
     """One row per model: metrics at the fixed and at the selected threshold, best AUC first."""
+    names = ["accuracy", "f1", "precision", "recall"]
     rows = []
     for name, df in scored.items():
-        at_fixed = binary_metrics(df, y, score, fixed).select(
-            F.lit(name).alias("model"), *[F.col(c).alias(f"fixed_{c}") for c in ("accuracy", "f1", "precision", "recall")], "log_loss"
-        )
-        chosen = select_threshold(threshold_sweep(df, y, score), metric).select(
-            F.lit(name).alias("model"), F.col("threshold").alias("selected_threshold"),
-            *[F.col(c).alias(f"selected_{c}") for c in ("accuracy", "f1", "precision", "recall")],
+        best = select_threshold(threshold_sweep(df, y, score), metric)
+        chosen = best.select(F.struct("threshold", *names).alias("best")).scalar()
+        rows.append(
+            binary_metrics(df, y, score, fixed).select(
+                F.lit(name).alias("model"), *[F.col(c).alias(f"fixed_{c}") for c in names], "log_loss",
+                chosen["threshold"].alias("selected_threshold"), *[chosen[c].alias(f"selected_{c}") for c in names],
+                roc_auc(df, y, score).scalar().alias("roc_auc"),
+            )
         )
-        area = roc_auc(df, y, score).select(F.lit(name).alias("model"), "roc_auc")
-        rows.append(at_fixed.join(chosen, "model").join(area, "model"))
     return reduce(DataFrame.unionByName, rows).orderBy(F.desc("roc_auc"), "model")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,11 +23,14 @@ def with_ranges(df: DataFrame, key: str, ranges: int | None = None) -> DataFrame
     the same results.
     """
     n = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sketch = df.select(F.col(key).cast("double").alias("_key")).filter("_key is not null")
-    cutter = QuantileDiscretizer(
-        numBuckets=n, inputCol="_key", outputCol="_range", relativeError=max(1.0 / (4 * n), 1e-6), handleInvalid="keep"
-    ).fit(sketch)
-    return cutter.transform(df.withColumn("_key", F.col(key).cast("double"))).drop("_key")
+    keyed = df.withColumn("_key", F.col(key).cast("double"))
+    shares = [i / n for i in range(1, n)]
+    cuts = sorted(set(keyed.select("_key").approxQuantile("_key", shares, max(1.0 / (4 * n), 1e-6))))
+    if not cuts:
+        return keyed.drop("_key").withColumn("_range", F.lit(0.0))
+    splits = [-float("inf"), *cuts, float("inf")]
+    cutter = Bucketizer(splits=splits, inputCol="_key", outputCol="_range", handleInvalid="keep")
+    return cutter.transform(keyed).drop("_key").withColumn("_range", F.coalesce("_range", F.lit(-1.0)))
 
 
 def running_totals(df: DataFrame, key: str, totals: Mapping[str, Column], ranges: int | None = None) -> DataFrame:

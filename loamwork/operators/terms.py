@@ -34,7 +34,8 @@ def match_terms(texts: DataFrame, doc: str, text: str, terms: DataFrame, term: s
     located = hold(parts.filter(F.size("_parts") > 0), _starts=starts)
 
     def runs_of(k: int) -> Column:
-        return F.transform("_starts", lambda i: F.array_join(F.slice(F.col("_parts"), i, k), ""))
+        fits = lambda i: i + k - 1 <= F.size("_parts")
+        return F.transform("_starts", lambda i: F.when(fits(i), F.array_join(F.slice(F.col("_parts"), i, k), "")))
 
     if not lengths:
         return texts.select(doc, F.lit(None).cast("string").alias(term), F.lit(0).cast("bigint").alias("n")).limit(0)

@@ -46,7 +46,7 @@ def join_fk_customer_orders(spark, sf):
     "join_role_fallback",
     """WITH own AS (SELECT p_brand, p_type AS feature, round(avg(p_retailprice), 6) AS score FROM part GROUP BY 1, 2 HAVING max(p_size) < 50),
             everyone AS (SELECT p_type AS feature, round(avg(p_retailprice), 6) AS score FROM part GROUP BY 1),
-            roles AS (SELECT DISTINCT p_brand FROM part UNION SELECT 'Brand#none')
+            roles AS (SELECT DISTINCT p_brand FROM part UNION SELECT n_name FROM nation)
        SELECT p_brand, feature, score FROM own
        UNION ALL SELECT p_brand, feature, score FROM roles JOIN everyone ON p_brand NOT IN (SELECT p_brand FROM own)""",
 )
@@ -56,7 +56,7 @@ def join_role_fallback(spark, sf):
         F.round(F.avg("p_retailprice"), 6).alias("score"), F.max("p_size").alias("top")
     ).filter("top < 50").drop("top")
     everyone = part.groupBy(F.col("p_type").alias("feature")).agg(F.round(F.avg("p_retailprice"), 6).alias("score"))
-    roles = part.select("p_brand").distinct().union(spark.range(1).select(F.lit("Brand#none").alias("p_brand")))
+    roles = part.select("p_brand").union(table(spark, sf, "nation").select("n_name")).distinct()
     return J.role_or_global(roles, own, everyone, "p_brand")
 
 

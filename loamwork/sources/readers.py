@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from loamwork.functions.text import lookup_key_text
 
@@ -94,15 +95,29 @@ def apply_header_aliases(
     return df.select(*[F.col(quote_identifier(name)).alias(canonical) for canonical, name in chosen.items()])
 
 
+@F.pandas_udf(StringType())
+def decode_legacy(contents: pd.Series) -> pd.Series:
+    def decode(raw: bytes | None) -> str | None:
+        if raw is None:
+            return None
+        try:
+            return bytes(raw).decode("cp1250")
+        except UnicodeDecodeError:
+            return bytes(raw).decode("latin-1")
+
+    return contents.map(decode)
+
+
 def read_text_files(spark: SparkSession, folder: str, extensions: Sequence[str] = ("txt", "md")) -> DataFrame:
-    """(path, text) per non-empty file; utf-8, then cp1250 where utf-8 decoding leaves marks.
+    """(path, text) per non-empty file; utf-8, else cp1250, else latin-1.
 
-    One file is one row, so files are spread over tasks by size.
+    One file is one row, so files are spread over tasks by size. Only files that are no valid
+    utf-8 are handed to Python.
     """
     pattern = ",".join(extensions)
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{{{pattern}}}").option("recursiveFileLookup", True).load(folder)
     utf8 = F.try_validate_utf8(F.col("content").cast("string"))
-    text = F.coalesce(utf8, F.decode("content", "windows-1250"), F.decode("content", "ISO-8859-1"))
+    text = F.coalesce(utf8, decode_legacy(F.when(utf8.isNull(), F.col("content"))))
     return files.select("path", text.alias("text")).filter(F.length(F.trim("text")) > 0)
 
 
