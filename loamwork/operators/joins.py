@@ -1,4 +1,4 @@
-"""Joins. A side is only broadcast after it was counted; otherwise Spark shuffles, and AQE
+"""Joins. A side is only broadcast after it was measured; otherwise Spark shuffles, and AQE
 splits skewed partitions."""
 
 from __future__ import annotations
@@ -11,17 +11,18 @@ from pyspark.sql import functions as F
 from loamwork.functions.text import lookup_key
 from loamwork.session import cut_lineage
 
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def lookup_join(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Join a table that is expected to be small.
 
-    The small side is written once and counted. Up to ``BROADCAST_ROWS`` rows it is broadcast,
+    The small side is written once and measured. Up to ``BROADCAST_BYTES`` of text it is broadcast,
     which spares the large side a shuffle; beyond that it is an ordinary shuffle join.
     """
     side = cut_lineage(small)
-    return df.join(F.broadcast(side) if side.count() <= BROADCAST_ROWS else side, on, how)
+    size = side.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")).first()["b"]
+    return df.join(F.broadcast(side) if size <= BROADCAST_BYTES else side, on, how)
 
 
 def join_all(frames: list[DataFrame], on: str | list[str]) -> DataFrame:

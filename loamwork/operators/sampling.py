@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loamwork.functions.values import hash_unit
 from loamwork.operators.joins import lookup_join
 from loamwork.operators.ordered import global_row_number
-from loamwork.session import cut_lineage, hold
+from loamwork.session import cut_lineage, hold, spread
 
 
 def random_split(df: DataFrame, key: str, share: float, seed: int = 0) -> DataFrame:
@@ -107,7 +107,7 @@ def synthesize_marginals(
     df: DataFrame, key: str, categorical: Sequence[str], numeric: Sequence[str], factor: int = 10, seed: int = 0
 ) -> DataFrame:
     """``factor`` new rows per input row; every column is drawn from its own distribution."""
-    rows = df.select(key, F.explode(F.sequence(F.lit(1), F.lit(factor))).alias("copy"))
+    rows = spread(df.select(key)).select(key, F.explode(F.sequence(F.lit(1), F.lit(factor))).alias("copy"))
     return draw_columns(df, key, rows, [key, "copy"], categorical, numeric, seed)
 
 

@@ -240,7 +240,7 @@ def test_contained_pairs_against_all_pairs(spark):
 def test_lookup_join_beyond_the_limit(spark, monkeypatch):
     left, right = spark.range(50).select((F.col("id") % 7).alias("k"), "id"), spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     want = sorted(J.lookup_join(left, right, "k").collect())
-    monkeypatch.setattr(J, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(J, "BROADCAST_BYTES", 2)
     assert sorted(J.lookup_join(left, right, "k").collect()) == want
 
 
