@@ -10,7 +10,7 @@ from loamwork.functions.values import status_icon, verdict_bucket
 from loamwork.operators.aggregates import weighted_score
 
 
-def report_blocks(evals: DataFrame, candidate: str, order: str) -> DataFrame:
+def report_blocks(evals: DataFrame, candidate: str, order: str, title: str = "Evaluation report") -> DataFrame:
     """(candidate, section, place, text): Markdown blocks of an evaluation report.
 
     Section 0 is the header with the weighted score, 1 the table (a line per requirement), 2 the
@@ -25,7 +25,7 @@ def report_blocks(evals: DataFrame, candidate: str, order: str) -> DataFrame:
     titles = evals.groupBy(candidate).agg(F.min_by("job_title", order).alias("job_title"))
     # fixed values: wording of the report
     head = F.concat(
-        lit("# AI CV validator\n\n**Pozicia:** "), c("job_title"), lit("\n**Celkove skore:** "), F.format_string("%.2f", c("weighted_score")),
+        lit(f"# {title}\n\n**Pozicia:** "), c("job_title"), lit("\n**Celkove skore:** "), F.format_string("%.2f", c("weighted_score")),
         lit(" / 100\n**Odporucanie:** "), verdict_bucket(c("weighted_score")),
         lit("\n\n> Vystup je odporucanie pre cloveka, nie automaticke rozhodnutie o kandidatovi.\n\n## Vyhodnotenie poziadaviek\n\n"
             "| Stav | Poziadavka | Skore | Priorita | Vysvetlenie |\n|---|---|---:|---|---|"),

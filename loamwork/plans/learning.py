@@ -79,7 +79,7 @@ ICON_SQL = "CASE event_type WHEN 'click' THEN '✅ splnene' WHEN 'view' THEN '
     "sink_report_md",
     f"""WITH e AS (SELECT user_id, event_id, event_type, 'R' || event_id AS rid, 'need ' || event_type || '|' || user_id AS req, floor(value) AS score, CASE WHEN event_type = 'click' THEN 5 ELSE 1 END AS w FROM events),
         s AS (SELECT user_id, round(sum(least(score, 100) * w) / sum(w), 2) AS s, arg_min(event_type, event_id) AS job FROM e GROUP BY 1)
-        SELECT user_id, 0 AS section, CAST(0 AS BIGINT) AS place, '# AI CV validator' || chr(10) || chr(10) || '**Pozicia:** ' || job || chr(10) || '**Celkove skore:** ' || format('{{:.2f}}', s) || ' / 100' || chr(10) || '**Odporucanie:** '
+        SELECT user_id, 0 AS section, CAST(0 AS BIGINT) AS place, '# Evaluation report' || chr(10) || chr(10) || '**Pozicia:** ' || job || chr(10) || '**Celkove skore:** ' || format('{{:.2f}}', s) || ' / 100' || chr(10) || '**Odporucanie:** '
           || CASE WHEN s >= 80 THEN 'Vhodny kandidat' WHEN s >= 60 THEN 'Skor vhodny kandidat' WHEN s >= 40 THEN 'Ciastocne vhodny / vyzaduje manualne posudenie' ELSE 'Slaba zhoda s poziciou' END
           || chr(10) || chr(10) || '> Vystup je odporucanie pre cloveka, nie automaticke rozhodnutie o kandidatovi.' || chr(10) || chr(10) || '## Vyhodnotenie poziadaviek' || chr(10) || chr(10)
           || '| Stav | Poziadavka | Skore | Priorita | Vysvetlenie |' || chr(10) || '|---|---|---:|---|---|' AS text FROM s
