@@ -30,41 +30,40 @@ def item_windows(text: bytes, width: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
 
 
-class PrefixIndex:
-    """Windows by their rarest word.
+def prefix_index(items: list[tuple[object, bytes]], width: int, often: dict[bytes, int]) -> dict[bytes, list[tuple]]:
+    """Windows by their rarest word: word -> (its place, window, items) rows.
 
     A document holds a window only if it holds all its words, so one prefix token is enough (the prefix length of
     a containment of 1). Word places give the positional bound, window lengths the length bound.
     """
-
-    def __init__(self, items: list[tuple[object, bytes]], width: int, often: dict[bytes, int]) -> None:
-        owners = defaultdict(set)
-        for key, text in items:
-            for window in item_windows(text, width):
-                owners[window].add(key)
-        self.by_word = defaultdict(list)
-        for window, keys in owners.items():
-            offset = min(range(len(window)), key=lambda i: (often.get(window[i], 0), window[i], i))
-            self.by_word[window[offset]].append((offset, window, tuple(keys)))
-        self.by_word = dict(self.by_word)
-
-    def search(self, words: list[bytes]) -> tuple[list[int], list]:
-        """Covered stretches as [start, end, start, end, ...], and the items."""
-        by_word, n = self.by_word, len(words)
-        hits, items = set(), set()
-        for i in [i for i, w in enumerate(words) if w in by_word]:
-            for offset, window, keys in by_word[words[i]]:
-                start, end = i - offset, i - offset + len(window)
-                if start >= 0 and end <= n and tuple(words[start:end]) == window:
-                    hits.add((start, end))
-                    items.update(keys)
-        spans: list[int] = []
-        for start, end in sorted(hits):
-            if spans and start <= spans[-1]:
-                spans[-1] = max(spans[-1], end)
-            else:
-                spans += [start, end]
-        return spans, list(items)
+    owners = defaultdict(set)
+    for key, text in items:
+        for window in item_windows(text, width):
+            owners[window].add(key)
+    by_word = defaultdict(list)
+    for window, keys in owners.items():
+        offset = min(range(len(window)), key=lambda i: (often.get(window[i], 0), window[i], i))
+        by_word[window[offset]].append((offset, window, tuple(keys)))
+    return dict(by_word)
+
+
+def search(by_word: dict[bytes, list[tuple]], words: list[bytes]) -> tuple[list[int], list]:
+    """Covered stretches as [start, end, start, end, ...], and the items."""
+    n = len(words)
+    hits, items = set(), set()
+    for i in [i for i, w in enumerate(words) if w in by_word]:
+        for offset, window, keys in by_word[words[i]]:
+            start, end = i - offset, i - offset + len(window)
+            if start >= 0 and end <= n and tuple(words[start:end]) == window:
+                hits.add((start, end))
+                items.update(keys)
+    spans: list[int] = []
+    for start, end in sorted(hits):
+        if spans and start <= spans[-1]:
+            spans[-1] = max(spans[-1], end)
+        else:
+            spans += [start, end]
+    return spans, list(items)
 
 
 def word_frequencies(docs: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
@@ -108,15 +107,15 @@ def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: s
     def passed(block: int) -> DataFrame:
         own = [(r["item_id"], r["text"].encode()) for r in dealt.filter(F.col("block") == block).collect()]
         wanted = {w for _, t in own for w in words_of(t)}
-        index = rows.sparkSession.sparkContext.broadcast(PrefixIndex(own, width, word_frequencies(rows, wanted) if wanted else {}))
+        index = rows.sparkSession.sparkContext.broadcast(prefix_index(own, width, word_frequencies(rows, wanted) if wanted else {}))
 
         def make():
-            search = index.value.search
+            by_word = index.value
 
             def step(batch):
                 for part in slices(batch):
                     split = [words_of(t) for t in raw_texts(part)]
-                    found = [search(w) for w in split]
+                    found = [search(by_word, w) for w in split]
                     yield {
                         "doc_id": part.column("doc_id"), "row": part.column("row"), "n_words": [len(w) for w in split],
                         "spans": [s for s, _ in found], "items": [i for _, i in found],

@@ -136,3 +136,41 @@ def components(links: DataFrame) -> DataFrame:
         if labels.filter("label <> old").isEmpty():
             return labels.select("node", F.col("label").alias("component"))
         labels = labels.select("node", "label")
+
+
+def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of the rows with equal keys, from batches sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            new |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            key = tuple(c[start] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def in_tiles(members: DataFrame, group: list[str], member: str, block: int) -> DataFrame:
+    """Rows dealt into tiles (``_ti``, ``_tj``) so that any two rows of a group meet in one tile.
+
+    A group of up to ``block`` rows is one tile; a larger one has its rows in several blocks and a tile for each two
+    blocks, so no task ever holds a whole hot group.
+    """
+    sizes = members.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64(member), F.col("_blocks")).cast("int")
+    placed = members.join(sizes, group).withColumn("_own", own)
+    other = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    tiled = other.withColumn("_ti", F.least("_own", "_other")).withColumn("_tj", F.greatest("_own", "_other")).drop("_other", "_blocks")
+    keys = [*group, "_ti", "_tj"]
+    return tiled.repartition(*keys).sortWithinPartitions(*keys)

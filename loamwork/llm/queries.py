@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm import benchmark, lines, packing, shards, tokens
+from loamwork.llm import benchmark, language, lines, minhash, packing, shards, tokens, vectors
 from loamwork.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,21 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query("op1_minhash_near_dedup")
+def op1_minhash_near_dedup(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op3_embedding_near_dedup")
+def op3_embedding_near_dedup(spark, sf):
+    return vectors.near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark, sf):
+    return language.identify(table(spark, sf, "documents"))
+
+
 @query("op6_sharding", SHARDS_SQL)
 def op6_sharding(spark, sf):
     return shards.place_in_shards(table(spark, sf, "documents"))
