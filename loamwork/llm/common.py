@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loamwork.session import cut_lineage
+from loamwork.session import cut_lineage, scratch_folder
 
 #: White space of the word contracts: tab to carriage return, and the blank.
 SPACE = b"\t\n\x0b\x0c\r "
@@ -174,3 +174,15 @@ def in_tiles(members: DataFrame, group: list[str], member: str, block: int) -> D
     tiled = other.withColumn("_ti", F.least("_own", "_other")).withColumn("_tj", F.greatest("_own", "_other")).drop("_other", "_blocks")
     keys = [*group, "_ti", "_tj"]
     return tiled.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Table in the shared folder, read again: lineage is cut, and the shuffles behind it may go at once."""
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = scratch_folder(spark, label), spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm import benchmark, language, lines, minhash, packing, shards, tokens, vectors
+from loamwork.llm import benchmark, language, lines, minhash, packing, shards, substrings, suffixes, tokens, vectors
 from loamwork.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,12 @@ def op1_minhash_near_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, sf):
+    found = substrings.drop_repeated_passages(table(spark, sf, "documents"))
+    return found.select("doc_id", F.col("n").alias("n_words"), "n_removed", "kept_sha256")
+
+
 @query("op3_embedding_near_dedup")
 def op3_embedding_near_dedup(spark, sf):
     return vectors.near_vectors(table(spark, sf, "embeddings"))
@@ -95,6 +101,12 @@ def op4_language_id(spark, sf):
     return language.identify(table(spark, sf, "documents"))
 
 
+@query("op5_suffix_array_dedup")
+def op5_suffix_array_dedup(spark, sf):
+    found = suffixes.drop_repeated_bytes(table(spark, sf, "documents"))
+    return found.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op6_sharding", SHARDS_SQL)
 def op6_sharding(spark, sf):
     return shards.place_in_shards(table(spark, sf, "documents"))
