@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import map_batches, raw_texts, slices
-from loamwork.session import cut_lineage
+from loamwork.llm.common import carried, map_batches, raw_texts, slices, with_carried, written
 
 #: Bytes of item text in one broadcast index; more items make more blocks.
 BLOCK_BYTES = 8 << 20
@@ -17,7 +16,7 @@ BLOCK_BYTES = 8 << 20
 #: Word bytes: digits, letters (A-Z lowered) and everything beyond ASCII; all others become blanks.
 WORD_TABLE = bytes(x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <= 122 or x >= 128 else 32 for x in range(256))
 
-FOUND = "doc_id {id}, row long, n_words long, spans array<int>, items array<{item}>"
+FOUND = "doc_id {id}, text string, n_words long, n_hit long, spans array<int>, items array<{item}>"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -57,13 +56,18 @@ def search(by_word: dict[bytes, list[tuple]], words: list[bytes]) -> tuple[list[
             if start >= 0 and end <= n and tuple(words[start:end]) == window:
                 hits.add((start, end))
                 items.update(keys)
+    return merged(hits), list(items)
+
+
+def merged(stretches) -> list[int]:
+    """Union of (start, end) stretches as [start, end, start, end, ...]."""
     spans: list[int] = []
-    for start, end in sorted(hits):
+    for start, end in sorted(stretches):
         if spans and start <= spans[-1]:
             spans[-1] = max(spans[-1], end)
         else:
             spans += [start, end]
-    return spans, list(items)
+    return spans
 
 
 def word_frequencies(docs: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
@@ -86,25 +90,26 @@ def word_frequencies(docs: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
     return {bytes(r["word"]): r["n"] for r in counts.collect()}  # words of one block of items
 
 
-def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 10) -> DataFrame:
-    """Per row: (id, n_words, n_hit, items, spans): words inside an occurrence of an item window, and those items.
+def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 10, carry: Sequence[str] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per row: (id, n_words, n_hit, items, spans[, text, carried]): words inside an occurrence of an item window, and those items.
 
     NULL and empty texts have no words and no hits; items without words have no window; items that repeat count once
-    by their id, items with NULL id are left out. Rows with equal id and text get equal results, one per row; ids may
-    be NULL. Without items nothing is hit. Documents are read in place and never shuffled, only their hits are.
+    by their id, items with NULL id are left out. Every row has its own result, whatever repeats; ids may be NULL. Without
+    items nothing is hit. Columns named in ``carry`` come along in a struct. Documents are read in place and never
+    shuffled.
 
-    Items are dealt into blocks of about 8 MB of text, so that each broadcast index has a bound; every block passes
-    over all documents.
+    Items are dealt into blocks of about ``block_bytes`` of text, so that each broadcast index has a bound; every block
+    passes over all documents and adds to what the blocks before it found.
     """
     kinds = dict(docs.dtypes)[id], dict(items.dtypes)[item_id]
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), *carried(docs, carry))
     listed = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).filter("item_id is not null and text is not null")
     total = listed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    blocks = total // BLOCK_BYTES + 1
+    blocks = total // block_bytes + 1
     dealt = listed.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
-    ddl = FOUND.format(id=kinds[0], item=kinds[1])
+    schema = with_carried(FOUND.format(id=kinds[0], item=kinds[1]), rows)
 
-    def passed(block: int) -> DataFrame:
+    def passed(found: DataFrame, block: int) -> DataFrame:
         own = [(r["item_id"], r["text"].encode()) for r in dealt.filter(F.col("block") == block).collect()]
         wanted = {w for _, t in own for w in words_of(t)}
         index = rows.sparkSession.sparkContext.broadcast(prefix_index(own, width, word_frequencies(rows, wanted) if wanted else {}))
@@ -115,38 +120,21 @@ def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: s
             def step(batch):
                 for part in slices(batch):
                     split = [words_of(t) for t in raw_texts(part)]
-                    found = [search(by_word, w) for w in split]
+                    new = [search(by_word, w) for w in split]
+                    if block:
+                        before = zip(part.column("spans").to_pylist(), part.column("items").to_pylist(), strict=True)
+                        new = [(merged([*zip(s[::2], s[1::2]), *zip(b[::2], b[1::2])]), list({*i, *o})) for (s, i), (b, o) in zip(new, before, strict=True)]
                     yield {
-                        "doc_id": part.column("doc_id"), "row": part.column("row"), "n_words": [len(w) for w in split],
-                        "spans": [s for s, _ in found], "items": [i for _, i in found],
+                        **{c: part.column(c) for c in ("doc_id", "text", "carried") if c in schema.names},
+                        "n_words": [len(w) for w in split], "n_hit": [sum(s[1::2]) - sum(s[::2]) for s, _ in new],
+                        "spans": [s for s, _ in new], "items": [i for _, i in new],
                     }
 
             return step
 
-        return map_batches(rows.select("doc_id", F.xxhash64("text").alias("row"), "text"), ddl, make)
-
-    if blocks == 1:
-        found = passed(0)
-        merged = found.select("doc_id", "n_words", "items", "spans")
-    else:
-        found = cut_lineage(passed(0).withColumn("block", F.lit(0)))
-        for block in range(1, blocks):
-            found = cut_lineage(found.unionByName(passed(block).withColumn("block", F.lit(block))))
-        grouped = found.groupBy("doc_id", "row").agg(
-            F.first("n_words").alias("n_words"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-            F.flatten(F.collect_list("spans")).alias("spans"),
-            F.count_if(F.col("block") == 0).alias("copies"),
-        )
-        merged = grouped.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("doc_id", "n_words", "items", "spans")
-    covered = F.udf(_covered, "long") if blocks > 1 else None
-    n_hit = covered("spans") if covered else F.aggregate(F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0), lambda a, x: a + x).cast("long")
-    return merged.select(F.col("doc_id").alias(id), "n_words", n_hit.alias("n_hit"), F.array_sort("items").alias("items"), "spans")
-
-
-def _covered(spans: list[int]) -> int:
-    """Length of the union of the stretches of several blocks."""
-    pairs = np.array(spans, np.int64).reshape(-1, 2)
-    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-    ends = np.maximum.accumulate(np.concatenate(([0], pairs[:, 1])))
-    return int(np.maximum(0, pairs[:, 1] - np.maximum(pairs[:, 0], ends[:-1])).sum())
+        return map_batches(found, schema, make)
+
+    found = passed(rows, 0)
+    for block in range(1, blocks):
+        found = passed(written(found, "contamination"), block)
+    return found.select(F.col("doc_id").alias(id), "n_words", "n_hit", F.array_sort("items").alias("items"), "spans", *(["text", "carried"] if carry else []))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,13 +16,24 @@ from loamwork.session import cut_lineage, scratch_folder
 SPACE = b"\t\n\x0b\x0c\r "
 
 
-def arrow_schema(ddl: str) -> pa.Schema:
+def arrow_schema(ddl: str | T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(T.StructType.fromDDL(ddl))
+    return to_arrow_schema(T.StructType.fromDDL(ddl) if isinstance(ddl, str) else ddl)
 
 
-def map_batches(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]]) -> DataFrame:
+def carried(docs: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The columns as one struct ``carried``, where their names clash with nothing; no column without any."""
+    return [F.struct(*[F.col(f"`{c}`") for c in columns]).alias("carried")] if columns else []
+
+
+def with_carried(ddl: str, rows: DataFrame) -> T.StructType:
+    """Schema with the type of ``carried`` if the rows have it."""
+    schema = T.StructType.fromDDL(ddl)
+    return schema.add("carried", rows.schema["carried"].dataType) if "carried" in rows.columns else schema
+
+
+def map_batches(df: DataFrame, ddl: str | T.StructType, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]]) -> DataFrame:
     """Arrow map with state: ``make()`` runs once per task and gives the function that turns a batch into columns."""
     schema = arrow_schema(ddl)
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import map_batches, slices
+from loamwork.llm.common import carried, map_batches, slices, with_carried
 
 #: Buckets of hashed three-byte grams, as a power of two.
 GRAM_BITS = 15
@@ -164,8 +165,8 @@ def fit(docs: DataFrame) -> CodeModel | None:
     return model
 
 
-def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
-    """Per row: (id, held_out, lang_pred, score, ambiguous, text).
+def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5, carry: Sequence[str] = ()) -> DataFrame:
+    """Per row: (id, held_out, lang_pred, score, ambiguous), and with ``carry`` the text and a struct of these columns.
 
     Bits of language codewords are predicted by log-odds classifiers over hashed three-byte grams of the whole
     lower-cased text; the codeword with the least weighted logistic loss wins and ``score`` is its share. A share below
@@ -191,9 +192,13 @@ def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
                     best, share = own.decode(own.margins([texts[i] for i in at]))
                     for i, k, s in zip(at, best.tolist(), share.tolist(), strict=True):
                         pred[i], score[i] = own.languages[k], s
-                yield {"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "lang_pred": pred, "score": score}
+                more = {c: part.column(c) for c in ("text", "carried")} if carry else {}
+                yield {"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "lang_pred": pred, "score": score, **more}
 
         return step
 
-    named = map_batches(rows.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), f"doc_id {kind}, held_out boolean, lang_pred string, score double", make)
-    return named.select(F.col("doc_id").alias(id), "held_out", "lang_pred", "score", ((F.col("lang_pred") != "und") & (F.col("score") < least)).alias("ambiguous"))
+    read = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), held_out(F.col(id)).alias("held_out"), *carried(docs, carry))
+    ddl = f"doc_id {kind}, held_out boolean, lang_pred string, score double" + (", text string" if carry else "")
+    named = map_batches(read, with_carried(ddl, read), make)
+    ambiguous = ((F.col("lang_pred") != "und") & (F.col("score") < least)).alias("ambiguous")
+    return named.select(F.col("doc_id").alias(id), "held_out", "lang_pred", "score", ambiguous, *(["text", "carried"] if carry else []))

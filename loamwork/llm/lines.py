@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamwork.llm.common import carried
+
 #: Tab to carriage return, and the blank.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -15,13 +19,13 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
 
 
-def drop_shared_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 10, shortest: int = 1) -> DataFrame:
-    """Per row: (id, n_lines, n_dropped, kept): the text without the lines whose key stands in ``least`` rows or more.
+def drop_shared_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 10, shortest: int = 1, carry: Sequence[str] = ()) -> DataFrame:
+    """Per row: (id, n_lines, n_dropped, kept[, carried]): the text without the lines whose key stands in ``least`` rows or more.
 
     Lines are split at ``\\n``; a key of fewer than ``shortest`` code points is never shared. Every input row is a
-    document of its own, also when rows repeat, and gives one output row. NULL and empty texts are one empty line.
+    document of its own, also when rows repeat, and gives one output row. NULL and empty texts are one empty line and stay.
     Rows with NULL ids, or ids that repeat, are kept apart by the hash of their text; equal rows get equal results.
-    Other columns are not read.
+    Columns named in ``carry`` come along in a struct, others are not read.
 
     Keys are hashed to 128 bits, once per document, and counted with partial sums, so a line that all documents
     share is one row per task. Only hashes travel; the whole lines stay in their document's row, which loses the
@@ -36,13 +40,15 @@ def drop_shared_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", l
     shared = once.groupBy(F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(7), "_key").alias("_h2")).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least).select("_h1", "_h2")
     gone = keyed.join(shared, ["_h1", "_h2"]).groupBy("_id", "_row").agg(F.collect_set("_pos").alias("_gone"))
     gone = gone.select(F.col("_id").alias("_gid"), F.col("_row").alias("_grow"), "_gone")
-    whole = rows.withColumn("_row", F.xxhash64("_text"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    whole = docs.select(F.col(id).alias("_id"), F.col(text).alias("_raw"), F.xxhash64(body).alias("_row"), *carried(docs, carry))
     joined = whole.join(gone, whole._id.eqNullSafe(gone._gid) & (whole._row == gone._grow), "left")
-    lines = F.split("_text", "\n", -1)
-    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
+    lines = F.split(F.coalesce("_raw", F.lit("")), "\n", -1)
+    kept = F.when(F.col("_gone").isNull(), F.col("_raw")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
     return joined.select(
         F.col("_id").alias(id),
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
         kept.alias("kept"),
+        *(["carried"] if carry else []),
     )

@@ -127,7 +127,7 @@ def op8_token_counts(spark, sf):
 @query("op9_line_dedup", LINES_SQL)
 def op9_line_dedup(spark, sf):
     kept = lines.drop_shared_lines(table(spark, sf, "documents"))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 @query("op10_best_fit_packing")
