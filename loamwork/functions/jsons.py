@@ -34,15 +34,23 @@ def unfence_json(c: Column) -> Column:
 
 
 def last_json_value(text: str) -> str | None:
-    """Last object or array that starts anywhere in the text and parses."""
-    decoder, found = json.JSONDecoder(), None
-    for match in re.finditer(r"[\[{]", text):
-        try:
-            value, _ = decoder.raw_decode(text, match.start())
-        except ValueError:
+    """The object or array that starts last among those that parse.
+
+    Read from the end, so the first hit is the answer. A bracket with another one directly inside has failed with
+    it, so nested text is neither parsed again nor descended into.
+    """
+    decode = json.JSONDecoder().raw_decode
+    end = len(text)
+    for at in [m.start() for m in re.finditer(r"[\[{]", text)][::-1]:
+        between, end_before = text[at + 1 : end], end
+        end = at
+        if end_before < len(text) and not re.search(r'["\]}]', between):
             continue
-        found = value
-    return None if found is None else json.dumps(found, ensure_ascii=False, separators=(",", ":"))
+        try:
+            return json.dumps(decode(text, at)[0], ensure_ascii=False, separators=(",", ":"))
+        except (ValueError, RecursionError):
+            pass
+    return None
 
 
 @F.pandas_udf(StringType())
@@ -53,32 +61,34 @@ def _salvage(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def parse_lenient(df: DataFrame, column: str, name: str, fallback: str = "null") -> DataFrame:
     """Add the JSON text found in ``column``: the whole text, else its last JSON part, else the
-    fallback. Only rows that fail the built-in parser carry a text to the Python workers."""
+    fallback. Only rows that fail the built-in parser carry a text to the Python workers, and what
+    they find goes through the same parser, so object keys come in one order."""
     clean = df.withColumn("_clean", unfence_json(F.col(column)))
     direct = F.try_parse_json("_clean")
     checked = clean.withColumn("_direct", F.to_json(direct))
     broken = F.when(F.col("_direct").isNull(), F.col("_clean"))
-    return checked.withColumn(name, F.coalesce("_direct", _salvage(broken), F.lit(fallback))).drop("_clean", "_direct")
+    salvaged = F.to_json(F.try_parse_json(_salvage(broken)))
+    return checked.withColumn(name, F.coalesce("_direct", salvaged, F.lit(fallback))).drop("_clean", "_direct")
 
 
 EVALUATION = "requirement_id string, requirement string, status string, score string, confidence string, evidence_used array<string>, explanation string, risk_note string"
 
 
-def dedupe_texts(items: Column, limit: int) -> Column:
-    """Distinct texts without regard to case, first spelling kept, at most ``limit``."""
+def dedupe_texts(items: Column, limit: int | None = None) -> Column:
+    """Distinct texts without regard to case, first spelling kept, all or at most ``limit``."""
     clean = F.filter(F.transform(items, normalize_space), lambda x: x != "")
     start = F.array().cast("array<string>")
     kept = F.aggregate(
         clean, start,
         lambda acc, x: F.when(
-            (F.size(acc) >= limit) | F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc
+            F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc
         ).otherwise(F.concat(acc, F.array(x))),
     )
-    return F.when(items.isNull(), start).otherwise(kept)
+    return F.when(items.isNull(), start).otherwise(kept if limit is None else F.slice(kept, 1, limit))
 
 
-def validate_evaluation(body: Column, evidence: Column) -> Column:
-    """Evaluation record with known status, clamped numbers and at most three evidences."""
+def validate_evaluation(body: Column, evidence: Column, limit: int | None = None) -> Column:
+    """Evaluation record with known status, clamped numbers and all or ``limit`` evidences."""
     raw = F.from_json(body, EVALUATION)
     # fixed values: known statuses, the first is the default
     statuses = ["nejasne", "splnene", "ciastocne_splnene", "nesplnene"]
@@ -87,7 +97,7 @@ def validate_evaluation(body: Column, evidence: Column) -> Column:
         F.when(raw["status"].isin(statuses), raw["status"]).otherwise(F.lit(statuses[0])).alias("status"),
         clamp(safe_float(raw["score"]), 0.0, 100.0).alias("score"),
         clamp(safe_float(raw["confidence"]), 0.0, 1.0).alias("confidence"),
-        dedupe_texts(used, 3).alias("evidence_used"),
+        dedupe_texts(used, limit).alias("evidence_used"),
         F.coalesce(F.nullif(raw["explanation"], F.lit("")), F.lit("Bez vysvetlenia.")).alias("explanation"),
         F.coalesce(raw["risk_note"], F.lit("")).alias("risk_note"),
     )
@@ -97,7 +107,7 @@ def validate_evaluation(body: Column, evidence: Column) -> Column:
 CANDIDATE_LISTS = ["skills", "experience", "education", "languages", "certifications", "risks_or_missing_info"]
 
 
-def candidate_lists(body: Column, limit: int = 12) -> Column:
+def candidate_lists(body: Column, limit: int | None = None) -> Column:
     """The list fields of a candidate profile, each cleaned and without repeats."""
     raw = F.from_json(body, ", ".join(f"{n} array<string>" for n in CANDIDATE_LISTS))
     return F.struct(*[dedupe_texts(raw[n], limit).alias(n) for n in CANDIDATE_LISTS])

@@ -147,10 +147,11 @@ def first_output_line(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) == "", F.lit("ERROR")).otherwise(line)
 
 
-def retrieval_query_text(summary: Column, terms: Column, n: int = 8) -> Column:
+def retrieval_query_text(summary: Column, terms: Column, n: int | None = None) -> Column:
+    """Query text from a summary and all or the first ``n`` terms of an array."""
     # fixed values: wording of the query text
     return F.concat(
-        F.lit("Právny kontext: "), summary, F.lit("\nKľúčové pojmy: "), F.array_join(F.slice(terms, 1, n), ", ")
+        F.lit("Právny kontext: "), summary, F.lit("\nKľúčové pojmy: "), F.array_join(terms if n is None else F.slice(terms, 1, n), ", ")
     )
 
 

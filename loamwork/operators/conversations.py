@@ -1,27 +1,17 @@
-"""Conversations as text. Turns are positions 0, 1, 2, ... in their conversation.
+"""Conversations as text: one line or block per turn, in the order of the turn numbers, which may have gaps.
 
-A rendered conversation comes in parts of at most ``per_part`` turns, so that even a conversation
-that holds a large share of all turns is never gathered in one row. Most have part 0 only.
+The lines are rows, so a conversation of any length is never gathered; sorted and joined they are its text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamwork.operators.joins import lookup_join
 
-
-def assemble(turns: DataFrame, conv: str, turn: str, text: Column, name: str, sep: str = "", per_part: int = 1000) -> DataFrame:
-    """(conv, part, name): texts in turn order, joined per part."""
-    rows = turns.select(conv, turn, F.floor(F.col(turn) / per_part).alias("part"), text.alias("_t"))
-    ordered = F.sort_array(F.collect_list(F.struct(turn, "_t")))
-    return rows.groupBy(conv, "part").agg(F.array_join(F.transform(ordered, lambda s: s["_t"]), sep).alias(name))
-
-
-def conversation_history(turns: DataFrame, conv: str, turn: str, role: str, text: str, per_part: int = 1000) -> DataFrame:
-    line = F.concat(F.upper(role), F.lit(": "), text)
-    return assemble(turns, conv, turn, line, "history", "\n", per_part)
+def conversation_history(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    """(conv, turn, line): the role in capitals and the text; no shuffle."""
+    return turns.select(conv, turn, F.concat(F.upper(role), F.lit(": "), text).alias("line"))
 
 
 def _trim_breaks(c: Column, left: bool = True, right: bool = True) -> Column:
@@ -33,15 +23,15 @@ def render_turns(turns: DataFrame, conv: str, turn: str, role: str, text: str) -
     """(conv, turn, rendered): every turn between its role tags.
 
     A reasoning block is kept only behind the last user question. Runs of tool turns share one
-    user block; neighbours come from an equality join on the position.
+    user block. Neighbours and ends come from windows over one shuffle by conversation.
     """
     r, t, content = F.col(role), F.col(turn), F.col(text)
     question = (r == "user") & ~(content.startswith("<tool_response>") & content.endswith("</tool_response>"))
-    ends = turns.groupBy(conv).agg(F.max(turn).alias("_last"), F.max(F.when(question, t)).alias("_query"))
-    roles = turns.select(conv, turn, role)
-    before = roles.select(conv, (t + 1).alias(turn), r.alias("_before"))
-    after = roles.select(conv, (t - 1).alias(turn), r.alias("_after"))
-    placed = lookup_join(turns.join(before, [conv, turn], "left").join(after, [conv, turn], "left"), ends, conv)
+    whole, ordered = Window.partitionBy(conv), Window.partitionBy(conv).orderBy(turn)
+    placed = turns.select(conv, turn, role, text).withColumns({
+        "_before": F.lag(r).over(ordered), "_after": F.lead(r).over(ordered),
+        "_last": F.max(turn).over(whole), "_query": F.max(F.when(question, t)).over(whole),
+    })
 
     thinks = content.contains("</think>")
     told = _trim_breaks(F.substring_index(content, "</think>", 1), left=False)
@@ -63,7 +53,3 @@ def render_turns(turns: DataFrame, conv: str, turn: str, role: str, text: str) -
     )
     rendered = F.when(r == "assistant", assistant).when(r == "tool", tool).otherwise(plain)
     return placed.select(conv, turn, rendered.alias("rendered"))
-
-
-def render_chat(turns: DataFrame, conv: str, turn: str, role: str, text: str, per_part: int = 1000) -> DataFrame:
-    return assemble(render_turns(turns, conv, turn, role, text), conv, turn, F.col("rendered"), "rendered", "", per_part)

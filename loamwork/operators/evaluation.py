@@ -83,13 +83,12 @@ def threshold_grid(low: int = 50, high: int = 95) -> list[float]:
 def threshold_sweep(df: DataFrame, y: str, score: str, grid: Sequence[float] | None = None) -> DataFrame:
     """Counts and rates at every threshold in one pass.
 
-    Each row is counted once, at the highest threshold it passes; a running sum over the few
-    thresholds gives the rest.
+    Each row is counted once, at the highest threshold it passes, and found in its own row, so only as many
+    groups as thresholds are shuffled; a running sum over them gives the rest.
     """
     marks = F.array(*[F.lit(t) for t in sorted(grid or threshold_grid())])
-    passed = df.groupBy(F.col(score).alias("_s")).agg(F.count_if(F.col(y) == 1).alias("p"), F.count_if(F.col(y) == 0).alias("q"))
-    placed = passed.withColumn("_b", F.size(F.filter(marks, lambda t: t <= F.col("_s"))))
-    counts = placed.groupBy("_b").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+    bucket = F.size(F.filter(marks, lambda t: t <= F.col(score)))
+    counts = df.groupBy(bucket.alias("_b")).agg(F.count_if(F.col(y) == 1).alias("p"), F.count_if(F.col(y) == 0).alias("q"))
     per_mark = (
         df.sparkSession.range(1).select(F.posexplode(marks).alias("_i", "threshold"))
         .select((F.col("_i") + 1).alias("_b"), "threshold")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loamwork.operators.joins import lookup_join
+from loamwork.operators.joins import dictionary_join
 from loamwork.operators.ordered import exact_median, latest_by_time, number_distinct
 from loamwork.session import cut_lineage
 
@@ -22,22 +22,26 @@ def label_dictionary(df: DataFrame, column: str, code: str, missing: str = "<NA>
 def label_encode(df: DataFrame, dictionary: DataFrame, column: str, code: str, missing: str = "<NA>", unseen: int | None = None) -> DataFrame:
     """Add the code of each value; values outside the dictionary get ``unseen``."""
     known = dictionary.select(F.col(column).alias("_value"), code)
-    joined = lookup_join(df.withColumn("_value", F.coalesce(F.col(column), F.lit(missing))), known, "_value").drop("_value")
+    joined = dictionary_join(df.withColumn("_value", F.coalesce(F.col(column), F.lit(missing))), known, "_value").drop("_value")
     return joined if unseen is None else joined.withColumn(code, F.coalesce(code, F.lit(unseen)))
 
 
 def label_decode(df: DataFrame, dictionary: DataFrame, column: str, code: str) -> DataFrame:
-    return lookup_join(df, dictionary.select(code, column), code)
+    return dictionary_join(df, dictionary.select(code, column), code)
 
 
-def category_values(df: DataFrame, column: str, most: int = 1000) -> list[str]:
-    """Sorted distinct values for a wide encoding; raises when there are too many columns to make."""
-    rows = df.select(F.coalesce(F.col(column), F.lit("__MISSING__")).alias("v")).distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"{column} has more than {most} values; use label_encode")
+def category_values(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values for a wide encoding, which needs them as columns; ``one_hot_long`` does not."""
+    rows = df.select(F.coalesce(F.col(column), F.lit("__MISSING__")).alias("v")).distinct().collect()
     return sorted(r["v"] for r in rows)
 
 
+def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """(key, column, value, hot): the ones of the encoding as rows, for columns of any number of values; no shuffle."""
+    cells = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("__MISSING__")).alias("value")) for c in columns]
+    return df.select(key, F.inline(F.array(*cells))).withColumn("hot", F.lit(1))
+
+
 def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """One 0/1 column per listed value; an unlisted value gives only zeros. No shuffle."""
     value = F.coalesce(F.col(column), F.lit("__MISSING__"))

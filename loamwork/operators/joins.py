@@ -1,5 +1,5 @@
-"""Joins. A side is only broadcast after it was measured; otherwise Spark shuffles, and AQE
-splits skewed partitions."""
+"""Joins. Spark and AQE choose how to join by sizes at run time and split skewed partitions; only fitted
+dictionaries are measured and broadcast."""
 
 from __future__ import annotations
 
@@ -14,17 +14,24 @@ from loamwork.session import cut_lineage
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def lookup_join(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """Join a table that is expected to be small.
+def dictionary_join(df: DataFrame, dictionary: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """Join a fitted dictionary, which is written once and measured.
 
-    The small side is written once and measured. Up to ``BROADCAST_BYTES`` of text it is broadcast,
-    which spares the large side a shuffle; beyond that it is an ordinary shuffle join.
+    Up to ``BROADCAST_BYTES`` of text it is broadcast, which spares the large side a shuffle; beyond that it is
+    an ordinary shuffle join. Measuring stops at the rows that cannot fit any more.
     """
-    side = cut_lineage(small)
-    size = side.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")).first()["b"]
+    side = cut_lineage(dictionary)
+    rows = side.limit(BROADCAST_BYTES // 16 + 1)
+    size = rows.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct("*"))) + 16), F.lit(0)).alias("b")).first()["b"]
     return df.join(F.broadcast(side) if size <= BROADCAST_BYTES else side, on, how)
 
 
+def every_pair(left: DataFrame, right: DataFrame, salts: int = 16) -> DataFrame:
+    """All combinations of two tables whose product is the result; the right one is repeated per salt of the left."""
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+    return dealt.join(right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), "_salt").drop("_salt")
+
+
 def join_all(frames: list[DataFrame], on: str | list[str]) -> DataFrame:
     """Inner join of all frames on their common columns."""
     return reduce(lambda a, b: a.join(b, on, "inner"), frames)
@@ -36,20 +43,16 @@ def owned_orders(claims: DataFrame, orders: DataFrame, order_key: str, owner_key
 
 
 def role_or_global(roles: DataFrame, role_rows: DataFrame, global_rows: DataFrame, role: str) -> DataFrame:
-    """Rows of each role; roles without rows get the global rows.
-
-    The global rows (one per feature, so few) travel as one array in a scalar subquery.
-    """
+    """Rows of each role; roles without rows get the global rows."""
     own = roles.join(role_rows, role, "inner")
-    everyone = F.sort_array(F.collect_list(F.struct(*global_rows.columns)))
     missing = roles.join(role_rows.select(role).distinct(), role, "left_anti")
-    filled = missing.select(role, F.explode(global_rows.agg(everyone).scalar()).alias("g")).select(role, "g.*")
+    filled = every_pair(missing, global_rows).select(role, *global_rows.columns)
     return own.select(role, *global_rows.columns).unionByName(filled)
 
 
 def recode_join(df: DataFrame, codes: DataFrame, column: str, code: str, unseen: int = 0) -> DataFrame:
     """Dictionary code of each value; values without a code get ``unseen``."""
-    return lookup_join(df, codes, column).withColumn(code, F.coalesce(code, F.lit(unseen)))
+    return dictionary_join(df, codes, column).withColumn(code, F.coalesce(code, F.lit(unseen)))
 
 
 def _grams(c: Column) -> Column:
@@ -65,11 +68,16 @@ def _grams(c: Column) -> Column:
 def contained_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
     """(short_id, long_id) for texts that occur inside other texts.
 
-    Columns: short(short_id, short_text), long(long_id, long_text). The first three characters
-    of a contained text must be a part of the longer one, so an equality join finds candidates.
+    Columns: short(short_id, short_text), long(long_id, long_text). All three-character parts of a contained text are
+    parts of the longer one; its rarest part among the long texts is joined by equality, so parts that many texts
+    share pair nothing. Texts of up to three characters are their own part.
     """
-    heads = short.filter("short_text <> ''").withColumn("gram", F.left("short_text", F.lit(3)))
     parts = long.filter("long_text <> ''").withColumn("gram", F.explode(_grams(F.col("long_text"))))
+    counts = parts.groupBy("gram").agg(F.count("*").alias("_n"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("short_text") - 2, F.lit(1)))
+    own = short.filter("short_text <> ''").withColumn("gram", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("short_text"), i, F.lit(3))))))
+    rarest = F.min_by("gram", F.struct(F.coalesce("_n", F.lit(0)), "gram"))
+    heads = own.join(counts, "gram", "left").groupBy("short_id", "short_text").agg(rarest.alias("gram"))
     return heads.join(parts, "gram").filter(F.contains("long_text", "short_text")).select("short_id", "long_id").distinct()
 
 

@@ -16,7 +16,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamwork.functions.values import hash_unit
@@ -141,11 +141,14 @@ def mlp_predict(model: PipelineModel, df: DataFrame, vector: str) -> DataFrame:
     ).drop("raw", "features", "rawPrediction", "probability", "prediction")
 
 
-def load_or_train(path: str, train) -> PipelineModel:
-    """Saved pipeline, or a new one that is saved; ``train`` is called only when there is none."""
-    try:
+def load_or_train(spark: SparkSession, path: str, train) -> PipelineModel:
+    """Saved pipeline, or a new one that is saved; ``train`` is called only where nothing is saved.
+
+    A model that is there but cannot be read raises and stays.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return PipelineModel.load(path)
-    except Exception:
-        model = train()
-        model.write().overwrite().save(path)
-        return model
+    model = train()
+    model.write().save(path)
+    return model

@@ -12,7 +12,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamwork.operators.joins import lookup_join
 from loamwork.session import cut_lineage
 
 
@@ -96,7 +95,7 @@ def seconds_from_start(df: DataFrame, label: str, time: str, name: str) -> DataF
     """Seconds since the first row of the same label."""
     starts = df.groupBy(label).agg(F.min(time).alias("_start"))
     seconds = F.timestamp_diff("MICROSECOND", F.col("_start"), F.col(time)) / 1e6
-    return lookup_join(df, starts, label).withColumn(name, seconds).drop("_start")
+    return df.join(starts, label, "left").withColumn(name, seconds).drop("_start")
 
 
 def sorted_ranges(df: DataFrame, *order: str) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamwork.functions.values import hash_unit
-from loamwork.operators.joins import lookup_join
 from loamwork.operators.ordered import global_row_number
-from loamwork.session import cut_lineage, hold, spread
+from loamwork.session import cut_lineage, hold
 
 
 def random_split(df: DataFrame, key: str, share: float, seed: int = 0) -> DataFrame:
@@ -19,14 +18,15 @@ def random_split(df: DataFrame, key: str, share: float, seed: int = 0) -> DataFr
 
 
 def stratified_split(
-    df: DataFrame, keys: Sequence[str], label: str, names: Sequence[str], cuts: Sequence[float], seed: int = 0, buckets: int = 4096
+    df: DataFrame, keys: Sequence[str], label: str, names: Sequence[str], cuts: Sequence[float], seed: int = 0, per_bucket: int = 100_000
 ) -> DataFrame:
     """Add ``split`` with exact shares per label: the first ceil(cut * n) rows by hash, and so on.
 
     ``cuts`` are cumulative. Bucket counts locate each cut, only the rows of the buckets that hold
-    a cut are ordered, and the cut points then go to every row. No label is gathered in one task.
+    a cut are ordered, and the cut points then go to every row. The number of rows sets the number of
+    buckets, so that a bucket has about ``per_bucket`` rows at most and no label is gathered in one task.
     """
-    columns = df.columns
+    columns, buckets = df.columns, df.count() // per_bucket + 1
     df = hold(df, _u=hash_unit(*[F.col(k) for k in keys], seed=seed))
     draw = F.col("_u")
     place = F.struct(draw.alias("u"), *keys)
@@ -41,13 +41,13 @@ def stratified_split(
         .filter((F.col("upto") - F.col("n") < F.col("w.c")) & (F.col("w.c") <= F.col("upto")))
         .select(label, "_b", F.col("w.i").alias("i"), (F.col("w.c") - F.col("upto") + F.col("n")).alias("k"))
     )
-    near = lookup_join(df.select(label, *keys, bucket.alias("_b"), draw.alias("u")), holding, [label, "_b"], "inner")
+    near = df.select(label, *keys, bucket.alias("_b"), draw.alias("u")).join(holding, [label, "_b"])
     rank = F.row_number().over(Window.partitionBy(label, "_b", "i").orderBy("u", *keys))
     points = near.withColumn("r", rank).filter(F.col("r") == F.col("k"))
     per_label = points.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("i", F.struct("u", *keys).alias("p")))).alias("_points"))
     passed = F.size(F.filter(F.coalesce("_points", F.array().cast(per_label.schema["_points"].dataType)), lambda e: e["p"] < place))
     split = F.element_at(F.array(*[F.lit(n) for n in names]), passed + 1)
-    return lookup_join(df, per_label, label).select(*columns, split.alias("split"))
+    return df.join(per_label, label, "left").select(*columns, split.alias("split"))
 
 
 def capped_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
@@ -55,51 +55,27 @@ def capped_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     return df.orderBy(hash_unit(F.col(key), seed=seed), key).limit(n)
 
 
-def cumulative_distribution(df: DataFrame, column: str) -> DataFrame:
-    """One row with one array of (cum, value) over the distinct values of a category column."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    everything = F.sum("n").over(Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    cum = counts.select((upto / everything).alias("cum"), "value")
-    return cum.agg(F.sort_array(F.collect_list(F.struct("cum", "value"))).alias("steps"))
-
-
-MOST_STEPS = 10_000
-
-
-def draw_category(steps: Column, u: Column) -> Column:
-    """Value whose cumulative step first exceeds u."""
-    return F.get(F.filter(steps, lambda e: e["cum"] > u), F.lit(0))["value"]
-
-
 def draw_columns(
     source: DataFrame, key: str, rows: DataFrame, row_key: Sequence[str], categorical: Sequence[str], numeric: Sequence[str], seed: int = 0
 ) -> DataFrame:
-    """Add independently drawn columns to ``rows``.
+    """Add independently drawn columns to ``rows``, each with the distribution of its source column.
 
-    Category columns use an array of cumulative shares. Numeric columns, and categories with more
-    than ``MOST_STEPS`` values, draw a row number and fetch its value by an equality join; the
-    numbers are uniform, so no key is hot. Both ways draw from the same distribution.
+    Every column draws a row number and fetches its value by an equality join; the numbers are uniform, so no
+    key is hot. The source is numbered once for all columns without NULLs, and once more for each other one.
     """
-    many: list[str] = []
+    names = [*categorical, *numeric]
     keys = [F.col(k) for k in row_key]
+    counts = source.agg(F.count("*").alias("_all"), *[F.count(c).alias(c) for c in names]).first()
+    whole = cut_lineage(global_row_number(source.select(key, *names), key, "_n"))
     out = rows
-    for c in categorical:
-        if source.select(c).distinct().limit(MOST_STEPS + 1).count() > MOST_STEPS:
-            many.append(c)
-            continue
-        stepped = out.withColumn("_steps", cumulative_distribution(source, c).scalar())
-        drawn = hold(stepped, _u=hash_unit(*keys, F.lit(c), seed=seed))
-        out = drawn.withColumn(c, draw_category(F.col("_steps"), F.col("_u"))).drop("_steps", "_u")
-    for c in [*many, *numeric]:
-        have = source.filter(F.col(c).isNotNull()).select(key, c)
-        numbered = cut_lineage(global_row_number(have, key, "_n")).select("_n", c)
-        n = numbered.count()
-        if n == 0:
-            out = out.withColumn(c, F.lit(0).cast(source.schema[c].dataType))
+    for c in names:
+        if counts[c] == 0:
+            out = out.withColumn(c, F.lit(None if c in categorical else 0).cast(source.schema[c].dataType))
             continue
-        drawn = out.withColumn("_n", F.floor(hash_unit(*keys, F.lit(c), seed=seed) * n) + 1)
-        out = drawn.join(numbered, "_n").drop("_n")
+        full = counts[c] == counts["_all"]
+        numbered = whole if full else cut_lineage(global_row_number(source.filter(F.col(c).isNotNull()).select(key, c), key, "_n"))
+        drawn = out.withColumn("_n", F.floor(hash_unit(*keys, F.lit(c), seed=seed) * counts[c]) + 1)
+        out = drawn.join(numbered.select("_n", c), "_n").drop("_n")
     return out
 
 
@@ -107,7 +83,7 @@ def synthesize_marginals(
     df: DataFrame, key: str, categorical: Sequence[str], numeric: Sequence[str], factor: int = 10, seed: int = 0
 ) -> DataFrame:
     """``factor`` new rows per input row; every column is drawn from its own distribution."""
-    rows = spread(df.select(key)).select(key, F.explode(F.sequence(F.lit(1), F.lit(factor))).alias("copy"))
+    rows = df.select(key).select(key, F.explode(F.sequence(F.lit(1), F.lit(factor))).alias("copy"))
     return draw_columns(df, key, rows, [key, "copy"], categorical, numeric, seed)
 
 

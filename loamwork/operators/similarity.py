@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamwork.session import cut_lineage
+from loamwork.session import cut_lineage, scratch_folder
+
+FOUND = "query_id bigint, chunk_id bigint, similarity double"
 
 
 def _best(ids: np.ndarray, sims: np.ndarray, k: int) -> np.ndarray:
@@ -49,7 +50,7 @@ def _scan(chunks: DataFrame, query_ids: np.ndarray, matrix: np.ndarray, k: int,
                 names=["query_id", "chunk_id", "similarity"],
             )
 
-    return chunks.mapInArrow(run, "query_id bigint, chunk_id bigint, similarity double")
+    return chunks.mapInArrow(run, FOUND)
 
 
 def topk_similarity(
@@ -58,22 +59,26 @@ def topk_similarity(
 ) -> DataFrame:
     """(query_id, chunk_id, similarity, place): the k most similar chunks of each query.
 
-    Queries go to the tasks in hashed blocks of about ``block`` vectors, one scan per block, so what
-    is sent does not grow with their number. Every task keeps k rows per query; the merge sees only those.
+    Queries go to the tasks in hashed blocks of about ``block`` vectors. A block's best rows are written before
+    the next block is sent, so neither the driver's memory nor the plan grows with the number of queries. Every
+    task keeps k rows per query; the merge sees only those.
     """
     asked = cut_lineage(queries.select(F.col(query_id).cast("bigint").alias("q"), F.col(query_vector).alias("v")))
     blocks = -(-asked.count() // block)
     searched = chunks.select(F.col(chunk_id).cast("bigint"), F.col(vector))
-    parts = []
+    folder, found = scratch_folder(chunks.sparkSession, "nearest"), False
     for b in range(blocks):
         rows = asked.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).collect()
         if rows:
             ids = np.array([r["q"] for r in rows], dtype="int64")
-            parts.append(_scan(searched, ids, np.array([r["v"] for r in rows], dtype="float64"), k, floor))
-    if not parts:
-        return searched.sparkSession.createDataFrame([], "query_id bigint, chunk_id bigint, similarity double, place int")
+            part = _scan(searched, ids, np.array([r["v"] for r in rows], dtype="float64"), k, floor)
+            part.write.mode("append").parquet(folder)
+            found = True
+    if not found:
+        return searched.sparkSession.createDataFrame([], FOUND + ", place int")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "chunk_id"))
-    return reduce(DataFrame.union, parts).withColumn("place", place).filter(F.col("place") <= k)
+    merged = searched.sparkSession.read.schema(FOUND).parquet(folder)
+    return merged.withColumn("place", place).filter(F.col("place") <= k)
 
 
 def similarity_text(found: DataFrame, chunks: DataFrame, chunk_id: str, text: str) -> DataFrame:

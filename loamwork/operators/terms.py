@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamwork.operators.joins import lookup_join
+from loamwork.operators.joins import dictionary_join
 from loamwork.session import hold
 
 PARTS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
@@ -40,13 +40,14 @@ def match_terms(texts: DataFrame, doc: str, text: str, terms: DataFrame, term: s
     if not lengths:
         return texts.select(doc, F.lit(None).cast("string").alias(term), F.lit(0).cast("bigint").alias("n")).limit(0)
     runs = F.concat(*[runs_of(k) for k in lengths])
-    found = lookup_join(located.select(doc, F.explode(runs).alias("_run")), distinct_terms, "_run", "inner")
+    found = dictionary_join(located.select(doc, F.explode(runs).alias("_run")), distinct_terms, "_run", "inner")
     return found.groupBy(doc, term).agg(F.count("*").alias("n"))
 
 
-def top_terms(matches: DataFrame, doc: str, term: str, order: list[Column], limit: int, sep: str = ", ") -> DataFrame:
-    """(doc, terms): the first ``limit`` terms per text in one line. A text has few terms."""
+def top_terms(matches: DataFrame, doc: str, term: str, order: list[Column], limit: int | None = None, sep: str | None = ", ") -> DataFrame:
+    """(doc, terms): all or the first ``limit`` terms per text, in one line or, without ``sep``, as an array."""
     place = F.row_number().over(Window.partitionBy(doc).orderBy(*order))
-    kept = matches.withColumn("_place", place).filter(F.col("_place") <= limit)
-    ordered = F.sort_array(F.collect_list(F.struct(F.col("_place"), F.col(term).alias("t"))))
-    return kept.groupBy(doc).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), sep).alias("terms"))
+    placed = matches.withColumn("_place", place)
+    kept = placed if limit is None else placed.filter(F.col("_place") <= limit)
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct(F.col("_place"), F.col(term).alias("t")))), lambda s: s["t"])
+    return kept.groupBy(doc).agg((ordered if sep is None else F.array_join(ordered, sep)).alias("terms"))

@@ -8,6 +8,7 @@ from loamwork.functions import jsons, text as T
 from loamwork.functions import values as V
 from loamwork.functions import vectors
 from loamwork.operators import columns as C
+from loamwork.operators import custom as CU
 from loamwork.operators import features as FE
 from loamwork.operators import ordered as O
 from loamwork.operators import sampling as SP
@@ -246,6 +247,24 @@ def udf_agg_lambda(spark, sf):
     return table(spark, sf, "part").groupBy("p_brand").agg(F.round(F.avg(F.col("p_retailprice").cast("bigint")), 6).alias("mean_price"))
 
 
+@query("udf_row_callable", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS flag FROM orders")
+def udf_row_callable(spark, sf):
+    return CU.row_function(table(spark, sf, "orders"), "flag", ["o_orderstatus"], lambda s: int(s == "F"), "int").select("o_orderkey", "flag")
+
+
+@query("udf_agg_callable", "SELECT p_brand, round(avg(CAST(trunc(p_retailprice) AS BIGINT)), 6) AS mean_price FROM part GROUP BY 1")
+def udf_agg_callable(spark, sf):
+    return CU.group_function(table(spark, sf, "part"), ["p_brand"], "mean_price", "p_retailprice", lambda v: round(float(v.astype("int64").mean()), 6), "double")
+
+
+@query("udtf_callable", "SELECT c_custkey, CAST(i AS INTEGER) AS place, split_part(c_name, '#', i) AS part FROM customer, (SELECT unnest([1, 2]) AS i)")
+def udtf_callable(spark, sf):
+    def parts(row):
+        return [{"c_custkey": row["c_custkey"], "place": i + 1, "part": p} for i, p in enumerate(row["c_name"].split("#"))]
+
+    return CU.table_function(table(spark, sf, "customer").select("c_custkey", "c_name"), parts, "c_custkey bigint, place int, part string")
+
+
 # --- splits and draws --------------------------------------------------------------------------
 
 UNIT = "(CAST('0x' || substr(md5(concat_ws('|', {0})), 1, 12) AS BIGINT) / 281474976710656.0)"
@@ -282,17 +301,15 @@ def draw_sql(seed, keys):
     def u(c):
         return UNIT.format(f"'{seed}', {keys}, '{c}'")
 
-    steps = "SELECT v, sum(n) OVER (ORDER BY v) / sum(n) OVER () AS cum, coalesce(sum(n) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(n) OVER () AS below FROM (SELECT {0} AS v, count(*) AS n FROM part GROUP BY 1)"
-    return f"""st AS ({steps.format('p_type')}), sb AS ({steps.format('p_brand')}), k AS (SELECT row_number() OVER (ORDER BY p_partkey) AS i, p_size, p_retailprice FROM part), c AS (SELECT count(*) AS c FROM part),
-     d AS (SELECT n.*, st.v AS d_type, sb.v AS d_brand, k1.p_size AS d_size, k2.p_retailprice AS d_price
-      FROM n JOIN st ON {u('p_type')} >= st.below AND {u('p_type')} < st.cum JOIN sb ON {u('p_brand')} >= sb.below AND {u('p_brand')} < sb.cum
-      JOIN k k1 ON k1.i = CAST(floor({u('p_size')} * (SELECT c FROM c)) AS BIGINT) + 1 JOIN k k2 ON k2.i = CAST(floor({u('p_retailprice')} * (SELECT c FROM c)) AS BIGINT) + 1)"""
+    picks = " ".join(f"JOIN k k_{c} ON k_{c}.i = CAST(floor({u(c)} * (SELECT c FROM c)) AS BIGINT) + 1" for c in ("p_type", "p_brand", "p_size", "p_retailprice"))
+    return f"""k AS (SELECT row_number() OVER (ORDER BY p_partkey) AS i, * FROM part), c AS (SELECT count(*) AS c FROM part),
+     d AS (SELECT n.*, k_p_type.p_type AS d_type, k_p_brand.p_brand AS d_brand, k_p_size.p_size AS d_size, k_p_retailprice.p_retailprice AS d_price FROM n {picks})"""
 
 
 @query(
     "synthesize_marginals",
-    f"""WITH n AS (SELECT p_partkey, CAST(copy AS INTEGER) AS copy FROM part, range(1, 11) t(copy)), {draw_sql(11, 'p_partkey, copy')}
-        SELECT p_partkey, copy, d_type AS p_type, d_brand AS p_brand, d_size AS p_size, d_price AS p_retailprice FROM d""",
+    f"""WITH n AS (SELECT p_partkey, CAST(copy AS INTEGER) AS copy FROM part, range(1, 11) t(copy)), {draw_sql(11, 'n.p_partkey, copy')}
+        SELECT d.p_partkey, copy, d_type AS p_type, d_brand AS p_brand, d_size AS p_size, d_price AS p_retailprice FROM d""",
 )
 def synthesize_marginals(spark, sf):
     return SP.synthesize_marginals(table(spark, sf, "part"), "p_partkey", ["p_type", "p_brand"], ["p_size", "p_retailprice"], 10, seed=11)

@@ -9,7 +9,7 @@ from loamwork.operators import joins as J
 from loamwork.operators import ordered as O
 from loamwork.operators import terms as M
 from loamwork.plans.registry import query
-from loamwork.session import spread, table
+from loamwork.session import table
 
 METRICS = ["click", "error", "purchase", "signup", "view"]
 DAILY_SQL = "SELECT strftime(ts, '%Y-%m-%d') AS day, round(avg(value), 6) AS {0} FROM events WHERE event_type = '{0}' GROUP BY 1"
@@ -94,7 +94,7 @@ def term_table(spark, sf):
 
 
 def matched_terms(spark, sf):
-    return M.match_terms(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text", term_table(spark, sf), "term")
+    return M.match_terms(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", term_table(spark, sf), "term")
 
 
 @query("join_terms_in_text", TERM_COUNT_SQL + "SELECT doc_id, term FROM hits WHERE n > 0")
@@ -105,19 +105,19 @@ def join_terms_in_text(spark, sf):
 @query(
     "match_terms_presence",
     TERM_COUNT_SQL + """, r AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY length(term) DESC, term) AS place FROM hits WHERE n > 0)
-    SELECT doc_id, string_agg(term, ', ' ORDER BY place) AS terms FROM r WHERE place <= 10 GROUP BY doc_id""",
+    SELECT doc_id, string_agg(term, ', ' ORDER BY place) AS terms FROM r GROUP BY doc_id""",
 )
 def match_terms_presence(spark, sf):
-    return M.top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc(F.length("term")), F.asc("term")], 10)
+    return M.top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc(F.length("term")), F.asc("term")])
 
 
 @query(
     "match_terms_count",
     TERM_COUNT_SQL + """, r AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, length(term) DESC, term) AS place FROM hits WHERE n > 0)
-    SELECT doc_id, string_agg(term, ', ' ORDER BY place) AS terms FROM r WHERE place <= 30 GROUP BY doc_id""",
+    SELECT doc_id, string_agg(term, ', ' ORDER BY place) AS terms FROM r GROUP BY doc_id""",
 )
 def match_terms_count(spark, sf):
-    return M.top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc("n"), F.desc(F.length("term")), F.asc("term")], 30)
+    return M.top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc("n"), F.desc(F.length("term")), F.asc("term")])
 
 
 @query(
@@ -214,11 +214,11 @@ def set_membership_minus(spark, sf):
 
 @query(
     "token_jaccard",
-    """WITH t AS (SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS a,
-                         string_split(trim(regexp_replace(lower(source || ' ' || substr(text, 1, 200)), '[^a-z0-9]+', ' ', 'g')), ' ') AS b FROM documents)
+    """WITH k AS (SELECT doc_id, string_split(trim(regexp_replace(lower(source || ' ' || text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents),
+       t AS (SELECT l.doc_id, l.w AS a, r.w AS b FROM k l JOIN k r ON r.doc_id = l.doc_id + 1)
        SELECT doc_id, round(len(list_intersect(list_distinct(a), list_distinct(b))) / len(list_distinct(list_concat(a, b))), 6) AS jaccard FROM t""",
 )
 def token_jaccard(spark, sf):
-    a = T.normalize_key(F.col("text"))
-    b = T.normalize_key(F.concat_ws(" ", "source", F.left("text", F.lit(200))))
-    return table(spark, sf, "documents").select("doc_id", F.round(T.token_jaccard(a, b), 6).alias("jaccard"))
+    keys = table(spark, sf, "documents").select("doc_id", T.normalize_key(F.concat_ws(" ", "source", "text")).alias("a"))
+    pairs = keys.join(keys.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("b")), "doc_id")
+    return pairs.select("doc_id", F.round(T.token_jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"))

@@ -25,8 +25,9 @@ def model_rows(spark, sf):
 @query("train_binary_gbt")
 def train_binary_gbt(spark, sf):
     rows = model_rows(spark, sf)
-    model = ML.train_binary_gbt(rows, FEATURES, "y", "l_orderkey", rounds=10)
-    test = rows.filter(hash_unit(F.col("l_orderkey"), seed=42) < 0.2)
+    unseen = hash_unit(F.col("l_orderkey"), seed=7) < 0.2
+    model = ML.train_binary_gbt(rows.filter(~unseen), FEATURES, "y", "l_orderkey", rounds=10)
+    test = rows.filter(unseen)
     return E.roc_auc(ML.positive_score(model, test), "y", "score")
 
 
@@ -55,8 +56,9 @@ def tune_params(spark, sf):
 @query("train_mlp_multiclass")
 def train_mlp_multiclass(spark, sf):
     rows = table(spark, sf, "embeddings")
-    model = ML.train_mlp(rows, "embedding", "label", rounds=30)
-    return E.classification_report(ML.mlp_predict(model, rows, "embedding"), "label", "predicted")
+    unseen = hash_unit(F.col("vec_id"), seed=42) < 0.2
+    model = ML.train_mlp(rows.filter(~unseen), "embedding", "label", rounds=30)
+    return E.classification_report(ML.mlp_predict(model, rows.filter(unseen), "embedding"), "label", "predicted")
 
 
 @query("score_and_save")
@@ -64,7 +66,7 @@ def score_and_save(spark, sf):
     """The second call loads what the first one saved; both give the same scores."""
     rows, path = model_rows(spark, sf), scratch_folder(spark, "model")
     for _ in range(2):
-        model = ML.load_or_train(path, lambda: ML.train_binary_gbt(rows, FEATURES, "y", "l_orderkey", rounds=5))
+        model = ML.load_or_train(spark, path, lambda: ML.train_binary_gbt(rows, FEATURES, "y", "l_orderkey", rounds=5))
     scored = ML.positive_score(model, rows)
     return scored.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("mean_score"))
 

@@ -18,7 +18,7 @@ from loamwork.operators import requirements as RQ
 from loamwork.operators import similarity as SM
 from loamwork.plans.joining import TERM_COUNT_SQL, matched_terms
 from loamwork.plans.registry import query
-from loamwork.session import cut_lineage, hold, spread, table
+from loamwork.session import hold, table
 
 
 def q(text: str) -> str:
@@ -31,7 +31,7 @@ def space_sql(x: str) -> str:
 
 
 def documents(spark, sf):
-    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 @query("normalize_space", f"SELECT doc_id, {space_sql('text')} AS clean FROM documents")
@@ -52,9 +52,9 @@ def normalize_key(spark, sf):
     return documents(spark, sf).select("doc_id", T.normalize_key(F.col("text")).alias("k"))
 
 
-@query("lookup_key", f"SELECT doc_id, coalesce(strip_accents(lower({space_sql('t')})), '') AS k FROM (SELECT doc_id, CASE WHEN lang = 'en' THEN NULL ELSE text END AS t FROM documents)")
+@query("lookup_key", f"SELECT doc_id, coalesce(strip_accents(lower({space_sql('text')})), '') AS k FROM documents")
 def lookup_key(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.lookup_key(F.when(F.col("lang") != "en", F.col("text"))).alias("k"))
+    return table(spark, sf, "documents").select("doc_id", T.lookup_key(F.col("text")).alias("k"))
 
 
 @query("cache_key", f"SELECT doc_id, sha1('score||m1||' || {space_sql('text')}) AS ck FROM documents")
@@ -62,11 +62,11 @@ def cache_key(spark, sf):
     return documents(spark, sf).select("doc_id", T.cache_key("score", "m1", F.col("text")).alias("ck"))
 
 
-# --- job advertisements: document lines with requirement wording mixed in ---------------------------
+# --- job advertisements: whole document lines, with lines of requirement wording put between them ---
 
-AD_LINE = """CASE length({x}) % 11 WHEN 0 THEN 'Requirements' WHEN 1 THEN '- must know Python and SQL: ' || {x} WHEN 2 THEN '• 3+ years of experience, ' || {x}
+AD_LINE = """coalesce(CASE length({x}) % 11 WHEN 0 THEN 'Requirements' WHEN 1 THEN '- must know Python and SQL: ' || left({x}, 60) WHEN 2 THEN '• 3+ years of experience, ' || left({x}, 60)
  WHEN 3 THEN 'Nice to have' WHEN 4 THEN 'fluent English B2 ' || left({x}, 40) WHEN 5 THEN 'Master degree or university: ' || left({x}, 60)
- WHEN 6 THEN 'Bratislava hybrid team, ' || left({x}, 30) WHEN 7 THEN '* communication and leadership ' || left({x}, 50) WHEN 8 THEN 'Senior data engineer ' || left({x}, 20) ELSE {x} END"""
+ WHEN 6 THEN 'Bratislava hybrid team, ' || left({x}, 30) WHEN 7 THEN '* communication and leadership ' || left({x}, 50) WHEN 8 THEN 'Senior data engineer ' || left({x}, 20) END || chr(10), '') || {x}"""
 AD_SQL = f"ads AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x: {AD_LINE.format(x='x')}), chr(10)) AS text FROM documents)"
 LINES_SQL = AD_SQL + f""", lines AS (SELECT doc_id, pos, line FROM (SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, {space_sql('unnest(p)')} AS line
  FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM ads)) WHERE line <> '')"""
@@ -111,7 +111,7 @@ def detect_section(spark, sf):
 
 @query("section_state", f"WITH {STATE_SQL} SELECT doc_id, pos, section FROM state")
 def section_state(spark, sf):
-    return RQ.section_state(ad_lines(spark, sf), "doc_id").select("doc_id", "pos", "section")
+    return RQ.section_state(ads(spark, sf), "doc_id", "text").select("doc_id", "pos", "section")
 
 
 @query("classify_category", f"WITH {LINES_SQL} SELECT doc_id, pos, {CATEGORY_SQL} AS category FROM lines")
@@ -121,13 +121,13 @@ def classify_category(spark, sf):
 
 @query("infer_priority", f"WITH {STATE_SQL} SELECT doc_id, pos, {PRIORITY_SQL} AS priority FROM state")
 def infer_priority(spark, sf):
-    state = RQ.section_state(ad_lines(spark, sf), "doc_id")
+    state = RQ.section_state(ads(spark, sf), "doc_id", "text")
     return state.select("doc_id", "pos", R.infer_priority(F.col("line"), F.col("section")).alias("priority"))
 
 
 @query("line_score", f"WITH {STATE_SQL} SELECT doc_id, pos, CAST({SCORE_SQL} AS DOUBLE) AS score FROM state")
 def line_score(spark, sf):
-    state = RQ.section_state(ad_lines(spark, sf), "doc_id")
+    state = RQ.section_state(ads(spark, sf), "doc_id", "text")
     return state.select("doc_id", "pos", R.line_score(F.col("line"), F.col("section")).alias("score"))
 
 
@@ -137,7 +137,7 @@ ROLE_SQL = "regexp_matches(lower(line), 'engineer|scientist|developer|analyst|ma
 @query(
     "guess_title",
     f"""WITH {LINES_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r FROM lines),
-        t AS (SELECT doc_id, arg_min(line, pos) AS title FROM n WHERE r <= 20 AND length(line) BETWEEN 8 AND 120 AND {ROLE_SQL} GROUP BY 1)
+        t AS (SELECT doc_id, arg_min(line, pos) AS title FROM n WHERE length(line) BETWEEN 8 AND 120 AND {ROLE_SQL} GROUP BY 1)
         SELECT doc_id, coalesce(title, 'unknown') AS job_title FROM ads LEFT JOIN t USING (doc_id)""",
 )
 def guess_title(spark, sf):
@@ -168,25 +168,53 @@ def looks_like_duplicate(spark, sf):
     return keyed.select("doc_id", "pos", T.looks_like_duplicate(F.col("a"), F.col("b")).alias("duplicate"))
 
 
-@query("job_requirements")
+# the duplicate rule between a kept entry m and a new entry x
+SAME_SQL = DUP_SQL.replace("(a, b)", "(m.key, x[1].key)").replace("(b, a)", "(x[1].key, m.key)").replace("a = '' OR b = ''", "m.key = '' OR x[1].key = ''").replace("a = b", "m.key = x[1].key").replace("(a)", "(m.key)").replace("(b)", "(x[1].key)").replace("(a, ' ')", "(m.key, ' ')").replace("(b, ' ')", "(x[1].key, ' ')")
+TWIN_SQL = f"coalesce(list_position(list_transform(acc, lambda m: {SAME_SQL}), true), 0)"
+CANDIDATE_SQL = STATE_SQL + f""", scored AS (SELECT doc_id, pos, section, CAST({SCORE_SQL} AS DOUBLE) AS score, {space_sql("regexp_replace(line, '^[•*-]\\s*', '')")} AS line FROM state),
+ candidates AS (SELECT doc_id, pos, line AS text, {KEY_SQL.format('line')} AS key, {CATEGORY_SQL} AS category, {PRIORITY_SQL} AS priority, score FROM scored WHERE score >= 2.5),
+ folded AS (SELECT doc_id, list_reduce(list([{{'key': key, 'text': text, 'category': category, 'priority': priority, 'score': score, 'pos': pos}}] ORDER BY pos), lambda acc, x:
+   CASE WHEN {TWIN_SQL} = 0 THEN list_concat(acc, x) ELSE list_transform(acc, lambda m, i: CASE WHEN i = {TWIN_SQL} AND x[1].score > m.score THEN x[1] ELSE m END) END) AS found FROM candidates GROUP BY doc_id),
+ found AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY f.score DESC, f.pos) AS n, f.* FROM (SELECT doc_id, unnest(found) AS f FROM folded))"""
+WEIGHT_SQL = "CASE priority WHEN 'must' THEN 5.0::DOUBLE WHEN 'nice' THEN 2.0 ELSE 1.5 END"
+
+
+@query("job_requirements", f"WITH {CANDIDATE_SQL} SELECT doc_id, 'R' || n AS id, text, category, priority, {WEIGHT_SQL} AS weight FROM found")
 def job_requirements(spark, sf):
     return RQ.job_requirements(ads(spark, sf), "doc_id", "text")
 
 
 # --- requirement keys and lists ---------------------------------------------------------------------
 
-REQ_LINE = """CASE length(line) % 13 WHEN 0 THEN 'Znalosť Python' WHEN 1 THEN 'Skúsenosti s Pythonom' WHEN 2 THEN 'MS Excel' WHEN 3 THEN 'Anglický jazyk' WHEN 4 THEN 'prax v SQL & Git'
- WHEN 5 THEN 'komunikačné schopnosti' WHEN 6 THEN 'aspoň 3 roky praxe s Dockerom ' || left(line, 12) WHEN 7 THEN 'REST APIs' WHEN 8 THEN 'prezentačné schopnosti' WHEN 9 THEN 'Angličtina na úrovni B2' ELSE left(line, 40) END"""
-REQ_ROWS_SQL = LINES_SQL + f", reqs AS (SELECT doc_id, pos, {REQ_LINE} AS text, CASE pos % 4 WHEN 0 THEN 'hard_skill' WHEN 1 THEN 'odd' WHEN 2 THEN 'other' END AS category, CASE pos % 3 WHEN 0 THEN 'must' WHEN 1 THEN 'x' ELSE 'nice' END AS priority, CASE WHEN pos % 5 = 0 THEN 'bad' ELSE CAST(pos % 9 AS VARCHAR) END AS weight FROM lines)"
+REQ_LINE = """coalesce(CASE length({x}) % 13 WHEN 0 THEN 'Znalosť Python' WHEN 1 THEN 'Skúsenosti s Pythonom' WHEN 2 THEN 'MS Excel' WHEN 3 THEN 'Anglický jazyk' WHEN 4 THEN 'prax v SQL & Git'
+ WHEN 5 THEN 'komunikačné schopnosti' WHEN 6 THEN 'aspoň 3 roky praxe s Dockerom ' || left({x}, 12) WHEN 7 THEN 'REST APIs' WHEN 8 THEN 'prezentačné schopnosti' WHEN 9 THEN 'Angličtina na úrovni B2' END || chr(10), '') || {x}"""
+REQ_FIELDS = """CASE pos % 4 WHEN 0 THEN 'hard_skill' WHEN 1 THEN 'odd' WHEN 2 THEN 'other' END AS category, CASE pos % 3 WHEN 0 THEN 'must' WHEN 1 THEN 'x' ELSE 'nice' END AS priority,
+ CASE WHEN pos % 5 = 0 THEN 'bad' ELSE CAST(pos % 9 AS {text}) END AS weight"""
+REQ_ROWS_SQL = f"""posted AS (SELECT doc_id, string_split(array_to_string(list_transform(string_split(text, chr(10)), lambda x: {REQ_LINE.format(x='x')}), chr(10)), chr(10)) AS p FROM documents),
+ reqs AS (SELECT doc_id, pos, text, {REQ_FIELDS.format(text='VARCHAR')} FROM (SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, {space_sql('unnest(p)')} AS text FROM posted) WHERE text <> '')"""
+
+
+def posted(spark, sf):
+    lines = F.expr(f"transform(split(text, '\\n'), x -> {REQ_LINE.format(x='x')})")
+    return documents(spark, sf).select("doc_id", F.array_join(lines, "\n").alias("text"))
 
 
 def requirement_rows(spark, sf):
-    return ad_lines(spark, sf).select(
-        "doc_id", "pos", F.expr(REQ_LINE).alias("text"),
-        F.expr("CASE pos % 4 WHEN 0 THEN 'hard_skill' WHEN 1 THEN 'odd' WHEN 2 THEN 'other' END").alias("category"),
-        F.expr("CASE pos % 3 WHEN 0 THEN 'must' WHEN 1 THEN 'x' ELSE 'nice' END").alias("priority"),
-        F.expr("CASE WHEN pos % 5 = 0 THEN 'bad' ELSE CAST(pos % 9 AS STRING) END").alias("weight"),
-    )
+    rows = RQ.document_lines(posted(spark, sf), "doc_id", "text").withColumnRenamed("line", "text")
+    return rows.selectExpr("doc_id", "pos", "text", *_fields())
+
+
+def _fields():
+    category, priority, weight = REQ_FIELDS.format(text="STRING").replace("AS category, ", "AS category; ").replace("AS priority,\n ", "AS priority; ").split("; ")
+    return category, priority, weight
+
+
+def requirement_lists(spark, sf):
+    """(doc_id, items): the same rows as arrays in their document's row."""
+    lines = F.filter(F.transform(T.split_lines(F.col("text")), lambda x, i: F.struct(i.alias("pos"), T.normalize_space(x).alias("text"))), lambda r: r["text"] != "")
+    fields = ", ".join(f"'{name}', {e.rsplit(' AS ', 1)[0].replace('pos', 'r.pos')}" for name, e in zip(("category", "priority", "weight"), _fields()))
+    held = posted(spark, sf).select("doc_id", "text", lines.alias("l"))
+    return held.select("doc_id", "text", F.expr(f"transform(l, r -> named_struct('pos', r.pos, 'text', r.text, {fields}))").alias("items"))
 
 
 def case_sql(x: str, mapping: dict, default: str) -> str:
@@ -205,11 +233,11 @@ def keyed_sql(source: str) -> str:
     for phrase in W.STOP_PHRASES:
         removed = f"regexp_replace({removed}, {q(chr(92) + 'b' + re.escape(phrase).replace(chr(92) + ' ', ' ') + chr(92) + 'b')}, ' ', 'g')"
     return f"""k0 AS (SELECT *, {requirement_key_sql('text')} AS raw FROM {source}), k1 AS (SELECT *, {case_sql('raw', W.SYNONYMS, 'raw')} AS k FROM k0),
-     k2 AS (SELECT *, trim(regexp_replace({removed}, '\\s+', ' ', 'g')) AS k9 FROM k1), keyed AS (SELECT * EXCLUDE (raw, k, k9), {case_sql('k9', W.ALIASES, 'k9')} AS key FROM k2)"""
+     k2 AS (SELECT *, trim(regexp_replace({removed}, '\\s+', ' ', 'g')) AS k9 FROM k1), keyed AS MATERIALIZED (SELECT * EXCLUDE (raw, k, k9), {case_sql('k9', W.ALIASES, 'k9')} AS key FROM k2)"""
 
 
 WORDS_SQL = "CASE WHEN key = '' THEN 0 ELSE len(string_split(key, ' ')) END"
-CANON_SQL = f"""canon AS (SELECT *, {case_sql('key', {k: v[0] for k, v in W.CANONICAL.items()}, 'key')} AS canonical_key, {case_sql('key', {k: v[1] for k, v in W.CANONICAL.items()}, space_sql('text'))} AS canonical_text,
+CANON_SQL = f"""canon AS MATERIALIZED (SELECT *, {case_sql('key', {k: v[0] for k, v in W.CANONICAL.items()}, 'key')} AS canonical_key, {case_sql('key', {k: v[1] for k, v in W.CANONICAL.items()}, space_sql('text'))} AS canonical_text,
  {case_sql('key', {k: v[2] for k, v in W.CANONICAL.items()}, q('unknown'))} AS category_hint, CASE WHEN key IN ({', '.join(q(k) for k in W.CANONICAL)}) THEN 0.99::DOUBLE WHEN {WORDS_SQL} <= 3 THEN 0.68 ELSE 0.52 END AS confidence FROM keyed)"""
 GENERIC_SQL = f"""round(least(greatest(0.5::DOUBLE + (CASE WHEN {any_sql('key', W.GENERIC_PARTS)} THEN 0.32 ELSE 0 END) + (CASE WHEN {WORDS_SQL} <= 2 AND NOT regexp_matches(key, '[0-9]') THEN 0.12 ELSE 0 END)
  - (CASE WHEN regexp_matches(key, '\\b(aspon|min\\.?|minimalne)\\b') THEN 0.18 ELSE 0 END) - (CASE WHEN regexp_matches(key, '\\b(a1|a2|b1|b2|c1|c2)\\b') THEN 0.24 ELSE 0 END)
@@ -238,22 +266,21 @@ def genericness_score(spark, sf):
     return keyed.select("doc_id", "pos", R.genericness(F.col("key")).alias("g")).select("doc_id", "pos", "g.*")
 
 
-CLEAN_SQL = f"""{REQ_ROWS_SQL}, taken AS (SELECT * REPLACE ({space_sql('text')} AS text) FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM reqs) WHERE i <= 30),
- {keyed_sql('taken')}, {CANON_SQL},
+CLEAN_SQL = f"""{REQ_ROWS_SQL}, {keyed_sql('reqs')}, {CANON_SQL},
  firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, canonical_key ORDER BY pos) AS r FROM canon WHERE text <> '' AND canonical_key <> '') WHERE r = 1),
  ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM firsts),
  cleaned AS (SELECT doc_id, 'R' || n AS id, text, CASE WHEN category = 'hard_skill' THEN category WHEN category_hint <> 'unknown' THEN category_hint ELSE 'other' END AS category,
    CASE WHEN priority IN ('must', 'nice') THEN priority ELSE 'unknown' END AS priority, least(greatest(coalesce(TRY_CAST(weight AS DOUBLE), 1.0), 0.5), 5.0) AS weight, canonical_key,
-   {GENERIC_SQL} >= 0.5 AS generic_flag FROM ranked WHERE n <= 10)"""
+   {GENERIC_SQL} >= 0.5 AS generic_flag, n FROM ranked)"""
 
 
 def cleaned(spark, sf):
-    return RQ.clean_requirements(requirement_rows(spark, sf), "doc_id", "pos", 10)
+    return RQ.clean_requirement_lists(requirement_lists(spark, sf), "doc_id", F.col("items"))
 
 
-@query("clean_requirements", f"WITH {CLEAN_SQL} SELECT * FROM cleaned")
+@query("clean_requirements", f"WITH {CLEAN_SQL} SELECT * EXCLUDE (n) FROM cleaned")
 def clean_requirements(spark, sf):
-    return cleaned(spark, sf)
+    return RQ.numbered(cleaned(spark, sf), "doc_id", "cleaned")
 
 
 @query(
@@ -263,25 +290,34 @@ def clean_requirements(spark, sf):
         SELECT doc_id, n < 3 OR n - keys >= 2 OR g >= greatest(2, n // 2) OR hard = 0 AS weak_output, n < 4 OR len < 12 OR (cats <= 1 AND n <= 5) OR (must = 0 AND n <= 5) AS weak_extraction FROM c""",
 )
 def weak_output_flag(spark, sf):
-    return RQ.weak_output_flags(cleaned(spark, sf), "doc_id")
+    return RQ.weak_output_flags(cleaned(spark, sf), "doc_id", "cleaned")
+
+
+MERGE_SQL = CANDIDATE_SQL + ", " + CLEAN_SQL + f""", counts AS (SELECT doc_id, count(*) AS n, avg(length(text)) AS len, count(DISTINCT category) AS cats, count(*) FILTER (WHERE priority = 'must') AS must FROM cleaned GROUP BY 1),
+ strong AS (SELECT doc_id FROM counts WHERE NOT (n < 4 OR len < 12 OR (cats <= 1 AND n <= 5) OR (must = 0 AND n <= 5))),
+ sides AS (SELECT doc_id, 0 AS side, n, {space_sql('text')} AS text, category, priority, weight FROM cleaned WHERE doc_id IN (FROM strong)
+   UNION ALL SELECT doc_id, 1, n, text, category, priority, {WEIGHT_SQL} FROM found),
+ merged AS (SELECT doc_id, list_reduce(list([{{'key': {KEY_SQL.format('text')}, 'text': text, 'category': category, 'priority': priority, 'weight': weight}}] ORDER BY side, n), lambda acc, x:
+   CASE WHEN {TWIN_SQL} = 0 THEN list_concat(acc, x) ELSE list_transform(acc, lambda m, i: CASE WHEN i = {TWIN_SQL} THEN {{'key': m.key, 'text': m.text,
+     'category': CASE WHEN m.category IN ('other', 'unknown') AND x[1].category NOT IN ('other', 'unknown') THEN x[1].category ELSE m.category END,
+     'priority': CASE WHEN m.priority = 'unknown' THEN x[1].priority ELSE m.priority END, 'weight': greatest(m.weight, x[1].weight)}} ELSE m END) END) AS l FROM sides WHERE text <> '' GROUP BY doc_id)"""
 
 
-@query("merge_requirement_lists")
+@query("merge_requirement_lists", f"WITH {MERGE_SQL} SELECT doc_id, 'R' || i AS id, l[i].text AS text, l[i].category AS category, l[i].priority AS priority, l[i].weight AS weight FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM merged)")
 def merge_requirement_lists(spark, sf):
-    primary = cut_lineage(cleaned(spark, sf).withColumn("pos", F.substring("id", 2, 9).cast("int")))
-    secondary = RQ.job_requirements(ads(spark, sf), "doc_id", "text").withColumn("pos", F.substring("id", 2, 9).cast("int"))
-    weak = RQ.weak_output_flags(primary, "doc_id")
-    return RQ.merge_requirement_lists(primary, secondary, weak, "doc_id", "pos")
+    primary = cleaned(spark, sf)
+    secondary = RQ.job_requirement_lists(ads(spark, sf), "doc_id", "text")
+    lists = hold(secondary.join(primary, "doc_id", "left"), weak=RQ.weak_flags(F.coalesce("cleaned", F.array()))["weak_extraction"])
+    return RQ.merge_requirement_lists(lists, "doc_id", "cleaned", "found", F.col("weak"))
 
 
 @query(
     "manual_catalog",
     f"""WITH c AS (SELECT p_partkey, p_type AS group_name, p_type AS job_title, p_name AS text, 'other' AS category, CASE WHEN p_size > 25 THEN 'must' ELSE 'unknown' END AS priority, CAST(p_size AS VARCHAR) AS weight
          FROM part WHERE p_brand NOT IN ('Brand#3', 'Brand#4')), {keyed_sql('c')}, {CANON_SQL},
-        f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_name ORDER BY p_partkey) AS i FROM canon) WHERE i <= 60),
-        u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_name, canonical_key ORDER BY p_partkey) AS r FROM f) WHERE r = 1),
+        u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_name, canonical_key ORDER BY p_partkey) AS r FROM canon) WHERE r = 1),
         n AS (SELECT *, row_number() OVER (PARTITION BY group_name ORDER BY p_partkey) AS n FROM u)
-        SELECT 'senior ' || lower(group_name) AS query, group_name AS matched_group, CAST(78 AS INTEGER) AS match_score, 'R' || n AS id, text, priority, least(greatest(CAST(weight AS DOUBLE), 0.5), 5.0) AS weight FROM n WHERE n <= 20""",
+        SELECT 'senior ' || lower(group_name) AS query, group_name AS matched_group, CAST(78 AS INTEGER) AS match_score, 'R' || n AS id, text, priority, least(greatest(CAST(weight AS DOUBLE), 0.5), 5.0) AS weight FROM n""",
 )
 def manual_catalog(spark, sf):
     part = table(spark, sf, "part").select(
@@ -293,13 +329,13 @@ def manual_catalog(spark, sf):
     groups = catalog.groupBy("group_name").agg(F.min_by("position_key", "p_partkey").alias("position_key"), F.min_by("job_title", "p_partkey").alias("job_title"), F.min("p_partkey").alias("first_row"))
     queries = table(spark, sf, "part").select(F.concat(F.lit("senior "), F.lower("p_type")).alias("query")).distinct()
     matched = J.fuzzy_position(queries, groups)
-    lists = RQ.clean_requirements(catalog, "group_name", "p_partkey", 20)
+    lists = RQ.clean_requirements(catalog, "group_name", "p_partkey")
     return matched.join(lists.withColumnRenamed("group_name", "matched_group"), "matched_group").select("query", "matched_group", "match_score", "id", "text", "priority", "weight")
 
 
 # --- document structure ------------------------------------------------------------------------------
 
-MARKED = """CASE length({x}) % 9 WHEN 0 THEN '1.' || length({x}) || ' ' || left({x}, 15) WHEN 1 THEN 'STRANA 3 / 7' WHEN 2 THEN left({x}, 10) || ' .... 12' WHEN 3 THEN 'ÚVOD A CIELE' WHEN 4 THEN 'SECTION TITLE WITH MORE THAN SIX WORDS' ELSE {x} END"""
+MARKED = """coalesce(CASE length({x}) % 9 WHEN 0 THEN '1.' || length({x}) || ' ' || left({x}, 15) WHEN 1 THEN 'STRANA 3 / 7' WHEN 2 THEN left({x}, 10) || ' .... 12' WHEN 3 THEN 'ÚVOD A CIELE' WHEN 4 THEN 'SECTION TITLE WITH MORE THAN SIX WORDS' END || chr(10), '') || {x}"""
 MARKED_SQL = f"marked AS (SELECT doc_id, string_split(array_to_string(list_transform(string_split(text, chr(10)), lambda x: {MARKED.format(x='x')}), chr(10)), chr(10)) AS p FROM documents), raw AS (SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, trim(unnest(p)) AS line FROM marked)"
 UPPER_SQL = "replace(replace(upper(line), 'ẞ', 'SS'), 'ß', 'SS')"
 LINE_WORDS_SQL = f"(CASE WHEN {space_sql('line')} = '' THEN 0 ELSE len(string_split({space_sql('line')}, ' ')) END)"
@@ -343,11 +379,11 @@ def heading_sections(spark, sf):
 @query(
     "first_occurrence_dedup",
     f"""WITH {LINES_SQL}, u AS (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(line) ORDER BY pos) AS r FROM lines), k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM u WHERE r = 1)
-        SELECT doc_id, CAST(n - 1 AS INTEGER) AS place, line FROM k WHERE n <= 12""",
+        SELECT doc_id, CAST(n - 1 AS INTEGER) AS place, line FROM k""",
 )
 def first_occurrence_dedup(spark, sf):
     lines = F.filter(F.transform(T.split_lines(F.col("text")), T.normalize_space), lambda x: x != "")
-    kept = D.first_occurrences(ads(spark, sf), "doc_id", lines, 12)
+    kept = D.first_occurrences(ads(spark, sf), "doc_id", lines)
     return kept.select("doc_id", F.posexplode("items").alias("place", "line"))
 
 
@@ -380,15 +416,15 @@ def summary_or_prefix(spark, sf):
 @query(
     "retrieval_query_text",
     TERM_COUNT_SQL + """, r AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, length(term) DESC, term) AS place FROM hits WHERE n > 0),
-    t AS (SELECT doc_id, string_agg(term, ', ' ORDER BY place) AS terms FROM r WHERE place <= 8 GROUP BY 1)
-    SELECT doc_id, 'Právny kontext: ' || left(text, 500) || chr(10) || 'Kľúčové pojmy: ' || terms AS query FROM documents JOIN t USING (doc_id)""",
+    t AS (SELECT doc_id, string_agg(term, ', ' ORDER BY place) AS terms FROM r GROUP BY 1)
+    SELECT doc_id, 'Právny kontext: ' || text || chr(10) || 'Kľúčové pojmy: ' || terms AS query FROM documents JOIN t USING (doc_id)""",
 )
 def retrieval_query_text(spark, sf):
     from loamwork.operators.terms import top_terms
 
-    terms = top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc("n"), F.desc(F.length("term")), F.asc("term")], 30)
+    terms = top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc("n"), F.desc(F.length("term")), F.asc("term")], sep=None)
     joined = documents(spark, sf).join(terms, "doc_id")
-    return joined.select("doc_id", T.retrieval_query_text(F.left("text", F.lit(500)), F.split("terms", ", ")).alias("query"))
+    return joined.select("doc_id", T.retrieval_query_text(F.col("text"), F.col("terms")).alias("query"))
 
 
 TURN = ["conv_id", "turn"]
@@ -400,11 +436,11 @@ def turns(spark, sf):
 
 @query(
     "after_last_marker",
-    f"""WITH t AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'x ZHRNUTIE: y ZHRNUTIE:' || chr(10) || text WHEN role = 'system' THEN '' ELSE text END AS raw FROM conversations)
+    f"""WITH t AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'x ZHRNUTIE: y ZHRNUTIE:' || chr(10) || text ELSE text END AS raw FROM conversations)
         SELECT conv_id, turn, {space_sql("list_last(string_split(raw, 'ZHRNUTIE:'))")} AS after, CASE WHEN raw = '' THEN 'ERROR' ELSE trim(split_part(raw, chr(10), 1), '" ') END AS first_line FROM t""",
 )
 def after_last_marker(spark, sf):
-    raw = F.when(F.col("role") == "user", F.concat(F.lit("x ZHRNUTIE: y ZHRNUTIE:\n"), "text")).when(F.col("role") == "system", "").otherwise(F.col("text"))
+    raw = F.when(F.col("role") == "user", F.concat(F.lit("x ZHRNUTIE: y ZHRNUTIE:\n"), "text")).otherwise(F.col("text"))
     return turns(spark, sf).select(*TURN, T.after_last_marker(raw, "ZHRNUTIE:").alias("after"), T.first_output_line(raw).alias("first_line"))
 
 
@@ -443,13 +479,13 @@ def strip_code_fence(spark, sf):
 )
 def extract_select(spark, sf):
     raw = F.expr(
-        "CASE role WHEN 'user' THEN '```sql\\nSELECT a,\\n b  FROM t WHERE c = ' || turn || ';\\n``` and more text; select 2' "
-        "WHEN 'assistant' THEN 'Preselected: select\\n' || replace(text, ';', ' ') ELSE 'drop table x' END"
+        "CASE role WHEN 'user' THEN '```sql\\nSELECT a,\\n b  FROM t WHERE c = ' || turn || ';\\n``` and more text; ' || text "
+        "WHEN 'assistant' THEN 'Preselected: select\\n' || replace(text, ';', ' ') ELSE 'drop table x; ' || text END"
     )
     return turns(spark, sf).select(*TURN, T.extract_select(raw).alias("sql"))
 
 
-@query("conversation_history", "SELECT conv_id, turn // 1000 AS part, string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn) AS history FROM conversations GROUP BY 1, 2")
+@query("conversation_history", "SELECT conv_id, turn, upper(role) || ': ' || text AS line FROM conversations")
 def conversation_history(spark, sf):
     return CV.conversation_history(turns(spark, sf), "conv_id", "turn", "role", "text")
 
@@ -464,14 +500,14 @@ CHAT_SQL = """WITH t AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' AND
    ELSE '<|im_start|>assistant' || chr(10) || answer || '<|im_end|>' || chr(10) END
   WHEN 'tool' THEN CASE WHEN before = 'tool' THEN '' ELSE '<|im_start|>user' END || chr(10) || '<tool_response>' || chr(10) || text || chr(10) || '</tool_response>' || CASE WHEN after = 'tool' THEN '' ELSE '<|im_end|>' || chr(10) END
   ELSE '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) END AS rendered FROM a)
- SELECT conv_id, turn // 1000 AS part, string_agg(rendered, '' ORDER BY turn) AS rendered FROM r GROUP BY 1, 2"""
+ SELECT conv_id, turn, rendered FROM r"""
 
 
 @query("render_chat_template", CHAT_SQL)
 def render_chat_template(spark, sf):
     role = F.expr("CASE WHEN role = 'assistant' AND length(text) % 3 = 0 THEN 'tool' WHEN role = 'user' AND length(text) % 5 = 0 THEN 'tool' ELSE role END")
     text = F.expr("CASE WHEN length(text) % 4 = 1 THEN '<think>\\nwhy ' || left(text, 10) || '\\n</think>\\n\\n' || text ELSE text END")
-    return CV.render_chat(turns(spark, sf).select("conv_id", "turn", role.alias("role"), text.alias("text")), "conv_id", "turn", "role", "text")
+    return CV.render_turns(turns(spark, sf).select("conv_id", "turn", role.alias("role"), text.alias("text")), "conv_id", "turn", "role", "text")
 
 
 def html_sql() -> str:
@@ -490,7 +526,7 @@ def html_sql() -> str:
 
 @query("clean_html", html_sql())
 def clean_html(spark, sf):
-    return PG.clean_html(spread(table(spark, sf, "pages").select("page_id", "html")), "page_id", "html")
+    return PG.clean_html(table(spark, sf, "pages").select("page_id", "html"), "page_id", "html")
 
 
 # --- vectors -------------------------------------------------------------------------------------------

@@ -39,12 +39,6 @@ def hold(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(made)).alias("_held")).select(*df.columns, *[f"_held.{n}" for n in columns])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than that; large inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 

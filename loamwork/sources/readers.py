@@ -83,16 +83,12 @@ def apply_header_aliases(
     required: Sequence[str] = ("job_title", "requirement_text"),
 ) -> DataFrame:
     """Columns renamed to their canonical names; raises when a required one is missing."""
-    chosen: dict[str, str] = {}
-    for canonical, spellings in aliases.items():
-        for name in df.columns:
-            if lookup_key_text(name) in spellings:
-                chosen[canonical] = name
-                break
-    missing = [name for name in required if name not in chosen]
-    if missing:
-        raise ValueError("missing columns: " + ", ".join(missing))
-    return df.select(*[F.col(quote_identifier(name)).alias(canonical) for canonical, name in chosen.items()])
+    canonical_of = {spelling: canonical for canonical, spellings in aliases.items() for spelling in spellings}
+    matched = [(canonical_of.get(lookup_key_text(name)), name) for name in df.columns]
+    source = dict(reversed(matched))  # the first of several columns counts
+    if missing := set(required) - set(source):
+        raise ValueError("missing columns: " + ", ".join(c for c in required if c in missing))
+    return df.select([F.col(quote_identifier(source[c])).alias(c) for c in aliases if c in source])
 
 
 @F.pandas_udf(StringType())

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from loamwork.functions.values import ratio_guarded
+from loamwork.operators.joins import every_pair
 from loamwork.operators.ordered import latest_by_time
 
 NO_DATA = "NO_DATA"
@@ -38,10 +39,8 @@ def sample_rows(df: DataFrame, first: Sequence[str], metrics: Sequence[str], tot
 def with_dead_rows(samples: DataFrame, hosts: DataFrame, host: str, cycle: str, metrics: Sequence[str], error: str = "unreachable") -> DataFrame:
     """One row per polling cycle and expected host; hosts without a sample carry the error text.
 
-    A batch covers few cycles, so they travel as one array to the hosts, whose number is open.
     """
-    cycles = samples.agg(F.collect_set(cycle).alias("c")).scalar()
-    grid = hosts.select(host).distinct().withColumn("_c", cycles).select(F.explode("_c").alias(cycle), host)
+    grid = every_pair(hosts.select(host).distinct(), samples.select(cycle).distinct())
     seen = samples.withColumn("_seen", F.lit(True))
     joined = grid.join(seen, [cycle, host], "left")
     return joined.select(

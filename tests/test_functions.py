@@ -80,10 +80,10 @@ def test_thinking_fence_title(spark):
 
 
 def test_lenient_json(spark):
-    texts = ['{"a":1}', 'x {"a":2} y [3]', "```json\n[1]\n```", "none", "", "{bad {\"b\": 4}"]
+    texts = ['{"a":1}', 'x {"a":2} y [3]', "```json\n[1]\n```", "none", "", "{bad {\"b\": 4}", '{"b":1,"a":2}', 'x {"b":1,"a":2}', "[" * 60000, "x " + "[" * 60000 + "]" * 60000, 'x {"k": "a[b"} y', "[[q], [[q]]]"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r.j for r in jsons.parse_lenient(df, "t", "j").orderBy("i").collect()]
-    assert got == ['{"a":1}', "[3]", "[1]", "null", "null", '{"b":4}']
+    assert got == ['{"a":1}', "[3]", "[1]", "null", "null", '{"b":4}', '{"a":2,"b":1}', '{"a":2,"b":1}', "null", "[]", '{"k":"a[b"}', "null"]
 
 
 def test_genericness_examples(spark):
