@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loamwork.functions.values import hash_unit, literal_map
@@ -22,53 +23,70 @@ def model_rows(spark, sf):
     return df.withColumn("y", (F.col("l_quantity") / 50 + F.col("l_discount") * 5 + noise > 1.4).cast("int"))
 
 
-@query("train_binary_gbt")
+# Fits have no SQL counterpart; the queries give what must hold for them, as rows that SQL can state.
+
+
+@query("train_binary_gbt", "SELECT true AS auc_above")
 def train_binary_gbt(spark, sf):
+    """The area under the curve on rows that neither the fit nor its early stopping has seen."""
     rows = model_rows(spark, sf)
     unseen = hash_unit(F.col("l_orderkey"), seed=7) < 0.2
-    model = ML.train_binary_gbt(rows.filter(~unseen), FEATURES, "y", "l_orderkey", rounds=10)
-    test = rows.filter(unseen)
-    return E.roc_auc(ML.positive_score(model, test), "y", "score")
+    model = ML.train_binary_gbt(rows.filter(~unseen), FEATURES, "y", "l_orderkey", rounds=20)
+    return E.roc_auc(ML.positive_score(model, rows.filter(unseen)), "y", "score").select((F.col("roc_auc") > 0.75).alias("auc_above"))
+
 
+MAIN_SQL = "SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_linenumber']) AS feature, unnest([true, false, true, false, false]) AS main"
 
-@query("train_forest_importance")
+
+@query("train_forest_importance", MAIN_SQL)
 def train_forest_importance(spark, sf):
-    return ML.forest_importance(model_rows(spark, sf), FEATURES, "y", trees=30)
+    """The two features that the target depends on have the weight."""
+    return ML.forest_importance(model_rows(spark, sf), FEATURES, "y", trees=100).select("feature", (F.col("importance") > 0.05).alias("main"))
 
 
-@query("importance_by_segment")
+@query("importance_by_segment", "SELECT p_type, feature, feature = 'p_size' AS leads FROM (SELECT DISTINCT p_type FROM part), (SELECT unnest(['p_size', 'p_retailprice', 'name_length']) AS feature)")
 def importance_by_segment(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_size", "p_retailprice", (F.length("p_name")).alias("name_length"))
     rows = part.withColumn("y", (F.col("p_size") + F.col("name_length") > 35).cast("int"))
-    return ML.importance_by_segment(rows, "p_type", ["p_size", "p_retailprice", "name_length"], "y", trees=10)
+    found = ML.importance_by_segment(rows, "p_type", ["p_size", "p_retailprice", "name_length"], "y")
+    return found.select("p_type", "feature", (F.col("importance") > 0.5).alias("leads"))
 
 
-@query("attribution_mean_abs")
+@query("attribution_mean_abs", MAIN_SQL)
 def attribution_mean_abs(spark, sf):
-    return ML.attribution_mean_abs(model_rows(spark, sf), FEATURES, "y")
+    return ML.attribution_mean_abs(model_rows(spark, sf), FEATURES, "y").select("feature", (F.col("attribution") > 0.1).alias("main"))
 
 
-@query("tune_params")
+@query("tune_params", "SELECT CAST(range AS INTEGER) AS trial, true AS rising, true AS useful FROM range(6)")
 def tune_params(spark, sf):
-    return ML.tune_gbt(model_rows(spark, sf), FEATURES, "y", "l_orderkey", trials=4)
+    """Every trial's best so far is no worse than its own metric and the best before."""
+    tried = ML.tune_gbt(model_rows(spark, sf), FEATURES, "y", "l_orderkey", trials=6)
+    best, before = F.col("best_so_far"), F.coalesce(F.lag("best_so_far").over(Window.orderBy("trial")), F.lit(0.0))
+    return tried.select("trial", ((best >= F.col("metric")) & (best >= before)).alias("rising"), (F.col("metric") > 0.7).alias("useful"))
 
 
-@query("train_mlp_multiclass")
+@query(
+    "train_mlp_multiclass",
+    """WITH u AS (SELECT label, vec_id FROM embeddings WHERE CAST('0x' || substr(md5(concat_ws('|', '42', vec_id)), 1, 12) AS BIGINT) / 281474976710656.0 < 0.2)
+       SELECT CAST(label AS VARCHAR) AS label, count(*) AS support, true AS sound FROM u GROUP BY 1 UNION ALL SELECT unnest(['macro avg', 'weighted avg']), count(*), true FROM u""",
+)
 def train_mlp_multiclass(spark, sf):
+    """The report of the rows that the fit has not seen: all of them are counted, and every rate is a share."""
     rows = table(spark, sf, "embeddings")
     unseen = hash_unit(F.col("vec_id"), seed=42) < 0.2
-    model = ML.train_mlp(rows.filter(~unseen), "embedding", "label", rounds=30)
-    return E.classification_report(ML.mlp_predict(model, rows.filter(unseen), "embedding"), "label", "predicted")
+    model = ML.train_mlp(rows.filter(~unseen), "embedding", "label")
+    report = E.classification_report(ML.mlp_predict(model, rows.filter(unseen), "embedding"), "label", "predicted")
+    sound = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
+    return report.filter("support > 0").select("label", F.col("support").cast("long").alias("support"), sound.alias("sound"))
 
 
-@query("score_and_save")
+@query("score_and_save", "SELECT l_returnflag, count(*) AS n, true AS equal FROM lineitem GROUP BY 1")
 def score_and_save(spark, sf):
     """The second call loads what the first one saved; both give the same scores."""
     rows, path = model_rows(spark, sf), scratch_folder(spark, "model")
-    for _ in range(2):
-        model = ML.load_or_train(spark, path, lambda: ML.train_binary_gbt(rows, FEATURES, "y", "l_orderkey", rounds=5))
-    scored = ML.positive_score(model, rows)
-    return scored.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("mean_score"))
+    first, second = (ML.load_or_train(spark, path, lambda: ML.train_binary_gbt(rows, FEATURES, "y", "l_orderkey", rounds=5)) for _ in range(2))
+    scored = ML.positive_score(second, ML.positive_score(first, rows, "first"), "second")
+    return scored.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.bool_and((F.col("first") == F.col("second")) & F.col("first").between(0, 1)).alias("equal"))
 
 
 # --- report -----------------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loamwork.functions import distributions as DI
 from loamwork.functions import values as V
 from loamwork.operators import aggregates as A
 from loamwork.operators import evaluation as E
@@ -230,9 +231,18 @@ def ttest_one_sample(spark, sf):
     return rounded(stats.ttest_one_sample(table(spark, sf, "events"), "value", 10.0).select("n", "mean", "sd", "t"))
 
 
-@query("udf_stat_cdf")
+@query(
+    "udf_stat_cdf",
+    """WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 10.0::DOUBLE AS x FROM lineitem)
+       SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(0.5 + atan(x) / pi(), 6) AS t1, round(0.5 + x / (2 * sqrt(2 + x * x)), 6) AS t2, round(1 - power(1 + 2 * x / 7, -3.5), 6) AS f27 FROM x""",
+)
 def udf_stat_cdf(spark, sf):
-    return stats.ttest_one_sample(table(spark, sf, "events"), "value", 10.0)
+    """t with one and two, F with two and seven degrees of freedom, where closed forms exist."""
+    x = F.col("l_quantity").cast("double") / 10
+    df = lambda n: F.lit(float(n))
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", x.alias("x"))
+    rows = line.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", DI.t_cdf("x", df(1)).alias("t1"), DI.t_cdf("x", df(2)).alias("t2"), DI.f_cdf("x", df(2), df(7)).alias("f27"))
+    return rounded(rows, names=["t1", "t2", "f27"])
 
 
 SIDES_SQL = """WITH s AS (SELECT count(value) FILTER (WHERE event_type = 'click') AS n1, avg(value) FILTER (WHERE event_type = 'click') AS m1, var_samp(value) FILTER (WHERE event_type = 'click') AS v1,

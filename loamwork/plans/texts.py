@@ -397,9 +397,22 @@ def chunk_words(spark, sf):
     return D.chunk_words(documents(spark, sf), "doc_id", "text")
 
 
-@query("chunk_chars")
+@query(
+    "chunk_chars",
+    """SELECT doc_id, true AS bounded, true AS contained, true AS numbered, true AS complete FROM documents WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''""",
+)
 def chunk_chars(spark, sf):
-    return D.chunk_chars(documents(spark, sf), "doc_id", "text").select("chunk_id", "doc_id", "chunk", "text")
+    """What must hold for the pieces of every document: their size, that the text holds each, their numbers, and that
+    they have at least the text's own letters together."""
+    docs = documents(spark, sf)
+    pieces = D.chunk_chars(docs, "doc_id", "text").select("doc_id", "chunk", F.col("text").alias("piece"))
+    letters = lambda c: F.length(F.regexp_replace(c, r"\s+", ""))
+    return (
+        pieces.join(docs, "doc_id").groupBy("doc_id").agg(
+            F.bool_and(F.length("piece") <= 1200).alias("bounded"), F.bool_and(F.contains("text", "piece")).alias("contained"),
+            (F.max("chunk") + 1 == F.count("*")).alias("numbered"), (F.sum(letters(F.col("piece"))) >= F.max(letters(F.col("text")))).alias("complete"),
+        )
+    )
 
 
 @query("truncate_middle", "SELECT doc_id, CASE WHEN length(t) <= 1000 THEN t ELSE left(t, 500) || chr(10) || chr(10) || '[...SKRATENE...]' || chr(10) || chr(10) || right(t, 500) END AS short FROM (SELECT doc_id, trim(text) AS t FROM documents)")

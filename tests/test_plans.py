@@ -25,7 +25,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "EqualTo(o_custkey,42)" in plan(spark, "lookup_by_key")
 
 
-@pytest.mark.parametrize("name", ["normalize_space", "chunk_words", "heading_sections", "first_occurrence_dedup", "guess_title", "clean_html"])
+@pytest.mark.parametrize("name", ["normalize_space", "chunk_words", "heading_sections", "first_occurrence_dedup", "guess_title", "clean_html", "section_state", "line_score", "infer_priority", "job_requirements", "clean_requirements", "weak_output_flag", "conversation_history"])
 def test_document_work_needs_no_keyed_shuffle(spark, name):
     assert "hashpartitioning" not in plan(spark, name)
 
@@ -38,3 +38,12 @@ def test_top_rows_are_merged_from_tasks(spark, name):
 def test_latest_record_is_an_aggregate(spark):
     text = plan(spark, "latest_by_event_time")
     assert "partial_max_by" in text and "Window" not in text
+
+
+def test_requirement_lists_need_no_python(spark):
+    for name in ("job_requirements", "clean_requirements", "merge_requirement_lists"):
+        assert "EvalPython" not in plan(spark, name) and "InArrow" not in plan(spark, name)
+
+
+def test_sweep_is_not_grouped_by_the_raw_score(spark):
+    assert "hashpartitioning(score" not in plan(spark, "threshold_sweep")
