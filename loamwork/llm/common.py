@@ -173,7 +173,7 @@ def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
 
 
 def in_tiles(members: DataFrame, group: list[str], member: str, block: int) -> DataFrame:
-    """Rows dealt into tiles (``_ti``, ``_tj``) so that any two rows of a group meet in one tile.
+    """Add ``_ti``, ``_tj`` and the own block ``_own``, so that any two rows of a group meet in one tile.
 
     A group of up to ``block`` rows is one tile; a larger one has its rows in several blocks and a tile for each two
     blocks, so no task ever holds a whole hot group.
@@ -182,9 +182,12 @@ def in_tiles(members: DataFrame, group: list[str], member: str, block: int) -> D
     own = F.pmod(F.xxhash64(member), F.col("_blocks")).cast("int")
     placed = members.join(sizes, group).withColumn("_own", own)
     other = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    tiled = other.withColumn("_ti", F.least("_own", "_other")).withColumn("_tj", F.greatest("_own", "_other")).drop("_other", "_blocks")
-    keys = [*group, "_ti", "_tj"]
-    return tiled.repartition(*keys).sortWithinPartitions(*keys)
+    return other.withColumn("_ti", F.least("_own", "_other")).withColumn("_tj", F.greatest("_own", "_other")).drop("_other", "_blocks")
+
+
+def sorted_by(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of equal keys side by side in one partition."""
+    return df.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -193,7 +196,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path, before = scratch_folder(spark, label), spark.conf.get(cleanup)
     spark.conf.set(cleanup, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import PrefixHash, arrow_schema, components, in_tiles, key_runs, map_batches, mix, raw_texts, slices, word_spans
-from loamwork.session import cut_lineage
+from loamwork.llm.common import PrefixHash, arrow_schema, components, in_tiles, key_runs, map_batches, mix, raw_texts, slices, sorted_by, word_spans, written
 
 #: Coordinates are ROWS * BANDS. Two sets of similarity s share no band with probability (1 - s**ROWS)**BANDS: 2e-6 at 0.75.
 ROWS, BANDS = 5, 48
@@ -19,7 +18,7 @@ ROWS, BANDS = 5, 48
 LEAST_ESTIMATE = 0.62
 
 #: Rows of one block of a bucket, and members confirmed against one hub in one task.
-BLOCK, MEMBERS = 128, 512
+BLOCK, MEMBERS = 512, 512
 
 
 class Shingler:
@@ -100,7 +99,10 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, width: int, kind: str) -> DataFrame:
-    """(doc_id, n_shingles, key, bands, sketch): ``key`` is the digest of the whole shingle set, NULL if it is empty."""
+    """(doc_id, n_shingles, key, bands, sketch): ``key`` is the digest of the whole shingle set, NULL if it is empty.
+
+    ``sketch`` holds the low byte of every coordinate, then 32 bits of every band key.
+    """
 
     def make():
         shingler, hasher = Shingler(width), CirculantMinHash(ROWS * BANDS)
@@ -114,7 +116,8 @@ def sketched(docs: DataFrame, width: int, kind: str) -> DataFrame:
                     sketch = hasher.sketch([sets[i] for i in full])
                     low = np.ascontiguousarray((sketch & 0xFF).astype(np.uint8).T)
                     for j, (i, row) in enumerate(zip(full, band_keys(sketch, ROWS), strict=True)):
-                        keys[i], bands[i], small[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), row, low[j].tobytes()
+                        keys[i], bands[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), row
+                        small[i] = low[j].tobytes() + (row & 0x7FFFFFFF).astype(np.int32).tobytes()
                 yield {"doc_id": part.column("doc_id"), "n_shingles": [len(s) for s in sets], "key": keys, "bands": bands, "sketch": small}
 
         return step
@@ -164,44 +167,62 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def close_pairs(members: DataFrame, few: int | None, kind: str) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components whose sketches look similar, over tiles of the buckets.
+def tile_links(tiles: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
+    """Links (a, b) between different components of a bucket, as many as it takes to connect them, over tiles of buckets.
 
-    With ``few``, a node keeps its ``few`` best partners in each other component of a tile.
+    tiles(bucket, t, node, component, sketch, text, _own, _ti, _tj), sorted by bucket and tile. Pairs whose sketches
+    look similar are confirmed on full sets, the closest first; what is connected by then needs no more pairs. A pair
+    is left to the first band that it shares, so no pair is confirmed twice and none is sent on.
     """
     ddl = f"a {kind}, b {kind}"
     schema = arrow_schema(ddl)
+    coordinates, least = ROWS * BANDS, LEAST_ESTIMATE + (1 - LEAST_ESTIMATE) / 256
+
+    def look_alike(tile: pa.Table, component: np.ndarray) -> np.ndarray:
+        own = tile.column("_own").to_numpy()
+        t, ti, tj = (tile.column(c)[0].as_py() for c in ("t", "_ti", "_tj"))
+        packed = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(len(own), -1)
+        sketch, marks = packed[:, :coordinates], np.ascontiguousarray(packed[:, coordinates:]).view(np.int32)[:, :t]
+        right = np.flatnonzero(own == tj)
+        found = []
+        for i in np.flatnonzero(own == ti):
+            at = right[(component[right] != component[i]) & ((ti != tj) | (right > i))]
+            same = (sketch[at] == sketch[i]).mean(1)
+            close = same >= least
+            at, same = at[close], same[close]
+            first = ~(marks[at] == marks[i]).any(1)
+            found.append(np.stack((same[first], np.full(first.sum(), i), at[first]), 1))
+        pairs = np.concatenate(found) if found else np.empty((0, 3))
+        return pairs[np.argsort(-pairs[:, 0], kind="stable"), 1:].astype(np.int64)
 
     def run(batches):
+        shingler = Shingler(width)
         for tile in key_runs(batches, ["bucket", "_ti", "_tj"]):
             component = np.unique(tile.column("component").to_numpy(), return_inverse=True)[1]
-            if component.max() == 0:
-                continue
-            nodes, own = tile.column("node").to_numpy(), tile.column("_own").to_numpy()
-            ti, tj = tile.column("_ti")[0].as_py(), tile.column("_tj")[0].as_py()
-            sketch = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(len(nodes), -1)
-            left = np.flatnonzero(own == ti)
-            right = np.flatnonzero(own == tj)
-            least = LEAST_ESTIMATE + (1 - LEAST_ESTIMATE) / 256
-            out_a, out_b = [], []
-            for i in left:
-                same = (sketch[right] == sketch[i]).mean(1)
-                ok = (same >= least) & (component[right] != component[i]) & ((ti != tj) | (right > i))
-                at = np.flatnonzero(ok)
-                if few and len(at) > few:
-                    order = at[np.lexsort((-same[at], component[right[at]]))]
-                    groups = component[right[order]]
-                    place = np.arange(len(order)) - np.searchsorted(groups, groups)
-                    at = order[place < few]
-                for j in right[at]:
-                    x, y = nodes[i], nodes[j]
-                    out_a.append(min(x, y))
-                    out_b.append(max(x, y))
-            if out_a:
-                yield pa.RecordBatch.from_pydict({"a": out_a, "b": out_b}, schema=schema)
-
-    tiled = in_tiles(members.select("bucket", "node", "component", "sketch"), ["bucket"], "node", BLOCK)
-    return tiled.mapInArrow(run, ddl).filter("a <> b").distinct()
+            pairs = look_alike(tile, component) if component.max() else []
+            root, sets, out = list(range(component.max() + 1)), {}, {"a": [], "b": []}
+
+            def top(x: int) -> int:
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            nodes, texts = tile.column("node"), tile.column("text")
+            for pair in pairs:
+                p, q = (top(component[i]) for i in pair)
+                if p == q:
+                    continue
+                for i in pair:
+                    if i not in sets:
+                        sets[i] = shingler.sets([(texts[int(i)].as_py() or "").encode()])[0]
+                if alike(sets[pair[0]], sets[pair[1]], percent):
+                    root[p] = q
+                    out["a"].append(nodes[int(pair[0])].as_py())
+                    out["b"].append(nodes[int(pair[1])].as_py())
+            if out["a"]:
+                yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+    return tiles.mapInArrow(run, ddl)
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
@@ -211,37 +232,32 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     one shingle; NULL, empty and blank texts have none and link with nothing. Rows with equal ids are one document.
     Rows with NULL id link with nothing: component_id NULL, kept. An empty table gives no rows.
 
-    Equal shingle sets become one node first, so exact copies never meet in pairs. Nodes of a bucket are confirmed
-    against the smallest node of their buckets; what those links join needs no more pairs. Then only buckets that still
-    hold several components are compared, tile by tile on sketches, at first a few partners per component and
-    at last all, and every pair that looks close is confirmed on full sets.
+    Equal shingle sets become one node first, so exact copies never meet in pairs. Nodes are confirmed against the
+    smallest node of their buckets; what those links join needs no more pairs. Then only buckets that still hold several
+    components are compared, tile by tile, and every pair between components that looks close is confirmed on full
+    sets in place, unless it is connected by then.
     """
     kind = dict(docs.dtypes)[id]
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    marked = cut_lineage(sketched(rows, width, kind))
+    marked = written(sketched(rows, width, kind), "sketches")
     named = marked.filter("key is not null and doc_id is not null")
     heads = named.groupBy("key").agg(F.min("doc_id").alias("node"))
     nodes = named.join(heads.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & (F.col("doc_id") == F.col("node")), "left_semi").select(F.col("doc_id").alias("node"), "bands", "sketch")
-    entries = nodes.select("node", F.explode("bands").alias("bucket"))
+    entries = nodes.select("node", F.posexplode("bands").alias("t", "bucket"))
     shared = entries.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("far")).filter("hub <> far").select("bucket", "hub")
-    members = cut_lineage(entries.join(shared, "bucket"))
+    members = written(entries.join(shared, "bucket"), "members")
     involved = members.select("node").distinct()
-    texts = cut_lineage(rows.join(involved, rows.doc_id == involved.node, "left_semi"))
-    tried = cut_lineage(members.filter("node <> hub").groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"))
-    links = cut_lineage(confirmed(tried, texts, width, percent, kind))
+    texts = written(rows.join(involved, rows.doc_id == involved.node, "left_semi"), "texts")
+    stars = members.filter("node <> hub").groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
+    links = written(confirmed(stars, texts, width, percent, kind), "links")
     reached = components(links)
-    for few in (2, None):
-        labelled = members.join(reached, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
-        open_members = labelled.join(mixed, "bucket", "left_semi").join(nodes.select("node", "sketch"), "node")
-        pairs = cut_lineage(close_pairs(open_members, few, kind).join(tried, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            break
-        tried = tried.unionByName(pairs)
-        more = cut_lineage(confirmed(pairs, texts, width, percent, kind))
-        links = links.unionByName(more)
-        if not more.isEmpty():
-            reached = components(links)
+    labelled = members.join(reached, "node", "left").select("bucket", "t", "node", F.coalesce("component", "node").alias("component"))
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
+    tiles = written(in_tiles(labelled.join(mixed, "bucket", "left_semi"), ["bucket"], "node", BLOCK), "tiles")
+    read = nodes.join(tiles.select("node").distinct(), "node", "left_semi").select("node", "sketch").join(texts, F.col("node") == F.col("doc_id")).select("node", "sketch", "text")
+    more = written(tile_links(sorted_by(tiles.join(read, "node"), ["bucket", "_ti", "_tj"]), width, percent, kind), "links")
+    if not more.isEmpty():
+        reached = components(links.unionByName(more))
     groups = heads.join(reached, "node", "left").select(F.col("key").alias("_key"), F.coalesce("component", "node").alias("component"))
     out = marked.join(groups, (F.col("key") == F.col("_key")) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("component", "doc_id")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import arrow_schema, components, in_tiles, key_runs, map_batches, mix
+from loamwork.llm.common import arrow_schema, components, in_tiles, key_runs, map_batches, mix, sorted_by
 from loamwork.session import cut_lineage
 
 #: Tables, projections of each, and the width of a projection's cells. Unit vectors of cosine 0.93 are 0.374 apart: they
@@ -94,7 +94,7 @@ def close_in_tiles(entries: DataFrame, least: float, kind: str) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"a": np.minimum(nodes[i], nodes[j]), "b": np.maximum(nodes[i], nodes[j])}, schema=schema)
 
     group = ["label", "size", "t", "bucket"]
-    return in_tiles(entries, group, "node", BLOCK).mapInArrow(run, ddl)
+    return sorted_by(in_tiles(entries, group, "node", BLOCK), [*group, "_ti", "_tj"]).mapInArrow(run, ddl)
 
 
 def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", least: float = 0.93) -> DataFrame:
