@@ -28,6 +28,69 @@ def query(name: str, sql: str | None = None):
 #: A-Z in lower case and nothing else, for DuckDB.
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Runs without white space.
+WORDS = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+#: Smallest node reachable over the table ``links`` (a, b), for the nodes of ``nodes`` (node).
+COMPONENTS = """edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT node, node AS root FROM nodes UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node),
+components AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)"""
+
+NEAR_DUPLICATES_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s
+  FROM w, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS u(i) WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+nodes AS (SELECT doc_id AS node FROM documents), {COMPONENTS}
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN components ON node = doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
+NEAR_VECTORS_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id
+  WHERE len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93),
+counts AS (SELECT vec_id, count(*) AS n FROM (SELECT a AS vec_id FROM links UNION ALL SELECT b FROM links) GROUP BY 1),
+nodes AS (SELECT vec_id AS node FROM embeddings), {COMPONENTS}
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN components ON node = vec_id LEFT JOIN counts USING (vec_id)
+"""
+
+SUBSTRINGS_SQL = rf"""
+WITH w AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i : i + 19], ' ') AS win FROM w, unnest(range(1, len(ws) - 18)) AS u(i) WHERE len(ws) >= 20),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM again, unnest(range(i, i + 20)) AS u(p)),
+pieces AS (SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) AS u(p)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM pieces ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+SUFFIXES_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(0, length(h) // 2 - 199)) AS i, unnest(list_transform(range(0, length(h) // 2 - 199), lambda x: md5(substr(h, 2 * x + 1, 400)))) AS win
+  FROM d WHERE length(h) >= 400),
+twice AS (SELECT win FROM windows GROUP BY win HAVING count(*) > 1),
+starts AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM windows JOIN twice USING (win)),
+runs AS (SELECT doc_id, i, sum(CASE WHEN i <= before + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts),
+spans AS (SELECT doc_id, run, min(i) AS s, max(i) + 200 AS e FROM runs GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(e) OVER o, 0) AS s, s AS e FROM spans WINDOW o AS (PARTITION BY doc_id ORDER BY s)
+  UNION ALL SELECT doc_id, coalesce(max(e), 0), any_value(length(h) // 2) FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+counts AS (SELECT doc_id, sum(e - s) AS n, count(*) AS runs FROM spans GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
 SHARDS_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(doc_id::VARCHAR, '') AS k FROM documents),
 draws AS (
@@ -80,18 +143,18 @@ FROM marked GROUP BY doc_id
 """
 
 
-@query("op1_minhash_near_dedup")
+@query("op1_minhash_near_dedup", NEAR_DUPLICATES_SQL)
 def op1_minhash_near_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"))
 
 
-@query("op2_substring_dedup")
+@query("op2_substring_dedup", SUBSTRINGS_SQL)
 def op2_substring_dedup(spark, sf):
     found = substrings.drop_repeated_passages(table(spark, sf, "documents"))
     return found.select("doc_id", F.col("n").alias("n_words"), "n_removed", "kept_sha256")
 
 
-@query("op3_embedding_near_dedup")
+@query("op3_embedding_near_dedup", NEAR_VECTORS_SQL)
 def op3_embedding_near_dedup(spark, sf):
     return vectors.near_vectors(table(spark, sf, "embeddings"))
 
@@ -101,7 +164,7 @@ def op4_language_id(spark, sf):
     return language.identify(table(spark, sf, "documents"))
 
 
-@query("op5_suffix_array_dedup")
+@query("op5_suffix_array_dedup", SUFFIXES_SQL)
 def op5_suffix_array_dedup(spark, sf):
     found = suffixes.drop_repeated_bytes(table(spark, sf, "documents"))
     return found.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")

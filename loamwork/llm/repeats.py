@@ -163,9 +163,17 @@ class Repeats:
         found = contexts.groupBy("d1", "d2").agg(F.min(order).alias("low"), F.max(order).alias("high"), F.min("hash").alias("hash"), F.min("before").alias("before"), F.min("after").alias("after"))
         return written(found.select("d1", "d2", "hash", "before", "after", (F.col("low") != F.col("high")).alias("several"), "low.doc_id", "low.t1", "low.t2", "low.place"), "distinct")
 
+    def compared(self, distinct: DataFrame, hot: int) -> DataFrame:
+        """Distinct contexts whose anchor has others, with ``many``: whether it has more than ``hot``."""
+        groups = distinct.groupBy("hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("hash", (F.col("_n") > hot).alias("many"))
+        return distinct.select("d1", "d2", "hash", "before", "after", "t1", "t2", "place").join(groups, "hash")
+
     def fetched(self, wanted: DataFrame, candidates: DataFrame) -> DataFrame:
-        """Distinct contexts with their units: (d1, d2, hash, place, before, doc_id, unnamed, t1, left, right), bytes or words joined by a blank."""
-        by_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("d1", "d2", "hash", "place", "before", "after")).alias("wanted"))
+        """Distinct contexts with their units: (d1, d2, hash, place, before, many, doc_id, t1, left, right), bytes or words joined by a blank.
+
+        wanted: rows of ``distinct`` with ``many``, whether their anchor has very many contexts.
+        """
+        by_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("d1", "d2", "hash", "place", "before", "after", "many")).alias("wanted"))
         new = self.units()
 
         def make():
@@ -173,21 +181,21 @@ class Repeats:
 
             def step(batch):
                 for part in slices(batch, 1 << 18):
-                    out = {c: [] for c in ("d1", "d2", "hash", "place", "before", "doc_id", "t1", "left", "right")}
+                    out = {c: [] for c in ("d1", "d2", "hash", "place", "before", "many", "doc_id", "t1", "left", "right")}
                     for doc, t1, text, own in zip(part.column("doc_id").to_pylist(), part.column("t1").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), part.column("wanted").to_pylist(), strict=True):
                         pieces = text.split() if units.words else None
                         for c in own:
                             at = c["place"]
                             start, end = at - c["before"], at + c["after"]
                             cut = (lambda a, b: b" ".join(pieces[a:b])) if units.words else (lambda a, b: text[a:b])
-                            for name, value in (*((k, c[k]) for k in ("d1", "d2", "hash", "place", "before")), ("doc_id", doc), ("t1", t1), ("left", cut(start, at)), ("right", cut(at, end))):
+                            for name, value in (*((k, c[k]) for k in ("d1", "d2", "hash", "place", "before", "many")), ("doc_id", doc), ("t1", t1), ("left", cut(start, at)), ("right", cut(at, end))):
                                 out[name].append(value)
                     if out["d1"]:
                         yield out
 
             return step
 
-        ddl = f"d1 long, d2 long, hash long, place int, before int, doc_id {self.kind}, t1 long, left binary, right binary"
+        ddl = f"d1 long, d2 long, hash long, place int, before int, many boolean, doc_id {self.kind}, t1 long, left binary, right binary"
         return map_batches(candidates.select("doc_id", "t1", "t2", "text").join(by_text, ["t1", "t2"]), ddl, make)
 
     def judged(self, spans: DataFrame, candidates: DataFrame) -> DataFrame:

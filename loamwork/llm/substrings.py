@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import arrow_schema, key_runs
+from loamwork.llm.common import arrow_schema, key_runs, written
 from loamwork.llm.repeats import Repeats
 
 #: Words of an anchor, and words of one shard's automaton, about.
 GRAM, SHARD_WORDS = 6, 40_000
 
-#: Anchors with more different contexts than this are counted window by window instead of in one shard.
-HOT = 5_000
+#: Anchors with more different contexts than this, whose automaton would take over about 300 MB, are counted window by window.
+HOT = 15_000
 
 
 class SuffixAutomaton:
@@ -165,11 +164,10 @@ def drop_repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "tex
     candidates = steps.candidates(marked, copies)
     contexts = steps.contexts(candidates)
     distinct = steps.distinct(contexts)
-    groups = distinct.groupBy("hash").agg(F.count("*").alias("several_contexts")).filter("several_contexts > 1")
-    wanted = distinct.select("d1", "d2", "hash", "before", "after", "t1", "t2", "place").join(groups, "hash")
-    cold = shard_matches(steps.fetched(wanted.filter(F.col("several_contexts") <= hot), candidates), length, steps.kind)
-    warm = hot_matches(steps.fetched(wanted.filter(F.col("several_contexts") > hot), candidates), length, steps.kind)
-    own = cold.unionByName(warm).groupBy("d1", "d2").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    wanted = steps.compared(distinct, hot)
+    cold = shard_matches(steps.fetched(wanted.filter("not many"), candidates), length, steps.kind)
+    warm = hot_matches(steps.fetched(wanted.filter("many"), candidates), length, steps.kind)
+    own = written(cold.unionByName(warm).groupBy("d1", "d2").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "matches")
     known = distinct.select("d1", "d2", F.col("t1").alias("f1"), F.col("t2").alias("f2"), F.col("place").alias("f_place"), "several").join(own, ["d1", "d2"], "left").filter("several or lo is not null")
     first = (F.col("t1") == F.col("f1")) & (F.col("t2") == F.col("f2")) & (F.col("place") == F.col("f_place"))
     begin = F.col("place") - F.col("before")

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from loamwork.llm.common import PrefixHash, arrow_schema, mix, written
 from loamwork.llm.repeats import Repeats
 
-#: Bytes of an anchor, with which every suffix in a range begins.
+#: Bytes of an anchor, with which its suffixes begin.
 GRAM = 40
 
+#: Anchors with more different contexts than this may be cut into several ranges.
+HOT = 20_000
+
 
 def multikey_quicksort(keys: np.ndarray) -> np.ndarray:
     """Order of the rows of a matrix of words, column by column: less, equal and greater parts around a pivot.
@@ -66,7 +69,7 @@ def best_neighbour(order: np.ndarray, common: np.ndarray) -> np.ndarray:
     return out
 
 
-def range_classes(right: list[bytes], left: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, list]:
+def range_classes(right: list[bytes], left: list[bytes], many: list[bool], length: int) -> tuple[np.ndarray, np.ndarray, list]:
     """Within one range: least and greatest number of bytes before the anchor at which a context's string also stands
     in another context (lo > hi if none), and the strings (context, before, hash) that other ranges may hold.
 
@@ -80,7 +83,7 @@ def range_classes(right: list[bytes], left: list[bytes], length: int) -> tuple[n
     r_common, l_common = rights.neighbours(r_order), lefts.neighbours(l_order)
     live = best_neighbour(r_order, r_common) + best_neighbour(l_order, l_common) >= length
     lo, hi = np.full(n, length), np.full(n, -1)
-    edges = []
+    many, edges = np.array(many), []
     r_class, l_class = np.empty(n, np.int64), np.empty(n, np.int64)
     for j in range(before + 1):
         classes = np.cumsum(r_common < length - j)
@@ -89,10 +92,10 @@ def range_classes(right: list[bytes], left: list[bytes], length: int) -> tuple[n
         valid = (rights.sizes >= length - j) & (lefts.sizes >= j)
         at = np.flatnonzero(valid & live)
         if len(at):
-            _, place, many = np.unique(r_class[at] * (n + 1) + l_class[at], return_inverse=True, return_counts=True)
-            twice = at[many[place] > 1]
+            _, place, times = np.unique(r_class[at] * (n + 1) + l_class[at], return_inverse=True, return_counts=True)
+            twice = at[times[place] > 1]
             lo[twice], hi[twice] = np.minimum(lo[twice], j), j
-        outer = np.flatnonzero(valid & ((r_class == classes[0]) | (r_class == classes[-1])))
+        outer = np.flatnonzero(valid & many & ((r_class == classes[0]) | (r_class == classes[-1])))
         edges.append((outer, np.full(len(outer), j)))
     rows, js = (np.concatenate(x) for x in zip(*edges, strict=True))
     return lo, hi, (rows, js, string_hashes(rights, lefts, rows, js, length))
@@ -120,25 +123,27 @@ def string_hashes(rights: Strings, lefts: Strings, rows: np.ndarray, js: np.ndar
 def compared_ranges(contexts: DataFrame, length: int) -> DataFrame:
     """(d1, d2, lo, hi): range of bytes before the anchor at which a context's string stands elsewhere, over all ranges.
 
-    Spark samples the suffixes for splitters and deals them out by their leading bytes. Classes that reach the first or
-    last suffix of a range may go on in the next one: their strings are counted over all ranges, with partial
-    sums, so that one anchor may fill many ranges.
+    Spark samples the suffixes for splitters and deals them out by their leading bytes: those of the anchor, so that an
+    anchor lies in one range; an anchor with very many contexts by all its bytes. Classes of the latter that reach the
+    first or last suffix of a range may go on in the next one: their strings are counted over all ranges, with
+    partial sums, so that one anchor may fill many ranges.
     """
     ddl = "d1 long, d2 long, lo int, hi int, string long"
     schema = arrow_schema(ddl)
 
     def run(batches):
-        seen, right, left, keys = set(), [], [], []
+        seen, right, left, many, keys = set(), [], [], [], []
         for batch in batches:
-            for d1, d2, a, b in zip(*(batch.column(c).to_pylist() for c in ("d1", "d2", "right", "left")), strict=True):
+            for d1, d2, a, b, m in zip(*(batch.column(c).to_pylist() for c in ("d1", "d2", "right", "left", "many")), strict=True):
                 if (d1, d2) not in seen:
                     seen.add((d1, d2))
                     keys.append((d1, d2))
                     right.append(a)
                     left.append(b)
+                    many.append(m)
         if not keys:
             return
-        lo, hi, (rows, js, hashes) = range_classes(right, left, length)
+        lo, hi, (rows, js, hashes) = range_classes(right, left, many, length)
         d1, d2 = np.array(keys, np.int64).T
         at = np.flatnonzero(hi >= 0)
         yield pa.RecordBatch.from_pydict({"d1": d1[at], "d2": d2[at], "lo": lo[at], "hi": hi[at], "string": pa.nulls(len(at), pa.int64())}, schema=schema)
@@ -146,7 +151,8 @@ def compared_ranges(contexts: DataFrame, length: int) -> DataFrame:
             own, j = rows[i : i + 50_000], js[i : i + 50_000]
             yield pa.RecordBatch.from_pydict({"d1": d1[own], "d2": d2[own], "lo": j, "hi": j, "string": hashes[i : i + 50_000].view(np.int64)}, schema=schema)
 
-    ranged = contexts.select("d1", "d2", "right", "left").withColumn("reversed", F.reverse(F.hex("left"))).repartitionByRange("right", "reversed").drop("reversed")
+    leading = F.substring("right", 1, GRAM), F.when(F.col("many"), F.col("right")), F.when(F.col("many"), F.reverse(F.hex("left")))
+    ranged = contexts.select("d1", "d2", "right", "left", "many").repartitionByRange(*leading)
     found = written(ranged.mapInArrow(run, ddl), "ranges")
     outer = found.filter("string is not null")
     where = F.xxhash64("d1", "d2")
@@ -155,7 +161,7 @@ def compared_ranges(contexts: DataFrame, length: int) -> DataFrame:
     return found.filter("string is null").select("d1", "d2", "lo", "hi").unionByName(across).groupBy("d1", "d2").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
-def drop_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
+def drop_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 200, hot: int = HOT) -> DataFrame:
     """Per row: (id, n, n_removed, n_spans, kept_sha256, spans): bytes in a string of ``length`` bytes that also starts elsewhere.
 
     Texts are UTF-8 bytes; NULL is empty. All occurrences go, also overlapping ones of one document; ``spans`` are
@@ -171,9 +177,7 @@ def drop_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text",
     candidates = steps.candidates(marked, copies)
     contexts = steps.contexts(candidates)
     distinct = steps.distinct(contexts)
-    groups = distinct.groupBy("hash").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    wanted = distinct.select("d1", "d2", "hash", "before", "after", "t1", "t2", "place").join(groups, "hash", "left_semi")
-    own = compared_ranges(steps.fetched(wanted, candidates), length)
+    own = compared_ranges(steps.fetched(steps.compared(distinct, hot), candidates), length)
     known = distinct.select("d1", "d2", "several").join(own, ["d1", "d2"], "left").filter("several or lo is not null")
     whole = F.col("several") & (F.col("before") + F.col("after") >= length)
     start = F.when(whole, F.col("place") - F.col("before")).otherwise(F.col("place") - F.col("hi"))

@@ -110,10 +110,15 @@ def test_passages(spark, operator, expected):
     assert result(operator(docs)) == expected(rows)
 
 
-def test_hot_anchors_are_counted_by_windows(spark):
+@pytest.mark.parametrize(("operator", "expected"), BOTH)
+def test_hot_anchors_may_lie_in_several_tasks(spark, operator, expected):
     rows = passages(4)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert result(substrings.drop_repeated_passages(docs, hot=2)) == expected_words(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert result(operator(docs, hot=2)) == expected(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_least_places_and_anchors():
