@@ -15,33 +15,34 @@ from loamwork.functions.values import clamp, literal_map, recode
 
 def contains_any(c: Column, parts: Sequence[str]) -> Column:
     """Whether one of the parts occurs; one scan by an alternation of literal texts."""
+    if not parts:
+        return F.lit(False)
     return c.rlike("|".join(re.escape(p) for p in parts))
 
 
-def detect_section(line: Column) -> Column:
+def detect_section(line: Column, must: Sequence[str] = W.MUST_HEADERS, nice: Sequence[str] = W.NICE_HEADERS) -> Column:
     """'must' or 'nice' for a line with a header phrase, else NULL."""
     low = F.lower(line)
-    return F.when(contains_any(low, W.MUST_HEADERS), "must").when(contains_any(low, W.NICE_HEADERS), "nice")
+    return F.when(contains_any(low, must), "must").when(contains_any(low, nice), "nice")
 
 
-def classify_category(line: Column) -> Column:
+#: Patterns of every category, in the order in which they are tried.
+CATEGORY_PATTERNS: dict[str, Sequence[str]] = {
+    "education": W.EDUCATION_PATTERNS, "language": W.LANGUAGE_PATTERNS, "location": W.LOCATION_PATTERNS,
+    "hard_skill": W.HARD_SKILL_PATTERNS, "soft_skill": W.SOFT_SKILL_PATTERNS, "experience": W.YEARS_PATTERNS,
+}
+
+
+def classify_category(line: Column, patterns: Mapping[str, Sequence[str]] = CATEGORY_PATTERNS) -> Column:
     """First matching category."""
     low = F.lower(line)
-    return (
-        F.when(low.rlike(W.any_pattern(W.EDUCATION_PATTERNS)), "education")
-        .when(low.rlike(W.any_pattern(W.LANGUAGE_PATTERNS)), "language")
-        .when(low.rlike(W.any_pattern(W.LOCATION_PATTERNS)), "location")
-        .when(low.rlike(W.any_pattern(W.HARD_SKILL_PATTERNS)), "hard_skill")
-        .when(low.rlike(W.any_pattern(W.SOFT_SKILL_PATTERNS)), "soft_skill")
-        .when(low.rlike(W.any_pattern(W.YEARS_PATTERNS)), "experience")
-        .otherwise("other")
-    )
+    return F.coalesce(*[F.when(low.rlike(W.any_pattern(list(p))), name) for name, p in patterns.items()], F.lit("other"))
 
 
-def infer_priority(line: Column, section: Column) -> Column:
+def infer_priority(line: Column, section: Column, must: Sequence[str] = W.MUST_CUES, nice: Sequence[str] = W.NICE_CUES) -> Column:
     low = F.lower(line)
     return (
-        F.when(contains_any(low, W.MUST_CUES), "must").when(contains_any(low, W.NICE_CUES), "nice")
+        F.when(contains_any(low, must), "must").when(contains_any(low, nice), "nice")
         .when(section.isin("must", "nice"), section).otherwise("unknown")
     )
 
@@ -50,26 +51,28 @@ def section_bonus(section: Column) -> Column:
     return F.when(section == "must", 2.0).when(section == "nice", 1.0).otherwise(0.0)
 
 
-def line_score(line: Column, section: Column) -> Column:
+def line_score(
+    line: Column, section: Column, must: Sequence[str] = W.MUST_CUES, nice: Sequence[str] = W.NICE_CUES,
+    patterns: Mapping[str, Sequence[str]] = CATEGORY_PATTERNS,
+) -> Column:
     """Sum of the signals that a line states a requirement; 0 for very short or long lines."""
     low = F.lower(line)
+    # fixed values: weight of every category
+    weights = {"experience": 2.0, "hard_skill": 2.5, "education": 2.5, "language": 2.0, "location": 1.5, "soft_skill": 1.5}
 
     def points(condition: Column, value: float) -> Column:
         return F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
 
     total = (
         points(line.rlike(r"^[•\-*]"), 2.0)
-        + points(contains_any(low, W.MUST_CUES), 3.0)
-        + points(contains_any(low, W.NICE_CUES), 2.0)
+        + points(contains_any(low, must), 3.0)
+        + points(contains_any(low, nice), 2.0)
         + section_bonus(section)
-        + points(low.rlike(W.any_pattern(W.YEARS_PATTERNS)), 2.0)
-        + points(low.rlike(W.any_pattern(W.HARD_SKILL_PATTERNS)), 2.5)
-        + points(low.rlike(W.any_pattern(W.EDUCATION_PATTERNS)), 2.5)
-        + points(low.rlike(W.any_pattern(W.LANGUAGE_PATTERNS)), 2.0)
-        + points(low.rlike(W.any_pattern(W.LOCATION_PATTERNS)), 1.5)
-        + points(low.rlike(W.any_pattern(W.SOFT_SKILL_PATTERNS)), 1.5)
         + points(line.contains(":") & (F.length(F.substring_index(line, ":", 1)) < 35), 0.5)
     )
+    for name, weight in weights.items():
+        if name in patterns:
+            total = total + points(low.rlike(W.any_pattern(list(patterns[name]))), weight)
     return F.when(F.length(line).between(12, 320), total).otherwise(0.0)
 
 
@@ -89,22 +92,24 @@ def guess_seniority(text: Column) -> Column:
     )
 
 
-def requirement_key(text: Column) -> Column:
+def requirement_key(
+    text: Column, synonyms: Mapping[str, str] = W.SYNONYMS, fillers: Sequence[str] = W.STOP_PHRASES, aliases: Mapping[str, str] = W.ALIASES
+) -> Column:
     """Plain key of a requirement text: synonyms, without filler phrases, aliases."""
     bare = bind(F.lower(normalize_space(text)), strip_accents)
     plain = F.regexp_replace(F.replace(bare, F.lit("&"), F.lit(" and ")), r"[^a-zA-Z0-9+.#/ ]+", " ")
-    key = bind(plain, lambda k: recode(k, W.SYNONYMS))
-    for phrase in W.STOP_PHRASES:
+    key = bind(plain, lambda k: recode(k, synonyms))
+    for phrase in fillers:
         key = F.regexp_replace(key, rf"\b{re.escape(phrase)}\b", " ")
-    return bind(F.trim(F.regexp_replace(key, r"\s+", " ")), lambda k: recode(k, W.ALIASES))
+    return bind(F.trim(F.regexp_replace(key, r"\s+", " ")), lambda k: recode(k, aliases))
 
 
-def canonical_requirement(text: Column, key: Column) -> Column:
+def canonical_requirement(text: Column, key: Column, entries: Mapping[str, Sequence[str]] = W.CANONICAL) -> Column:
     """Struct (canonical_key, canonical_text, category_hint, confidence) for a text and its key."""
     clean = normalize_space(text)
 
     def entry(i: int) -> Column:
-        return F.try_element_at(literal_map({k: v[i] for k, v in W.CANONICAL.items()}), key)
+        return F.try_element_at(literal_map({k: v[i] for k, v in entries.items()}), key)
 
     known = entry(0).isNotNull()
     guess = F.when(word_count(key) <= 3, 0.68).otherwise(0.52)
@@ -114,18 +119,18 @@ def canonical_requirement(text: Column, key: Column) -> Column:
     )
 
 
-def genericness(key: Column) -> Column:
+def genericness(key: Column, generic: Sequence[str] = W.GENERIC_PARTS, concrete: Sequence[str] = W.CONCRETE_PARTS) -> Column:
     """Struct (is_generic, score, confidence, band) of a requirement key."""
     words = word_count(key)
     # fixed values: weight of every signal
     score = (
         F.lit(0.50)
-        + F.when(contains_any(key, W.GENERIC_PARTS), 0.32).otherwise(0.0)
+        + F.when(contains_any(key, generic), 0.32).otherwise(0.0)
         + F.when((words <= 2) & ~key.rlike("[0-9]"), 0.12).otherwise(0.0)
         - F.when(key.rlike(r"(?:^|[^a-z0-9_])(aspon|min\.?|minimalne)(?:$|[^a-z0-9_])"), 0.18).otherwise(0.0)
         - F.when(key.rlike(r"(?:^|[^a-z0-9_])(a1|a2|b1|b2|c1|c2)(?:$|[^a-z0-9_])"), 0.24).otherwise(0.0)
         - F.when(key.rlike(r"(?:^|[^a-z0-9_])[0-9]+(?:$|[^a-z0-9_])"), 0.20).otherwise(0.0)
-        - F.when(contains_any(key, W.CONCRETE_PARTS), 0.30).otherwise(0.0)
+        - F.when(contains_any(key, concrete), 0.30).otherwise(0.0)
         - F.when(words >= 6, 0.08).otherwise(0.0)
     )
     bounded = F.round(clamp(score, 0.0, 1.0), 4)

@@ -13,9 +13,10 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +121,28 @@ def tune_gbt(df: DataFrame, features: Sequence[str], label: str, key: str, trial
     return running_best(table, "trial", "metric", "best_so_far")
 
 
+def tune_regression(df: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 40, seed: int = 42, parallel: int = 4) -> DataFrame:
+    """(trial, depth, rounds, step, rmse, best_so_far): seeded random trials of boosted regression trees, least error first found."""
+    draw = random.Random(seed)
+    grid = [(i, draw.randint(2, 6), draw.randint(5, 40), round(draw.uniform(0.02, 0.3), 4)) for i in range(trials)]
+    rows = assembler(features).transform(df.withColumn(label, F.col(label).cast("double"))).select("features", label, key)
+    train = rows.filter(hash_unit(F.col(key), seed=seed) < 0.8).persist()
+    valid = rows.filter(hash_unit(F.col(key), seed=seed) >= 0.8).persist()
+    judge = RegressionEvaluator(labelCol=label, metricName="rmse")
+
+    def run(trial: tuple) -> tuple:
+        i, depth, rounds, step = trial
+        model = GBTRegressor(labelCol=label, maxDepth=depth, maxIter=rounds, stepSize=step, seed=seed).fit(train)
+        return (*trial, float(judge.evaluate(model.transform(valid))))
+
+    with ThreadPoolExecutor(parallel) as pool:
+        results = list(pool.map(run, grid))
+    train.unpersist()
+    valid.unpersist()
+    table = df.sparkSession.createDataFrame(results, "trial int, depth int, rounds int, step double, rmse double")
+    return running_best(table.withColumn("_gain", -F.col("rmse")), "trial", "_gain", "_best").withColumn("best_so_far", -F.col("_best")).drop("_gain", "_best")
+
+
 def train_mlp(df: DataFrame, vector: str, label: str, hidden: Sequence[int] = (32,), rounds: int = 60, seed: int = 42) -> PipelineModel:
     """Standardised array features, hidden layers, softmax. Labels are 0..k-1."""
     shape = df.agg(F.max(F.size(vector)).alias("d"), (F.max(label) + 1).alias("k")).first()

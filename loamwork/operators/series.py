@@ -67,6 +67,14 @@ def forecast_seasonal_drift(daily: DataFrame, item: str, value: str, horizon: in
     )
 
 
+def forecast_targets(daily: DataFrame, item: str, values: Sequence[str], horizon: int = 14, season: int = 7) -> DataFrame:
+    """(item, step, day, values...): every target forecast on its own and joined on the item and day."""
+    first, *rest = [forecast_seasonal_drift(daily, item, v, horizon, season) for v in values]
+    for other in rest:
+        first = first.join(other, [item, "step", "day"])
+    return first
+
+
 def residual_anomaly(df: DataFrame, actual: str, predicted: Column, sigmas: float = 2.0) -> DataFrame:
     """Residual per group and a flag above mean + 2 population deviations of all residuals."""
     scored = df.withColumn("residual", F.col(actual) - predicted)

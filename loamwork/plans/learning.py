@@ -65,6 +65,15 @@ def tune_params(spark, sf):
     return tried.select("trial", ((best >= F.col("metric")) & (best >= before)).alias("rising"), (F.col("metric") > 0.7).alias("useful"))
 
 
+@query("tune_regression", "SELECT CAST(range AS INTEGER) AS trial, true AS falling, true AS useful FROM range(4)")
+def tune_regression(spark, sf):
+    """Errors of a price model: every trial's best is no worse than its own and the best before, and below the spread of prices."""
+    tried = ML.tune_regression(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "l_orderkey", trials=4)
+    best, before = F.col("best_so_far"), F.coalesce(F.lag("best_so_far").over(Window.orderBy("trial")), F.col("best_so_far"))
+    spread = table(spark, sf, "lineitem").agg(F.stddev_pop("l_extendedprice")).scalar()
+    return tried.select("trial", ((best <= F.col("rmse")) & (best <= before)).alias("falling"), (F.col("rmse") < spread * 1.2).alias("useful"))
+
+
 @query(
     "train_mlp_multiclass",
     """WITH u AS (SELECT label, vec_id FROM embeddings WHERE CAST('0x' || substr(md5(concat_ws('|', '42', vec_id)), 1, 12) AS BIGINT) / 281474976710656.0 < 0.2)

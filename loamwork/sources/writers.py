@@ -1,4 +1,4 @@
-"""Writers: CSV, tables, JSON documents and dated folders."""
+"""Writers: CSV, tables, text files, JSON documents and dated folders."""
 
 from __future__ import annotations
 
@@ -43,6 +43,12 @@ def write_csv_dated(df: DataFrame, folder: str, run_date: str) -> str:
     return path
 
 
+def write_texts(blocks: DataFrame, path: str, owner: str, order: list[str], text: str = "text") -> None:
+    """One text file per owner below ``path/owner=...``: its blocks in order. The blocks are sorted, never gathered."""
+    placed = blocks.withColumn("_owner", F.col(owner).cast("string")).repartition("_owner").sortWithinPartitions("_owner", *order)
+    placed.select(F.col(text).alias("value"), F.col("_owner").alias("owner")).write.mode("overwrite").partitionBy("owner").text(path)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -92,6 +92,12 @@ def test_genericness_examples(spark):
     assert [(g.score, g.is_generic) for g in got] == [(0.94, True), (0.0, False), (0.62, True)]
 
 
+def test_lists_are_parameters(spark):
+    assert apply(spark, "string", ["Wanted: rust", "required"], lambda c: R.detect_section(c, must=["wanted"], nice=[])) == ["must", None]
+    assert apply(spark, "string", ["rust", "b2"], lambda c: R.classify_category(c, {"metal": ["rust"]})) == ["metal", "other"]
+    assert apply(spark, "string", ["the big Rust"], lambda c: R.requirement_key(c, {"x": "y"}, ["big"], {"the rust": "rust"})) == ["rust"]
+
+
 def test_requirement_keys(spark):
     raw = ["Znalosť SQL", "  MS   Excel ", "Prax v Linux", "REST APIs", "English language", "R&D"]
     assert apply(spark, "string", raw, R.requirement_key) == ["sql", "microsoft excel", "linux", "rest api", "anglictina", "r and d"]

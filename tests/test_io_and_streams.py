@@ -104,3 +104,12 @@ def test_dead_hosts(spark):
     hosts = spark.createDataFrame([("a",), ("b",)], "host string")
     got = sorted(map(tuple, ST.with_dead_rows(samples, hosts, "host", "cycle", ["m"]).collect()), key=str)
     assert got == [("c1", "a", "5", None), ("c1", "b", "NO_DATA", "unreachable"), ("c2", "a", "NO_DATA", "unreachable"), ("c2", "b", "NO_DATA", None)]
+
+
+def test_one_text_file_per_owner(spark, tmp_path):
+    from loamwork.sources import writers
+
+    rows = [(u, s, p, f"{u} {s} {p}") for p in range(20) for s in (2, 0, 1) for u in ("ann", "bob")]
+    writers.write_texts(spark.createDataFrame(rows, "who string, section int, place int, text string").repartition(6), str(tmp_path / "r"), "who", ["section", "place"])
+    files = list((tmp_path / "r" / "owner=ann").glob("part-*"))
+    assert len(files) == 1 and files[0].read_text().splitlines() == [f"ann {s} {p}" for s in (0, 1, 2) for p in range(20)]
