@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -185,6 +187,23 @@ def in_tiles(members: DataFrame, group: list[str], member: str, block: int) -> D
     return other.withColumn("_ti", F.least("_own", "_other")).withColumn("_tj", F.greatest("_own", "_other")).drop("_other", "_blocks")
 
 
+def join_dealt(rows: DataFrame, sized: DataFrame, keys: Sequence[str], n: str, total: int, share: int = 10_000, part: int = 128) -> DataFrame:
+    """Left join of ``rows`` with ``sized``, which has one row per key and in ``n`` how many of the ``total`` rows have it.
+
+    Keys with at least one of ``share`` parts of all rows are hot: there are ``share`` of them at most, so their list
+    may be broadcast. The rows of a hot key are dealt into parts, and its row of ``sized`` is repeated for every part, so
+    that no key meets in one task. Keys must not be NULL in ``sized``.
+    """
+    hot = (F.col(n) * share >= max(total, 1)) & (F.col(n) >= 2 * part)
+    parts = F.when(hot, F.least(F.ceil(F.col(n) * share / F.lit(max(total, 1))), F.ceil(F.col(n) / part))).otherwise(1).cast("long")
+    listed = sized.filter(hot).select(*[F.col(k).alias(f"_hot_{k}") for k in keys], parts.alias("_parts"))
+    same = reduce(and_, [F.col(k) == F.col(f"_hot_{k}") for k in keys])
+    mine = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.coalesce("_parts", F.lit(1))))
+    dealt = rows.join(F.broadcast(listed), same, "left").withColumn("_part", mine.cast("long")).drop("_parts", *[f"_hot_{k}" for k in keys])
+    repeated = sized.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    return dealt.join(repeated, [*keys, "_part"], "left").drop("_part")
+
+
 def sorted_by(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of equal keys side by side in one partition."""
     return df.repartition(*keys).sortWithinPartitions(*keys)

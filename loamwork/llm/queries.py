@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm import benchmark, language, lines, minhash, packing, shards, substrings, suffixes, tokens, vectors
+from loamwork.llm import alignment, benchmark, copies, language, lines, minhash, packing, search, shards, substrings, suffixes, tokens, vectors
 from loamwork.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,6 +142,27 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM marked GROUP BY doc_id
 """
 
+SEARCH_SQL = rf"""
+WITH pattern AS (SELECT '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS p),
+d AS (SELECT row_number() OVER () AS r, doc_id, list_transform(regexp_extract_all(coalesce(text, ''), p), lambda x: {LOWER.format("x")}) AS ws FROM documents, pattern),
+facts AS (SELECT count(*) FILTER (WHERE len(ws) > 0)::BIGINT AS nn, sum(len(ws))::BIGINT AS ll FROM d),
+q AS (SELECT DISTINCT item_id, unnest(list_transform(regexp_extract_all(coalesce(text, ''), p), lambda x: {LOWER.format("x")})) AS term FROM benchmark, pattern WHERE item_id IS NOT NULL),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ws) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, facts GROUP BY term),
+m AS (SELECT r, doc_id, 100 - 90 + ((90 * len(ws)::BIGINT * nn) // ll) AS m FROM d, facts WHERE len(ws) > 0),
+scores AS (
+  SELECT item_id, m.r, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m ON m.r = tf.r GROUP BY item_id, m.r),
+ranks AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 10
+"""
+
+COPIES_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS plain FROM documents)
+SELECT doc_id, min(doc_id) OVER own AS keep_id, count(*) OVER own AS group_size, doc_id IS NOT DISTINCT FROM min(doc_id) OVER own AS kept, sha256(plain) AS text_sha256
+FROM t WINDOW own AS (PARTITION BY plain)
+"""
+
 
 @query("op1_minhash_near_dedup", NEAR_DUPLICATES_SQL)
 def op1_minhash_near_dedup(spark, sf):
@@ -196,3 +217,18 @@ def op9_line_dedup(spark, sf):
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark, sf):
     return packing.pack_best_fit(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("op11_ranked_search", SEARCH_SQL)
+def op11_ranked_search(spark, sf):
+    return search.ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op12_tokenizer_alignment")
+def op12_tokenizer_alignment(spark, sf):
+    return alignment.align_tokenizers(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_exact_dedup", COPIES_SQL)
+def op13_exact_dedup(spark, sf):
+    return copies.exact_copies(table(spark, sf, "documents"))
