@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import and_
@@ -14,6 +15,9 @@ from pyspark.sql import types as T
 
 from loamwork.session import cut_lineage, scratch_folder
 
+#: Stretches from this length on are hashed by a digest: modulo 2^64, words can be built whose polynomials agree for any base.
+LONG = 256
+
 #: White space of the word contracts: tab to carriage return, and the blank.
 SPACE = b"\t\n\x0b\x0c\r "
 
@@ -104,6 +108,13 @@ class PrefixHash:
     def bytes(self, text: np.ndarray) -> np.ndarray:
         return self.sums(self.values[text])
 
+    def words(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the words [start, end) of a text."""
+        out = self.of(self.bytes(text), starts, ends)
+        for i in np.flatnonzero(ends - starts >= LONG).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(text[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+        return out
+
 
 def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs without white space."""
@@ -187,8 +198,8 @@ def in_tiles(members: DataFrame, group: list[str], member: str, block: int) -> D
     return other.withColumn("_ti", F.least("_own", "_other")).withColumn("_tj", F.greatest("_own", "_other")).drop("_other", "_blocks")
 
 
-def join_dealt(rows: DataFrame, sized: DataFrame, keys: Sequence[str], n: str, total: int, share: int = 10_000, part: int = 128) -> DataFrame:
-    """Left join of ``rows`` with ``sized``, which has one row per key and in ``n`` how many of the ``total`` rows have it.
+def join_dealt(rows: DataFrame, sized: DataFrame, keys: Sequence[str], n: str, total: int, how: str = "left", share: int = 10_000, part: int = 128) -> DataFrame:
+    """Join of ``rows`` with ``sized``, which has one row per key and in ``n`` how many of the ``total`` rows with such keys have it.
 
     Keys with at least one of ``share`` parts of all rows are hot: there are ``share`` of them at most, so their list
     may be broadcast. The rows of a hot key are dealt into parts, and its row of ``sized`` is repeated for every part, so
@@ -201,7 +212,12 @@ def join_dealt(rows: DataFrame, sized: DataFrame, keys: Sequence[str], n: str, t
     mine = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.coalesce("_parts", F.lit(1))))
     dealt = rows.join(F.broadcast(listed), same, "left").withColumn("_part", mine.cast("long")).drop("_parts", *[f"_hot_{k}" for k in keys])
     repeated = sized.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    return dealt.join(repeated, [*keys, "_part"], "left").drop("_part")
+    return dealt.join(repeated, [*keys, "_part"], how).drop("_part")
+
+
+def total_of(sized: DataFrame, n: str = "n") -> int:
+    """Sum of a column of counts."""
+    return sized.agg(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("n")).first()["n"]
 
 
 def sorted_by(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ class Shingler:
         text = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
         begin = np.cumsum([0, *[len(t) + 1 for t in texts]])
         starts, ends = word_spans(text)
-        words = self.hashes.of(self.hashes.bytes(text), starts, ends)
+        words = self.hashes.words(text, starts, ends)
         bounds = np.searchsorted(starts, begin).tolist()
         rolled = self.rolled(words)
         out = []
@@ -62,6 +63,12 @@ class Shingler:
         return total
 
 
+def shingles(text: bytes, width: int) -> set[tuple[bytes, ...]]:
+    """The shingles themselves."""
+    words = text.lower().split()
+    return set(zip(*(words[k:] for k in range(width)), strict=False)) if len(words) >= width else {tuple(words)} if words else set()
+
+
 class CirculantMinHash:
     """All coordinates from two permutations of one universe.
 
@@ -69,21 +76,24 @@ class CirculantMinHash:
     coordinate: coordinate k of a set is the least ``second[(first[x] + k) mod size]`` over its elements x.
     """
 
-    def __init__(self, coordinates: int, bits: int = 18, seed: int = 20) -> None:
+    def __init__(self, coordinates: int, bits: int = 22, seed: int = 20) -> None:
         draw = np.random.default_rng(seed)
         self.size, self.coordinates = 1 << bits, coordinates
         self.first = draw.permutation(self.size).astype(np.int64)
         second = draw.permutation(self.size).astype(np.uint32)
         self.second = np.concatenate((second, second[:coordinates]))
+        #: row p holds the values at places p, p + 1, ... for all coordinates
+        self.windows = np.lib.stride_tricks.sliding_window_view(self.second, coordinates)
 
     def sketch(self, sets: list[np.ndarray]) -> np.ndarray:
         """Coordinates by rows, one column for each set; sets must not be empty."""
         places = self.first[(np.concatenate(sets) & np.uint64(self.size - 1)).astype(np.int64)]
-        starts = np.cumsum([0, *[len(s) for s in sets[:-1]]])
-        out = np.empty((self.coordinates, len(sets)), np.uint32)
-        for k in range(self.coordinates):
-            np.minimum.reduceat(self.second[k : k + self.size][places], starts, out=out[k])
-        return out
+        out, start = np.empty((len(sets), self.coordinates), np.uint32), 0
+        for row, end in zip(out, np.cumsum([len(s) for s in sets]).tolist(), strict=True):
+            parts = [self.windows[places[i : min(i + 512, end)]].min(0) for i in range(start, end, 512)]
+            np.minimum.reduce(parts, out=row)
+            start = end
+        return out.T
 
 
 def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
@@ -126,7 +136,7 @@ def sketched(docs: DataFrame, width: int, kind: str) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int, kind: str) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the similarity.
+    """Pairs (a, b) whose full shingle sets reach the similarity, by their hashes first and then by the shingles themselves.
 
     Every hub ``a`` meets its members in a stream sorted by hub: one set is held at a time. A hub of many members
     is dealt to several streams.
@@ -143,12 +153,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int, kind
         shingler, hub, own = Shingler(width), None, []
         for batch in batches:
             for part in slices(batch):
-                found = {"a": [], "b": []}
-                for a, b, s in zip(part.column("a").to_pylist(), part.column("b").to_pylist(), shingler.sets(raw_texts(part)), strict=True):
+                found, texts = {"a": [], "b": []}, raw_texts(part)
+                for a, b, s, t in zip(part.column("a").to_pylist(), part.column("b").to_pylist(), shingler.sets(texts), texts, strict=True):
                     if b is None:
-                        own = [*own, s] if a == hub else [s]
+                        own = [*own, Document(s, t, width)] if a == hub else [Document(s, t, width)]
                         hub = a
-                    elif a == hub and any(alike(s, o, percent) for o in own):
+                    elif a == hub and any(o.alike(Document(s, t, width), percent) for o in own):
                         found["a"].append(a)
                         found["b"].append(b)
                 if found["a"]:
@@ -157,6 +167,26 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int, kind
     return stream.mapInArrow(run, ddl)
 
 
+class Document:
+    """A text's hashed shingles, and the shingles themselves once they are asked for."""
+
+    def __init__(self, hashed: np.ndarray, text: bytes, width: int) -> None:
+        self.hashed, self.text, self.width = hashed, text, width
+
+    @cached_property
+    def shingles(self) -> set[tuple[bytes, ...]]:
+        return shingles(self.text, self.width)
+
+    def alike(self, other: Document, percent: int) -> bool:
+        """Hashes rule out most pairs; the others are decided on the words."""
+        if not alike(self.hashed, other.hashed, percent):
+            return False
+        if self.text == other.text:
+            return True
+        both = len(self.shingles & other.shingles)
+        return 100 * both >= percent * (len(self.shingles) + len(other.shingles) - both)
+
+
 def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Sorted distinct arrays with 100 * intersection >= percent * union."""
     small, large = (x, y) if len(x) <= len(y) else (y, x)
@@ -214,8 +244,9 @@ def tile_links(tiles: DataFrame, width: int, percent: int, kind: str) -> DataFra
                     continue
                 for i in pair:
                     if i not in sets:
-                        sets[i] = shingler.sets([(texts[int(i)].as_py() or "").encode()])[0]
-                if alike(sets[pair[0]], sets[pair[1]], percent):
+                        text = (texts[int(i)].as_py() or "").encode()
+                        sets[i] = Document(shingler.sets([text])[0], text, width)
+                if sets[pair[0]].alike(sets[pair[1]], percent):
                     root[p] = q
                     out["a"].append(nodes[int(pair[0])].as_py())
                     out["b"].append(nodes[int(pair[1])].as_py())

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import PrefixHash, map_batches, mix, slices, word_spans, written
+from loamwork.llm.common import PrefixHash, join_dealt, map_batches, mix, slices, total_of, word_spans, written
 
 
 class Units:
@@ -31,7 +31,7 @@ class Units:
         if not self.words:
             return self.text_hash.values[raw], None, None
         starts, ends = word_spans(raw)
-        return self.text_hash.of(self.text_hash.bytes(raw), starts, ends), starts, ends
+        return self.text_hash.words(raw, starts, ends), starts, ends
 
     def anchors(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and hashes of the least gram of every stretch."""
@@ -43,14 +43,21 @@ class Units:
         at = np.unique(least_places(grams, width))
         return at, grams[at].view(np.int64)
 
-    def contexts(self, values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For anchors: units before, units from the anchor on, and a 128-bit digest of the context in two halves."""
-        left = np.minimum(at, self.length - self.gram)
-        right = np.minimum(len(values) - at, self.length)
-        sums, other = self.unit_hash.sums(values), self.unit_hash.sums(mix(values))
-        salt = mix((left * 1_000_003 + right).astype(np.uint64))
-        digests = [mix(self.unit_hash.of(s, at - left, at + right) ^ salt).view(np.int64) for s in (sums, other)]
-        return left, right, *digests
+    def contexts(self, text: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For anchors: units before, units from the anchor on, and a 128-bit digest of the context's bytes in two halves."""
+        if self.words:
+            words = text.split()
+            text, n = b" ".join(words), len(words)
+            edges = np.cumsum([0, *[len(w) + 1 for w in words]])
+        else:
+            n, edges = len(text), None
+        left, right = np.minimum(at, self.length - self.gram), np.minimum(n - at, self.length)
+        starts, ends = at - left, at + right
+        if self.words:
+            starts, ends = edges[starts], edges[ends] - 1
+        digests = [hashlib.blake2b(text[a:b], digest_size=16, salt=k.to_bytes(8, "little")).digest() for a, b, k in zip(starts.tolist(), ends.tolist(), left.tolist(), strict=True)]
+        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        return left, right, halves[:, 0], halves[:, 1]
 
 
 def least_places(values: np.ndarray, width: int) -> np.ndarray:
@@ -122,8 +129,8 @@ class Repeats:
         """(doc_id, t1, t2, text, places, hashes): texts with shared anchors, and these anchors."""
         anchors = marked.select("t1", "t2", F.explode(F.arrays_zip("hashes", "places")).alias("a")).select("t1", "t2", F.col("a.hashes").alias("hash"), F.col("a.places").alias("place"))
         where = F.xxhash64("t1", "t2", "place")
-        shared = anchors.groupBy("hash").agg(F.min(where).alias("lo"), F.max(where).alias("hi")).filter("lo <> hi").select("hash")
-        hits = anchors.join(shared, "hash").groupBy("t1", "t2").agg(F.collect_set(F.struct("place", "hash")).alias("found"))
+        shared = written(anchors.groupBy("hash").agg(F.min(where).alias("lo"), F.max(where).alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("hash", "n"), "shared")
+        hits = join_dealt(anchors, shared, ["hash"], "n", total_of(shared), "inner").groupBy("t1", "t2").agg(F.collect_set(F.struct("place", "hash")).alias("found"))
         hits = written(hits, "anchors")
         heads = hits.join(copies, ["t1", "t2"]).select("t1", "t2", "head", "found")
         texts = self.rows.join(heads, ["t1", "t2"]).filter(F.col("doc_id").eqNullSafe(F.col("head")))
@@ -143,7 +150,7 @@ class Repeats:
                     whose = [part.column(c).to_pylist() for c in ("doc_id", "t1", "t2")]
                     for i, (text, places, hashes) in enumerate(zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("places"), part.column("hashes"), strict=True)):
                         at = places.values.to_numpy().astype(np.int64)
-                        left, right, d1, d2 = units.contexts(units.row(text)[0], at)
+                        left, right, d1, d2 = units.contexts(text, at)
                         for name, value in (("hash", hashes.values.to_numpy()), ("place", at), ("before", left), ("after", right), ("d1", d1), ("d2", d2)):
                             out[name].append(value)
                         for name, column in zip(("doc_id", "t1", "t2"), whose, strict=True):
@@ -158,10 +165,10 @@ class Repeats:
         return written(map_batches(candidates, ddl, make), "contexts")
 
     def distinct(self, contexts: DataFrame) -> DataFrame:
-        """(d1, d2, hash, before, after, several, doc_id, t1, t2, place): every context once, with its first place."""
+        """(d1, d2, n, hash, before, after, several, doc_id, t1, t2, place): every context once, with its first place."""
         order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t1", "t2", "place")
-        found = contexts.groupBy("d1", "d2").agg(F.min(order).alias("low"), F.max(order).alias("high"), F.min("hash").alias("hash"), F.min("before").alias("before"), F.min("after").alias("after"))
-        return written(found.select("d1", "d2", "hash", "before", "after", (F.col("low") != F.col("high")).alias("several"), "low.doc_id", "low.t1", "low.t2", "low.place"), "distinct")
+        found = contexts.groupBy("d1", "d2").agg(F.min(order).alias("low"), F.max(order).alias("high"), F.min("hash").alias("hash"), F.min("before").alias("before"), F.min("after").alias("after"), F.count("*").alias("n"))
+        return written(found.select("d1", "d2", "n", "hash", "before", "after", (F.col("low") != F.col("high")).alias("several"), "low.doc_id", "low.t1", "low.t2", "low.place"), "distinct")
 
     def compared(self, distinct: DataFrame, hot: int) -> DataFrame:
         """Distinct contexts whose anchor has others, with ``many``: whether it has more than ``hot``."""

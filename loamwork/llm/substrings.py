@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import arrow_schema, key_runs, written
+from loamwork.llm.common import arrow_schema, join_dealt, key_runs, total_of, written
 from loamwork.llm.repeats import Repeats
 
 #: Words of an anchor, and words of one shard's automaton, about.
@@ -168,10 +168,11 @@ def drop_repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "tex
     cold = shard_matches(steps.fetched(wanted.filter("not many"), candidates), length, steps.kind)
     warm = hot_matches(steps.fetched(wanted.filter("many"), candidates), length, steps.kind)
     own = written(cold.unionByName(warm).groupBy("d1", "d2").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "matches")
-    known = distinct.select("d1", "d2", F.col("t1").alias("f1"), F.col("t2").alias("f2"), F.col("place").alias("f_place"), "several").join(own, ["d1", "d2"], "left").filter("several or lo is not null")
+    known = distinct.select("d1", "d2", "n", F.col("t1").alias("f1"), F.col("t2").alias("f2"), F.col("place").alias("f_place"), "several").join(own, ["d1", "d2"], "left").filter("several or lo is not null")
+    known = written(known, "known")
     first = (F.col("t1") == F.col("f1")) & (F.col("t2") == F.col("f2")) & (F.col("place") == F.col("f_place"))
     begin = F.col("place") - F.col("before")
     start = F.when(first, begin + F.col("lo")).when(F.col("before") + F.col("after") >= length, begin)
     end = F.when(first, begin + F.col("hi") + length).otherwise(F.col("place") + F.col("after"))
-    spans = contexts.join(known, ["d1", "d2"]).select("t1", "t2", start.alias("start"), end.alias("end")).filter("start is not null")
+    spans = join_dealt(contexts, known, ["d1", "d2"], "n", total_of(known), "inner").select("t1", "t2", start.alias("start"), end.alias("end")).filter("start is not null")
     return steps.result(marked, copies, steps.judged(spans, candidates), id, first_stays=True)

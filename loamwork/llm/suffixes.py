@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.common import PrefixHash, arrow_schema, mix, written
+from loamwork.llm.common import PrefixHash, arrow_schema, join_dealt, mix, total_of, written
 from loamwork.llm.repeats import Repeats
 
 #: Bytes of an anchor, with which its suffixes begin.
@@ -178,9 +178,9 @@ def drop_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text",
     contexts = steps.contexts(candidates)
     distinct = steps.distinct(contexts)
     own = compared_ranges(steps.fetched(steps.compared(distinct, hot), candidates), length)
-    known = distinct.select("d1", "d2", "several").join(own, ["d1", "d2"], "left").filter("several or lo is not null")
+    known = written(distinct.select("d1", "d2", "n", "several").join(own, ["d1", "d2"], "left").filter("several or lo is not null"), "known")
     whole = F.col("several") & (F.col("before") + F.col("after") >= length)
     start = F.when(whole, F.col("place") - F.col("before")).otherwise(F.col("place") - F.col("hi"))
     end = F.when(whole, F.col("place") + F.col("after")).otherwise(F.col("place") - F.col("lo") + length)
-    spans = contexts.join(known, ["d1", "d2"]).select("t1", "t2", start.alias("start"), end.alias("end")).filter("start is not null")
+    spans = join_dealt(contexts, known, ["d1", "d2"], "n", total_of(known), "inner").select("t1", "t2", start.alias("start"), end.alias("end")).filter("start is not null")
     return steps.result(marked, copies, steps.judged(spans, candidates), id, first_stays=False)

@@ -36,13 +36,13 @@ class StableHash:
 
 
 def hashed(vectors: DataFrame, kind: str) -> DataFrame:
-    """(node, label, size, buckets, marks, raw): 32-bit marks of the buckets, and the components as doubles."""
+    """(node, label, n, size, buckets, marks, raw): 32-bit marks of the buckets, and the components, scaled, as doubles."""
 
     def make():
         hashes: dict[int, StableHash] = {}
 
         def step(batch):
-            ids, labels = batch.column("node").to_pylist(), batch.column("label").to_pylist()
+            ids, labels, copies = (batch.column(c).to_pylist() for c in ("node", "label", "n"))
             by_size: dict[int, list] = {}
             for i, v in enumerate(batch.column("vector").to_pylist()):
                 by_size.setdefault(len(v), []).append((i, v))
@@ -50,6 +50,9 @@ def hashed(vectors: DataFrame, kind: str) -> DataFrame:
                 if size not in hashes:
                     hashes[size] = StableHash(size)
                 raw = np.array([v for _, v in rows], np.float64)
+                if size:  # squares must neither overflow nor vanish; a power of two changes no cosine
+                    largest = np.abs(raw).max(1)
+                    raw = np.ldexp(raw, -np.frexp(np.where(np.isfinite(largest), largest, 0))[1][:, None])
                 norms = np.sqrt((raw * raw).sum(1))
                 good = np.isfinite(raw).all(1) & np.isfinite(norms) & (norms > 0)
                 raw, at = raw[good], [i for (i, _), g in zip(rows, good, strict=True) if g]
@@ -58,18 +61,22 @@ def hashed(vectors: DataFrame, kind: str) -> DataFrame:
                 keys = hashes[size].buckets(raw / norms[good, None])
                 marks = (keys & 0x7FFFFFFF).astype(np.int32)
                 yield {
-                    "node": [ids[i] for i in at], "label": [labels[i] for i in at], "size": [size] * len(at),
+                    "node": [ids[i] for i in at], "label": [labels[i] for i in at], "n": [copies[i] for i in at], "size": [size] * len(at),
                     "buckets": list(keys), "marks": [m.tobytes() for m in marks], "raw": [r.tobytes() for r in raw],
                 }
 
         return step
 
-    return map_batches(vectors, f"node {kind}, label string, size int, buckets array<long>, marks binary, raw binary", make)
+    return map_batches(vectors, f"node {kind}, label string, n long, size int, buckets array<long>, marks binary, raw binary", make)
 
 
 def close_in_tiles(entries: DataFrame, least: float, kind: str) -> DataFrame:
-    """Pairs (a, b) of one bucket with a cosine of ``least`` or more, each from the first table that has both."""
-    ddl = f"a {kind}, b {kind}"
+    """Pairs of one bucket with a cosine of ``least`` or more, each counted in the first table that has both.
+
+    A tile gives (a, NULL, n), the copies that a vector links to, and (a, b, 0), as many links as it takes to join what the
+    tile joins. So its rows grow with its vectors, not with its pairs.
+    """
+    ddl = f"a {kind}, b {kind}, n long"
     schema = arrow_schema(ddl)
 
     def run(batches):
@@ -91,7 +98,18 @@ def close_in_tiles(entries: DataFrame, least: float, kind: str) -> DataFrame:
                 first = (marks[i, :t] != marks[j, :t]).all(1)
                 i, j = i[first], j[first]
             if len(i):
-                yield pa.RecordBatch.from_pydict({"a": np.minimum(nodes[i], nodes[j]), "b": np.maximum(nodes[i], nodes[j])}, schema=schema)
+                copies = tile.column("n").to_numpy()
+                counts = np.bincount(i, copies[j], len(nodes)) + np.bincount(j, copies[i], len(nodes))
+                lowest, before = np.arange(len(nodes)), None
+                while before is None or (lowest != before).any():
+                    before = lowest.copy()
+                    np.minimum.at(lowest, i, lowest[j])
+                    np.minimum.at(lowest, j, lowest[i])
+                    lowest = lowest[lowest]
+                counted, joined = np.flatnonzero(counts), np.flatnonzero(lowest != np.arange(len(nodes)))
+                rows = np.concatenate((counted, joined))
+                b = [None] * len(counted) + nodes[lowest[joined]].tolist()
+                yield pa.RecordBatch.from_pydict({"a": nodes[rows].tolist(), "b": b, "n": np.concatenate((counts[counted].astype(np.int64), np.zeros(len(joined), np.int64)))}, schema=schema)
 
     group = ["label", "size", "t", "bucket"]
     return sorted_by(in_tiles(entries, group, "node", BLOCK), [*group, "_ti", "_tj"]).mapInArrow(run, ddl)
@@ -113,14 +131,12 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     marked = rows.withColumn("copy", F.when(usable, F.sha2(F.concat_ws(",", F.col("vector").cast("array<string>")), 256)))
     groups = marked.filter("copy is not null").groupBy("label", "copy").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"), F.first("vector").alias("vector"))
     nodes = cut_lineage(groups.filter(F.size("vector") > 0))
-    found = cut_lineage(hashed(nodes.select("node", "label", "vector"), kind))
-    entries = found.select("node", "label", "size", "marks", "raw", F.posexplode("buckets").alias("t", "bucket"))
+    found = cut_lineage(hashed(nodes.select("node", "label", "n", "vector"), kind))
+    entries = found.select("node", "label", "n", "size", "marks", "raw", F.posexplode("buckets").alias("t", "bucket"))
     shared = entries.groupBy("label", "size", "t", "bucket").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     pairs = cut_lineage(close_in_tiles(entries.join(shared, ["label", "size", "t", "bucket"], "left_semi"), least, kind))
-    counted = nodes.select(F.col("node").alias("b"), "n")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = both.join(counted, "b").groupBy(F.col("a").alias("_a")).agg(F.sum("n").alias("_links"))
-    reached = components(pairs)
+    links = pairs.filter("b is null").groupBy(F.col("a").alias("_a")).agg(F.sum("n").alias("_links"))
+    reached = components(pairs.filter("b is not null"))
     valid = found.select(F.col("node").alias("_node"))
     per_copy = (
         nodes.select("label", "copy", "node", "n").join(valid, F.col("node") == F.col("_node"), "left").join(links, F.col("node") == F.col("_a"), "left").join(reached, "node", "left")
