@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -12,13 +12,8 @@ from pyspark.sql import functions as F
 
 from loamwork.llm.common import arrow_schema, join_dealt, map_batches, slices, written
 
-#: Distinct chunks, and the longest ones, that a task remembers; the memory is emptied when it is full.
-REMEMBERED, LONGEST = 150_000, 64
-
-#: A blank that stands alone between other characters: both tokenizers cut in front of it.
-LONE = re.compile(r"(?<=\S) (?=\S)")
-#: Texts without this are cut at every blank.
-HARD = re.compile(r"^\s|\s$| \s|\s ")
+#: Bytes of text that are aligned at once, about.
+SLICE = 1 << 20
 
 #: The mark that stands for a blank in the pieces of the second tokenizer.
 MARK = "▁"
@@ -32,121 +27,90 @@ def byte_level() -> dict[str, int]:
 
 
 class Aligner:
-    """Token ids of both tokenizers and their common byte ends, chunk by chunk with a memory.
-
-    A chunk begins with a blank that has no white space next to it, or at the start. The byte-level pattern cuts before
-    such a blank. No piece holds a mark behind another character, so no merge of pieces crosses it either. A model for which
-    this does not hold gets its texts whole.
-    """
+    """Token ids of both tokenizers for whole texts, and their common byte ends."""
 
-    def __init__(self, bpe: str, pieces: str) -> None:
+    def __init__(self, bpe: str, ranks: str | None, pieces: str) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(bpe)
         self.a.encode_special_tokens = True
-        to_byte = byte_level()
-        self.a_bytes = {i: bytes(to_byte[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in to_byte for c in t)}
+        self.quick = None
+        if ranks:
+            import public_tokenizers
+            import tiktoken
+
+            table = {base64.b64decode(x): int(y) for x, y in map(bytes.split, open(ranks, "rb"))}
+            self.quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
-        self.cut = not any(MARK in p.lstrip(MARK) for p in names)
-        self.known: dict[str, tuple] = {}
-        #: pairs of ids by their number in this task, as a * 2**32 + b
-        self.pairs: list[int] = []
-        self.numbers: dict[int, int] = {}
-
-    def chunks(self, text: str) -> list[str]:
-        """Chunks of blank + text, without the blank that each begins with."""
-        if not self.cut:
-            return [text]
-        return LONE.split(text) if HARD.search(text) else text.split(" ")
-
-    def learn(self, chunks: list[str]) -> dict[str, tuple]:
-        """(tokens of a, of b, groups, pair numbers, groups as text) of new chunks; None where bytes are lost."""
-        found = {}
-        for chunk, a, b in zip(chunks, self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False), self.b.encode(chunks, num_threads=1), strict=True):
-            whole = b" " + chunk.encode()
-            a_bytes, b_bytes = [self.a_bytes[i] for i in a.ids], [self.b_bytes[i] for i in b]
-            found[chunk] = self.aligned(a.ids, a_bytes, b, b_bytes) if b"".join(a_bytes) == whole == b"".join(b_bytes) else None
-        return found
-
-    def aligned(self, a: list[int], a_bytes: list[bytes], b: list[int], b_bytes: list[bytes]) -> tuple:
-        groups, linked, i, j, first_i, first_j, end_a, end_b = [], [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a += len(a_bytes[i])
-                i += 1
-            else:
-                end_b += len(b_bytes[j])
-                j += 1
-            if end_a == end_b:  # tokens are not empty, so one of each ends here
-                groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-                pair = (a[i - 1] << 32) + b[j - 1]
-                number = self.numbers.get(pair)
-                if number is None:
-                    number = self.numbers[pair] = len(self.pairs)
-                    self.pairs.append(pair)
-                linked.append(number)
-                first_i, first_j = i, j
-        return len(a), len(b), len(groups), np.array(linked, np.int32).tobytes(), ";".join(groups)
-
-    def texts(self, texts: list[str]) -> list[tuple | None]:
-        """The same for whole texts, with SHA-256 of the groups; None where bytes are lost."""
-        split = [self.chunks(t) for t in texts]
-        wanted = {c for cs in split for c in cs}
-        if len(self.known) + len(wanted) > REMEMBERED:
-            self.known.clear()
-        new = [c for c in wanted if c not in self.known]
-        own = self.learn(new) if new else {}
-        self.known.update({c: v for c, v in own.items() if len(c) <= LONGEST})
-        at = {**self.known, **own} if any(len(c) > LONGEST for c in new) else self.known
-        out = []
-        for chunks in split:
-            rows = [at[c] for c in chunks]
-            if None in rows:
-                out.append(None)
-                continue
-            n_a, n_b, n_groups, links, groups = zip(*rows, strict=True)
-            out.append((sum(n_a), sum(n_b), sum(n_groups), b"".join(links), hashlib.sha256(";".join(groups).encode()).hexdigest()))
+        to_byte, names = byte_level(), {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        b_names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.a_tokens = [bytes(to_byte.get(c, 63) for c in names.get(i, "?")) for i in range(max(names) + 1)]
+        self.b_tokens = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(b_names)]
+        self.a_lengths, self.b_lengths = (np.array([len(t) for t in tokens], np.int64) for tokens in (self.a_tokens, self.b_tokens))
+        #: an id's number in decimal, followed by what stands behind it: inside and at the end of its side of a group
+        self.words = [b"%d%s" % (i, c) for n, ends in ((len(self.a_tokens), b",|"), (len(self.b_tokens), b",;")) for i in range(n) for c in (ends[:1], ends[1:])]
+
+    def encoded(self, text: str) -> list[int]:
+        """Ids of blank + text. Latin texts without very long words take the rank file of the same vocabulary, which is faster."""
+        if self.quick is not None and (text.isascii() or max(text) < "ɐ") and max(map(len, text.split()), default=0) < 2000:
+            return self.quick.encode_ordinary(" " + text)
+        return self.a.encode(" " + text, add_special_tokens=False).ids
+
+    def texts(self, texts: list[str]) -> dict[str, list]:
+        """Counts, pair codes and digests of whole texts; zeros, no pairs and an empty digest where bytes are lost."""
+        out = {"n_a": [0] * len(texts), "n_b": [0] * len(texts), "n_groups": [0] * len(texts), "pairs": [np.empty(0, np.int64)] * len(texts), "groups_sha256": [""] * len(texts)}
+        for i, (text, b) in enumerate(zip(texts, self.b.encode(texts, num_threads=1), strict=True)):
+            a, whole = self.encoded(text), b" " + text.encode()
+            if b"".join(map(self.a_tokens.__getitem__, a)) == whole == b"".join(map(self.b_tokens.__getitem__, b)):
+                pairs, groups = self.aligned(np.array(a, np.int64), np.array(b, np.int64))
+                for name, value in (("n_a", len(a)), ("n_b", len(b)), ("n_groups", len(pairs)), ("pairs", pairs), ("groups_sha256", hashlib.sha256(groups).hexdigest())):
+                    out[name][i] = value
         return out
 
-
-def measured(texts: DataFrame, bpe: str, pieces: str) -> DataFrame:
+    def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """Codes a * 2**32 + b of the ids that end together, and the groups as text. Tokens are not empty, so one of each ends there."""
+        ends_a, ends_b = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+        place = np.searchsorted(ends_b, ends_a)
+        last_a = ends_b[place] == ends_a
+        at_a, at_b = np.flatnonzero(last_a), place[last_a]
+        last_b = np.zeros(len(b), bool)
+        last_b[at_b] = True
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        # in the text, a group's ids of a follow all of b in the groups before, its ids of b follow its ids of a
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.concatenate(([0], at_b + 1))[group_a]] = 2 * a + last_a
+        order[np.arange(len(b)) + at_a[group_b] + 1] = 2 * (len(self.a_tokens) + b) + last_b
+        return (a[at_a] << 32) + b[at_b], b"".join(map(self.words.__getitem__, order.tolist()))[:-1]
+
+
+def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes with the sums of their counts."""
+    own, place = np.unique(codes, return_inverse=True)
+    return own, np.bincount(place, counts, len(own)).astype(np.int64)
+
+
+def measured(texts: DataFrame, bpe: str, ranks: str | None, pieces: str) -> DataFrame:
     """Rows of two kinds: (key, n, n_a, n_b, n_groups, groups_sha256, links) for a text, (pairs, counts) for a task.
 
-    texts(key, text, n): distinct texts with their copies. ``links`` are pair codes a * 2**32 + b, eight bytes each; a task's
-    counts are weighted by ``n``.
+    texts(key, text, n): distinct texts with their copies. ``links`` are pair codes, eight bytes each; a task's counts
+    are weighted by ``n``. They are held in the task, bounded by the vocabularies (see ``corpus_measures``).
     """
-
     ddl = "key binary, n long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary, pairs array<long>, counts array<long>"
     schema = arrow_schema(ddl)
 
     def run(batches):
-        aligner, totals = Aligner(bpe, pieces), np.zeros(0, np.int64)
+        aligner, pairs, counts = Aligner(bpe, ranks, pieces), np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
-            for part in slices(batch, 4 << 20):
+            for part in slices(batch, SLICE):
                 found = aligner.texts(part.column("text").to_pylist())
-                copies = part.column("n").to_numpy()
-                codes = np.array(aligner.pairs, np.int64)
-                numbers = [np.frombuffer(f[3], np.int32) if f else np.empty(0, np.int32) for f in found]
-                totals = np.concatenate((totals, np.zeros(len(codes) - len(totals), np.int64)))
-                every = np.concatenate(numbers)
-                weights = np.repeat(copies, [len(x) for x in numbers])
-                for weight in np.unique(weights):
-                    totals += weight * np.bincount(every[weights == weight], minlength=len(codes))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "key": part.column("key"), "n": part.column("n"),
-                        **{name: [f[i] if f else 0 for f in found] for i, name in enumerate(("n_a", "n_b", "n_groups"))},
-                        "groups_sha256": [f[4] if f else "" for f in found], "links": [codes[x].tobytes() for x in numbers],
-                        "pairs": [None] * len(found), "counts": [None] * len(found),
-                    },
-                    schema=schema,
-                )
-        if aligner.pairs:
-            row = {name: [None] for name in schema.names}
-            yield pa.RecordBatch.from_pydict({**row, "pairs": [aligner.pairs], "counts": [totals]}, schema=schema)
+                own = found.pop("pairs")
+                weights = np.repeat(part.column("n").to_numpy(), [len(x) for x in own])
+                pairs, counts = summed(np.concatenate((pairs, *own)), np.concatenate((counts, weights)))
+                row = {"key": part.column("key"), "n": part.column("n"), **found, "links": [x.tobytes() for x in own], "pairs": [None] * len(own), "counts": [None] * len(own)}
+                yield pa.RecordBatch.from_pydict(row, schema=schema)
+        if len(pairs):
+            yield pa.RecordBatch.from_pydict({**{name: [None] for name in schema.names}, "pairs": [pairs], "counts": [counts]}, schema=schema)
 
     return texts.mapInArrow(run, ddl)
 
@@ -189,11 +153,12 @@ def corpus_measures(aligned: DataFrame) -> DataFrame:
     return map_batches(aligned.filter("key is not null").select("key", "n", "n_a", "n_b", "n_groups", "groups_sha256", "links"), ddl, make)
 
 
-def align_tokenizers(docs: DataFrame, bpe: str, pieces: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+def align_tokenizers(docs: DataFrame, bpe: str, pieces: str, ranks: str | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: (id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256): how two tokenizers cut the texts.
 
     ``bpe`` (a byte-level file of ``tokenizers``) encodes blank + text, ``pieces`` (a sentencepiece file that adds the blank
-    itself) the text, both without special tokens, whose strings are plain text. Byte offsets where tokens of both end
+    itself) the text, both without special tokens, whose strings are plain text; ``ranks`` may name the ranks of the first
+    vocabulary, for speed. Byte offsets where tokens of both end
     cut them into groups; the two tokens that end there are linked. The count of a pair of ids is the number of its
     links in all rows, copies included; a link is best if no other pair of its second id has a higher count.
 
@@ -208,7 +173,7 @@ def align_tokenizers(docs: DataFrame, bpe: str, pieces: str, id: str = "doc_id",
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     digest = F.unhex(F.sha2("text", 256)).alias("key")
     distinct = rows.filter(F.length("text") > 0).groupBy("text").agg(F.count("*").alias("n")).select(digest, "text", "n")
-    measures = written(corpus_measures(written(measured(distinct, bpe, pieces), "aligned")), "measures")
+    measures = written(corpus_measures(written(measured(distinct, bpe, ranks, pieces), "aligned")), "measures")
     keyed = rows.select("doc_id", F.when(F.length("text") > 0, digest).alias("key"))
     found = join_dealt(keyed, measures, ["key"], "n", keyed.count())
     numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]

@@ -226,7 +226,7 @@ def op11_ranked_search(spark, sf):
 
 @query("op12_tokenizer_alignment")
 def op12_tokenizer_alignment(spark, sf):
-    return alignment.align_tokenizers(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align_tokenizers(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 @query("op13_exact_dedup", COPIES_SQL)

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from loamwork.llm import alignment, copies, queries, search
 from loamwork.llm.common import join_dealt
 
-BPE, PIECES = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+BPE, PIECES, RANKS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"))
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -111,7 +111,7 @@ def token_bytes():
 
 
 def aligned(docs):
-    """Whole texts through both libraries, without chunks or memory."""
+    """Whole texts through both libraries, text by text, in plain Python."""
     a, b = token_bytes()
     links, rows, counts = [], [], Counter()
     for _, text in docs:
@@ -146,8 +146,8 @@ def test_alignment_of_the_small_table(spark, small, texts):
 
 def test_alignment_on_odd_rows(spark, odd, none):
     docs = [(r["doc_id"], r["text"]) for r in odd.collect()]
-    assert rows_of(alignment.align_tokenizers(odd, BPE, PIECES)) == aligned(docs)
-    assert alignment.align_tokenizers(none, BPE, PIECES).count() == 0
+    assert rows_of(alignment.align_tokenizers(odd, BPE, PIECES, RANKS)) == aligned(docs)
+    assert alignment.align_tokenizers(none, BPE, PIECES, RANKS).count() == 0
 
 
 def test_alignment_of_white_space_marks_bytes_and_long_texts(spark):
@@ -156,16 +156,16 @@ def test_alignment_of_white_space_marks_bytes_and_long_texts(spark):
         (6, "naïve 漢字 😀 ‍ \x00 \x1c x y 　z"), (7, "don't can't I'm"), (8, "x" * 300), (9, "nospace" * 30_000), (10, "some words again " * 70_000), (11, "some words again " * 70_000),
         (12, "▁"), (13, "é é"), (14, " \n \n lines"), (15, "a  "),
     ]
-    assert rows_of(alignment.align_tokenizers(spark.createDataFrame(docs, "doc_id long, text string"), BPE, PIECES)) == aligned(docs)
+    assert rows_of(alignment.align_tokenizers(spark.createDataFrame(docs, "doc_id long, text string"), BPE, PIECES, RANKS)) == aligned(docs)
 
 
-def test_alignment_with_emptied_memory_and_random_texts(spark, monkeypatch):
-    monkeypatch.setattr(alignment, "REMEMBERED", 40)
+def test_alignment_of_random_texts_with_and_without_ranks(spark):
     draw = random.Random(8)
     letters = "ab cd  e\n\t'ß漢 .,1▁"
     docs = [(i, "".join(draw.choices(letters, k=draw.choice([1, 5, 60])))) for i in range(300)]
     docs += [(500 + i, docs[3][1]) for i in range(300)]
-    assert rows_of(alignment.align_tokenizers(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), BPE, PIECES)) == aligned(docs)
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert rows_of(alignment.align_tokenizers(rows, BPE, PIECES, RANKS)) == rows_of(alignment.align_tokenizers(rows, BPE, PIECES)) == aligned(docs)
 
 
 # exact copies
