@@ -1,51 +1,133 @@
-"""Word-bounded term matching in texts by equality joins."""
+"""Word-bounded term matching: a trie of the terms, walked once over every text."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loamwork.session import cut_lineage
+
+#: Words and what is between them; ``\w`` is letters, numbers and the underscore.
+PARTS = re.compile(r"\w+|\W+")
+
+#: Bytes of terms in one trie, about; a trie takes some thirty times as much in a task.
+TRIE_BYTES = 4 << 20
+
+#: Bytes of text that are matched at once, about.
+SLICE = 4 << 20
+
+
+class TermTrie:
+    """Terms by their parts. The root is keyed by first words, so a position whose word begins no term is left at once."""
+
+    def __init__(self, terms: Iterable[tuple[str, str]]) -> None:
+        """terms: (term, its lower-case form); several terms may share a form."""
+        self.root: dict = {}
+        for term, low in terms:
+            node, parts = self.root, PARTS.findall(low)
+            if parts and PARTS.fullmatch("a" + parts[0]):  # a term that begins with a sign stands behind no word edge
+                for part in parts:
+                    node = node.setdefault(part, {})
+                node.setdefault(None, []).append(term)
+
+    def counts(self, low: str) -> dict[str, int]:
+        """How often each term stands in a lower-case text, from any word on."""
+        parts = PARTS.findall(low)
+        found: dict[str, int] = {}
+        root, n = self.root, len(parts)
+        for i in [i for i, p in enumerate(parts) if p in root]:
+            node = root[parts[i]]
+            while node is not None:
+                for term in node.get(None, ()):
+                    found[term] = found.get(term, 0) + 1
+                i += 1
+                node = node.get(parts[i]) if i < n else None
+        return found
+
 
-from loamwork.operators.joins import dictionary_join
-from loamwork.session import hold
+def term_blocks(terms: DataFrame, term: str) -> list:
+    """Broadcast lists of the distinct terms with their lower-case forms, of about TRIE_BYTES at most; one for a usual dictionary."""
+    known = cut_lineage(terms.select(F.col(term).alias("term"), F.lower(term).alias("low")).filter("low <> ''").distinct())
+    size = known.agg(F.coalesce(F.sum(F.octet_length("low") + 16), F.lit(0)).alias("n")).first()["n"]
+    blocks = size // TRIE_BYTES + 1
+    spark, out = terms.sparkSession, []
+    for k in range(blocks):
+        own = known.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == k).collect()  # TRIE_BYTES by measure
+        out.append(spark.sparkContext.broadcast([(r["term"], r["low"]) for r in own]))
+    return out
 
-PARTS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    first = total = 0
+    for i, n in enumerate(pa.compute.binary_length(batch.column("_low")).to_pylist()):
+        if total and total + (n or 0) > SLICE:
+            yield batch.slice(first, i - first)
+            first, total = i, 0
+        total += n or 0
+    yield batch.slice(first)
 
-def text_parts(c: Column) -> Column:
-    """Words and the text between them, alternating, lower-cased."""
-    return F.regexp_extract_all(F.lower(c), F.lit(PARTS), F.lit(0))
+
+def term_counts(texts: DataFrame, doc: str, text: str, terms: DataFrame, term: str) -> DataFrame:
+    """(doc, found): per text the array of (term, n), how often each term stands in it as whole words, any case.
+
+    A term of k parts (words and what is between them) equals k consecutive parts of the text that start at a word;
+    occurrences that share a word with the one before are counted as well. Texts without any term have an empty array, NULL
+    texts too.
+
+    A text is read once, in its row: only positions whose word begins a term go down the trie. Nothing is shuffled. A
+    dictionary of more than TRIE_BYTES is matched block by block; then a text has a row for each block, which are
+    brought together by document.
+    """
+    kind = texts.schema[doc].dataType
+    schema = T.StructType().add("doc", kind).add("found", T.ArrayType(T.StructType().add("term", T.StringType()).add("n", T.LongType())))
+    rows = texts.select(F.col(doc).alias("doc"), F.coalesce(F.lower(text), F.lit("")).alias("_low"))
+    blocks = term_blocks(terms, term)
+
+    def matched(block) -> DataFrame:
+        def run(batches):
+            from pyspark.sql.pandas.types import to_arrow_schema
+
+            trie, arrow = TermTrie(block.value), to_arrow_schema(schema)
+            for batch in batches:
+                for part in _slices(batch) if batch.num_rows else ():
+                    found = [[{"term": t, "n": n} for t, n in trie.counts(low).items()] for low in part.column("_low").to_pylist()]
+                    yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(found, arrow.field("found").type)], schema=arrow)
+
+        return rows.mapInArrow(run, schema)
+
+    if len(blocks) == 1:
+        return matched(blocks[0]).withColumnRenamed("doc", doc)
+    parts = [matched(b) for b in blocks]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    return whole.groupBy("doc").agg(F.flatten(F.collect_list("found")).alias("found")).withColumnRenamed("doc", doc)
 
 
 def match_terms(texts: DataFrame, doc: str, text: str, terms: DataFrame, term: str) -> DataFrame:
-    """(doc, term, n): how often each term stands in each text as whole words, any case.
+    """(doc, term, n): a row per text and term that stands in it."""
+    found = term_counts(texts, doc, text, terms, term).select(doc, F.explode("found").alias("_f"))
+    return found.select(doc, F.col("_f.term").alias(term), F.col("_f.n").alias("n"))
+
+
+def ranked_terms(counts: DataFrame, doc: str, order: Callable[[Column], list[Column]], limit: int | None = None, sep: str | None = ", ") -> DataFrame:
+    """(doc, terms): all or the first ``limit`` terms of every text that has any, in one line or, without ``sep``, as an array.
 
-    A term of k parts (words and what is between them) equals k consecutive parts of the text
-    that start at a word. So the texts are cut into runs of the lengths that occur among the
-    terms, and an equality join on the run replaces a test of all pairs. Occurrences that share
-    a word with the one before are counted as well.
+    ``order`` gives the sort keys of an entry (term, n), ascending. The array is sorted in its row: no shuffle.
     """
-    distinct_terms = terms.select(term).distinct().withColumn("_run", F.lower(term))
-    sized = distinct_terms.withColumn("_k", F.size(text_parts(F.col(term))))
-    lengths = [r["_k"] for r in sized.select("_k").distinct().collect()]
-    parts = hold(texts, _parts=text_parts(F.col(text))).select(doc, "_parts")
-    # Words and separators alternate, so the words are every second part.
-    first = F.when(F.get(F.col("_parts"), F.lit(0)).rlike(r"^[\p{L}\p{N}_]"), 1).otherwise(2)
-    starts = F.when(F.size("_parts") >= first, F.sequence(first, F.size("_parts"), F.lit(2)))
-    located = hold(parts.filter(F.size("_parts") > 0), _starts=starts)
-
-    def runs_of(k: int) -> Column:
-        fits = lambda i: i + k - 1 <= F.size("_parts")
-        return F.transform("_starts", lambda i: F.when(fits(i), F.array_join(F.slice(F.col("_parts"), i, k), "")))
-
-    if not lengths:
-        return texts.select(doc, F.lit(None).cast("string").alias(term), F.lit(0).cast("bigint").alias("n")).limit(0)
-    runs = F.concat(*[runs_of(k) for k in lengths])
-    found = dictionary_join(located.select(doc, F.explode(runs).alias("_run")), distinct_terms, "_run", "inner")
-    return found.groupBy(doc, term).agg(F.count("*").alias("n"))
+    keyed = F.transform("found", lambda f: F.struct(*[k.alias(f"k{i}") for i, k in enumerate(order(f))], f["term"].alias("t")))
+    ordered = F.transform(F.array_sort(keyed), lambda s: s["t"])
+    kept = ordered if limit is None else F.slice(ordered, 1, limit)
+    return counts.filter(F.size("found") > 0).select(doc, (kept if sep is None else F.array_join(kept, sep)).alias("terms"))
 
 
 def top_terms(matches: DataFrame, doc: str, term: str, order: list[Column], limit: int | None = None, sep: str | None = ", ") -> DataFrame:
-    """(doc, terms): all or the first ``limit`` terms per text, in one line or, without ``sep``, as an array."""
+    """The same for matches given as rows (doc, term, ...): one shuffle by text."""
     place = F.row_number().over(Window.partitionBy(doc).orderBy(*order))
     placed = matches.withColumn("_place", place)
     kept = placed if limit is None else placed.filter(F.col("_place") <= limit)

@@ -94,12 +94,17 @@ def term_table(spark, sf):
 
 
 def matched_terms(spark, sf):
-    return M.match_terms(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", term_table(spark, sf), "term")
+    """(doc_id, found): the terms of every document with their counts."""
+    return M.term_counts(table(spark, sf, "documents"), "doc_id", "text", term_table(spark, sf), "term")
+
+
+def by_count(f):
+    return [-f["n"], -F.length(f["term"]), f["term"]]
 
 
 @query("join_terms_in_text", TERM_COUNT_SQL + "SELECT doc_id, term FROM hits WHERE n > 0")
 def join_terms_in_text(spark, sf):
-    return matched_terms(spark, sf).select("doc_id", "term")
+    return M.match_terms(table(spark, sf, "documents"), "doc_id", "text", term_table(spark, sf), "term").select("doc_id", "term")
 
 
 @query(
@@ -108,7 +113,7 @@ def join_terms_in_text(spark, sf):
     SELECT doc_id, string_agg(term, ', ' ORDER BY place) AS terms FROM r GROUP BY doc_id""",
 )
 def match_terms_presence(spark, sf):
-    return M.top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc(F.length("term")), F.asc("term")])
+    return M.ranked_terms(matched_terms(spark, sf), "doc_id", lambda f: [-F.length(f["term"]), f["term"]])
 
 
 @query(
@@ -117,7 +122,7 @@ def match_terms_presence(spark, sf):
     SELECT doc_id, string_agg(term, ', ' ORDER BY place) AS terms FROM r GROUP BY doc_id""",
 )
 def match_terms_count(spark, sf):
-    return M.top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc("n"), F.desc(F.length("term")), F.asc("term")])
+    return M.ranked_terms(matched_terms(spark, sf), "doc_id", by_count)
 
 
 @query(

@@ -160,10 +160,10 @@ DUP_SQL = """CASE WHEN a = '' OR b = '' THEN false ELSE a = b OR ((contains(a, b
 
 @query(
     "looks_like_duplicate",
-    f"WITH {LINES_SQL}, k AS (SELECT doc_id, pos, {KEY_SQL.format('line')} AS a, {KEY_SQL.format(chr(39) + 'more ' + chr(39) + ' || left(line, length(line) - length(line) % 7 * 3)')} AS b FROM lines) SELECT doc_id, pos, {DUP_SQL} AS duplicate FROM k",
+    f"WITH {LINES_SQL}, k AS (SELECT doc_id, pos, {KEY_SQL.format('line')} AS a, {KEY_SQL.format(chr(39) + 'more ' + chr(39) + ' || left(line, greatest(length(line) - length(line) % 7 * 3, 0))')} AS b FROM lines) SELECT doc_id, pos, {DUP_SQL} AS duplicate FROM k",
 )
 def looks_like_duplicate(spark, sf):
-    shortened = F.expr("'more ' || left(line, length(line) - length(line) % 7 * 3)")
+    shortened = F.expr("'more ' || left(line, greatest(length(line) - length(line) % 7 * 3, 0))")
     keyed = hold(ad_lines(spark, sf), a=T.normalize_key(F.col("line")), b=T.normalize_key(shortened))
     return keyed.select("doc_id", "pos", T.looks_like_duplicate(F.col("a"), F.col("b")).alias("duplicate"))
 
@@ -433,9 +433,10 @@ def summary_or_prefix(spark, sf):
     SELECT doc_id, 'Právny kontext: ' || text || chr(10) || 'Kľúčové pojmy: ' || terms AS query FROM documents JOIN t USING (doc_id)""",
 )
 def retrieval_query_text(spark, sf):
-    from loamwork.operators.terms import top_terms
+    from loamwork.operators.terms import ranked_terms
+    from loamwork.plans.joining import by_count
 
-    terms = top_terms(matched_terms(spark, sf), "doc_id", "term", [F.desc("n"), F.desc(F.length("term")), F.asc("term")], sep=None)
+    terms = ranked_terms(matched_terms(spark, sf), "doc_id", by_count, sep=None)
     joined = documents(spark, sf).join(terms, "doc_id")
     return joined.select("doc_id", T.retrieval_query_text(F.col("text"), F.col("terms")).alias("query"))
 

@@ -244,6 +244,48 @@ def test_terms_against_regular_expressions(spark):
     assert got == want
 
 
+def runs_of_parts(texts, terms):
+    """Brute force: every run of parts of every text from every word on."""
+    import re
+    from collections import Counter
+
+    found = Counter()
+    for i, text in texts:
+        parts = re.findall(r"\w+|\W+", (text or "").lower())
+        for a in range(len(parts)):
+            if re.match(r"\w", parts[a]):
+                run = ""
+                for b in range(a, len(parts)):
+                    run += parts[b]
+                    found.update((i, t) for t in terms if t.lower() == run)
+    return found
+
+
+@pytest.mark.parametrize("block", [4 << 20, 200])
+def test_terms_against_all_runs(spark, monkeypatch, block):
+    """Terms that begin alike, repeat themselves, overlap, share a form or hold signs; with one block and with several."""
+    monkeypatch.setattr(M, "TRIE_BYTES", block)
+    draw = random.Random(6)
+    terms = ["a", "a b", "a b a", "b a", "A", "a-b", "a  b", "b_a", "é a", "a b a b", ".a", "c++", "c", "ab"] + [f"a {draw.choice('abc')} {draw.choice('abc')}" for _ in range(12)]
+    texts = [(i, "".join(draw.choice(["a", "b", "c", " ", " ", "-", "_", "é", "++", "\n"]) for _ in range(draw.choice([0, 5, 60])))) for i in range(120)] + [(500, None), (501, "a " * 3000)]
+    docs = spark.createDataFrame(texts, "d int, t string")
+    words = spark.createDataFrame([(t,) for t in terms], "term string")
+    want = dict(runs_of_parts(texts[:-1], set(terms)))
+    got = {(r.d, r.term): r.n for r in M.match_terms(docs.filter("d <> 501"), "d", "t", words, "term").collect()}
+    assert got == want
+    ranked = {r.d: r.terms for r in M.ranked_terms(M.term_counts(docs, "d", "t", words, "term"), "d", lambda f: [-f["n"], f["term"]], 2).collect()}
+    assert ranked[501] == "A, a" and 500 not in ranked
+    for d in {d for d, _ in want}:
+        assert ranked[d] == ", ".join(t for _, t in sorted((-n, t) for (e, t), n in want.items() if e == d)[:2])
+
+
+def test_long_terms_and_no_terms(spark):
+    docs = spark.createDataFrame([(1, "w " * 4000), (2, "x")], "d int, t string")
+    term = ("w " * 1500).strip()
+    assert [tuple(r) for r in M.match_terms(docs, "d", "t", spark.createDataFrame([(term,)], "term string"), "term").collect()] == [(1, term, 2501)]
+    assert M.match_terms(docs, "d", "t", spark.createDataFrame([], "term string"), "term").count() == 0
+
+
 def test_contained_pairs_against_all_pairs(spark):
     draw = random.Random(8)
     short = sorted({"".join(draw.choice("ab") for _ in range(draw.randint(1, 5))) for _ in range(25)})

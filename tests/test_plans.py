@@ -30,6 +30,14 @@ def test_document_work_needs_no_keyed_shuffle(spark, name):
     assert "hashpartitioning" not in plan(spark, name)
 
 
+@pytest.mark.parametrize("name", ["join_terms_in_text", "match_terms_presence", "match_terms_count"])
+def test_terms_are_counted_in_the_row(spark, name):
+    """No run of words leaves its row: one pass over the texts, no generator below it, no shuffle."""
+    text = plan(spark, name)
+    assert "Exchange" not in text and "Join" not in text and text.count("MapInArrow") == 1
+    assert "Generate" not in text.split("MapInArrow")[1]
+
+
 @pytest.mark.parametrize("name", ["top_n", "sink_preview", "capped_sample"])
 def test_top_rows_are_merged_from_tasks(spark, name):
     assert "TakeOrderedAndProject" in plan(spark, name)
