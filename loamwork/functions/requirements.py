@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loamwork.functions import wordlists as W
-from loamwork.functions.text import bind, normalize_space, strip_accents, word_count
-from loamwork.functions.values import clamp, literal_map, recode
+from loamwork.functions.text import bind, normalize_space, strip_accents
+from loamwork.functions.values import clamp, recode
 
 
 def contains_any(c: Column, parts: Sequence[str]) -> Column:
@@ -92,6 +92,32 @@ def guess_seniority(text: Column) -> Column:
     )
 
 
+def filler_passes(phrases: Sequence[str]) -> list[str]:
+    r"""Patterns that leave out the phrases as words, one after the other, in as few passes as give the same result.
+
+    A phrase that holds an earlier one can never stand any more. The others share a pass unless one could overlap with
+    another of the pass.
+    """
+    live: list[str] = []
+    passes: list[list[str]] = []
+
+    def edges(p: str) -> set[int]:
+        return {m.start() for m in re.finditer(r"\b", p)} - {0, len(p)}
+
+    def overlap(a: str, b: str) -> bool:
+        """Whether words at the end of a are words at the start of b."""
+        return any(len(a) - x in edges(b) and b.startswith(a[x:]) for x in edges(a))
+
+    for phrase in phrases:
+        if any(re.search(rf"\b{re.escape(p)}\b", phrase) for p in live):
+            continue
+        live.append(phrase)
+        if not passes or any(overlap(p, phrase) or overlap(phrase, p) or re.search(rf"\b{re.escape(phrase)}\b", p) for p in passes[-1]):
+            passes.append([])
+        passes[-1].append(phrase)
+    return [rf"\b(?:{'|'.join(re.escape(p) for p in own)})\b" for own in passes]
+
+
 def requirement_key(
     text: Column, synonyms: Mapping[str, str] = W.SYNONYMS, fillers: Sequence[str] = W.STOP_PHRASES, aliases: Mapping[str, str] = W.ALIASES
 ) -> Column:
@@ -99,29 +125,34 @@ def requirement_key(
     bare = bind(F.lower(normalize_space(text)), strip_accents)
     plain = F.regexp_replace(F.replace(bare, F.lit("&"), F.lit(" and ")), r"[^a-zA-Z0-9+.#/ ]+", " ")
     key = bind(plain, lambda k: recode(k, synonyms))
-    for phrase in fillers:
-        key = F.regexp_replace(key, rf"\b{re.escape(phrase)}\b", " ")
+    for pattern in filler_passes(fillers):
+        key = F.regexp_replace(key, pattern, " ")
     return bind(F.trim(F.regexp_replace(key, r"\s+", " ")), lambda k: recode(k, aliases))
 
 
 def canonical_requirement(text: Column, key: Column, entries: Mapping[str, Sequence[str]] = W.CANONICAL) -> Column:
     """Struct (canonical_key, canonical_text, category_hint, confidence) for a text and its key."""
-    clean = normalize_space(text)
+    clean, guess = normalize_space(text), F.when(key_words(key) <= 3, 0.68).otherwise(0.52)
+    return bind(canonical_entry(key, entries), lambda e: F.struct(
+        F.coalesce(F.get(e, F.lit(0)), key).alias("canonical_key"), F.coalesce(F.get(e, F.lit(1)), clean).alias("canonical_text"),
+        F.coalesce(F.get(e, F.lit(2)), F.lit("unknown")).alias("category_hint"), F.when(e.isNotNull(), 0.99).otherwise(guess).alias("confidence"),
+    ))
 
-    def entry(i: int) -> Column:
-        return F.try_element_at(literal_map({k: v[i] for k, v in entries.items()}), key)
 
-    known = entry(0).isNotNull()
-    guess = F.when(word_count(key) <= 3, 0.68).otherwise(0.52)
-    return F.struct(
-        F.coalesce(entry(0), key).alias("canonical_key"), F.coalesce(entry(1), clean).alias("canonical_text"),
-        F.coalesce(entry(2), F.lit("unknown")).alias("category_hint"), F.when(known, 0.99).otherwise(guess).alias("confidence"),
-    )
+def canonical_entry(key: Column, entries: Mapping[str, Sequence[str]] = W.CANONICAL) -> Column:
+    """Array (canonical key, canonical text, category) of a known key, else NULL; one look-up."""
+    known = F.create_map(*[c for k, v in entries.items() for c in (F.lit(k), F.array(*[F.lit(x) for x in v]))])
+    return F.try_element_at(known, key)
+
+
+def key_words(key: Column) -> Column:
+    """Words of a plain key, which has one blank between them."""
+    return F.when(key == "", 0).otherwise(F.length(key) - F.length(F.replace(key, F.lit(" "))) + 1)
 
 
 def genericness(key: Column, generic: Sequence[str] = W.GENERIC_PARTS, concrete: Sequence[str] = W.CONCRETE_PARTS) -> Column:
-    """Struct (is_generic, score, confidence, band) of a requirement key."""
-    words = word_count(key)
+    """Struct (is_generic, score, confidence, band) of a plain requirement key (see ``requirement_key``)."""
+    words = key_words(key)
     # fixed values: weight of every signal
     score = (
         F.lit(0.50)
@@ -133,9 +164,8 @@ def genericness(key: Column, generic: Sequence[str] = W.GENERIC_PARTS, concrete:
         - F.when(contains_any(key, concrete), 0.30).otherwise(0.0)
         - F.when(words >= 6, 0.08).otherwise(0.0)
     )
-    bounded = F.round(clamp(score, 0.0, 1.0), 4)
-    return F.struct(
+    return bind(F.round(clamp(score, 0.0, 1.0), 4), lambda bounded: F.struct(
         (bounded >= 0.5).alias("is_generic"), bounded.alias("score"),
         F.round(F.least(F.abs(bounded - 0.5) + 0.55, F.lit(0.99)), 4).alias("confidence"),
         F.when(bounded <= 0.25, "strong_concrete").when(bounded >= 0.75, "strong_generic").otherwise("weak").alias("band"),
-    )
+    ))

@@ -95,12 +95,16 @@ def token_jaccard(a: Column, b: Column) -> Column:
     return F.when((a == "") | (b == ""), F.lit(0.0)).otherwise(share)
 
 
+# fixed values: least share of common words or of length, and least length of a contained key
+SIMILAR_LEAST, SIMILAR_SHORTEST = 0.72, 18
+
+
 def looks_like_duplicate(a: Column, b: Column) -> Column:
     """Whether two key texts (see ``normalize_key``) say the same."""
     shorter, longer = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    contained = (F.contains(a, b) | F.contains(b, a)) & (shorter >= 18) & (shorter / longer >= 0.72)
+    contained = (F.contains(a, b) | F.contains(b, a)) & (shorter >= SIMILAR_SHORTEST) & (shorter / longer >= SIMILAR_LEAST)
     return F.when((a == "") | (b == ""), F.lit(False)).otherwise(
-        (a == b) | contained | (token_jaccard(a, b) >= 0.72)
+        (a == b) | contained | (token_jaccard(a, b) >= SIMILAR_LEAST)
     )
 
 

@@ -16,6 +16,7 @@ from loamwork.operators import ordered as O
 from loamwork.operators import requirements as RQ
 from loamwork.operators import sampling as SP
 from loamwork.operators import series as S
+from loamwork.operators import similar as SI
 from loamwork.operators import similarity as SM
 from loamwork.operators import stats
 from loamwork.operators import terms as M
@@ -244,6 +245,90 @@ def test_terms_against_regular_expressions(spark):
     assert got == want
 
 
+def say_the_same(a, b):
+    shorter, longer = sorted((len(a), len(b)))
+    x, y = set(a.split()), set(b.split())
+    return bool(a and b) and (a == b or ((a in b or b in a) and shorter >= 18 and shorter / longer >= 0.72) or len(x & y) / len(x | y) >= 0.72)
+
+
+def folded(keys, scores=None):
+    """Brute force: every entry against the holders of all places."""
+    places = []
+    for i, key in enumerate(keys):
+        at = next((p for p in places if say_the_same(keys[p[-1]], key)), None)
+        if at is None:
+            places.append([i])
+        elif scores is None:
+            at.insert(len(at) - 1, i)
+        elif scores[i] > scores[at[-1]]:
+            at.append(i)
+        else:
+            at.insert(len(at) - 1, i)
+    return places
+
+
+def key_list(draw, n):
+    words = [f"{draw.choice('abcdefgh')}{draw.choice('xyz') * draw.randint(0, 6)}" for _ in range(40)]
+    out = []
+    for _ in range(n):
+        kind = draw.random()
+        if out and kind < 0.35:
+            base = draw.choice(out).split()
+            if base:
+                base[draw.randrange(len(base))] = draw.choice(words)
+            out.append(" ".join(base))
+        elif out and kind < 0.6:
+            base = draw.choice(out)
+            cut = draw.randint(0, max(1, len(base) // 4))
+            out.append((base[cut:] if draw.random() < 0.5 else "q" * cut + base).strip())
+        else:
+            out.append(" ".join(draw.choice(words) for _ in range(draw.choice([0, 1, 2, 4, 9, 25]))))
+    return out
+
+
+@pytest.mark.parametrize("small", [0, 64])
+def test_similar_pairs_and_places_against_all_pairs(spark, monkeypatch, small):
+    monkeypatch.setattr(SI, "SMALL", small)
+    draw = random.Random(12)
+    rows = []
+    for i in range(60):
+        keys = key_list(draw, draw.choice([0, 1, 2, 12, 60]))
+        rows.append((i, keys, [draw.choice([1.0, 2.0, 3.0]) for _ in keys]))
+    df = spark.createDataFrame(rows, "d int, k array<string>, s array<double>")
+    pairs = {r.d: r.p for r in SI.similar_pairs(df, "k", "p").collect()}
+    plain = {r.d: r.p for r in SI.similar_places(df, "k", "p").collect()}
+    scored = {r.d: r.p for r in SI.similar_places(df, "k", "p", "s").collect()}
+    for d, keys, scores in rows:
+        assert pairs[d] == sorted(j * SI.PAIR + i for j in range(len(keys)) for i in range(j) if say_the_same(keys[i], keys[j]))
+        for got, own in ((plain[d], None), (scored[d], scores)):
+            want = folded(keys, own)
+            first = [min(p) for p in want]
+            assert [p for p in got if p >= 0] and sorted(p for p in got if p >= 0) == first or not keys
+            for p, members in zip(first, want, strict=True):
+                assert sorted(i for i, q in enumerate(got) if (q if q >= 0 else -1 - q) == p) == sorted(members)
+                assert got[members[-1] if own else p] == p
+
+
+def test_a_list_of_twenty_thousand_items_ends_in_seconds(spark):
+    """Mostly different lines, some of them close to earlier ones, with frequent words in all of them."""
+    import time
+
+    draw = random.Random(4)
+    words = [f"word{i}" for i in range(6000)]
+    keys = []
+    for i in range(20_000):
+        if i % 10 == 9:
+            keys.append(keys[draw.randrange(i)] + " x")
+        else:
+            keys.append("znalost a " + " ".join(draw.sample(words, 7)))
+    df = spark.createDataFrame([(1, keys, [float(len(k) % 5) for k in keys])], "d int, k array<string>, s array<double>").repartition(1)
+    SI.similar_places(df.select("d", F.slice("k", 1, 50).alias("k"), "s"), "k", "p", "s").collect()  # code is compiled
+    start = time.time()
+    places = SI.similar_places(df, "k", "p", "s").first().p
+    assert time.time() - start < 45
+    assert sum(p < 0 for p in places) >= 2000 and len(places) == 20_000
+
+
 def runs_of_parts(texts, terms):
     """Brute force: every run of parts of every text from every word on."""
     import re
