@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import random
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -22,6 +21,8 @@ from pyspark.sql import functions as F
 
 from loamwork.functions.values import hash_unit
 from loamwork.operators.ordered import running_best
+from loamwork.operators.search import Range, adaptive_search
+from loamwork.operators.trees import fitted_nodes, mean_attribution, tree_attribution
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -86,11 +87,13 @@ def importance_by_segment(
     return df.sparkSession.createDataFrame(found, f"{segment} string, feature string, importance double")
 
 
-def attribution_mean_abs(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Mean absolute contribution per feature of a linear model over all rows.
+def attribution_mean_abs(df: DataFrame, model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """(feature, attribution): mean absolute exact contribution of every feature to a tree model's raw score, over all rows."""
+    return mean_attribution(tree_attribution(df, fitted_nodes(model), features), features)
 
-    For a linear model the additive contribution of x is coefficient * (x - mean).
-    """
+
+def linear_attribution(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """(feature, attribution) of a logistic model: mean absolute coefficient * (x - mean), over all rows."""
     rows = df.withColumn(label, F.col(label).cast("double"))
     fitted = Pipeline(stages=[assembler(features), LogisticRegression(labelCol=label, maxIter=50)]).fit(rows)
     weights = dict(zip(features, fitted.stages[-1].coefficients.toArray()))
@@ -99,48 +102,48 @@ def attribution_mean_abs(df: DataFrame, features: Sequence[str], label: str) ->
     return sizes.unpivot([], list(features), "feature", "attribution").orderBy(F.desc("attribution"), "feature")
 
 
-def tune_gbt(df: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 40, seed: int = 42, parallel: int = 4) -> DataFrame:
-    """(trial, depth, rounds, step, metric, best_so_far): seeded random trials by validation AUC."""
-    draw = random.Random(seed)
-    grid = [(i, draw.randint(2, 6), draw.randint(5, 40), round(draw.uniform(0.02, 0.3), 4)) for i in range(trials)]
+#: What the tuned boosters choose from: depth of a tree, number of trees, step.
+BOOSTER_SPACE = {"depth": Range(2, 6, whole=True), "rounds": Range(5, 40, whole=True), "step": Range(0.02, 0.3, log=True)}
+
+
+def tune_booster(booster, judge, df: DataFrame, features: Sequence[str], label: str, key: str, trials: int, seed: int, parallel: int, space: Mapping[str, Range], larger: bool) -> DataFrame:
+    """Trials of a booster by an adaptive search, judged on held-out rows.
+
+    Every trial is fitted with a quarter of its trees first, and with all of them only if the quarter is not worse than
+    the median of the trials before. (trial, depth, rounds, step, metric, pruned): the metric of a pruned trial is that of its
+    quarter.
+    """
     rows = assembler(features).transform(df.withColumn(label, F.col(label).cast("double"))).select("features", label, key)
     train = rows.filter(hash_unit(F.col(key), seed=seed) < 0.8).persist()
     valid = rows.filter(hash_unit(F.col(key), seed=seed) >= 0.8).persist()
-    judge = BinaryClassificationEvaluator(labelCol=label)
+    sign = 1 if larger else -1
 
-    def run(trial: tuple) -> tuple:
-        i, depth, rounds, step = trial
-        model = GBTClassifier(labelCol=label, maxDepth=depth, maxIter=rounds, stepSize=step, seed=seed).fit(train)
-        return (*trial, float(judge.evaluate(model.transform(valid))))
+    def objective(params: dict, report) -> float:
+        def judged(rounds: int) -> float:
+            model = booster(labelCol=label, maxDepth=int(params["depth"]), maxIter=rounds, stepSize=params["step"], seed=seed).fit(train)
+            return sign * float(judge.evaluate(model.transform(valid)))
 
-    with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(run, grid))
+        report(judged(max(1, int(params["rounds"]) // 4)))
+        return judged(int(params["rounds"]))
+
+    found = adaptive_search(objective, space, trials, seed, parallel)
     train.unpersist()
     valid.unpersist()
-    table = df.sparkSession.createDataFrame(results, "trial int, depth int, rounds int, step double, metric double")
-    return running_best(table, "trial", "metric", "best_so_far")
+    rows = [(t.number, int(t.params["depth"]), int(t.params["rounds"]), float(t.params["step"]), sign * (t.steps[-1] if t.pruned else t.metric), t.pruned) for t in found]
+    return df.sparkSession.createDataFrame(rows, "trial int, depth int, rounds int, step double, metric double, pruned boolean")
 
 
-def tune_regression(df: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 40, seed: int = 42, parallel: int = 4) -> DataFrame:
-    """(trial, depth, rounds, step, rmse, best_so_far): seeded random trials of boosted regression trees, least error first found."""
-    draw = random.Random(seed)
-    grid = [(i, draw.randint(2, 6), draw.randint(5, 40), round(draw.uniform(0.02, 0.3), 4)) for i in range(trials)]
-    rows = assembler(features).transform(df.withColumn(label, F.col(label).cast("double"))).select("features", label, key)
-    train = rows.filter(hash_unit(F.col(key), seed=seed) < 0.8).persist()
-    valid = rows.filter(hash_unit(F.col(key), seed=seed) >= 0.8).persist()
-    judge = RegressionEvaluator(labelCol=label, metricName="rmse")
+def tune_gbt(df: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 40, seed: int = 42, parallel: int = 4, space: Mapping[str, Range] = BOOSTER_SPACE) -> DataFrame:
+    """(trial, depth, rounds, step, metric, pruned, best_so_far): adaptive trials by validation AUC; pruned ones are no best."""
+    table = tune_booster(GBTClassifier, BinaryClassificationEvaluator(labelCol=label), df, features, label, key, trials, seed, parallel, space, True)
+    return running_best(table.withColumn("_own", F.when(~F.col("pruned"), F.col("metric")).otherwise(0.0)), "trial", "_own", "best_so_far").drop("_own")
 
-    def run(trial: tuple) -> tuple:
-        i, depth, rounds, step = trial
-        model = GBTRegressor(labelCol=label, maxDepth=depth, maxIter=rounds, stepSize=step, seed=seed).fit(train)
-        return (*trial, float(judge.evaluate(model.transform(valid))))
 
-    with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(run, grid))
-    train.unpersist()
-    valid.unpersist()
-    table = df.sparkSession.createDataFrame(results, "trial int, depth int, rounds int, step double, rmse double")
-    return running_best(table.withColumn("_gain", -F.col("rmse")), "trial", "_gain", "_best").withColumn("best_so_far", -F.col("_best")).drop("_gain", "_best")
+def tune_regression(df: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 40, seed: int = 42, parallel: int = 4, space: Mapping[str, Range] = BOOSTER_SPACE) -> DataFrame:
+    """(trial, depth, rounds, step, rmse, pruned, best_so_far): adaptive trials of boosted regression trees, least error best."""
+    table = tune_booster(GBTRegressor, RegressionEvaluator(labelCol=label, metricName="rmse"), df, features, label, key, trials, seed, parallel, space, False)
+    gains = table.withColumn("_gain", F.when(~F.col("pruned"), -F.col("metric")).otherwise(F.lit(float("-inf"))))
+    return running_best(gains, "trial", "_gain", "_best").withColumn("best_so_far", -F.col("_best")).withColumnRenamed("metric", "rmse").drop("_gain", "_best")
 
 
 def train_mlp(df: DataFrame, vector: str, label: str, hidden: Sequence[int] = (32,), rounds: int = 60, seed: int = 42) -> PipelineModel:

@@ -9,6 +9,8 @@ from loamwork.functions.values import hash_unit, literal_map
 from loamwork.operators import evaluation as E
 from loamwork.operators import models as ML
 from loamwork.operators import reports as RP
+from loamwork.operators import trees as TR
+from loamwork.operators.search import Range
 from loamwork.plans.registry import query
 from loamwork.session import scratch_folder, table
 from loamwork.streaming import samples as ST
@@ -54,24 +56,70 @@ def importance_by_segment(spark, sf):
 
 @query("attribution_mean_abs", MAIN_SQL)
 def attribution_mean_abs(spark, sf):
-    return ML.attribution_mean_abs(model_rows(spark, sf), FEATURES, "y").select("feature", (F.col("attribution") > 0.1).alias("main"))
+    """Boosted trees: the two features that the target depends on move the scores; contributions add up to every row's score."""
+    rows = model_rows(spark, sf)
+    found = TR.tree_attribution(rows, TR.fitted_nodes(ML.train_binary_gbt(rows, FEATURES, "y", "l_orderkey")), FEATURES)
+    off = F.abs(F.col("base") + sum(F.col(f"by_{f}") for f in FEATURES) - F.col("raw")) > 1e-9
+    exact = F.when(off, F.raise_error(F.lit("contributions do not add up"))).otherwise(F.col("base"))
+    return TR.mean_attribution(found.withColumn("base", exact).filter("base is not null"), FEATURES).select("feature", (F.col("attribution") > 0.1).alias("main"))
+
+
+@query("attribution_linear", MAIN_SQL)
+def attribution_linear(spark, sf):
+    return ML.linear_attribution(model_rows(spark, sf), FEATURES, "y").select("feature", (F.col("attribution") > 0.1).alias("main"))
+
+
+# a tree of two levels whose shares and leaf values are measured on the table
+PATHS = "count(*) AS n, count(*) FILTER (WHERE l_quantity <= 25) AS nl, count(*) FILTER (WHERE l_quantity <= 25 AND l_discount <= 0.05) AS nll, count(*) FILTER (WHERE l_quantity > 25 AND l_discount <= 0.03) AS nrl"
+LEAVES = """avg(l_tax) FILTER (WHERE l_quantity <= 25 AND l_discount <= 0.05) AS ll, avg(l_tax) FILTER (WHERE l_quantity <= 25 AND l_discount > 0.05) AS lr,
+ avg(l_tax) FILTER (WHERE l_quantity > 25 AND l_discount <= 0.03) AS rl, avg(l_tax) FILTER (WHERE l_quantity > 25 AND l_discount > 0.03) AS rr"""
+
+
+@query(
+    "attribution_rows",
+    f"""WITH m AS (SELECT {PATHS}, {LEAVES} FROM lineitem),
+     s AS (SELECT *, nl / n AS pl, nll / nl AS pll, nrl / (n - nl) AS prl FROM m),
+     g AS (SELECT l_orderkey, l_linenumber, l_quantity <= 25 AS q, l_discount <= 0.05 AS d5, l_discount <= 0.03 AS d3, s.* FROM lineitem, s),
+     v AS (SELECT *, pl * (pll * ll + (1 - pll) * lr) + (1 - pl) * (prl * rl + (1 - prl) * rr) AS v0,
+             CASE WHEN q THEN pll * ll + (1 - pll) * lr ELSE prl * rl + (1 - prl) * rr END AS vq,
+             pl * (CASE WHEN d5 THEN ll ELSE lr END) + (1 - pl) * (CASE WHEN d3 THEN rl ELSE rr END) AS vd,
+             CASE WHEN q THEN (CASE WHEN d5 THEN ll ELSE lr END) ELSE (CASE WHEN d3 THEN rl ELSE rr END) END AS vqd FROM g)
+    SELECT l_orderkey, l_linenumber, round(v0, 9) AS base, round(vqd, 9) AS raw, round((vq - v0 + vqd - vd) / 2, 9) AS by_l_quantity, round((vd - v0 + vqd - vq) / 2, 9) AS by_l_discount FROM v""",
+)
+def attribution_rows(spark, sf):
+    """Contributions of a given tree for every line item."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    low = F.col("l_quantity") <= 25
+    low_left, low_right = low & (F.col("l_discount") <= 0.05), ~low & (F.col("l_discount") <= 0.03)
+    parts = {3: low_left, 4: low & ~(F.col("l_discount") <= 0.05), 5: low_right, 6: ~low & ~(F.col("l_discount") <= 0.03)}
+    m = rows.agg(F.count("*").alias("n0"), F.count_if(low).alias("n1"), F.count_if(~low).alias("n2"), *[F.count_if(c).alias(f"n{k}") for k, c in parts.items()], *[F.avg(F.when(c, F.col("l_tax"))).alias(f"v{k}") for k, c in parts.items()]).first()
+    inner = [(0, 1, 2, 0, 25.0), (1, 3, 4, 1, 0.05), (2, 5, 6, 1, 0.03)]
+    nodes = [(0, k, a, b, f, t, None, float(m[f"n{k}"]), 0.0) for k, a, b, f, t in inner] + [(0, k, -1, -1, -1, None, None, float(m[f"n{k}"]), m[f"v{k}"]) for k in parts]
+    found = TR.tree_attribution(rows.drop("l_tax"), spark.createDataFrame(nodes, TR.NODES), ["l_quantity", "l_discount"])
+    return found.select("l_orderkey", "l_linenumber", *[F.round(c, 9).alias(c) for c in ("base", "raw", "by_l_quantity", "by_l_discount")])
+
+
+#: Small boosters, so that the forty trials of a query end in a minute or two.
+SMALL_BOOSTERS = {"depth": Range(2, 4, whole=True), "rounds": Range(4, 16, whole=True), "step": Range(0.02, 0.3, log=True)}
 
 
-@query("tune_params", "SELECT CAST(range AS INTEGER) AS trial, true AS rising, true AS useful FROM range(6)")
+@query("tune_params", "SELECT CAST(range AS INTEGER) AS trial, true AS rising, true AS useful FROM range(40)")
 def tune_params(spark, sf):
-    """Every trial's best so far is no worse than its own metric and the best before."""
-    tried = ML.tune_gbt(model_rows(spark, sf), FEATURES, "y", "l_orderkey", trials=6)
+    """Every trial's best so far is no worse than its own metric and the best before; a trial that ends early was behind the median."""
+    tried = ML.tune_gbt(model_rows(spark, sf), FEATURES, "y", "l_orderkey", space=SMALL_BOOSTERS)
     best, before = F.col("best_so_far"), F.coalesce(F.lag("best_so_far").over(Window.orderBy("trial")), F.lit(0.0))
-    return tried.select("trial", ((best >= F.col("metric")) & (best >= before)).alias("rising"), (F.col("metric") > 0.7).alias("useful"))
+    rising = (F.col("pruned") | (best >= F.col("metric"))) & (best >= before)
+    return tried.select("trial", rising.alias("rising"), (F.col("metric") > 0.5).alias("useful"))
 
 
-@query("tune_regression", "SELECT CAST(range AS INTEGER) AS trial, true AS falling, true AS useful FROM range(4)")
+@query("tune_regression", "SELECT CAST(range AS INTEGER) AS trial, true AS falling, true AS useful FROM range(40)")
 def tune_regression(spark, sf):
     """Errors of a price model: every trial's best is no worse than its own and the best before, and below the spread of prices."""
-    tried = ML.tune_regression(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "l_orderkey", trials=4)
+    tried = ML.tune_regression(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "l_orderkey", space=SMALL_BOOSTERS)
     best, before = F.col("best_so_far"), F.coalesce(F.lag("best_so_far").over(Window.orderBy("trial")), F.col("best_so_far"))
     spread = table(spark, sf, "lineitem").agg(F.stddev_pop("l_extendedprice")).scalar()
-    return tried.select("trial", ((best <= F.col("rmse")) & (best <= before)).alias("falling"), (F.col("rmse") < spread * 1.2).alias("useful"))
+    falling = (F.col("pruned") | (best <= F.col("rmse"))) & (best <= before)
+    return tried.select("trial", falling.alias("falling"), (F.col("rmse") < spread * 1.2).alias("useful"))
 
 
 @query(

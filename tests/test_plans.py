@@ -5,7 +5,7 @@ from conftest import SMALL
 
 from loamwork.plans import QUERIES
 
-STREAMS_AND_FITS = {"tune_params", "tune_regression", "importance_by_segment", "train_binary_gbt", "train_mlp_multiclass", "score_and_save", "train_forest_importance", "attribution_mean_abs"}
+STREAMS_AND_FITS = {"tune_params", "tune_regression", "importance_by_segment", "train_binary_gbt", "train_mlp_multiclass", "score_and_save", "train_forest_importance", "attribution_mean_abs", "attribution_linear", "attribution_rows"}
 
 
 def plan(spark, name):
