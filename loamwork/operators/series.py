@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamwork.functions.text import bind
+from loamwork.session import hold
 
 def daily_means(df: DataFrame, item: str, ts: str, values: Sequence[str]) -> DataFrame:
     return df.groupBy(item, F.to_date(ts).alias("day")).agg(*[F.avg(v).alias(v) for v in values])
@@ -98,3 +100,80 @@ def fit_two_regressors(df: DataFrame, y: str, x1: str, x2: str) -> Column:
     b2 = F.try_divide(moments["c2"] * moments["v1"] - moments["c1"] * moments["c12"], det)
     line = moments["my"] + b1 * (F.col(x1) - moments["m1"]) + b2 * (F.col(x2) - moments["m2"])
     return F.coalesce(line, moments["my"])
+
+
+# --- smoothing and backtests ------------------------------------------------------------------------
+
+#: Weights of the newest value for level, trend and season of each smoothing method.
+SMOOTHERS: dict[str, tuple[float, float, float]] = {"level": (0.3, 0.0, 0.0), "trend": (0.3, 0.1, 0.0), "season": (0.3, 0.1, 0.2)}
+
+
+def smoothed(y: Column, weights: tuple[float, float, float], season: int) -> Column:
+    """Struct (level, trend, season, t) behind the last value of an array: one fold, a value at a time.
+
+    The first value is the level, without trend or season. Every value then moves the level towards itself without its
+    season, the trend towards the step of the level, and its day's season towards what the level leaves.
+    """
+    a, b, g = (F.lit(float(w)) for w in weights)
+    start = F.struct(
+        F.get(y, F.lit(0)).cast("double").alias("level"), F.lit(0.0).alias("trend"),
+        F.array_repeat(F.lit(0.0), season).alias("season"), F.lit(1).alias("t"),
+    )
+
+    def step(s: Column, v: Column) -> Column:
+        slot = s["t"] % season
+        own = F.get(s["season"], slot)
+        level = a * (v - own) + (1 - a) * (s["level"] + s["trend"])
+        return bind(level, lambda l: F.struct(
+            l.alias("level"), (b * (l - s["level"]) + (1 - b) * s["trend"]).alias("trend"),
+            F.transform(s["season"], lambda x, i: F.when(i == slot, g * (v - l) + (1 - g) * x).otherwise(x)).alias("season"), (s["t"] + 1).alias("t"),
+        ))
+
+    return F.aggregate(F.slice(y, 2, F.greatest(F.size(y) - 1, F.lit(0))), start, step)
+
+
+def ahead(y: Column, method: str, weights: tuple[float, float, float] | None, horizon: int, season: int) -> Column:
+    """Array of the next ``horizon`` values: smoothed, or without weights those of the last season again."""
+    steps = F.sequence(F.lit(1), F.lit(horizon))
+    if weights is None:
+        length = F.least(F.size(y), F.lit(season))
+        return F.transform(steps, lambda h: F.get(y, F.size(y) - length + (h - 1) % length))
+    return bind(smoothed(y, weights, season), lambda s: F.transform(steps, lambda h: s["level"] + h * s["trend"] + F.get(s["season"], (s["t"] - 1 + h) % season)))
+
+
+def forecast_backtest(
+    daily: DataFrame, item: str, value: str, horizon: int = 7, windows: int = 3, season: int = 7, smoothers: dict[str, tuple[float, float, float]] = SMOOTHERS, least: int | None = None
+) -> DataFrame:
+    """(item, step, day, value, method, error_<method>...): every item forecast by the method with the least backtest error.
+
+    Methods are the last season again (``naive``) and the smoothers. In the backtest the last 1, 2, ... ``windows`` horizons
+    are left out in turn, wherever ``least`` days (two seasons) remain before them, and forecast from what is before
+    them; a method's error is the root of its mean squared error over all of these days. Equal errors go to the earlier
+    method. An item that is too short for any window has NULL errors and is forecast naively. Days are given without
+    gaps (see ``regular_daily_fill``).
+
+    A series is one row with an array of days, as long as its days are many, not its events; folds and backtests stay
+    in the row.
+    """
+    shortest = 2 * season if least is None else least
+    point = F.struct("day", F.col(value).cast("double").alias("v"))
+    rows = daily.groupBy(item).agg(F.sort_array(F.collect_list(point)).alias("_d"))
+    held = hold(rows.select(item, F.transform("_d", lambda d: d["v"]).alias("_y0"), F.array_max(F.transform("_d", lambda d: d["day"])).alias("_last")), _y=F.col("_y0")).select(item, "_y", "_last")
+    methods: dict[str, tuple[float, float, float] | None] = {"naive": None, **smoothers}
+    y = F.col("_y")
+
+    def error(method: str) -> Column:
+        def window(c: Column) -> Column:
+            cut = F.size(y) - c * horizon
+            off = F.zip_with(ahead(F.slice(y, 1, F.greatest(cut, F.lit(1))), method, methods[method], horizon, season), F.slice(y, F.greatest(cut, F.lit(1)) + 1, horizon), lambda f, v: (f - v) * (f - v))
+            return F.when(cut >= shortest, off).otherwise(F.array().cast("array<double>"))
+
+        squares = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(windows)), window))
+        return bind(squares, lambda q: F.when(F.size(q) > 0, F.round(F.sqrt(F.aggregate(q, F.lit(0.0), lambda s, x: s + x) / F.size(q)), 6)))
+
+    judged = hold(held, **{f"error_{m}": error(m) for m in methods})
+    ranked = F.array_min(F.array(*[F.struct(F.coalesce(f"error_{m}", F.lit(0.0)).alias("e"), F.lit(i).alias("i"), F.lit(m).alias("m")) for i, m in enumerate(methods)]))
+    chosen = hold(judged, method=ranked["m"])
+    values = F.coalesce(*[F.when(F.col("method") == m, ahead(y, m, w, horizon, season)) for m, w in methods.items()])
+    steps = hold(chosen, _f=values).select(item, "_last", F.posexplode("_f").alias("_i", value), "method", *[f"error_{m}" for m in methods])
+    return steps.select(item, (F.col("_i") + 1).alias("step"), F.date_add("_last", F.col("_i") + 1).alias("day"), value, "method", *[f"error_{m}" for m in methods])

@@ -487,6 +487,35 @@ def forecast_grouped(spark, sf):
     return rounded(df, 5).withColumn("day", F.col("day").cast("string"))
 
 
+BACKTEST_SQL = """, series AS (SELECT user_id, list(value ORDER BY day) AS y, CAST(count(*) AS INTEGER) AS n, max(day) AS last FROM f GROUP BY 1),
+ cuts AS (SELECT user_id, CAST(c AS INTEGER) AS c, n - 7 * c AS n, y[1 : n - 7 * c] AS y FROM series, range(0, 4) t(c) WHERE c = 0 OR n - 7 * c >= 14),
+ weights AS (SELECT * FROM (VALUES ('level', 0.3::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE), ('trend', 0.3, 0.1, 0.0), ('season', 0.3, 0.1, 0.2)) w(method, a, b, g)),
+ fold AS (
+   SELECT user_id, c, method, a, b, g, 1 AS t, n, y, y[1]::DOUBLE AS level, 0.0::DOUBLE AS trend, [0.0::DOUBLE, 0, 0, 0, 0, 0, 0] AS season FROM cuts, weights
+   UNION ALL
+   SELECT user_id, c, method, a, b, g, t + 1, n, y, l, b * (l - level) + (1 - b) * trend, list_transform(season, lambda x, i: CASE WHEN i = t % 7 + 1 THEN g * (y[t + 1] - l) + (1 - g) * x ELSE x END)
+   FROM (SELECT *, a * (y[t + 1] - season[t % 7 + 1]) + (1 - a) * (level + trend) AS l FROM fold WHERE t < n)),
+ ahead AS (
+   SELECT user_id, c, method, CAST(h AS INTEGER) AS h, level + h * trend + season[(n - 1 + h) % 7 + 1] AS v FROM fold, range(1, 8) r(h) WHERE t = n
+   UNION ALL SELECT user_id, c, 'naive', CAST(h AS INTEGER), y[n - least(n, 7) + (h - 1) % least(n, 7) + 1] FROM cuts, range(1, 8) r(h)),
+ errors AS (SELECT user_id, method, round(sqrt(avg((v - s.y[s.n - 7 * c + h]) ** 2)), 6) AS e FROM ahead JOIN series s USING (user_id) WHERE c > 0 GROUP BY 1, 2),
+ wide AS (SELECT user_id, any_value(e) FILTER (WHERE method = 'naive') AS error_naive, any_value(e) FILTER (WHERE method = 'level') AS error_level, any_value(e) FILTER (WHERE method = 'trend') AS error_trend,
+    any_value(e) FILTER (WHERE method = 'season') AS error_season FROM series LEFT JOIN errors USING (user_id) GROUP BY 1),
+ chosen AS (SELECT *, CASE WHEN error_naive IS NULL OR error_naive <= least(error_level, error_trend, error_season) THEN 'naive' WHEN error_level <= least(error_trend, error_season) THEN 'level'
+    WHEN error_trend <= error_season THEN 'trend' ELSE 'season' END AS method FROM wide)"""
+
+
+@query(
+    "forecast_backtest",
+    FILLED_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + BACKTEST_SQL + """
+    SELECT user_id, h AS step, strftime(last + h, '%Y-%m-%d') AS day, round(v, 5) AS value, method, error_naive, error_level, error_trend, error_season
+    FROM ahead JOIN chosen USING (user_id, method) JOIN series USING (user_id) WHERE c = 0""",
+)
+def forecast_backtest(spark, sf):
+    df = S.forecast_backtest(filled(spark, sf), "user_id", "value")
+    return rounded(df, 5, ["value"]).withColumn("day", F.col("day").cast("string"))
+
+
 @query("rank_ids", "SELECT o_orderkey, 'R' || row_number() OVER (ORDER BY o_orderkey) AS rank_id FROM orders")
 def rank_ids(spark, sf):
     numbered = O.global_row_number(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "n")

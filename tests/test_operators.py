@@ -245,6 +245,50 @@ def test_terms_against_regular_expressions(spark):
     assert got == want
 
 
+def python_ahead(y, weights, horizon, season):
+    if weights is None:
+        last = y[-season:]
+        return [last[h % len(last)] for h in range(horizon)]
+    a, b, g = weights
+    level, trend, seasons = y[0], 0.0, [0.0] * season
+    for t, v in enumerate(y[1:], 1):
+        own = seasons[t % season]
+        before, level = level, a * (v - own) + (1 - a) * (level + trend)
+        trend = b * (level - before) + (1 - b) * trend
+        seasons[t % season] = g * (v - level) + (1 - g) * own
+    return [level + h * trend + seasons[(len(y) - 1 + h) % season] for h in range(1, horizon + 1)]
+
+
+def test_backtest_against_plain_loops(spark):
+    """Seasonal, rising, flat, short and one-day items: errors, choice and values."""
+    import datetime as dt
+
+    draw = random.Random(7)
+    items = {
+        "weekly": [10 * (i % 7 == 5) + draw.random() for i in range(70)], "rising": [2.0 * i + draw.random() for i in range(60)], "flat": [4.0] * 40,
+        "noise": [draw.gauss(0, 5) for _ in range(50)], "short": [1.0, 5.0, 2.0], "one": [3.0], "edge": [float(i % 3) for i in range(21)],
+    }
+    first = dt.date(2024, 1, 1)
+    rows = [(k, first + dt.timedelta(i), v) for k, y in items.items() for i, v in enumerate(y)]
+    draw.shuffle(rows)
+    found = {}
+    for r in S.forecast_backtest(spark.createDataFrame(rows, "k string, day date, v double"), "k", "v").collect():
+        found.setdefault(r.k, []).append(r)
+    methods = {"naive": None, **S.SMOOTHERS}
+    for k, y in items.items():
+        own = sorted(found[k], key=lambda r: r.step)
+        assert [r.step for r in own] == list(range(1, 8)) and own[0].day == first + dt.timedelta(len(y))
+        cuts = [len(y) - 7 * c for c in (1, 2, 3) if len(y) - 7 * c >= 14]
+        errors = {m: [(f - v) ** 2 for n in cuts for f, v in zip(python_ahead(y[:n], w, 7, 7), y[n : n + 7], strict=True)] for m, w in methods.items()}
+        errors = {m: round((sum(e) / len(e)) ** 0.5, 6) if e else None for m, e in errors.items()}
+        for m in methods:
+            assert own[0][f"error_{m}"] == (None if errors[m] is None else pytest.approx(errors[m], abs=2e-6))
+        assert own[0].method == (min(methods, key=lambda m: errors[m]) if cuts else "naive")
+        assert [r.v for r in own] == pytest.approx(python_ahead(y, methods[own[0].method], 7, 7))
+    assert found["rising"][0].method == "trend" and found["flat"][0].method == "naive"
+    assert S.forecast_backtest(spark.createDataFrame([], "k string, day date, v double"), "k", "v").count() == 0
+
+
 def say_the_same(a, b):
     shorter, longer = sorted((len(a), len(b)))
     x, y = set(a.split()), set(b.split())
