@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamwork.functions.values import hash_unit
+from loamwork.operators.forests import forest_importance as segment_importance
+from loamwork.operators.forests import segment_forest
 from loamwork.operators.ordered import running_best
 from loamwork.operators.search import Range, adaptive_search
 from loamwork.operators.trees import fitted_nodes, mean_attribution, tree_attribution
@@ -66,25 +68,11 @@ def forest_importance(df: DataFrame, features: Sequence[str], label: str, trees:
 
 
 def importance_by_segment(
-    df: DataFrame, segment: str, features: Sequence[str], label: str, trees: int = 50, depth: int = 4, least: int = 10, parallel: int = 4, seed: int = 42
+    df: DataFrame, segment: str, features: Sequence[str], label: str, trees: int = 900, depth: int = 4, least: int = 10, seed: int = 42
 ) -> DataFrame:
-    """(segment, feature, importance) with one distributed fit per segment.
-
-    One grouped count names the segments with enough rows and both classes. A fit reads its
-    segment by a filter; several fits run side by side.
-    """
-    sizes = df.groupBy(segment).agg(F.count("*").alias("n"), F.count_distinct(label).alias("classes"))
-    names = [r[segment] for r in sizes.filter((F.col("n") >= least) & (F.col("classes") > 1)).orderBy(segment).toLocalIterator()]
-
-    def fit(name) -> list[tuple]:
-        rows = df.filter(F.col(segment) == name).withColumn(label, F.col(label).cast("double"))
-        forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-        values = Pipeline(stages=[assembler(features), forest]).fit(rows).stages[-1].featureImportances.toArray()
-        return [(str(name), f, round(float(v), 3)) for f, v in zip(features, values)]
-
-    with ThreadPoolExecutor(parallel) as pool:
-        found = [row for part in pool.map(fit, names) for row in part]
-    return df.sparkSession.createDataFrame(found, f"{segment} string, feature string, importance double")
+    """(segment, feature, importance) of a forest for every segment with enough rows and both classes; all segments in the same jobs."""
+    splits = segment_forest(df, segment, features, label, trees, depth, least=least, seed=seed)
+    return segment_importance(splits, features, segment)
 
 
 def attribution_mean_abs(df: DataFrame, model: PipelineModel, features: Sequence[str]) -> DataFrame:

@@ -92,3 +92,87 @@ def test_given_trees_with_categories_repeated_features_and_missing_values(spark)
     assert TR.tree_attribution(spark.createDataFrame([], "a double, b double"), table, ["a", "b"]).count() == 0
     mean = {r.feature: r.attribution for r in TR.mean_attribution(TR.tree_attribution(spark.createDataFrame(rows, "a double, b double"), table, ["a", "b"]), ["a", "b"]).collect()}
     assert mean == pytest.approx({f: sum(abs(r[f"by_{f}"]) for r in found) / 6 for f in "ab"})
+
+
+# --- forests of all segments --------------------------------------------------------------------------
+
+
+def test_one_tree_level_by_level_against_a_plain_search():
+    """Splits of a level are the best of all limits, over the cells that a node holds."""
+    from loamwork.operators.forests import Growing
+
+    draw = np.random.default_rng(2)
+    bins = draw.permutation(np.unique(draw.integers(0, 6, (120, 3)), axis=0))[:80]
+    n0, n1 = draw.integers(0, 4, 80), draw.integers(0, 4, 80)
+    growing = Growing(bins, n0, n1, 8, 3, [1])
+    again = Growing(bins[::-1], n0[::-1], n1[::-1], 8, 3, [1])
+    splits = {1: (0, 2), 2: (1, 3)}
+    at = growing.nodes(splits, 2)
+    for b, node in zip(growing.bins, at, strict=True):
+        assert node == (-1 if b[0] > 2 else 4 + (b[1] > 3))
+    for level in range(3):
+        assert all((x == y).all() for x, y in zip(growing.histogram(5, splits, level, 42), again.histogram(5, splits, level, 42), strict=True))
+    w0, w1 = growing.weights(5)
+    node, feature, limit, w, p = growing.histogram(5, splits, 1, 42)
+    for k, f, b, total, ones in zip(node, feature, limit, w, p, strict=True):
+        own = (growing.nodes(splits, 1) == k) & (growing.bins[:, f] == b)
+        assert (total, ones) == ((w0 + w1)[own].sum(), w1[own].sum())
+    assert abs(np.mean([sum(x.sum() for x in growing.weights(t)) for t in range(300)]) / (n0.sum() + n1.sum()) - 1) < 0.02
+
+
+def test_best_splits_against_all_limits(spark):
+    from loamwork.operators.forests import best_splits
+
+    draw = np.random.default_rng(3)
+    rows = [("s", t, n, f, b, int(w), int(draw.integers(0, w + 1))) for t in range(3) for n in (1, 2) for f in range(2) for b, w in enumerate(draw.integers(1, 9, 5))]
+    found = {(r.tree, r.node): r for r in best_splits(spark.createDataFrame(rows, "segment string, tree int, node int, feature int, bin int, w long, p long")).collect()}
+
+    def impurity(w, p):
+        return 2 * p * (w - p) / w if w else 0.0
+
+    for t in range(3):
+        for n in (1, 2):
+            options = []
+            for f in range(2):
+                own = [(b, w, p) for _, a, m, g, b, w, p in rows if (a, m, g) == (t, n, f)]
+                tw, tp = sum(w for _, w, _ in own), sum(p for *_, p in own)
+                for b in range(4):
+                    lw, lp = sum(w for c, w, _ in own if c <= b), sum(p for c, _, p in own if c <= b)
+                    options.append((round(impurity(tw, tp) - impurity(lw, lp) - impurity(tw - lw, tp - lp), 9), -f, -b))
+            gain, f, b = max(options)
+            assert gain <= 0 and (t, n) not in found or (found[t, n].gain, found[t, n].feature, found[t, n].bin) == (pytest.approx(gain), -f, -b)
+
+
+def test_jobs_do_not_depend_on_the_number_of_segments(spark):
+    """Two and forty segments take as many jobs; each finds its own feature; a large segment in several parts gives importances too."""
+    from loamwork.operators import forests
+
+    draw = np.random.default_rng(6)
+    sc = spark.sparkContext
+
+    def table(segments, n):
+        rows = []
+        for s in range(segments):
+            x = draw.random((n, 3))
+            rows += [(f"s{s}", *map(float, r), int(r[s % 3] > 0.5)) for r in x]
+        return spark.createDataFrame(rows, "seg string, a double, b double, c double, y int")
+
+    jobs = []
+    for segments in (2, 40):
+        rows = table(segments, 120).cache()
+        rows.count()
+        sc.setJobGroup(f"segments-{segments}", "")
+        found = {(r.seg, r.feature): r.importance for r in ML.importance_by_segment(rows, "seg", ["a", "b", "c"], "y", trees=40).collect()}
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"segments-{segments}")))
+        assert len(found) == 3 * segments and all(max("abc", key=lambda f: found[f"s{s}", f]) == "abc"[s % 3] for s in range(segments))
+        assert all(sum(found[f"s{s}", f] for f in "abc") == pytest.approx(1, abs=0.002) for s in range(segments))
+    sc.setJobGroup("", "")
+    assert jobs[1] <= jobs[0] * 1.5  # adaptive execution may add a stage's job
+    small = spark.createDataFrame([("x", 1.0, 1)] * 9 + [("y", float(i), 1) for i in range(30)] + [(None, 1.0, 0)] * 30, "seg string, a double, y int")
+    assert ML.importance_by_segment(small, "seg", ["a"], "y", trees=5).count() == 0
+    part, forests.PART = forests.PART, 16
+    try:
+        found = {r.feature: r.importance for r in ML.importance_by_segment(table(1, 400), "seg", ["a", "b", "c"], "y", trees=40).collect()}
+    finally:
+        forests.PART = part
+    assert found["a"] > 0.6
