@@ -14,6 +14,7 @@ from loamwork.operators.search import Range
 from loamwork.plans.registry import query
 from loamwork.session import scratch_folder, table
 from loamwork.streaming import samples as ST
+from loamwork.streaming import silence as SL
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
@@ -225,6 +226,26 @@ def stream_dead_row(spark, sf):
     return ST.with_dead_rows(polled, table(spark, sf, "events").select("user_id"), "user_id", "cycle", ["k"])
 
 
+@query(
+    "stream_dead_timer",
+    """WITH seen AS (SELECT DISTINCT user_id, ts::DATE AS day FROM events), ends AS (SELECT max(ts) AS newest FROM events),
+        days AS (SELECT user_id, unnest(generate_series(min(day)::TIMESTAMP, (SELECT newest FROM ends) - INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS day FROM seen GROUP BY 1)
+        SELECT user_id, strftime(day, '%Y-%m-%d') AS cycle, 'NO_DATA' AS value, 'unreachable' AS error FROM days ANTI JOIN seen USING (user_id, day)""",
+)
+def stream_dead_timer(spark, sf):
+    """Users as hosts, days as cycles: the events land in three parts by time, each read by a restarted stream with the same state."""
+    events, own = table(spark, sf, "events"), SL.timed_session(spark)
+    folder, out, checkpoint = (scratch_folder(spark, name) for name in ("polled", "silent", "ckpt"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    for k in range(3):
+        lower, upper = (first + (last - first) * i / 3 for i in (k, k + 1))
+        part = events.filter((F.col("ts") >= lower) & ((F.col("ts") < upper) if k < 2 else F.lit(True)))
+        part.select("user_id", "ts", "value").write.mode("append").parquet(folder)
+        silent = SL.dead_rows(ST.read_samples(own, folder, spark.read.parquet(folder).schema), "user_id", "ts", 86_400, ["value"])
+        ST.start_flush(silent, ST.append_flush(out), checkpoint, every=None).awaitTermination()
+    return spark.read.parquet(out).select("user_id", F.date_format("cycle", "yyyy-MM-dd").alias("cycle"), "value", "error")
+
+
 @query("stream_append_flush", "SELECT event_id, coalesce(CAST(CASE WHEN event_type = 'error' THEN NULL ELSE value END AS VARCHAR), 'NO_DATA') AS value FROM events")
 def stream_append_flush(spark, sf):
     folder, schema = landed_events(spark, sf)

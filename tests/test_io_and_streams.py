@@ -113,3 +113,50 @@ def test_one_text_file_per_owner(spark, tmp_path):
     writers.write_texts(spark.createDataFrame(rows, "who string, section int, place int, text string").repartition(6), str(tmp_path / "r"), "who", ["section", "place"])
     files = list((tmp_path / "r" / "owner=ann").glob("part-*"))
     assert len(files) == 1 and files[0].read_text().splitlines() == [f"ann {s} {p}" for s in (0, 1, 2) for p in range(20)]
+
+
+# --- silent hosts -----------------------------------------------------------------------------------
+
+
+def land_samples(spark, folder, rows):
+    """rows: (host, second)."""
+    import datetime as dt
+
+    start = dt.datetime(2024, 5, 1, tzinfo=dt.timezone.utc)
+    data = [(h, None if s is None else start + dt.timedelta(seconds=s), 1) for h, s in rows]
+    spark.createDataFrame(data, "host string, ts timestamp, ram int").coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_a_host_that_stops_and_returns(spark, tmp_path):
+    """Rows for the silent cycles only, each once, over three runs from one checkpoint; late and NULL rows change nothing."""
+    from loamwork.streaming import silence as SL
+
+    source, out, checkpoint = (str(tmp_path / p) for p in ("in", "out", "ck"))
+    own = SL.timed_session(spark)
+
+    def run():
+        land_schema = spark.read.parquet(source).schema
+        stream = SL.dead_rows(ST.read_samples(own, source, land_schema), "host", "ts", 10, ["ram", "cpu"])
+        ST.start_flush(stream, ST.append_flush(out), checkpoint, every=None).awaitTermination()
+        rows = spark.read.parquet(out).drop("batch_id").collect()
+        assert all((r.ram, r.cpu, r.error) == ("NO_DATA", "NO_DATA", "unreachable") for r in rows)
+        found = [(r.host, int((r.cycle.timestamp() - 1714521600) // 10)) for r in rows]
+        assert len(found) == len(set(found))
+        return sorted(found)
+
+    land_samples(spark, source, [("a", s) for s in (1, 11, 21, 31, 41)] + [("b", 2), ("b", 13)] + [("c", 44), (None, 3), ("a", None)])
+    assert run() == [("b", 2), ("b", 3)]  # b is silent from cycle 2 on; cycle 4 has not ended
+    land_samples(spark, source, [("a", s) for s in (51, 61)] + [("b", 65), ("b", 24)])  # b is back in cycle 6, its sample of cycle 2 comes too late
+    assert run() == [("b", 2), ("b", 3), ("b", 4), ("b", 5), ("c", 5)]
+    land_samples(spark, source, [("a", 95), ("b", 71)])
+    assert run() == [("a", 7), ("a", 8), ("b", 2), ("b", 3), ("b", 4), ("b", 5), ("b", 8), ("c", 5), ("c", 6), ("c", 7), ("c", 8)]
+    assert run()[-1] == ("c", 8)
+
+
+def test_timers_need_their_state_store(spark, tmp_path):
+    from loamwork.streaming import silence as SL
+
+    land_samples(spark, str(tmp_path / "in"), [("a", 1)])
+    stream = ST.read_samples(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    with pytest.raises(ValueError, match="stateStore"):
+        SL.dead_rows(stream, "host", "ts", 10, [])
