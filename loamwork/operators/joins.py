@@ -26,8 +26,23 @@ def dictionary_join(df: DataFrame, dictionary: DataFrame, on: str | list[str], h
     return df.join(F.broadcast(side) if size <= BROADCAST_BYTES else side, on, how)
 
 
-def every_pair(left: DataFrame, right: DataFrame, salts: int = 16) -> DataFrame:
-    """All combinations of two tables whose product is the result; the right one is repeated per salt of the left."""
+#: Pairs that one cell of a product makes, about.
+CELL_PAIRS = 1 << 20
+
+
+def product_cells(left: int, right: int) -> int:
+    """Cells of a product of two tables: as many as its pairs ask for, no more than the left side has rows."""
+    return max(1, min(left, -(-left * right // CELL_PAIRS)))
+
+
+def every_pair(left: DataFrame, right: DataFrame) -> DataFrame:
+    """All combinations of two tables whose product is the result.
+
+    Both are written and counted; the left one is dealt into cells by the size of the product, the right one goes to every
+    cell, so a task's share stays the same however large the product is.
+    """
+    left, right = cut_lineage(left), cut_lineage(right)
+    salts = product_cells(left.count(), right.count())
     dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
     return dealt.join(right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), "_salt").drop("_salt")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -134,13 +134,43 @@ def tune_regression(df: DataFrame, features: Sequence[str], label: str, key: str
     return running_best(gains, "trial", "_gain", "_best").withColumn("best_so_far", -F.col("_best")).withColumnRenamed("metric", "rmse").drop("_gain", "_best")
 
 
-def train_mlp(df: DataFrame, vector: str, label: str, hidden: Sequence[int] = (32,), rounds: int = 60, seed: int = 42) -> PipelineModel:
-    """Standardised array features, hidden layers, softmax. Labels are 0..k-1."""
+@dataclass
+class EarlyStop:
+    """Validation losses of the rounds of a fit, and the round whose weights it has."""
+
+    model: PipelineModel
+    losses: list[float]
+    best: int
+
+
+def train_mlp(
+    df: DataFrame, vector: str, label: str, key: str, hidden: Sequence[int] = (32,), rounds: int = 20, steps: int = 10, patience: int = 3, validation: float = 0.2, seed: int = 42
+) -> EarlyStop:
+    """Standardised array features, hidden layers, softmax. Labels are 0..k-1.
+
+    Rows held out by their key judge every round of ``steps`` iterations, which goes on from the weights of the one before.
+    After ``patience`` rounds without a smaller log loss the fit ends, with the weights of its best round. Without held-out
+    rows the fit judges itself.
+    """
     shape = df.agg(F.max(F.size(vector)).alias("d"), (F.max(label) + 1).alias("k")).first()
     rows = mlp_rows(df, vector).withColumn(label, F.col(label).cast("double"))
-    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-    net = MultilayerPerceptronClassifier(labelCol=label, layers=[shape["d"], *hidden, shape["k"]], maxIter=rounds, seed=seed)
-    return Pipeline(stages=[scaler, net]).fit(rows)
+    held_out = hash_unit(F.col(key), seed=seed + 1) < validation
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(rows.filter(~held_out))
+    train, judged = (scaler.transform(rows.filter(c)).select(label, "features").persist() for c in (~held_out, held_out))
+    if judged.isEmpty():
+        judged = train
+    own = vector_to_array("probability")[F.col(label).cast("int")]
+    net = MultilayerPerceptronClassifier(labelCol=label, layers=[shape["d"], *hidden, shape["k"]], maxIter=steps, seed=seed)
+    losses, best, kept = [], 0, None
+    while len(losses) < rounds and len(losses) - best <= patience:
+        fitted = net.fit(train)
+        net = net.setInitialWeights(fitted.weights)
+        losses.append(float(fitted.transform(judged).agg(F.avg(-F.ln(F.greatest(own, F.lit(1e-15))))).first()[0]))
+        if kept is None or losses[-1] < losses[best]:
+            best, kept = len(losses) - 1, fitted
+    train.unpersist()
+    judged.unpersist()
+    return EarlyStop(PipelineModel(stages=[scaler, kept]), losses, best)
 
 
 def mlp_rows(df: DataFrame, vector: str) -> DataFrame:

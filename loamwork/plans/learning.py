@@ -123,19 +123,22 @@ def tune_regression(spark, sf):
     return tried.select("trial", falling.alias("falling"), (F.col("rmse") < spread * 1.2).alias("useful"))
 
 
+QUARTER_SQL = "CAST(embedding[1] > 0 AS INTEGER) + 2 * CAST(embedding[2] > 0 AS INTEGER)"
+
+
 @query(
     "train_mlp_multiclass",
-    """WITH u AS (SELECT label, vec_id FROM embeddings WHERE CAST('0x' || substr(md5(concat_ws('|', '42', vec_id)), 1, 12) AS BIGINT) / 281474976710656.0 < 0.2)
-       SELECT CAST(label AS VARCHAR) AS label, count(*) AS support, true AS sound FROM u GROUP BY 1 UNION ALL SELECT unnest(['macro avg', 'weighted avg']), count(*), true FROM u""",
+    f"""WITH u AS (SELECT {QUARTER_SQL} AS label FROM embeddings WHERE CAST('0x' || substr(md5(concat_ws('|', '42', vec_id)), 1, 12) AS BIGINT) / 281474976710656.0 < 0.2)
+       SELECT CAST(label AS VARCHAR) AS label, count(*) AS support, true AS better FROM u GROUP BY 1 UNION ALL SELECT unnest(['macro avg', 'weighted avg']), count(*), true FROM u""",
 )
 def train_mlp_multiclass(spark, sf):
-    """The report of the rows that the fit has not seen: all of them are counted, and every rate is a share."""
-    rows = table(spark, sf, "embeddings")
+    """The quarter in which a vector's first two components lie, on rows that neither the fit nor its early stop has seen: twice as good as a guess."""
+    first, second = F.get("embedding", F.lit(0)), F.get("embedding", F.lit(1))
+    rows = table(spark, sf, "embeddings").withColumn("label", (first > 0).cast("int") + 2 * (second > 0).cast("int"))
     unseen = hash_unit(F.col("vec_id"), seed=42) < 0.2
-    model = ML.train_mlp(rows.filter(~unseen), "embedding", "label")
+    model = ML.train_mlp(rows.filter(~unseen), "embedding", "label", "vec_id").model
     report = E.classification_report(ML.mlp_predict(model, rows.filter(unseen), "embedding"), "label", "predicted")
-    sound = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
-    return report.filter("support > 0").select("label", F.col("support").cast("long").alias("support"), sound.alias("sound"))
+    return report.filter("support > 0").select("label", F.col("support").cast("long").alias("support"), (F.col("f1") > 0.5).alias("better"))
 
 
 @query("score_and_save", "SELECT l_returnflag, count(*) AS n, true AS equal FROM lineitem GROUP BY 1")

@@ -84,6 +84,29 @@ def scan_indicator_wide(spark, sf):
     return wide.withColumnRenamed("geo\\TIME_PERIOD", "geo")
 
 
+FLAGGED_SQL = """WITH sums AS (SELECT o_orderstatus AS na_item, n_name AS geo, year(o_orderdate) AS period, round(sum(o_totalprice), 2) AS v, count(*) AS n
+         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)"""
+
+
+@query(
+    "scan_indicator_flags",
+    FLAGGED_SQL + """SELECT 'A' AS freq, 'EUR' AS unit, na_item, geo, period::VARCHAR AS period, CASE WHEN n % 5 <> 0 THEN v END AS value,
+         CASE WHEN n % 5 = 0 THEN CASE WHEN n % 2 = 0 THEN 'c' END WHEN n % 3 = 0 THEN 'bp' WHEN n % 7 = 0 THEN 'e' END AS flag
+       FROM sums WHERE period BETWEEN 1995 AND 2001 AND (n % 5 <> 0 OR n % 2 = 0)""",
+)
+def scan_indicator_flags(spark, sf):
+    """Sums by country and year in the published form, with flags by their numbers of orders, read back without a schema."""
+    path, n = scratch_folder(spark, "flagged"), F.col("n")
+    sums = nation_orders(spark, sf).groupBy("o_orderstatus", "n_name", "yr").agg(F.round(F.sum("o_totalprice"), 2).alias("v"), F.count("*").alias("n"))
+    number = F.concat(F.format_string("%.2f", "v"), F.when(n % 3 == 0, " bp").when(n % 7 == 0, " e").otherwise(" "))
+    cell = F.when(n % 5 == 0, F.when(n % 2 == 0, ": c").otherwise(": ")).otherwise(number)
+    wide = sums.withColumn("cell", cell).groupBy("o_orderstatus", "n_name").pivot("yr", YEARS).agg(F.first("cell"))
+    joined = F.concat_ws(",", F.lit("A"), F.lit("EUR"), "o_orderstatus", "n_name").alias("freq,unit,na_item,geo\\TIME_PERIOD")
+    wide.select(joined, *[F.coalesce(F.col(f"`{y}`"), F.lit(": ")).alias(f"{y} ") for y in YEARS]).write.option("header", True).option("sep", "\t").csv(path)
+    read = readers.read_indicator_file(spark, path).withColumnRenamed("geo\\TIME_PERIOD", "geo")
+    return readers.indicator_long(read)
+
+
 @query("scan_table", "SELECT * FROM supplier")
 def scan_table(spark, sf):
     table(spark, sf, "supplier").createOrReplaceTempView("loamwork_supplier")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -29,6 +29,40 @@ def read_indicator_wide(spark: SparkSession, path: str, dims: Sequence[str], per
     return read_csv(spark, path, ", ".join(fields), sep="\t")
 
 
+def read_indicator_file(spark: SparkSession, path: str) -> DataFrame:
+    """Indicator table in its published form: dimensions, then for every period a value and a flag (``<period>_flag``).
+
+    Nothing of the layout is known beforehand. The first column joins all dimensions by commas, in its header as in its
+    cells; the others are periods of any kind. A cell is a number or ``:`` for none, with or without a flag behind it
+    (``12.3 bp``, ``: c``); names and cells may have blanks around them. A cell that is neither keeps its text as the flag,
+    so that nothing is lost unseen. Blank cells have no value and no flag. Only the header is read before the job.
+    """
+    raw = spark.read.option("header", True).option("sep", "\t").csv(path)
+    joined, *periods = raw.columns
+    parts = F.split(F.col(quote_identifier(joined)), ",")
+    dims = [F.trim(F.get(parts, F.lit(i))).alias(name.strip()) for i, name in enumerate(joined.split(","))]
+    cells = [c for p in periods for c in indicator_cell(F.col(quote_identifier(p)), p.strip())]
+    return raw.select(*dims, *cells)
+
+
+def indicator_cell(cell: Column, name: str) -> list[Column]:
+    """Value and flag of a cell."""
+    text = F.trim(F.regexp_replace(cell, r"\s+", " "))
+    known = text.rlike(r"^(:|[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?)( ?[a-zA-Z]+)*$")
+    value = F.regexp_extract(text, r"^([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?)", 1).try_cast("double")
+    flag = F.trim(F.regexp_replace(text, r"^(:|[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?)", ""))
+    return [F.when(known, value).alias(name), F.nullif(F.when(known, flag).otherwise(text), F.lit("")).alias(f"{name}_flag")]
+
+
+def indicator_long(wide: DataFrame) -> DataFrame:
+    """(dimensions..., period, value, flag): a row for every cell that has one of both."""
+    periods = [c for c in wide.columns if f"{c}_flag" in wide.columns]
+    dims = [c for c in wide.columns if c not in periods and not (c.endswith("_flag") and c.removesuffix("_flag") in periods)]
+    cells = F.array(*[F.struct(F.lit(p).alias("period"), F.col(quote_identifier(p)).alias("value"), F.col(quote_identifier(f"{p}_flag")).alias("flag")) for p in periods])
+    rows = wide.select(*[F.col(quote_identifier(d)) for d in dims], F.explode(F.filter(cells, lambda c: c["value"].isNotNull() | c["flag"].isNotNull())).alias("_c"))
+    return rows.select(*[F.col(quote_identifier(d)) for d in dims], "_c.*")
+
+
 def read_sdmx_csv(spark: SparkSession, path: str) -> DataFrame:
     """Labelled observations; other columns of the file are not parsed."""
     wanted = ["REF_AREA", "TRANSACTION", "FREQ", "TIME_PERIOD", "OBS_VALUE"]

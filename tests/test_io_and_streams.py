@@ -160,3 +160,24 @@ def test_timers_need_their_state_store(spark, tmp_path):
     stream = ST.read_samples(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
     with pytest.raises(ValueError, match="stateStore"):
         SL.dead_rows(stream, "host", "ts", 10, [])
+
+
+def test_indicator_file_in_its_published_form(spark, tmp_path):
+    """Header and cells as they come: joined dimensions, periods of any kind, flags, colons, blanks, odd cells."""
+    from loamwork.sources import readers
+
+    lines = [
+        "freq,unit,geo\\TIME_PERIOD\t2007 \t2008-Q1 \t2009-M02", "A,CP_MEUR,SK\t12.3 bp\t: \t-4", "A,CP_MEUR,CZ\t: c\t5e3\t 7.25 e ", "A,PC, EA\t.5p\t\tn/a", "Q,X,U2\t:z\t1 234\t0",
+    ]
+    (tmp_path / "x.tsv").write_text("\n".join(lines) + "\n")
+    wide = readers.read_indicator_file(spark, str(tmp_path))
+    assert wide.columns == ["freq", "unit", "geo\\TIME_PERIOD", "2007", "2007_flag", "2008-Q1", "2008-Q1_flag", "2009-M02", "2009-M02_flag"]
+    assert [tuple(r) for r in wide.collect()] == [
+        ("A", "CP_MEUR", "SK", 12.3, "bp", None, None, -4.0, None), ("A", "CP_MEUR", "CZ", None, "c", 5000.0, None, 7.25, "e"),
+        ("A", "PC", "EA", 0.5, "p", None, None, None, "n/a"), ("Q", "X", "U2", None, "z", None, "1 234", 0.0, None),
+    ]
+    long = readers.indicator_long(wide)
+    assert long.columns == ["freq", "unit", "geo\\TIME_PERIOD", "period", "value", "flag"] and long.count() == 10
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.tsv").write_text(lines[0] + "\n")
+    assert readers.indicator_long(readers.read_indicator_file(spark, str(tmp_path / "none"))).count() == 0

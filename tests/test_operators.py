@@ -424,6 +424,17 @@ def test_contained_pairs_against_all_pairs(spark):
     assert {tuple(r) for r in J.contained_pairs(s, g).collect()} == {(a, b) for a in short for b in long if a in b}
 
 
+def test_cells_of_a_product_follow_its_size(spark, monkeypatch):
+    assert [J.product_cells(n, m) for n, m in ((0, 5), (3, 0), (10, 10), (1 << 20, 1), (1 << 20, 64), (5, 1 << 30))] == [1, 1, 1, 1, 64, 5]
+    left, right = spark.range(40).select(F.col("id").alias("a")), spark.range(30).select(F.col("id").alias("b"))
+    for pairs in (1 << 20, 100):
+        monkeypatch.setattr(J, "CELL_PAIRS", pairs)
+        found = J.every_pair(left, right)
+        assert sorted(map(tuple, found.collect())) == [(a, b) for a in range(40) for b in range(30)]
+        assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+    assert J.every_pair(left.limit(0), right).count() == 0
+
+
 def test_dictionary_join_beyond_the_limit(spark, monkeypatch):
     left, right = spark.range(50).select((F.col("id") % 7).alias("k"), "id"), spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     want = sorted(J.dictionary_join(left, right, "k").collect())

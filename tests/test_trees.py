@@ -94,6 +94,25 @@ def test_given_trees_with_categories_repeated_features_and_missing_values(spark)
     assert mean == pytest.approx({f: sum(abs(r[f"by_{f}"]) for r in found) / 6 for f in "ab"})
 
 
+def test_a_network_stops_early_and_keeps_its_best_round(spark):
+    """Noisy labels: the loss on held-out rows rises again; the model is the one of its least loss."""
+    from pyspark.ml.functions import vector_to_array
+
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(700, 6))
+    y = np.where(draw.random(700) < 0.25, draw.integers(0, 3, 700), np.digitize(x[:, 0], [-0.4, 0.4]))
+    rows = spark.createDataFrame([(i, list(map(float, r)), int(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))], "id int, v array<double>, y int").cache()
+    fit = ML.train_mlp(rows, "v", "y", "id", rounds=30, steps=10, patience=2)
+    assert len(fit.losses) < 30 and fit.best == len(fit.losses) - 3 and fit.losses[fit.best] == min(fit.losses)
+    held_out = rows.filter(ML.hash_unit(F.col("id"), seed=43) < 0.2)
+    scored = fit.model.transform(ML.mlp_rows(held_out, "v"))
+    loss = scored.agg(F.avg(-F.ln(vector_to_array("probability")[F.col("y")]))).first()[0]
+    assert loss == pytest.approx(fit.losses[fit.best])
+    assert ML.mlp_predict(fit.model, rows, "v").filter("predicted = y").count() > 400
+    few = ML.train_mlp(rows.filter("id < 60"), "v", "y", "id", rounds=2, validation=0.0)
+    assert len(few.losses) == 2
+
+
 # --- forests of all segments --------------------------------------------------------------------------
 
 
