@@ -17,7 +17,7 @@ def contains_any(c: Column, parts: Sequence[str]) -> Column:
     """Whether one of the parts occurs; one scan by an alternation of literal texts."""
     if not parts:
         return F.lit(False)
-    return c.rlike("|".join(re.escape(p) for p in parts))
+    return c.rlike(f"{W.first_letters(list(parts))}(?:{'|'.join(re.escape(p) for p in parts)})")
 
 
 def detect_section(line: Column, must: Sequence[str] = W.MUST_HEADERS, nice: Sequence[str] = W.NICE_HEADERS) -> Column:
@@ -36,7 +36,7 @@ CATEGORY_PATTERNS: dict[str, Sequence[str]] = {
 def classify_category(line: Column, patterns: Mapping[str, Sequence[str]] = CATEGORY_PATTERNS) -> Column:
     """First matching category."""
     low = F.lower(line)
-    return F.coalesce(*[F.when(low.rlike(W.any_pattern(list(p))), name) for name, p in patterns.items()], F.lit("other"))
+    return F.coalesce(*[F.when(low.rlike(W.java_pattern(list(p))), name) for name, p in patterns.items()], F.lit("other"))
 
 
 def infer_priority(line: Column, section: Column, must: Sequence[str] = W.MUST_CUES, nice: Sequence[str] = W.NICE_CUES) -> Column:
@@ -72,7 +72,7 @@ def line_score(
     )
     for name, weight in weights.items():
         if name in patterns:
-            total = total + points(low.rlike(W.any_pattern(list(patterns[name]))), weight)
+            total = total + points(low.rlike(W.java_pattern(list(patterns[name]))), weight)
     return F.when(F.length(line).between(12, 320), total).otherwise(0.0)
 
 

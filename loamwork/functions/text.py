@@ -10,9 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Unicode white space, spelled so that Java and RE2 read it alike.
+# NUL, tab to carriage return, the separators and all Unicode white space, as what is outside of all other
+# characters: a letter is told apart by the first range.
 SPACE_CLASS = (
-    r"[\x00\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    r"[^\x21-\x{84}\x01-\x08\x0E-\x1B\x{86}-\x{9F}\x{A1}-\x{167F}\x{1681}-\x{1FFF}\x{200B}-\x{2027}\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}\x{3001}-\x{10FFFF}]"
 )
 
 
@@ -84,8 +85,7 @@ def split_words(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    clean = normalize_space(c)
-    return F.when(clean == "", 0).otherwise(F.length(clean) - F.length(F.replace(clean, F.lit(" "))) + 1)
+    return bind(normalize_space(c), lambda clean: F.when(clean == "", 0).otherwise(F.length(clean) - F.length(F.replace(clean, F.lit(" "))) + 1))
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
@@ -110,9 +110,9 @@ def looks_like_duplicate(a: Column, b: Column) -> Column:
 
 def is_heading_line(line: Column) -> Column:
     """At most 8 words, and mostly capitals or a section number in front."""
-    letters = F.length(F.regexp_replace(line, r"[^\p{L}]", ""))
-    capitals = F.length(F.regexp_replace(line, r"[^\p{Lu}]", ""))
-    loud = (letters > 0) & (capitals >= letters * 0.7)
+    letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
+    capitals = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
+    loud = bind(letters, lambda n: (n > 0) & (capitals >= n * 0.7))
     return (word_count(line) <= 8) & (loud | line.rlike(r"^[0-9]+(\.[0-9]+)*\s+\S"))
 
 
@@ -121,7 +121,7 @@ def is_header_footer_line(line: Column, known: list[str] | None = None) -> Colum
     clean = F.trim(line)
     page = F.lower(clean).rlike(r"^(strana|page)\s+[0-9]+(\s*/\s*[0-9]+)?$")
     leader = clean.rlike(r"[.\-–—]{3,}")
-    shout = (word_count(clean) <= 6) & (clean == F.upper(clean)) & clean.rlike(r"\p{L}")
+    shout = (clean == F.upper(clean)) & clean.rlike(r"\p{L}") & (word_count(clean) <= 6)
     hit = page | leader | shout
     if known:
         hit = hit | clean.isin(known)

@@ -157,6 +157,28 @@ def portable_pattern(pattern: str) -> tuple[str, str, str]:
     return start, core, end
 
 
+def java_pattern(patterns: list[str]) -> str:
+    """The same as ``any_pattern`` for Java: a place is left at once unless one of the patterns may begin there.
+
+    One look at the character, then one at the one before it, before any pattern is tried.
+    """
+    groups: dict[tuple[str, str], list[str]] = {}
+    for pattern in patterns:
+        start, core, end = portable_pattern(pattern)
+        behind = rf"(?<!{WORD})" if start else ""
+        after = rf"(?!{WORD})" if end.startswith("(?:$") else f"(?={WORD})" if end else ""
+        groups.setdefault((behind, after), []).append(core)
+    return "|".join(f"{first_letters(cores)}{behind}(?:{'|'.join(cores)}){after}" for (behind, after), cores in groups.items())
+
+
+def first_letters(cores: list[str]) -> str:
+    """Look-ahead for the first characters of patterns; nothing if one begins with a sign that may stand for others."""
+    first = sorted({c[0] for c in cores})
+    if all(x.isascii() and x.isalnum() for x in first):
+        return f"(?=[{''.join(first)}])"
+    return r"(?=[0-9\p{Nd}])" if all(c.startswith(r"\p{Nd}") for c in cores) else ""
+
+
 def any_pattern(patterns: list[str]) -> str:
     """One pattern for a list; patterns with the same boundaries share them, so that a position
     that is no word start is left after one look."""

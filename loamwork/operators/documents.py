@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from loamwork.functions.text import cache_key, is_header_footer_line, is_heading_line, split_lines, split_words
-from loamwork.session import hold
+from loamwork.session import hold, unnest
 
 
 def first_occurrences(docs: DataFrame, doc: str, items: Column, limit: int | None = None) -> DataFrame:
@@ -24,7 +24,7 @@ def first_occurrences(docs: DataFrame, doc: str, items: Column, limit: int | Non
     is_first = lambda e, i: (i == 0) | (F.get(F.col("_s"), F.greatest(i - 1, F.lit(0)))["k"] != e["k"])
     firsts = sorted_rows.select(doc, F.filter("_s", is_first).alias("_f"))
     back = F.transform(F.sort_array(F.transform("_f", lambda e: F.struct(e["p"].alias("p"), e["x"].alias("x")))), lambda e: e["x"])
-    return firsts.select(doc, (back if limit is None else F.slice(back, 1, limit)).alias("items"))
+    return hold(firsts, items=back if limit is None else F.slice(back, 1, limit)).select(doc, "items")
 
 
 def heading_sections(docs: DataFrame, doc: str, text: str, known_lines: list[str] | None = None) -> DataFrame:
@@ -46,7 +46,7 @@ def heading_sections(docs: DataFrame, doc: str, text: str, known_lines: list[str
         return F.struct(F.get(F.col("_l"), start)["t"].alias("header"), text_of(F.slice(F.col("_l"), start + 2, end - start - 1)).alias("body"))
 
     sections = F.filter(F.transform("_h", section), lambda s: s["body"] != "")
-    return placed.select(doc, F.posexplode(F.concat(F.array(whole), sections)).alias("idx", "s")).select(doc, "idx", "s.header", "s.body")
+    return unnest(placed, [doc], F.concat(F.array(whole), sections), "idx", "s").select(doc, "idx", "s.header", "s.body")
 
 
 def chunk_words(docs: DataFrame, doc: str, text: str, size: int = 220, overlap: int = 55, least: int = 20) -> DataFrame:
@@ -55,7 +55,7 @@ def chunk_words(docs: DataFrame, doc: str, text: str, size: int = 220, overlap:
     worded = hold(docs, _w=split_words(F.col(text))).select(doc, "_w").filter(F.size("_w") > 0)
     starts = F.filter(F.sequence(F.lit(0), F.size("_w") - 1, F.lit(step)), lambda s: (s == 0) | (F.size("_w") - s >= least))
     chunks = F.transform(starts, lambda s: F.array_join(F.slice(F.col("_w"), s + 1, size), " "))
-    return worded.select(doc, F.posexplode(chunks).alias("chunk", "text"))
+    return unnest(worded, [doc], chunks, "chunk", "text")
 
 
 def _pieces(text: str, separators: list[str]) -> tuple[list[str], list[str]]:
@@ -111,7 +111,7 @@ def chunk_chars(docs: DataFrame, doc: str, text: str, size: int = 1200, overlap:
     def cut(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: [] if t is None else split_chars(t, size, overlap, SEPARATORS))
 
-    pieces = docs.select(doc, F.posexplode(cut(F.col(text))).alias("chunk", "text"))
+    pieces = unnest(docs, [doc], cut(F.col(text)), "chunk", "text")
     meta = F.create_map(F.lit("doc"), F.col(doc).cast("string"), F.lit("chunk"), F.col("chunk").cast("string"))
     return pieces.select(F.concat_ws("_", doc, "chunk").alias("chunk_id"), doc, "chunk", "text", meta.alias("meta"))
 

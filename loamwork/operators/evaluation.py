@@ -80,14 +80,32 @@ def threshold_grid(low: int = 50, high: int = 95) -> list[float]:
     return [step / 100 for step in range(low, high + 1)]
 
 
+def marks_passed(score: Column, marks: Sequence[float]) -> Column:
+    """How many of the rising marks are no greater than a score.
+
+    On an even grid the place follows from the score; rounding can put it one off, which the marks themselves
+    tell. NULL passes none, NaN all.
+    """
+    n, known = len(marks), F.array(*[F.lit(t) for t in marks])
+    step = (marks[-1] - marks[0]) / (n - 1) if n > 1 else 0.0
+    if step <= 0 or any(abs(m - marks[0] - i * step) > step / 4 for i, m in enumerate(marks)):
+        return F.size(F.filter(known, lambda t: t <= score))
+    inside = F.least(F.greatest(score.cast("double"), F.lit(marks[0] - step)), F.lit(marks[-1] + step))
+    near = F.least(F.greatest(F.floor((inside - marks[0]) / step).cast("int") + 1, F.lit(0)), F.lit(n))
+    more = F.coalesce(F.get(known, near) <= score, F.lit(False)).cast("int")
+    less = F.coalesce(F.get(known, near - 1) > score, F.lit(False)).cast("int")
+    return F.when(score.isNull(), 0).otherwise(near + more - less)
+
+
 def threshold_sweep(df: DataFrame, y: str, score: str, grid: Sequence[float] | None = None) -> DataFrame:
     """Counts and rates at every threshold in one pass.
 
     Each row is counted once, at the highest threshold it passes, and found in its own row, so only as many
     groups as thresholds are shuffled; a running sum over them gives the rest.
     """
-    marks = F.array(*[F.lit(t) for t in sorted(grid or threshold_grid())])
-    bucket = F.size(F.filter(marks, lambda t: t <= F.col(score)))
+    known = sorted(grid or threshold_grid())
+    marks = F.array(*[F.lit(t) for t in known])
+    bucket = marks_passed(F.col(score), known)
     counts = df.groupBy(bucket.alias("_b")).agg(F.count_if(F.col(y) == 1).alias("p"), F.count_if(F.col(y) == 0).alias("q"))
     per_mark = (
         df.sparkSession.range(1).select(F.posexplode(marks).alias("_i", "threshold"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loamwork.functions.text import normalize_space
 from loamwork.operators.documents import first_occurrences
+from loamwork.session import hold
 
 # fixed values: elements without content of their own, in the order they are removed
 SWALLOWING = ["script", "style"]
@@ -30,9 +31,13 @@ def content_pattern(tag: str) -> str:
     return rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?:</{tag}\s*>|\z)"
 
 
-def content_text(html: Column) -> Column:
-    """Text of the content element with a line break for every tag."""
-    bare = reduce(lambda c, p: F.regexp_replace(c, p, ""), removal_patterns(), html)
+def without_extras(html: Column) -> Column:
+    """HTML without comments and elements that hold no content."""
+    return reduce(lambda c, p: F.regexp_replace(c, p, ""), removal_patterns(), html)
+
+
+def content_text(bare: Column) -> Column:
+    """Text of the content element, from HTML without extras, with a line break for every tag."""
     found = [F.when(bare.rlike(content_pattern(t)), F.regexp_extract(bare, content_pattern(t), 1)) for t in CONTENT]
     lined = F.regexp_replace(F.coalesce(*found, bare), r"(?s)<[^>]*>", "\n")
     return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), lined)
@@ -40,6 +45,7 @@ def content_text(html: Column) -> Column:
 
 def clean_html(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, text): lines longer than 2 characters, repeats removed, in one line."""
-    lines = F.transform(F.split(content_text(F.col(html)), "\n"), normalize_space)
-    kept = first_occurrences(pages, key, F.filter(lines, lambda x: F.length(x) > 2))
+    bare = hold(pages.select(key, html), _bare=without_extras(F.col(html))).select(key, "_bare")
+    lines = F.transform(F.split(content_text(F.col("_bare")), "\n"), normalize_space)
+    kept = first_occurrences(bare, key, F.filter(lines, lambda x: F.length(x) > 2))
     return kept.select(key, F.array_join("items", " ").alias("text"))

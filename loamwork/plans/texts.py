@@ -18,7 +18,7 @@ from loamwork.operators import requirements as RQ
 from loamwork.operators import similarity as SM
 from loamwork.plans.joining import TERM_COUNT_SQL, matched_terms
 from loamwork.plans.registry import query
-from loamwork.session import hold, table
+from loamwork.session import hold, table, unnest
 
 
 def q(text: str) -> str:
@@ -26,8 +26,12 @@ def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+#: Unicode white space and NUL, for RE2.
+SPACES = r"[\x00\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
 def space_sql(x: str) -> str:
-    return f"trim(regexp_replace({x}, '{T.SPACE_CLASS}+', ' ', 'g'))"
+    return f"trim(regexp_replace({x}, '{SPACES}+', ' ', 'g'))"
 
 
 def documents(spark, sf):
@@ -350,7 +354,7 @@ def marked_docs(spark, sf):
 
 
 def marked_lines(spark, sf):
-    return marked_docs(spark, sf).select("doc_id", F.posexplode(T.split_lines(F.col("text"))).alias("pos", "line")).withColumn("line", F.trim("line"))
+    return unnest(marked_docs(spark, sf), ["doc_id"], T.split_lines(F.col("text")), "pos", "line").withColumn("line", F.trim("line"))
 
 
 @query("is_heading_line", f"WITH {MARKED_SQL} SELECT doc_id, pos, {HEADING_SQL} AS heading FROM raw")
@@ -384,7 +388,7 @@ def heading_sections(spark, sf):
 def first_occurrence_dedup(spark, sf):
     lines = F.filter(F.transform(T.split_lines(F.col("text")), T.normalize_space), lambda x: x != "")
     kept = D.first_occurrences(ads(spark, sf), "doc_id", lines)
-    return kept.select("doc_id", F.posexplode("items").alias("place", "line"))
+    return unnest(kept, ["doc_id"], F.col("items"), "place", "line")
 
 
 @query(

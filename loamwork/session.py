@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,15 @@ def hold(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(made)).alias("_held")).select(*df.columns, *[f"_held.{n}" for n in columns])
 
 
+def unnest(df: DataFrame, keep: Sequence[str], items: Column, pos: str, item: str) -> DataFrame:
+    """A row per array entry with its place.
+
+    For an inner generator Spark puts a filter on the length of the array below it, and so computes the array twice;
+    an outer one has none, and the rows of empty arrays go behind it.
+    """
+    return df.select(*keep, F.posexplode_outer(items).alias(pos, item)).filter(F.col(pos).isNotNull())
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 

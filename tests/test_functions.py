@@ -1,5 +1,8 @@
 """Scalar functions on hand-made values, with nulls, edges and accents."""
 
+import math
+import random
+import re
 import unicodedata
 
 import pytest
@@ -10,6 +13,7 @@ from loamwork.functions import requirements as R
 from loamwork.functions import values as V
 from loamwork.functions import wordlists as W
 from loamwork.functions.distributions import f_cdf_value, t_cdf_value, t_ppf_value
+from loamwork.operators import evaluation as E
 
 
 def apply(spark, kind, values, function):
@@ -114,3 +118,45 @@ def test_distributions_against_tables():
     assert t_cdf_value(2.228139, 10) == pytest.approx(0.975, abs=1e-6)
     assert f_cdf_value(3.3258, 5, 10) == pytest.approx(0.95, abs=1e-4)
     assert f_cdf_value(4.7571, 3, 6) == pytest.approx(0.95, abs=1e-4)
+
+
+def test_patterns_with_a_look_ahead_match_the_same(spark):
+    """Every category pattern, at the ends of lines, inside words, behind signs and accents."""
+    draw = random.Random(9)
+    words = ["python", "pythonic", "c++", "c++x", "xc++", "sql", "mysql", "3 years", "12+ roky", "bachelor", "bachelors", "é", "sql_", "team", "steam", "ci/cd", "b2", "ab2", "on-site", "٣ years", "master's", "scaled agile"]
+    lines = [draw.choice(["", " ", "-", "_", "é"]) + draw.choice([" ", ", ", "", "-"]).join(draw.choice(words) for _ in range(draw.randint(0, 4))) for _ in range(1500)]
+    df = spark.createDataFrame([(x,) for x in lines], "x string")
+    for patterns in (W.HARD_SKILL_PATTERNS, W.EDUCATION_PATTERNS, W.LANGUAGE_PATTERNS, W.LOCATION_PATTERNS, W.SOFT_SKILL_PATTERNS, W.YEARS_PATTERNS):
+        same = F.col("x").rlike(W.java_pattern(patterns)) == F.col("x").rlike(W.any_pattern(patterns))
+        assert df.filter(~same).count() == 0
+    for parts in (W.MUST_CUES, W.GENERIC_PARTS, ["2.x", "b"], ["•", "a"]):
+        got = [r[0] for r in df.select(R.contains_any(F.col("x"), parts)).collect()]
+        assert got == [any(p in x for p in parts) for x in lines]
+
+
+def test_fillers_in_few_passes_as_one_by_one(spark):
+    draw = random.Random(5)
+    lists = [W.STOP_PHRASES, ["a b", "b c", "c", "x c", "q a b z", "zz"], ["s", "prax s", "s s"], ["a", "a b", "b"], ["a.b", "b", "+c"], []]
+    for phrases in lists:
+        words = sorted({w for p in phrases for w in p.split()} | {"k", "ss", "s-s", "a.b"})
+        texts = [" ".join(draw.choice(words) for _ in range(draw.randint(0, 9))) for _ in range(400)]
+        want = []
+        for t in texts:
+            for p in phrases:
+                t = re.sub(rf"\b{re.escape(p)}\b", " ", t)
+            want.append(" ".join(t.split()))
+        c = F.col("x")
+        for p in R.filler_passes(phrases):
+            c = F.regexp_replace(c, p, " ")
+        df = spark.createDataFrame([(t,) for t in texts], "x string")
+        assert [" ".join(r[0].split()) for r in df.select(c).collect()] == want
+    assert len(R.filler_passes(W.STOP_PHRASES)) == 1
+
+
+def test_marks_passed_on_and_beside_the_marks(spark):
+    draw = random.Random(3)
+    for marks in ([i / 100 for i in range(50, 96)], [0.1, 0.2, 0.30000000000000004, 0.4], [0.5], [0.1, 0.5, 0.6], [-3.0, 0.0, 3.0]):
+        scores = [None, float("nan"), float("inf"), float("-inf"), *marks, *[math.nextafter(m, d) for m in marks for d in (-9, 9)], *[draw.uniform(-1, 2) for _ in range(300)]]
+        df = spark.createDataFrame([(x,) for x in scores], "x double")
+        got = [r[0] for r in df.select(E.marks_passed(F.col("x"), marks)).collect()]
+        assert got == [0 if x is None else len(marks) if x != x else sum(m <= x for m in marks) for x in scores]

@@ -55,3 +55,10 @@ def test_requirement_lists_need_no_python(spark):
 
 def test_sweep_is_not_grouped_by_the_raw_score(spark):
     assert "hashpartitioning(score" not in plan(spark, "threshold_sweep")
+
+
+@pytest.mark.parametrize("name", ["clean_requirements", "weak_output_flag", "job_requirements", "merge_requirement_lists", "first_occurrence_dedup", "heading_sections", "chunk_words", "chunk_chars", "section_state", "clean_html"])
+def test_lists_are_computed_once(spark, name):
+    """No filter on the length of a computed array below its generator."""
+    text = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in text.splitlines() if "Filter" in x and "size(" in x and ("transform(" in x or "lambda" in x)]
