@@ -34,9 +34,17 @@ CATEGORY_PATTERNS: dict[str, Sequence[str]] = {
 
 
 def classify_category(line: Column, patterns: Mapping[str, Sequence[str]] = CATEGORY_PATTERNS) -> Column:
-    """First matching category."""
-    low = F.lower(line)
-    return F.coalesce(*[F.when(low.rlike(W.java_pattern(list(p))), name) for name, p in patterns.items()], F.lit("other"))
+    """First matching category. Most lines have none, which one pattern for all of them tells."""
+    def first(low: Column) -> Column:
+        found = F.coalesce(*[F.when(low.rlike(W.java_pattern(list(p))), name) for name, p in patterns.items()], F.lit("other"))
+        return F.when(low.rlike(any_category(patterns)), found).otherwise("other")
+
+    return bind(F.lower(line), first)
+
+
+def any_category(patterns: Mapping[str, Sequence[str]]) -> str:
+    """One pattern that a line matches if it matches one of any category."""
+    return W.java_pattern([p for own in patterns.values() for p in own])
 
 
 def infer_priority(line: Column, section: Column, must: Sequence[str] = W.MUST_CUES, nice: Sequence[str] = W.NICE_CUES) -> Column:
@@ -56,24 +64,20 @@ def line_score(
     patterns: Mapping[str, Sequence[str]] = CATEGORY_PATTERNS,
 ) -> Column:
     """Sum of the signals that a line states a requirement; 0 for very short or long lines."""
-    low = F.lower(line)
     # fixed values: weight of every category
     weights = {"experience": 2.0, "hard_skill": 2.5, "education": 2.5, "language": 2.0, "location": 1.5, "soft_skill": 1.5}
 
     def points(condition: Column, value: float) -> Column:
         return F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
 
-    total = (
-        points(line.rlike(r"^[•\-*]"), 2.0)
-        + points(contains_any(low, must), 3.0)
-        + points(contains_any(low, nice), 2.0)
-        + section_bonus(section)
-        + points(line.contains(":") & (F.length(F.substring_index(line, ":", 1)) < 35), 0.5)
-    )
-    for name, weight in weights.items():
-        if name in patterns:
-            total = total + points(low.rlike(W.java_pattern(list(patterns[name]))), weight)
-    return F.when(F.length(line).between(12, 320), total).otherwise(0.0)
+    def signals(low: Column) -> Column:
+        shape = points(line.rlike(r"^[•\-*]"), 2.0) + section_bonus(section) + points(line.contains(":") & (F.length(F.substring_index(line, ":", 1)) < 35), 0.5)
+        cues = F.when(contains_any(low, [*must, *nice]), points(contains_any(low, must), 3.0) + points(contains_any(low, nice), 2.0)).otherwise(F.lit(0.0))
+        named = [points(low.rlike(W.java_pattern(list(patterns[name]))), weight) for name, weight in weights.items() if name in patterns]
+        known = F.when(low.rlike(any_category({n: p for n, p in patterns.items() if n in weights})), sum(named, F.lit(0.0))).otherwise(F.lit(0.0))
+        return shape + cues + known
+
+    return F.when(F.length(line).between(12, 320), bind(F.lower(line), signals)).otherwise(0.0)
 
 
 def strip_bullet(line: Column) -> Column:
