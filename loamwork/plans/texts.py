@@ -315,6 +315,28 @@ def merge_requirement_lists(spark, sf):
     return RQ.merge_requirement_lists(lists, "doc_id", "cleaned", "found", F.col("weak"))
 
 
+HYBRID_SQL = MERGE_SQL + f""", n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r FROM lines),
+ titles AS (SELECT doc_id, arg_min(line, pos) AS title FROM n WHERE length(line) BETWEEN 8 AND 120 AND {ROLE_SQL} GROUP BY 1),
+ p AS (SELECT doc_id, count(*) AS n1 FROM cleaned GROUP BY 1), f AS (SELECT doc_id, count(*) AS n2 FROM found GROUP BY 1)
+ SELECT a.doc_id, CASE WHEN a.doc_id % 3 = 0 THEN 'Role ' || a.doc_id ELSE coalesce(title, 'unknown') END AS job_title,
+   CASE WHEN a.doc_id % 4 = 0 THEN 'lead' ELSE {SENIORITY_SQL} END AS seniority,
+   CASE WHEN s.doc_id IS NULL THEN 'fallback_dynamic_rules_only' ELSE 'llm_json_plus_fallback_merge' END AS source,
+   CAST(coalesce(n1, 0) AS INTEGER) AS primary_count, CAST(coalesce(n2, 0) AS INTEGER) AS secondary_count, s.doc_id IS NULL AS weak, CAST(coalesce(len(l), 0) AS INTEGER) AS merged_count, coalesce(l[1].text, '') AS first_text
+ FROM ads a LEFT JOIN titles USING (doc_id) LEFT JOIN p USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN strong s USING (doc_id) LEFT JOIN merged USING (doc_id)"""
+
+
+@query("hybrid_extraction", f"WITH {HYBRID_SQL}")
+def hybrid_extraction(spark, sf):
+    """Given titles for every third document, given levels for every fourth; the others come from the text."""
+    given = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Role "), "doc_id")).when(F.col("doc_id") % 3 == 1, "unknown")
+    level = F.when(F.col("doc_id") % 4 == 0, "lead").when(F.col("doc_id") % 4 == 1, "")
+    texts = ads(spark, sf)
+    said = RQ.guess_title(texts, "doc_id", "text").withColumnsRenamed({"job_title": "found_title", "seniority": "found_seniority"})
+    lists = RQ.job_requirement_lists(texts, "doc_id", "text").join(cleaned(spark, sf), "doc_id", "left").join(said, "doc_id")
+    whole = RQ.hybrid_extraction(lists.withColumns({"title": given, "level": level}), "doc_id", "cleaned", "found", "title", "level", "found_title", "found_seniority")
+    return whole.withColumn("first_text", F.coalesce(F.get("requirements", F.lit(0))["text"], F.lit(""))).drop("requirements")
+
+
 @query(
     "manual_catalog",
     f"""WITH c AS (SELECT p_partkey, p_type AS group_name, p_type AS job_title, p_name AS text, 'other' AS category, CASE WHEN p_size > 25 THEN 'must' ELSE 'unknown' END AS priority, CAST(p_size AS VARCHAR) AS weight
@@ -528,6 +550,24 @@ def render_chat_template(spark, sf):
     return CV.render_turns(turns(spark, sf).select("conv_id", "turn", role.alias("role"), text.alias("text")), "conv_id", "turn", "role", "text")
 
 
+# tool calls of every second assistant turn, two of them where the length is a multiple of four
+CALLS = "CASE WHEN length(text) % 4 = 0 THEN 2 WHEN length(text) % 2 = 0 THEN 1 ELSE 0 END"
+CALLED_SQL = f"""WITH t AS (SELECT conv_id, turn, role, CASE WHEN turn % 3 = 0 THEN '' ELSE text END AS text, CASE WHEN role = 'assistant' THEN {CALLS} ELSE 0 END AS n FROM conversations),
+ s AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last, max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id) AS qu FROM t),
+ c AS (SELECT *, coalesce(array_to_string(list_transform(range(n), lambda i: CASE WHEN i > 0 OR text <> '' THEN chr(10) ELSE '' END || '<tool_call>' || chr(10) || '{{"name": "search' || i || '", "arguments": {{"turn":"' || turn || '"}}}}' || chr(10) || '</tool_call>'), ''), '') AS calls FROM s)
+ SELECT conv_id, turn, CASE WHEN role = 'assistant' AND turn > coalesce(qu, last) AND turn = last THEN '<|im_start|>assistant' || chr(10) || '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) || text || calls || '<|im_end|>' || chr(10)
+   ELSE '<|im_start|>' || role || chr(10) || text || calls || '<|im_end|>' || chr(10) END AS rendered FROM c"""
+
+
+@query("render_tool_calls", CALLED_SQL)
+def render_tool_calls(spark, sf):
+    n = F.when(F.col("role") == "assistant", F.expr(CALLS)).otherwise(0)
+    named = lambda i: F.struct(F.concat(F.lit("search"), i).alias("name"), F.create_map(F.lit("turn"), F.col("turn").cast("string")).alias("arguments"))
+    calls = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), named))
+    rows = turns(spark, sf).select("conv_id", "turn", "role", F.when(F.col("turn") % 3 == 0, "").otherwise(F.col("text")).alias("text"), calls.alias("calls"))
+    return CV.render_turns(rows, "conv_id", "turn", "role", "text", "calls")
+
+
 def html_sql() -> str:
     bare = "html"
     for pattern in PG.removal_patterns():

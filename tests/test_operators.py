@@ -503,6 +503,32 @@ def test_reasoning_only_after_the_last_question(spark):
     )
 
 
+def test_tool_calls_behind_an_answer(spark):
+    """JSON text or a map as arguments, with and without an answer before them, in the last turn and in an earlier one."""
+    rows = [(1, "user", "q", None), (2, "assistant", "so", [("a", '{"x": 1}'), ("b", None)]), (3, "tool", "r", None), (4, "assistant", "<think>t</think>\n\n", [("c", "[]")]), (5, "assistant", "end", [])]
+    df = spark.createDataFrame([(1, *r) for r in rows], "c int, turn bigint, role string, text string, calls array<struct<name:string,arguments:string>>")
+    got = [r.rendered for r in CV.render_turns(df, "c", "turn", "role", "text", "calls").orderBy("turn").collect()]
+    assert got[1] == '<|im_start|>assistant\nso\n<tool_call>\n{"name": "a", "arguments": {"x": 1}}\n</tool_call>\n<tool_call>\n{"name": "b", "arguments": {}}\n</tool_call><|im_end|>\n'
+    assert got[3] == '<|im_start|>assistant\n<think>\nt\n</think>\n\n<tool_call>\n{"name": "c", "arguments": []}\n</tool_call><|im_end|>\n'
+    assert got[4] == "<|im_start|>assistant\n<think>\n\n</think>\n\nend<|im_end|>\n"
+    mapped = df.withColumn("calls", F.transform("calls", lambda c: F.struct(c["name"].alias("name"), F.create_map(F.lit("k"), F.lit(2)).alias("arguments"))))
+    assert '{"name": "a", "arguments": {"k":2}}' in CV.render_turns(mapped, "c", "turn", "role", "text", "calls").filter("turn = 2").first().rendered
+
+
+def test_hybrid_extraction_of_weak_missing_and_strong_lists(spark):
+    item = "array<struct<text:string,category:string,priority:string,weight:double,canonical_key:string,generic_flag:boolean>>"
+    strong = [(f"requirement number {i} with words", "hard_skill" if i % 2 else "language", "must", 1.0, f"k{i}", False) for i in range(6)]
+    found = [("requirement number 1 with words", "hard_skill", "nice", 4.0, None, None), ("something else entirely", "other", "unknown", 1.5, None, None)]
+    rows = [(1, strong, found, "Lead", "unknown", "found", "junior"), (2, strong[:2], found, "", None, "found", "unknown"), (3, None, None, None, "senior", None, None)]
+    df = spark.createDataFrame(rows, f"d int, p {item}, s {item}, t string, l string, ft string, fl string")
+    one, two, three = RQ.hybrid_extraction(df, "d", "p", "s", "t", "l", "ft", "fl").orderBy("d").collect()
+    assert (one.job_title, one.seniority, one.weak, one.primary_count, one.secondary_count, one.merged_count, one.source) == ("Lead", "junior", False, 6, 2, 7, "llm_json_plus_fallback_merge")
+    assert one.requirements[1].weight == 4.0 and [r.id for r in one.requirements] == [f"R{i}" for i in range(1, 8)]
+    assert (two.job_title, two.seniority, two.weak, two.merged_count, two.source) == ("found", "unknown", True, 2, "fallback_dynamic_rules_only")
+    assert (three.job_title, three.seniority, three.primary_count, three.merged_count, three.requirements) == ("unknown", "senior", 0, 0, [])
+    assert RQ.hybrid_extraction(df, "d", "p", "s", "t", "l", "ft", "fl", most=3).filter("d = 1").first().merged_count == 3
+
+
 def test_distinct_texts_are_scored_once(spark, tmp_path):
     log = str(tmp_path / "calls")
 
