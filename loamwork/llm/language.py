@@ -14,8 +14,8 @@ from loamwork.llm.common import carried, map_batches, slices, with_carried
 #: Buckets of hashed three-byte grams, as a power of two.
 GRAM_BITS = 15
 
-#: Labelled rows per language that the classifiers are fitted on, about, and as many that weigh their losses.
-SAMPLE = 2_000
+#: Parts that the hash of an id tells apart, for samples of any share.
+PARTS = 1 << 40
 
 #: Non-letters of ASCII are blanks.
 LETTER_TABLE = bytes(x if 97 <= x <= 122 or x >= 128 else 32 for x in range(256))
@@ -97,24 +97,24 @@ class CodeModel:
         return best, 1 / odds.sum(1)
 
 
-def sampled(labelled: DataFrame, part: int) -> DataFrame:
-    """About SAMPLE rows per language by the hash of the id; the parts 0 and 1 share no row.
+def sampled(labelled: DataFrame, counts: dict[str, int], part: int, sample: int) -> DataFrame:
+    """About ``sample`` rows per language by the hash of the id, half of a smaller language; the parts 0 and 1 share no row.
 
     The languages' counts set the shares, so sampling needs no shuffle of texts and no order.
     """
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
     if not counts:
         return labelled.limit(0)
-    place = F.pmod(F.xxhash64(F.lit(11), "doc_id", F.length("text")), F.lit(1_000_000))
-    share = F.lit(0)
+    place = F.pmod(F.xxhash64(F.lit(11), "doc_id", F.length("text")), F.lit(PARTS))
+    share = F.lit(0).cast("long")
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(500_000, -(-SAMPLE * 1_000_000 // n))).otherwise(share)
+        share = F.when(F.col("lang") == lang, F.lit(min(PARTS // 2, -(-sample * PARTS // n))).cast("long")).otherwise(share)
     return labelled.filter((place >= share * part) & (place < share * (part + 1)))
 
 
-def fit(docs: DataFrame) -> CodeModel | None:
+def fit(docs: DataFrame, sample: int) -> CodeModel | None:
     """Model from rows (doc_id, text, lang) that are not held out; None without a labelled row that has a letter."""
     labelled = docs.filter("lang is not null and text is not null").filter(~held_out(F.col("doc_id"))).filter(F.col("text").rlike(r"\p{L}"))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
 
     def count():
         def step(batch):
@@ -131,7 +131,7 @@ def fit(docs: DataFrame) -> CodeModel | None:
 
         return step
 
-    found = map_batches(sampled(labelled, 0).select("text", "lang"), "lang string, gram int, n long", count).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # languages times buckets at most
+    found = map_batches(sampled(labelled, sizes, 0, sample).select("text", "lang"), "lang string, gram int, n long", count).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # languages times buckets at most
     if found.empty:
         return None
     languages = sorted(found["lang"].unique())
@@ -157,7 +157,7 @@ def fit(docs: DataFrame) -> CodeModel | None:
 
         return step
 
-    hits = map_batches(sampled(labelled, 1).select("text", "lang"), "lang int, bit int, hit long, n long", judge).groupBy("lang", "bit").agg(F.sum("hit").alias("hit"), F.sum("n").alias("n")).collect()
+    hits = map_batches(sampled(labelled, sizes, 1, sample).select("text", "lang"), "lang int, bit int, hit long, n long", judge).groupBy("lang", "bit").agg(F.sum("hit").alias("hit"), F.sum("n").alias("n")).collect()
     right, seen = np.zeros(model.words.shape), np.zeros(model.words.shape)
     for r in hits:
         right[r["lang"], r["bit"]], seen[r["lang"], r["bit"]] = r["hit"], r["n"]
@@ -165,19 +165,21 @@ def fit(docs: DataFrame) -> CodeModel | None:
     return model
 
 
-def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5, carry: Sequence[str] = ()) -> DataFrame:
+def identify(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5, carry: Sequence[str] = (), sample: int = 2_000) -> DataFrame:
     """Per row: (id, held_out, lang_pred, score, ambiguous), and with ``carry`` the text and a struct of these columns.
 
     Bits of language codewords are predicted by log-odds classifiers over hashed three-byte grams of the whole
     lower-cased text; the codeword with the least weighted logistic loss wins and ``score`` is its share. A share below
-    ``least`` is ambiguous. NULL texts, texts without a letter, and all texts if nothing can be learned are ``und``
-    with score 0. Classifiers come from about SAMPLE rows per language, drawn by the hash of the id among rows that are
-    not held out; a row with NULL id may be learned from. Ids, labels and sources are no inputs of a prediction, so
-    equal texts get equal results.
+    ``least`` is ambiguous; of equal losses the first language in order wins. NULL texts, texts without a letter, and all
+    texts if nothing can be learned are ``und`` with score 0; an empty table gives no rows. Texts are read whole, whatever
+    their length. Classifiers come from about ``sample`` rows per language at most (half of a language's rows, if it has
+    fewer than twice as many), drawn by the hash of the id among rows that are not held out, and as many others weigh
+    their losses; a row with NULL id may be learned from. Ids, labels and sources are no inputs of a prediction, so equal
+    texts get equal results.
     """
     kind = dict(docs.dtypes)[id]
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    model = fit(rows)
+    model = fit(rows, sample)
     shared = docs.sparkSession.sparkContext.broadcast(model and model.parts())
 
     def make():

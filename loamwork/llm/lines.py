@@ -26,7 +26,7 @@ def drop_shared_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", l
     Lines are split at ``\\n``; a key of fewer than ``shortest`` code points is never shared. Every input row is a
     document of its own, also when rows repeat, and gives one output row. NULL and empty texts are one empty line and stay.
     Rows with NULL ids, or ids that repeat, are kept apart by the hash of their text; equal rows get equal results.
-    Columns named in ``carry`` come along in a struct, others are not read.
+    An empty table gives no rows. Columns named in ``carry`` come along in a struct, others are not read.
 
     Keys are hashed to 128 bits, once per document, and counted with partial sums, so a line that all documents
     share is one row per task. Only hashes travel; the whole lines stay in their document's row, which loses the

@@ -135,7 +135,8 @@ def pack_best_fit(docs: DataFrame, path: str, ranks: str | None = None, room: in
 
     Every row gives one piece at least: NULL and empty texts are the closing id 0 alone. Only texts of more than
     ``room`` tokens are cut, from their end; the first piece may be shorter. Repeated rows and NULL ids are packed like
-    all others. No row gives an empty result. Only the histogram (``room`` counts at most) reaches the driver; the plan
+    all others. No row gives an empty result. Of sequences with equal room any may be taken, and pieces of one length
+    are alike: which document stands where among them follows their ids. Only the histogram (``room`` counts at most) reaches the driver; the plan
     has a row per step, not per document, and its width is bounded by the lengths that exist.
     """
     from loamwork.session import cut_lineage

@@ -28,7 +28,7 @@ def place_in_shards(docs: DataFrame, id: str = "doc_id", text: str = "text", wei
     ``shard`` depends on the id and ``weights`` alone (law ``key``), ``grown_shard`` on the id and ``grown`` (one
     more shard of mean weight unless given). ``slot`` numbers a shard's rows 0, 1, ... by the MD5 of the id, then id,
     then text size. A NULL id draws like the empty string, rows with equal ids share a shard; equal rows take any order
-    among themselves. NULL text counts no bytes. Texts are measured and dropped before anything is shuffled; ranks
+    among themselves. NULL text counts no bytes; an empty table gives no rows. Texts are measured and dropped before anything is shuffled; ranks
     come from ranges with row tags, so an id that a third of all rows share is no hot spot.
     """
     weights = list(weights)

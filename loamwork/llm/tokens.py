@@ -104,7 +104,7 @@ def token_counts(docs: DataFrame, path: str, id: str = "doc_id", text: str = "te
 
     Words are the runs without tab to carriage return and blank; each is read after the mark of a first piece. NULL
     and empty texts have no words and no tokens. Rows are counted where they lie: no shuffle, one row out per row in,
-    whatever repeats. The vocabulary file is read by every task from a path that all machines have.
+    whatever repeats; an empty table gives none, and a text of any length is read whole. The vocabulary file is read by every task from a path that all machines have.
     """
     kind = dict(docs.dtypes)[id]
 

@@ -121,7 +121,7 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     Vectors that are NULL, zero, or hold NULL or non-finite components, and rows with NULL label or id, link with
     nothing; so do vectors of different sizes. Equal vectors of a label become one node with a count before anything
     is paired, so copies cost nothing and all count as links; rows that repeat an id are vectors of their own. A NULL id
-    has component_id NULL and is kept. Candidates share a bucket in one table at least; buckets are compared in tiles,
+    has component_id NULL and is kept, an empty table gives no rows. Candidates share a bucket in one table at least; buckets are compared in tiles,
     so that a hot bucket is many tasks, and every link has its exact cosine. Only a pair that shares no bucket in
     any table is missed.
     """
