@@ -34,7 +34,7 @@ def train_binary_gbt(spark, sf):
     """The area under the curve on rows that neither the fit nor its early stopping has seen."""
     rows = model_rows(spark, sf)
     unseen = hash_unit(F.col("l_orderkey"), seed=7) < 0.2
-    model = ML.train_binary_gbt(rows.filter(~unseen), FEATURES, "y", "l_orderkey", rounds=20)
+    model = ML.train_binary_gbt(rows.filter(~unseen), FEATURES, "y", "l_orderkey")
     return E.roc_auc(ML.positive_score(model, rows.filter(unseen)), "y", "score").select((F.col("roc_auc") > 0.75).alias("auc_above"))
 
 
@@ -44,7 +44,7 @@ MAIN_SQL = "SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax
 @query("train_forest_importance", MAIN_SQL)
 def train_forest_importance(spark, sf):
     """The two features that the target depends on have the weight."""
-    return ML.forest_importance(model_rows(spark, sf), FEATURES, "y", trees=100).select("feature", (F.col("importance") > 0.05).alias("main"))
+    return ML.forest_importance(model_rows(spark, sf), FEATURES, "y").select("feature", (F.col("importance") > 0.05).alias("main"))
 
 
 @query("importance_by_segment", "SELECT p_type, feature, feature = 'p_size' AS leads FROM (SELECT DISTINCT p_type FROM part), (SELECT unnest(['p_size', 'p_retailprice', 'name_length']) AS feature)")
@@ -145,7 +145,7 @@ def train_mlp_multiclass(spark, sf):
 def score_and_save(spark, sf):
     """The second call loads what the first one saved; both give the same scores."""
     rows, path = model_rows(spark, sf), scratch_folder(spark, "model")
-    first, second = (ML.load_or_train(spark, path, lambda: ML.train_binary_gbt(rows, FEATURES, "y", "l_orderkey", rounds=5)) for _ in range(2))
+    first, second = (ML.load_or_train(spark, path, lambda: ML.train_binary_gbt(rows, FEATURES, "y", "l_orderkey")) for _ in range(2))
     scored = ML.positive_score(second, ML.positive_score(first, rows, "first"), "second")
     return scored.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.bool_and((F.col("first") == F.col("second")) & F.col("first").between(0, 1)).alias("equal"))
 
