@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +77,18 @@ class SuffixAutomaton:
                 yield i + 1, self.first[v]
 
 
+def may_repeat(lefts: list[list[bytes]], rights: list[list[bytes]], length: int, gram: int = GRAM) -> list[int]:
+    """Contexts of one anchor that can share a window with another: words before the anchor, and from the anchor on.
+
+    A window has ``length - gram`` words beside its anchor, so half of them on one side: contexts that share a window have
+    the same words that far to the left or that far to the right.
+    """
+    half = -(-(length - gram) // 2)
+    sides = [[tuple(x[-half:]) if len(x) >= half else None for x in lefts], [tuple(x[gram : gram + half]) if len(x) >= gram + half else None for x in rights]]
+    counts = [Counter(s) for s in sides]
+    return [i for i, keys in enumerate(zip(*sides, strict=True)) if any(k is not None and n[k] > 1 for k, n in zip(keys, counts, strict=True))]
+
+
 def shard_matches(contexts: DataFrame, length: int, kind: str) -> DataFrame:
     """(d1, d2, lo, hi): first and last start, within its context, of windows that also start earlier.
 
@@ -108,8 +122,10 @@ def shard_matches(contexts: DataFrame, length: int, kind: str) -> DataFrame:
     def run(batches):
         held, words = [], 0
         for group in key_runs(batches, ["hash"]):
-            for doc, t1, place, before, left, right, d1, d2 in zip(*(group.column(c).to_pylist() for c in ("doc_id", "t1", "place", "before", "left", "right", "d1", "d2")), strict=True):
-                passage = left.split() + right.split()
+            lefts, rights = ([x.split() for x in group.column(c).to_pylist()] for c in ("left", "right"))
+            for i in may_repeat(lefts, rights, length):
+                doc, t1, place, before, d1, d2 = (group.column(c)[i].as_py() for c in ("doc_id", "t1", "place", "before", "d1", "d2"))
+                passage = lefts[i] + rights[i]
                 held.append((doc, t1, place, before, passage, d1, d2))
                 words += len(passage)
             if words >= SHARD_WORDS:

@@ -55,6 +55,23 @@ def test_passages_with_colliding_words_stay(spark):
     assert sorted((r["doc_id"], r["n_removed"]) for r in found.collect()) == [(1, 0), (2, 0)]
 
 
+def test_contexts_that_share_no_window_are_left_out():
+    """No context that shares a window of 20 words around its anchor with another one is left out, for all cuts of a text."""
+    draw = np.random.default_rng(3)
+    anchor = [b"a%d" % i for i in range(6)]
+    for _ in range(200):
+        lefts = [[b"%d" % w for w in draw.integers(0, 2, draw.integers(0, 15))] for _ in range(5)]
+        rights = [[*anchor, *[b"%d" % w for w in draw.integers(0, 2, draw.integers(0, 15))]] for _ in range(5)]
+        windows = []
+        for x, y in zip(lefts, rights, strict=True):
+            words = x + y
+            windows.append({(tuple(words[i : i + 20]), len(x) - i) for i in range(len(words) - 19) if i <= len(x) <= i + 14})
+        kept = substrings.may_repeat(lefts, rights, 20)
+        for i in range(5):
+            if any(windows[i] & windows[j] for j in range(5) if j != i):
+                assert i in kept
+
+
 def test_contexts_are_digests_of_bytes():
     for words in (True, False):
         units = repeats.Units(words, 20, 6)
