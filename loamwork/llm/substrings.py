@@ -123,8 +123,9 @@ def shard_matches(contexts: DataFrame, length: int, kind: str) -> DataFrame:
         held, words = [], 0
         for group in key_runs(batches, ["hash"]):
             lefts, rights = ([x.split() for x in group.column(c).to_pylist()] for c in ("left", "right"))
+            columns = [group.column(c).to_pylist() for c in ("doc_id", "t1", "place", "before", "d1", "d2")]
             for i in may_repeat(lefts, rights, length):
-                doc, t1, place, before, d1, d2 = (group.column(c)[i].as_py() for c in ("doc_id", "t1", "place", "before", "d1", "d2"))
+                doc, t1, place, before, d1, d2 = (c[i] for c in columns)
                 passage = lefts[i] + rights[i]
                 held.append((doc, t1, place, before, passage, d1, d2))
                 words += len(passage)
