@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from loamwork.functions.text import normalize_space, strip_thinking
+from loamwork.functions.text import bind, normalize_space, strip_thinking
 from loamwork.functions.values import clamp, safe_float
 
 RESULTS = "struct<web: struct<results: array<struct<url: string, description: string>>>, news: struct<results: array<struct<url: string, description: string>>>>"
@@ -76,23 +76,27 @@ EVALUATION = "requirement_id string, requirement string, status string, score st
 
 def dedupe_texts(items: Column, limit: int | None = None) -> Column:
     """Distinct texts without regard to case, first spelling kept, all or at most ``limit``."""
-    clean = F.filter(F.transform(items, normalize_space), lambda x: x != "")
-    start = F.array().cast("array<string>")
-    kept = F.aggregate(
-        clean, start,
-        lambda acc, x: F.when(
-            F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc
-        ).otherwise(F.concat(acc, F.array(x))),
-    )
-    return F.when(items.isNull(), start).otherwise(kept if limit is None else F.slice(kept, 1, limit))
+    clean = F.transform(items, lambda x, i: F.struct(normalize_space(x).alias("x"), i.alias("i")))
+    keyed = F.transform(F.filter(clean, lambda e: e["x"] != ""), lambda e: F.struct(F.lower(e["x"]).alias("k"), e["i"].alias("i"), e["x"].alias("x")))
+
+    def firsts(s: Column) -> Column:
+        """Of entries sorted by key and place, the first of every key."""
+        return F.filter(s, lambda e, i: (i == 0) | (F.get(s, F.greatest(i - 1, F.lit(0)))["k"] != e["k"]))
+
+    found = F.transform(bind(F.sort_array(keyed), firsts), lambda e: F.struct(e["i"].alias("i"), e["x"].alias("x")))
+    kept = F.transform(F.sort_array(found), lambda e: e["x"])
+    return F.when(items.isNull(), F.array().cast("array<string>")).otherwise(kept if limit is None else F.slice(kept, 1, limit))
 
 
-def validate_evaluation(body: Column, evidence: Column, limit: int | None = None) -> Column:
-    """Evaluation record with known status, clamped numbers and all or ``limit`` evidences."""
+def validate_evaluation(body: Column, evidence: Column, limit: int | None = None, found: int | None = None) -> Column:
+    """Evaluation record with known status, clamped numbers and all or ``limit`` evidences.
+
+    A record without evidences takes those found for it, all or the first ``found``.
+    """
     raw = F.from_json(body, EVALUATION)
     # fixed values: known statuses, the first is the default
     statuses = ["nejasne", "splnene", "ciastocne_splnene", "nesplnene"]
-    used = F.coalesce(raw["evidence_used"], F.slice(evidence, 1, 2))
+    used = F.coalesce(raw["evidence_used"], evidence if found is None else F.slice(evidence, 1, found))
     return F.struct(
         F.when(raw["status"].isin(statuses), raw["status"]).otherwise(F.lit(statuses[0])).alias("status"),
         clamp(safe_float(raw["score"]), 0.0, 100.0).alias("score"),

@@ -27,7 +27,7 @@ def group_function(df: DataFrame, keys: list[str], name: str, column: str, fn: C
         return fn(values)
 
     run.__annotations__ = {"values": pd.Series, "return": object}
-    return df.groupBy(*keys).agg(F.pandas_udf(run, kind, F.PandasUDFType.GROUPED_AGG)(column).alias(name))
+    return df.groupBy(*keys).agg(F.pandas_udf(run, kind)(column).alias(name))
 
 
 def table_function(df: DataFrame, fn: Callable[[dict], Iterable[dict]], schema: str) -> DataFrame:

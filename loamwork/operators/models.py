@@ -16,6 +16,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,9 +191,12 @@ def load_or_train(spark: SparkSession, path: str, train) -> PipelineModel:
 
     A model that is there but cannot be read raises and stays.
     """
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return PipelineModel.load(path)
-    model = train()
-    model.write().save(path)
-    return model
+    try:
+        spark.read.text(f"{path}/metadata")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        model = train()
+        model.write().save(path)
+        return model
+    return PipelineModel.load(path)

@@ -10,11 +10,11 @@ from loamwork.functions.values import status_icon, verdict_bucket
 from loamwork.operators.aggregates import weighted_score
 
 
-def report_blocks(evals: DataFrame, candidate: str, order: str, title: str = "Evaluation report") -> DataFrame:
+def report_blocks(evals: DataFrame, candidate: str, order: str, title: str = "Evaluation report", evidences: int | None = None, characters: int | None = None) -> DataFrame:
     """(candidate, section, place, text): Markdown blocks of an evaluation report.
 
     Section 0 is the header with the weighted score, 1 the table (a line per requirement), 2 the
-    notes with at most three evidences of 700 characters each. Sorted by section and place the
+    notes with all evidences, or the first ``evidences`` of up to ``characters`` each. Sorted by section and place the
     blocks are the report; no candidate's rows are gathered in one task.
 
     evals(candidate, order, job_title, requirement_id, requirement, status, score, weight,
@@ -36,7 +36,9 @@ def report_blocks(evals: DataFrame, candidate: str, order: str, title: str = "Ev
         lit("| "), icon, lit(" "), c("status"), lit(" | "), F.replace(c("requirement"), lit("|"), lit("/")), lit(" | "), F.format_string("%.0f", c("score")),
         lit(" | "), c("priority"), lit(" / w="), c("weight").cast("string"), lit(" | "), F.replace(c("explanation"), lit("|"), lit("/")), lit(" |"),
     )
-    cited = F.transform(F.slice(F.coalesce("evidence_used", F.array().cast("array<string>")), 1, 3), lambda e: F.concat(lit("- "), F.left(normalize_space(e), lit(700))))
+    used = F.coalesce("evidence_used", F.array().cast("array<string>"))
+    shown = lambda e: normalize_space(e) if characters is None else F.left(normalize_space(e), lit(characters))
+    cited = F.transform(used if evidences is None else F.slice(used, 1, evidences), lambda e: F.concat(lit("- "), shown(e)))
     note = F.concat(
         lit("### "), icon, lit(" "), c("requirement_id"), lit(": "), c("requirement"),
         F.when(F.coalesce("risk_note", lit("")) != "", F.concat(lit("\n**Riziko/neistota:** "), c("risk_note"))).otherwise(""),

@@ -176,7 +176,7 @@ def json_parse_lenient(spark, sf):
     "json_struct_validate",
     """SELECT event_id, CASE event_type WHEN 'click' THEN 'splnene' WHEN 'view' THEN 'nesplnene' ELSE 'nejasne' END AS status, least(greatest(value * 10 - 5, 0), 100) AS score,
               CASE WHEN event_type = 'error' THEN 0 ELSE least(value / 10, 1) END AS confidence,
-              CASE WHEN event_type = 'purchase' THEN 'e1;e2' ELSE event_type || ';' || 'x' || user_id END AS evidence, 'Bez vysvetlenia.' AS explanation FROM events""",
+              CASE WHEN event_type = 'purchase' THEN 'e1;e2;e3' ELSE event_type || ';' || 'x' || user_id END AS evidence, 'Bez vysvetlenia.' AS explanation FROM events""",
 )
 def json_struct_validate(spark, sf):
     t = F.col("event_type")

@@ -156,13 +156,13 @@ def join_fuzzy_position(spark, sf):
 @query(
     "align_by_position",
     """WITH l AS (SELECT conv_id AS doc_id, turn AS section_idx, role AS header, text FROM conversations)
-       SELECT doc_id, section_idx, header, length(text) AS n_chars, substr(text, 1, 20) AS summary FROM l""",
+       SELECT doc_id, section_idx, header, length(text) AS n_chars, text AS summary FROM l""",
 )
 def align_by_position(spark, sf):
     base = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("section_idx"), F.col("role").alias("header"), "text")
     keys = ["doc_id", "section_idx"]
     sizes = base.select(*keys, F.length("text").cast("bigint").alias("n_chars"))
-    summaries = base.select(*keys, F.left("text", F.lit(20)).alias("summary"))
+    summaries = base.select(*keys, F.col("text").alias("summary"))
     return J.align_sections([base.select(*keys, "header"), sizes, summaries], keys)
 
 

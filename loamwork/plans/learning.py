@@ -166,7 +166,7 @@ ICON_SQL = "CASE event_type WHEN 'click' THEN '✅ splnene' WHEN 'view' THEN '
           || '| Stav | Poziadavka | Skore | Priorita | Vysvetlenie |' || chr(10) || '|---|---|---:|---|---|' AS text FROM s
         UNION ALL SELECT user_id, 1, event_id, '| ' || {ICON_SQL} || ' | ' || replace(req, '|', '/') || ' | ' || format('{{:.0f}}', score) || ' | must / w=' || CASE WHEN w = 5 THEN '5.0' ELSE '1.0' END || ' | a/b |' FROM e
         UNION ALL SELECT user_id, 2, event_id, '### ' || left({ICON_SQL}, 1) || ' ' || rid || ': ' || req || CASE WHEN event_type = 'error' THEN chr(10) || '**Riziko/neistota:** check' ELSE '' END
-          || CASE WHEN event_type = 'view' THEN '' ELSE chr(10) || '**Pouzite odkazy:**' || chr(10) || '- one' || chr(10) || '- two ' || user_id || chr(10) || '- three' END FROM e""",
+          || CASE WHEN event_type = 'view' THEN '' ELSE chr(10) || '**Pouzite odkazy:**' || chr(10) || '- one' || chr(10) || '- two ' || user_id || chr(10) || '- three' || chr(10) || '- four' END FROM e""",
 )
 def sink_report_md(spark, sf):
     t = F.col("event_type")

@@ -140,15 +140,14 @@ def scan_header_alias(spark, sf):
 
 @query(
     "scan_text_files",
-    "SELECT CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n_lines, CAST(sum(length(replace(text, chr(10), ''))) AS BIGINT) AS n_chars FROM documents",
+    "SELECT doc_id, text FROM documents WHERE text IS NOT NULL",
 )
 def scan_text_files(spark, sf):
+    """A file per document, below a folder that carries its id; every file ends with a line break."""
     path = scratch_folder(spark, "texts")
-    table(spark, sf, "documents").select("text").write.text(path)
-    lines = readers.read_text_files(spark, path).select(F.regexp_replace("text", r"\n\z", "").alias("text"))
-    return lines.agg(
-        F.sum(F.size(F.split("text", "\n"))).alias("n_lines"), F.sum(F.length(F.replace("text", F.lit("\n")))).alias("n_chars")
-    )
+    writers.write_texts(table(spark, sf, "documents").filter("text is not null").select("doc_id", "text", F.lit(0).alias("place")), path, "doc_id", ["place"])
+    owner = F.regexp_extract("path", "owner=([0-9]+)", 1).cast("bigint").alias("doc_id")
+    return readers.read_text_files(spark, path).select(owner, F.regexp_replace("text", r"\n\z", "").alias("text"))
 
 
 @query("scan_termlist", "SELECT DISTINCT lower(trim(p_name)) AS term FROM part WHERE trim(p_name) <> ''")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +28,14 @@ def write_csv(df: DataFrame, path: str, index: str | None = None, order: str | N
 
 def next_version(df: DataFrame, folder: str, run_date: str) -> int:
     """1 + the highest version below ``folder/run_date=...`` (1 when there is none)."""
-    jvm = df.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/run_date={run_date}")
-    fs = path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(path):
+    files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        found = files.load(f"{folder}/run_date={run_date}").select(F.regexp_extract("path", r"/v=([0-9]+)/[^/]*$", 1).try_cast("int").alias("v"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return 1
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    return max([int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()], default=0) + 1
+    return (found.agg(F.max("v").alias("v")).first()["v"] or 0) + 1
 
 
 def write_csv_dated(df: DataFrame, folder: str, run_date: str) -> str:

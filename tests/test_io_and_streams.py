@@ -181,3 +181,37 @@ def test_indicator_file_in_its_published_form(spark, tmp_path):
     (tmp_path / "none").mkdir()
     (tmp_path / "none" / "x.tsv").write_text(lines[0] + "\n")
     assert readers.indicator_long(readers.read_indicator_file(spark, str(tmp_path / "none"))).count() == 0
+
+
+def test_next_version_and_a_model_that_cannot_be_read(spark, tmp_path):
+    from loamwork.operators import models as ML
+    from loamwork.sources import writers
+
+    df, folder = spark.range(3).toDF("a"), str(tmp_path / "dated")
+    assert [writers.write_csv_dated(df, folder, "2024-05-01")[-3:] for _ in range(3)] == ["v=1", "v=2", "v=3"]
+    assert writers.next_version(df, folder, "2024-05-02") == 1
+    (tmp_path / "broken" / "metadata").mkdir(parents=True)
+    (tmp_path / "broken" / "metadata" / "part-0").write_text("no model")
+    with pytest.raises(Exception):  # noqa: B017
+        ML.load_or_train(spark, str(tmp_path / "broken"), lambda: pytest.fail("trained over a broken model"))
+
+
+def test_repeated_evidences_and_limits(spark):
+    from loamwork.functions import jsons
+    from loamwork.operators import reports
+
+    many = [f" Text  {i % 7000} " if i % 2 else f"TEXT {i % 7000}" for i in range(20_000)]
+    df = spark.createDataFrame([(1, many), (2, None), (3, ["b", " ", "a", "B", "A "])], "d int, x array<string>")
+    got = {r.d: r.y for r in df.select("d", jsons.dedupe_texts(F.col("x")).alias("y")).collect()}
+    want = {}
+    for t in many:
+        want.setdefault(" ".join(t.split()).lower(), " ".join(t.split()))
+    assert got[1] == list(want.values()) and got[2] == [] and got[3] == ["b", "a"]
+    assert df.select(jsons.dedupe_texts(F.col("x"), 1).alias("y")).collect()[2].y == ["b"]
+    record = jsons.validate_evaluation(F.lit("{}"), F.array(F.lit("x"), F.lit("y"), F.lit("z")), found=2)
+    assert spark.range(1).select(record.alias("r")).first().r.evidence_used == ["x", "y"]
+    evals = spark.createDataFrame([("c", 1, "job", "R1", "req", "splnene", 90.0, 1.0, "must", "why", None, ["one " * 300, "two", "three", "four"])], "c string, o int, job_title string, requirement_id string, requirement string, status string, score double, weight double, priority string, explanation string, risk_note string, evidence_used array<string>")
+    note = [r.text for r in reports.report_blocks(evals, "c", "o").collect() if r.section == 2][0]
+    assert note.count("\n- ") == 4 and "one " * 299 in note
+    short = [r.text for r in reports.report_blocks(evals, "c", "o", evidences=2, characters=10).collect() if r.section == 2][0]
+    assert short.endswith("\n- one one on\n- two")
