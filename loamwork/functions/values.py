@@ -27,6 +27,14 @@ def map_strict(c: Column, mapping: Mapping, on_unknown: str = "null") -> Column:
     return F.when(found.isNull() & c.isNotNull(), F.raise_error(message)).otherwise(found)
 
 
+def round_scaled(c: Column, digits: int) -> Column:
+    """Rounded as SQL engines on doubles do: the scaled double to the nearest whole number, halves away from zero.
+
+    ``F.round`` judges the shortest decimal text instead, which calls other doubles a half, and drops the sign of a zero.
+    """
+    return F.signum(c) * F.round(F.abs(c) * 10.0**digits) / 10.0**digits
+
+
 def clamp(c: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(c, F.lit(low)), F.lit(high))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.functions.values import clamp, percent_parse, week_start, within_last
+from loamwork.functions.values import clamp, percent_parse, round_scaled, week_start, within_last
 from loamwork.operators.ordered import exact_median
 
 
@@ -80,7 +80,7 @@ def weighted_score(df: DataFrame, key: str, weight: str, score: str) -> DataFram
     usable = w.isNotNull() & s.isNotNull()
     heavy = F.when(usable, F.greatest(w, F.lit(0.01)))
     total = F.try_divide(F.sum(clamp(s, 0.0, 100.0) * heavy), F.sum(heavy))
-    return df.groupBy(key).agg(F.coalesce(F.round(total, 2), F.lit(0.0)).alias("weighted_score"))
+    return df.groupBy(key).agg(F.coalesce(round_scaled(total, 2), F.lit(0.0)).alias("weighted_score"))
 
 
 def resource_summary(df: DataFrame, label: str, ts: str, metrics: Sequence[str]) -> DataFrame:
