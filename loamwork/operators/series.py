@@ -9,10 +9,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamwork.functions.text import bind
+from loamwork.functions.values import round_scaled
 from loamwork.session import hold
 
+
+def steady_mean(v: str) -> Column:
+    """Mean whose sum does not depend on the order of the rows: of the parts above and below 2^-20, the first adds up exactly."""
+    x = F.col(v).cast("double")
+    high = F.rint(x * 1048576.0) / 1048576.0
+    finite = F.abs(x) < 1e300
+    return F.try_divide(F.sum(F.when(finite, high).otherwise(x)) + F.sum(F.when(finite, x - high).otherwise(0.0)), F.count(v))
+
+
 def daily_means(df: DataFrame, item: str, ts: str, values: Sequence[str]) -> DataFrame:
-    return df.groupBy(item, F.to_date(ts).alias("day")).agg(*[F.avg(v).alias(v) for v in values])
+    return df.groupBy(item, F.to_date(ts).alias("day")).agg(*[steady_mean(v).alias(v) for v in values])
 
 
 def regular_daily_fill(daily: DataFrame, item: str, values: Sequence[str]) -> DataFrame:
@@ -31,7 +41,14 @@ def trailing_median(daily: DataFrame, item: str, values: Sequence[str], n: int =
     """Median of the last n days per item, rounded, then cut to a whole number."""
     newest = Window.partitionBy(item).orderBy(F.desc("day"))
     last = daily.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= n)
-    return last.groupBy(item).agg(*[F.round(F.median(v), digits).cast("bigint").alias(v) for v in values])
+    sorted_values = last.groupBy(item).agg(*[F.sort_array(F.collect_list(F.col(v).cast("double"))).alias(v) for v in values])
+    return sorted_values.select(item, *[round_scaled(middle(F.col(v)), digits).cast("bigint").alias(v) for v in values])
+
+
+def middle(s: Column) -> Column:
+    """Median of a sorted array, as the lower middle value plus half the step to the upper one; NULL of an empty one."""
+    low, high = F.get(s, F.floor((F.size(s) - 1) / 2).cast("int")), F.get(s, F.floor(F.size(s) / 2).cast("int"))
+    return low + (high - low) * 0.5
 
 
 def future_days(daily: DataFrame, item: str, horizon: int) -> DataFrame:
