@@ -61,7 +61,8 @@ def draw_columns(
     """Add independently drawn columns to ``rows``, each with the distribution of its source column.
 
     Every column draws a row number and fetches its value by an equality join; the numbers are uniform, so no
-    key is hot. The source is numbered once for all columns without NULLs, and once more for each other one.
+    key is hot. The source is numbered once for all columns without NULLs, and once more for each other one. The joins
+    are merges at any size: the source is as large as the input, and a broadcast for each column would meet in the driver.
     """
     names = [*categorical, *numeric]
     keys = [F.col(k) for k in row_key]
@@ -75,7 +76,7 @@ def draw_columns(
         full = counts[c] == counts["_all"]
         numbered = whole if full else cut_lineage(global_row_number(source.filter(F.col(c).isNotNull()).select(key, c), key, "_n"))
         drawn = out.withColumn("_n", F.floor(hash_unit(*keys, F.lit(c), seed=seed) * counts[c]) + 1)
-        out = drawn.join(numbered.select("_n", c), "_n").drop("_n")
+        out = drawn.join(numbered.select("_n", c).hint("merge"), "_n").drop("_n")
     return out
 
 

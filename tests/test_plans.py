@@ -62,3 +62,11 @@ def test_lists_are_computed_once(spark, name):
     """No filter on the length of a computed array below its generator."""
     text = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in text.splitlines() if "Filter" in x and "size(" in x and ("transform(" in x or "lambda" in x)]
+
+
+@pytest.mark.parametrize("name", ["synthesize_marginals", "complete_row_by_sampling"])
+def test_drawn_columns_are_never_broadcast(spark, name):
+    """The numbered source grows with the input."""
+    text = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in text.splitlines() if "Join Inner" in x]
+    assert joins and all("strategy=merge" in x for x in joins)
