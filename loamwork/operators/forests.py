@@ -88,8 +88,13 @@ class Growing:
             codes.append((places[own] * n_features + f) * self.width + self.bins[live[own], f])
             weights.append(total[own])
             positive.append(ones[own])
-        kinds, place = np.unique(np.concatenate(codes), return_inverse=True)
-        w, p = (np.bincount(place, np.concatenate(x), len(kinds)).astype(np.int64) for x in (weights, positive))
+        code, size = np.concatenate(codes), (n_features * self.width) << level
+        if size <= 4 * len(code):
+            kinds = np.flatnonzero(np.bincount(code, minlength=size))
+            w, p = (np.bincount(code, np.concatenate(x), size)[kinds].astype(np.int64) for x in (weights, positive))
+        else:
+            kinds, place = np.unique(code, return_inverse=True)
+            w, p = (np.bincount(place, np.concatenate(x), len(kinds)).astype(np.int64) for x in (weights, positive))
         return kinds // self.width // n_features + (1 << level), kinds // self.width % n_features, kinds % self.width, w, p
 
 
@@ -115,9 +120,15 @@ def level_histograms(cells: DataFrame, splits: DataFrame, level: int, trees: int
     return cells.groupBy("segment", "part").cogroup(splits.groupBy("segment", "part")).applyInArrow(run, ddl)
 
 
-def best_splits(histograms: DataFrame) -> DataFrame:
-    """(segment, tree, node, feature, bin, gain): the split of every node with the greatest fall of the Gini impurity, times its weight."""
+def best_splits(histograms: DataFrame, ratios: DataFrame | None = None) -> DataFrame:
+    """(segment, tree, node, feature, bin, gain): the split of every node with the greatest fall of the Gini impurity, times its weight.
+
+    ``ratios`` (segment, ratio): weight of a row of class 1 in each segment; 1 without them.
+    """
     sums = histograms.groupBy("segment", "tree", "node", "feature", "bin").agg(F.sum("w").alias("w"), F.sum("p").alias("p"))
+    if ratios is not None:
+        heavy = F.col("p") * F.col("ratio")
+        sums = sums.join(ratios, "segment").select("segment", "tree", "node", "feature", "bin", (F.col("w") - F.col("p") + heavy).alias("w"), heavy.alias("p"))
     along = Window.partitionBy("segment", "tree", "node", "feature").orderBy("bin")
     every = Window.partitionBy("segment", "tree", "node", "feature")
     cut = sums.select("segment", "tree", "node", "feature", "bin", F.sum("w").over(along).alias("lw"), F.sum("p").over(along).alias("lp"), F.sum("w").over(every).alias("tw"), F.sum("p").over(every).alias("tp"))
@@ -132,16 +143,17 @@ def best_splits(histograms: DataFrame) -> DataFrame:
     return best.select("segment", "tree", "node", (-F.col("s.f")).alias("feature"), (-F.col("s.b")).alias("bin"), "s.gain")
 
 
-def segment_forest(df: DataFrame, segment: str, features: Sequence[str], label: str, trees: int = 900, depth: int = 4, bins: int = 32, least: int = 10, seed: int = 42) -> DataFrame:
+def segment_forest(df: DataFrame, segment: str, features: Sequence[str], label: str, trees: int = 900, depth: int = 4, bins: int = 32, least: int = 10, seed: int = 42, balanced: bool = False) -> DataFrame:
     """(segment, tree, node, feature, bin, gain): the splits of a forest for every segment.
 
     Nodes are numbered 1, 2 and 3 below it, and so on. Every tree sees a bootstrap of its segment's rows, every node
     the square root of the features. Rows of equal bins are one cell, so a frequent combination costs as much as a rare one.
     A level of all trees of all segments is one job: parts of segments meet their splits so far in a cogroup, send
     partial histograms, and the best splits come from their sums. So there are as many rounds as levels, however many
-    segments there are, and a hot segment is many parts.
+    segments there are, and a hot segment is many parts. ``balanced`` gives both classes of a segment the same weight.
     """
     cells = segment_cells(df, segment, features, label, bins, least)
+    ratios = cut_lineage(cells.groupBy("segment").agg((F.sum("n0") / F.sum("n1")).alias("ratio"))) if balanced else None
     parts = cells.select("segment", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).distinct()
     chosen = max(1, math.ceil(math.sqrt(len(features))))
     levels: list[DataFrame] = []
@@ -150,7 +162,7 @@ def segment_forest(df: DataFrame, segment: str, features: Sequence[str], label:
             known = reduce(DataFrame.unionByName, levels).join(parts, "segment").select("segment", "part", "tree", "node", "feature", "bin")
         else:
             known = df.sparkSession.createDataFrame([], "segment string, part int, tree int, node int, feature int, bin int")
-        levels.append(cut_lineage(best_splits(level_histograms(cells, known, level, trees, bins, chosen, seed))))
+        levels.append(cut_lineage(best_splits(level_histograms(cells, known, level, trees, bins, chosen, seed), ratios)))
     return reduce(DataFrame.unionByName, levels)
 
 

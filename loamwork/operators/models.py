@@ -10,7 +10,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -55,17 +54,16 @@ def positive_score(model: PipelineModel, df: DataFrame, name: str = "score") ->
     return model.transform(df).withColumn(name, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def importance_rows(spark, features: Sequence[str], values: Sequence[float]) -> DataFrame:
-    rows = [(f, float(v)) for f, v in zip(features, values)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+def forest_importance(df: DataFrame, features: Sequence[str], label: str, trees: int = 300, depth: int = 5, seed: int = 42) -> DataFrame:
+    """(feature, importance) of a class-balanced forest over all rows, largest first.
 
+    Rows of equal bins are one cell, so after one pass over the rows a level of all trees costs as much as there are cells.
+    """
+    splits = segment_forest(df.withColumn("_all", F.lit("all")), "_all", features, label, trees, depth, least=1, seed=seed, balanced=True)
+    found = segment_importance(splits, features, "_all", digits=12).select("feature", "importance")
+    every = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return every.join(found, "feature", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance")).orderBy(F.desc("importance"), "feature")
 
-def forest_importance(df: DataFrame, features: Sequence[str], label: str, trees: int = 300, depth: int = 5, seed: int = 42) -> DataFrame:
-    """(feature, importance) of a class-balanced forest, largest first."""
-    rows = balance_weights(df, label).withColumn(label, F.col(label).cast("double"))
-    forest = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed)
-    fitted = Pipeline(stages=[assembler(features), forest]).fit(rows).stages[-1]
-    return importance_rows(df.sparkSession, features, fitted.featureImportances.toArray())
 
 
 def importance_by_segment(

@@ -195,3 +195,27 @@ def test_jobs_do_not_depend_on_the_number_of_segments(spark):
     finally:
         forests.PART = part
     assert found["a"] > 0.6
+
+
+def test_balanced_splits_weigh_classes_alike(spark):
+    """Gains of a node by hand: 30 rows of class 0, 3 of class 1, each of which counts for ten."""
+    from loamwork.operators.forests import best_splits
+
+    rows = [("s", 0, 1, 0, b, n0 + n1, n1) for b, (n0, n1) in enumerate([(10, 0), (5, 1), (15, 2)])]
+    sums = spark.createDataFrame(rows, "segment string, tree int, node int, feature int, bin int, w long, p long")
+    ratios = spark.createDataFrame([("s", 10.0)], "segment string, ratio double")
+    impurity = lambda n0, p: 2 * p * n0 / (n0 + p)
+    gains = [impurity(30, 30) - impurity(l0, 10 * l1) - impurity(30 - l0, 30 - 10 * l1) for l0, l1 in ((10, 0), (15, 1))]
+    got = best_splits(sums, ratios).first()
+    assert (got.bin, got.gain) == (gains.index(max(gains)), pytest.approx(max(gains)))
+
+
+def test_forest_of_one_class_has_no_weights(spark):
+    df = spark.range(50).select((F.col("id") % 7).alias("a"), F.lit(1.0).alias("b"), F.lit(1).alias("y"))
+    assert [tuple(r) for r in ML.forest_importance(df, ["b", "a"], "y", trees=3).collect()] == [("a", 0.0), ("b", 0.0)]
+
+
+def test_forest_finds_the_rare_class(spark):
+    df = spark.range(4000).select((F.col("id") % 50).alias("a"), (F.col("id") * 7 % 11).alias("b")).withColumn("y", (F.col("a") == 3).cast("int"))
+    got = {r.feature: r.importance for r in ML.forest_importance(df, ["a", "b"], "y", trees=10).collect()}
+    assert got["a"] > 0.9 and sum(got.values()) == pytest.approx(1, abs=1e-6)
