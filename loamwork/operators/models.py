@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamwork.functions.values import hash_unit
+from loamwork.operators.forests import bin_edges, binned
 from loamwork.operators.forests import forest_importance as segment_importance
 from loamwork.operators.forests import segment_forest
 from loamwork.operators.ordered import running_best
 from loamwork.operators.search import Range, adaptive_search
 from loamwork.operators.trees import fitted_nodes, mean_attribution, tree_attribution
+from loamwork.session import cut_lineage
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -93,22 +95,43 @@ def linear_attribution(df: DataFrame, features: Sequence[str], label: str) -> Da
 BOOSTER_SPACE = {"depth": Range(2, 6, whole=True), "rounds": Range(5, 40, whole=True), "step": Range(0.02, 0.3, log=True)}
 
 
+def booster_cells(df: DataFrame, features: Sequence[str], label: str, key: str, mean: bool, bins: int = 32, seed: int = 42) -> DataFrame:
+    """(held_out, features, label, weight, spread): training and held-out rows with equal bins as one weighted row.
+
+    Limits of the bins come from the training rows, as in a booster of that many bins, and features are numbers of bins.
+    Rows of a cell have the same label, or with ``mean`` their mean label; ``spread`` is their squared error around it. Trees on
+    squared errors are the same for a mean with its weight as for the rows.
+    """
+    held_out = hash_unit(F.col(key), seed=seed) >= 0.8
+    rows = df.select(*features, F.col(label).cast("double").alias(label), held_out.alias("held_out"))
+    edges = bin_edges(rows.filter(~F.col("held_out")), features, bins)
+    placed = rows.select("held_out", label, *[binned(F.col(f), e).cast("double").alias(f) for f, e in zip(features, edges, strict=True)])
+    keys = ["held_out", *features] + ([] if mean else [label])
+    n = F.count("*").cast("double")
+    own = [F.avg(label).alias(label), (F.var_pop(label) * n).alias("spread")] if mean else [F.lit(0.0).alias("spread")]
+    return cut_lineage(placed.groupBy(*keys).agg(n.alias("weight"), *own))
+
+
 def tune_booster(booster, judge, df: DataFrame, features: Sequence[str], label: str, key: str, trials: int, seed: int, parallel: int, space: Mapping[str, Range], larger: bool) -> DataFrame:
     """Trials of a booster by an adaptive search, judged on held-out rows.
 
-    Every trial is fitted with a quarter of its trees first, and with all of them only if the quarter is not worse than
-    the median of the trials before. (trial, depth, rounds, step, metric, pruned): the metric of a pruned trial is that of its
-    quarter.
+    All rows are binned and counted once (see ``booster_cells``); ``judge`` is an evaluator of weighted rows, or None for the
+    root of the mean squared error of a regression. Every trial is fitted with a quarter of its trees first, and with all of
+    them only if the quarter is not worse than the median of the trials before. (trial, depth, rounds, step, metric, pruned):
+    the metric of a pruned trial is that of its quarter.
     """
-    rows = assembler(features).transform(df.withColumn(label, F.col(label).cast("double"))).select("features", label, key)
-    train = rows.filter(hash_unit(F.col(key), seed=seed) < 0.8).persist()
-    valid = rows.filter(hash_unit(F.col(key), seed=seed) >= 0.8).persist()
+    cells = assembler(features).transform(booster_cells(df, features, label, key, judge is None, seed=seed)).select("features", label, "weight", "spread", "held_out")
+    train = cells.filter(~F.col("held_out")).persist()
+    valid = cells.filter("held_out").persist()
     sign = 1 if larger else -1
+    off = F.col("prediction") - F.col(label)
+    rmse = F.sqrt(F.sum(F.col("weight") * off * off + F.col("spread")) / F.sum("weight"))
 
     def objective(params: dict, report) -> float:
         def judged(rounds: int) -> float:
-            model = booster(labelCol=label, maxDepth=int(params["depth"]), maxIter=rounds, stepSize=params["step"], seed=seed).fit(train)
-            return sign * float(judge.evaluate(model.transform(valid)))
+            model = booster(labelCol=label, weightCol="weight", maxDepth=int(params["depth"]), maxIter=rounds, stepSize=params["step"], seed=seed).fit(train)
+            scored = model.transform(valid)
+            return sign * float(scored.agg(rmse).first()[0] if judge is None else judge.evaluate(scored))
 
         report(judged(max(1, int(params["rounds"]) // 4)))
         return judged(int(params["rounds"]))
@@ -122,13 +145,13 @@ def tune_booster(booster, judge, df: DataFrame, features: Sequence[str], label:
 
 def tune_gbt(df: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 40, seed: int = 42, parallel: int = 4, space: Mapping[str, Range] = BOOSTER_SPACE) -> DataFrame:
     """(trial, depth, rounds, step, metric, pruned, best_so_far): adaptive trials by validation AUC; pruned ones are no best."""
-    table = tune_booster(GBTClassifier, BinaryClassificationEvaluator(labelCol=label), df, features, label, key, trials, seed, parallel, space, True)
+    table = tune_booster(GBTClassifier, BinaryClassificationEvaluator(labelCol=label, weightCol="weight"), df, features, label, key, trials, seed, parallel, space, True)
     return running_best(table.withColumn("_own", F.when(~F.col("pruned"), F.col("metric")).otherwise(0.0)), "trial", "_own", "best_so_far").drop("_own")
 
 
 def tune_regression(df: DataFrame, features: Sequence[str], label: str, key: str, trials: int = 40, seed: int = 42, parallel: int = 4, space: Mapping[str, Range] = BOOSTER_SPACE) -> DataFrame:
     """(trial, depth, rounds, step, rmse, pruned, best_so_far): adaptive trials of boosted regression trees, least error best."""
-    table = tune_booster(GBTRegressor, RegressionEvaluator(labelCol=label, metricName="rmse"), df, features, label, key, trials, seed, parallel, space, False)
+    table = tune_booster(GBTRegressor, None, df, features, label, key, trials, seed, parallel, space, False)
     gains = table.withColumn("_gain", F.when(~F.col("pruned"), -F.col("metric")).otherwise(F.lit(float("-inf"))))
     return running_best(gains, "trial", "_gain", "_best").withColumn("best_so_far", -F.col("_best")).withColumnRenamed("metric", "rmse").drop("_gain", "_best")
 

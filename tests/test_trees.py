@@ -219,3 +219,24 @@ def test_forest_finds_the_rare_class(spark):
     df = spark.range(4000).select((F.col("id") % 50).alias("a"), (F.col("id") * 7 % 11).alias("b")).withColumn("y", (F.col("a") == 3).cast("int"))
     got = {r.feature: r.importance for r in ML.forest_importance(df, ["a", "b"], "y", trees=10).collect()}
     assert got["a"] > 0.9 and sum(got.values()) == pytest.approx(1, abs=1e-6)
+
+
+@pytest.mark.parametrize("mean", [True, False])
+def test_boosters_on_cells_are_those_on_rows(spark, mean):
+    """Few values a feature: the weighted cells give the trees and the error of all rows, and no row is left out."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = spark.range(3000).select("id", (F.col("id") % 13).cast("double").alias("a"), (F.col("id") * 7 % 5).cast("double").alias("b"), (F.col("id") % 13 * 3 + F.col("id") % 4).cast("double").alias("y"))
+    rows = rows if mean else rows.withColumn("y", (F.col("y") > 20).cast("double"))
+    cells = ML.booster_cells(rows, ["a", "b"], "y", "id", mean)
+    assert cells.agg(F.sum("weight")).first()[0] == 3000 and cells.count() <= 2 * 13 * 5 * (1 if mean else 2)
+    booster = GBTRegressor if mean else GBTClassifier
+    make = lambda **k: booster(labelCol="y", maxDepth=3, maxIter=4, seed=1, **k)
+    held = ML.hash_unit(F.col("id"), seed=42) >= 0.8
+    plain = make().fit(ML.assembler(["a", "b"]).transform(rows.filter(~held)).select("features", "y"))
+    weighted = make(weightCol="weight").fit(ML.assembler(["a", "b"]).transform(cells.filter("not held_out")))
+    want = plain.transform(ML.assembler(["a", "b"]).transform(rows.filter(held))).agg(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2))).first()[0]
+    off = F.col("prediction") - F.col("y")
+    got = weighted.transform(ML.assembler(["a", "b"]).transform(cells.filter("held_out"))).agg(F.sqrt(F.sum(F.col("weight") * off * off + F.col("spread")) / F.sum("weight"))).first()[0]
+    assert got == pytest.approx(want, rel=1e-6)
