@@ -5,6 +5,7 @@ import random
 import re
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,3 +161,16 @@ def test_marks_passed_on_and_beside_the_marks(spark):
         df = spark.createDataFrame([(x,) for x in scores], "x double")
         got = [r[0] for r in df.select(E.marks_passed(F.col("x"), marks)).collect()]
         assert got == [0 if x is None else len(marks) if x != x else sum(m <= x for m in marks) for x in scores]
+
+
+def test_cdfs_of_whole_batches_match_closed_forms(spark):
+    """Distinct rows of a batch are computed together; a missing value gives none."""
+    from loamwork.functions import distributions as DI
+
+    x = np.concatenate([np.linspace(-6, 6, 401), [0.0]])
+    one, two, seven = (np.full(x.size, float(n)) for n in (1, 2, 7))
+    assert np.abs(DI.t_cdf_values(x, one) - (0.5 + np.arctan(x) / np.pi)).max() < 1e-12
+    assert np.abs(DI.t_cdf_values(x, two) - (0.5 + x / (2 * np.sqrt(2 + x * x)))).max() < 1e-12
+    assert np.abs(DI.f_cdf_values(x, two, seven) - np.where(x > 0, 1 - (1 + 2 * np.abs(x) / 7) ** -3.5, 0)).max() < 1e-12
+    df = spark.createDataFrame([(0.0, 2.0), (None, 2.0), (1.0, None), (0.0, 2.0)], "t double, df double")
+    assert [r[0] for r in df.select(DI.t_cdf("t", "df")).collect()] == [0.5, None, None, 0.5]
