@@ -122,12 +122,17 @@ def filler_passes(phrases: Sequence[str]) -> list[str]:
     return [rf"\b(?:{'|'.join(re.escape(p) for p in own)})\b" for own in passes]
 
 
+#: All but ASCII letters, digits and the signs of keys. One class for letters and digits is one look at a character; a
+#: class of ranges looks at each of them, which took most of the time of a key.
+NO_KEY_SIGN = r"[^\p{Alnum}+.#/ ]"
+
+
 def requirement_key(
     text: Column, synonyms: Mapping[str, str] = W.SYNONYMS, fillers: Sequence[str] = W.STOP_PHRASES, aliases: Mapping[str, str] = W.ALIASES
 ) -> Column:
     """Plain key of a requirement text: synonyms, without filler phrases, aliases."""
     bare = bind(F.lower(normalize_space(text)), strip_accents)
-    plain = F.regexp_replace(F.replace(bare, F.lit("&"), F.lit(" and ")), r"[^a-zA-Z0-9+.#/ ]+", " ")
+    plain = F.regexp_replace(F.replace(bare, F.lit("&"), F.lit(" and ")), NO_KEY_SIGN + "+", " ")
     key = bind(plain, lambda k: recode(k, synonyms))
     for pattern in filler_passes(fillers):
         key = F.regexp_replace(key, pattern, " ")
@@ -154,6 +159,14 @@ def key_words(key: Column) -> Column:
     return F.when(key == "", 0).otherwise(F.length(key) - F.length(F.replace(key, F.lit(" "))) + 1)
 
 
+def whole_part(first: str, core: str) -> str:
+    """Pattern for ``core`` between edges of words: a place is left at once unless one of ``first`` stands there.
+
+    The edges are looked at only there; a pattern that begins with them tries every place at length.
+    """
+    return rf"(?=[{first}])(?<![a-z0-9_])(?:{core})(?![a-z0-9_])"
+
+
 def genericness(key: Column, generic: Sequence[str] = W.GENERIC_PARTS, concrete: Sequence[str] = W.CONCRETE_PARTS) -> Column:
     """Struct (is_generic, score, confidence, band) of a plain requirement key (see ``requirement_key``)."""
     words = key_words(key)
@@ -162,9 +175,9 @@ def genericness(key: Column, generic: Sequence[str] = W.GENERIC_PARTS, concrete:
         F.lit(0.50)
         + F.when(contains_any(key, generic), 0.32).otherwise(0.0)
         + F.when((words <= 2) & ~key.rlike("[0-9]"), 0.12).otherwise(0.0)
-        - F.when(key.rlike(r"(?:^|[^a-z0-9_])(aspon|min\.?|minimalne)(?:$|[^a-z0-9_])"), 0.18).otherwise(0.0)
-        - F.when(key.rlike(r"(?:^|[^a-z0-9_])(a1|a2|b1|b2|c1|c2)(?:$|[^a-z0-9_])"), 0.24).otherwise(0.0)
-        - F.when(key.rlike(r"(?:^|[^a-z0-9_])[0-9]+(?:$|[^a-z0-9_])"), 0.20).otherwise(0.0)
+        - F.when(key.rlike(whole_part("am", r"aspon|min\.?|minimalne")), 0.18).otherwise(0.0)
+        - F.when(key.rlike(whole_part("abc", "[abc][12]")), 0.24).otherwise(0.0)
+        - F.when(key.rlike(whole_part("0-9", "[0-9]+")), 0.20).otherwise(0.0)
         - F.when(contains_any(key, concrete), 0.30).otherwise(0.0)
         - F.when(words >= 6, 0.08).otherwise(0.0)
     )
