@@ -22,8 +22,7 @@ def contains_any(c: Column, parts: Sequence[str]) -> Column:
 
 def detect_section(line: Column, must: Sequence[str] = W.MUST_HEADERS, nice: Sequence[str] = W.NICE_HEADERS) -> Column:
     """'must' or 'nice' for a line with a header phrase, else NULL."""
-    low = F.lower(line)
-    return F.when(contains_any(low, must), "must").when(contains_any(low, nice), "nice")
+    return bind(F.lower(line), lambda low: F.when(contains_any(low, must), "must").when(contains_any(low, nice), "nice"))
 
 
 #: Patterns of every category, in the order in which they are tried.
@@ -48,11 +47,10 @@ def any_category(patterns: Mapping[str, Sequence[str]]) -> str:
 
 
 def infer_priority(line: Column, section: Column, must: Sequence[str] = W.MUST_CUES, nice: Sequence[str] = W.NICE_CUES) -> Column:
-    low = F.lower(line)
-    return (
+    return bind(F.lower(line), lambda low: (
         F.when(contains_any(low, must), "must").when(contains_any(low, nice), "nice")
         .when(section.isin("must", "nice"), section).otherwise("unknown")
-    )
+    ))
 
 
 def section_bonus(section: Column) -> Column:
@@ -77,7 +75,7 @@ def line_score(
         known = F.when(low.rlike(any_category({n: p for n, p in patterns.items() if n in weights})), sum(named, F.lit(0.0))).otherwise(F.lit(0.0))
         return shape + cues + known
 
-    return F.when(F.length(line).between(12, 320), bind(F.lower(line), signals)).otherwise(0.0)
+    return F.when(bind(F.length(line), lambda n: n.between(12, 320)), bind(F.lower(line), signals)).otherwise(0.0)
 
 
 def strip_bullet(line: Column) -> Column:
@@ -89,11 +87,10 @@ def default_weight(priority: Column) -> Column:
 
 
 def guess_seniority(text: Column) -> Column:
-    low = F.lower(text)
-    return (
+    return bind(F.lower(text), lambda low: (
         F.when(low.contains("senior"), "senior").when(low.contains("junior"), "junior")
         .when(contains_any(low, ["medior", "mid-level", "mid level"]), "medior").otherwise("unknown")
-    )
+    ))
 
 
 def filler_passes(phrases: Sequence[str]) -> list[str]:

@@ -10,11 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# NUL, tab to carriage return, the separators and all Unicode white space, as what is outside of all other
-# characters: a letter is told apart by the first range.
-SPACE_CLASS = (
-    r"[^\x21-\x{84}\x01-\x08\x0E-\x1B\x{86}-\x{9F}\x{A1}-\x{167F}\x{1681}-\x{1FFF}\x{200B}-\x{2027}\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}\x{3001}-\x{10FFFF}]"
-)
+# NUL, the four separators of ASCII and all Unicode white space. Single signs and one property make two looks at a
+# character; a class of many ranges looks at each, most of all where tasks share a process.
+SPACE_CLASS = r"[\x00\x1C\x1D\x1E\x1F\p{IsWhite_Space}]"
 
 
 def _accent_pairs() -> tuple[str, str]:
@@ -61,7 +59,7 @@ def strip_accents_full(texts: pd.Series) -> pd.Series:
 
 def normalize_key(c: Column) -> Column:
     """Lower-case ASCII letters and digits, all else one space."""
-    return F.trim(F.regexp_replace(F.lower(normalize_space(c)), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.lower(normalize_space(c)), r"[^\p{Alnum}]+", " "))
 
 
 def lookup_key(c: Column) -> Column:

@@ -76,8 +76,14 @@ LINES_SQL = AD_SQL + f""", lines AS (SELECT doc_id, pos, line FROM (SELECT doc_i
  FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM ads)) WHERE line <> '')"""
 
 
+def with_lengths(line: str, n: int) -> str:
+    """The lines of ``text`` by the SQL of one ``line``, its length modulo n taken once and not for every case."""
+    counted = line.replace(f"length({{x}}) % {n}", "{x}.n").replace("{x}", "x.v").replace("x.v.n", "x.n")
+    return f"transform(transform(split(text, '\\n'), v -> named_struct('v', v, 'n', length(v) % {n})), x -> {counted})"
+
+
 def ads(spark, sf):
-    lines = F.expr(f"transform(split(text, '\\n'), x -> {AD_LINE.format(x='x')})")
+    lines = F.expr(with_lengths(AD_LINE, 11))
     return documents(spark, sf).select("doc_id", F.array_join(lines, "\n").alias("text"))
 
 
@@ -199,7 +205,7 @@ REQ_ROWS_SQL = f"""posted AS (SELECT doc_id, string_split(array_to_string(list_t
 
 
 def posted(spark, sf):
-    lines = F.expr(f"transform(split(text, '\\n'), x -> {REQ_LINE.format(x='x')})")
+    lines = F.expr(with_lengths(REQ_LINE, 13))
     return documents(spark, sf).select("doc_id", F.array_join(lines, "\n").alias("text"))
 
 

@@ -193,3 +193,13 @@ def test_signs_outside_of_keys(spark):
     df = spark.createDataFrame([(text,)], "t string")
     one, two = df.select(F.regexp_replace("t", R.NO_KEY_SIGN, "~"), F.regexp_replace("t", r"[^a-zA-Z0-9+.#/ ]", "~")).first()
     assert one == two
+
+
+def test_white_space_is_told_like_by_its_ranges(spark):
+    """The class of single signs and one property holds the very characters that the ranges left out."""
+    ranges = r"[^\x21-\x{84}\x01-\x08\x0E-\x1B\x{86}-\x{9F}\x{A1}-\x{167F}\x{1681}-\x{1FFF}\x{200B}-\x{2027}\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}\x{3001}-\x{10FFFF}]"
+    text = "".join(chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000) + "﻿\U0001F600"
+    assert "IsWhite_Space" in T.SPACE_CLASS
+    df = spark.createDataFrame([(text,)], "t string")
+    one, two = df.select(F.regexp_replace("t", T.SPACE_CLASS, "~"), F.regexp_replace("t", ranges, "~")).first()
+    assert one == two
