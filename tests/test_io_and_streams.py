@@ -228,3 +228,40 @@ def test_documents_in_few_text_files_come_back_whole(spark, tmp_path, monkeypatc
     got = {r.doc_id: r.text for r in tabular.scan_text_files(spark, str(tmp_path)).collect()}
     assert got == {k: v for k, v in texts.items() if v is not None}
     assert 2 <= len(list((tmp_path / "texts").rglob("*.txt"))) <= 5
+
+
+def test_silent_cycles_need_one_look_at_the_state():
+    """However many cycles a host has, a call reads its state once and writes it once."""
+    from loamwork.streaming.silence import Silence
+
+    class Value:
+        held, looks = None, 0
+
+        def get(self):
+            self.looks += 1
+            return self.held
+
+        def update(self, value):
+            self.looks, self.held = self.looks + 1, value
+
+    class Handle:
+        value, timers = Value(), []
+
+        def getValueState(self, *_):
+            return self.value
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Now:
+        def getCurrentWatermarkInMs(self):
+            return 59_999
+
+    handle, host = Handle(), Silence(1000, ["m"], "gone")
+    host.init(handle)
+    assert list(host.handleInputRows(("h",), iter([{"_cycle": c} for c in (2, 5, 5, 40, 59, 70)]), None)) == []
+    silent = [r.cycle for r in host.handleExpiredTimer(("h",), Now(), None)]
+    assert silent == [c for c in range(2, 59) if c not in (2, 5, 40)] and handle.value.held == (58, [59, 70])
+    assert handle.value.looks == 4 and handle.timers == [3000, 60_000]
+    list(host.handleInputRows(("h",), iter([{"_cycle": 3}, {"_cycle": 59}]), None))  # late, and known
+    assert handle.value.held == (58, [59, 70]) and handle.value.looks == 5
