@@ -105,11 +105,14 @@ SEPARATORS = ["\n\n", "\n", ". ", " ", ""]
 
 
 def chunk_chars(docs: DataFrame, doc: str, text: str, size: int = 1200, overlap: int = 200) -> DataFrame:
-    """(chunk_id, doc, chunk, text, meta). Packing is sequential, so it is a small helper per row."""
+    """(chunk_id, doc, chunk, text, meta). Packing is sequential, so it is a small helper per row.
 
-    @F.pandas_udf(ArrayType(StringType()))
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [] if t is None else split_chars(t, size, overlap, SEPARATORS))
+    It takes rows a hundred at a time: an Arrow batch holds 10,000 whole texts and all their pieces at once.
+    """
+
+    @F.udf(ArrayType(StringType()), useArrow=False)
+    def cut(t: str | None) -> list[str]:
+        return [] if t is None else split_chars(t, size, overlap, SEPARATORS)
 
     pieces = unnest(docs, [doc], cut(F.col(text)), "chunk", "text")
     meta = F.create_map(F.lit("doc"), F.col(doc).cast("string"), F.lit("chunk"), F.col("chunk").cast("string"))

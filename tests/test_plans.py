@@ -70,3 +70,9 @@ def test_drawn_columns_are_never_broadcast(spark, name):
     text = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     joins = [x for x in text.splitlines() if "Join Inner" in x]
     assert joins and all("strategy=merge" in x for x in joins)
+
+
+def test_texts_are_cut_a_few_rows_at_a_time(spark):
+    """No Arrow batch of 10,000 whole texts and all their pieces in Python."""
+    text = plan(spark, "chunk_chars")
+    assert "BatchEvalPython" in text and "ArrowEvalPython" not in text
