@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamwork.functions.values import hash_unit
+from loamwork.operators.joins import dictionary_join
 from loamwork.operators.ordered import global_row_number
 from loamwork.session import cut_lineage, hold
 
@@ -24,7 +25,8 @@ def stratified_split(
 
     ``cuts`` are cumulative. Bucket counts locate each cut, only the rows of the buckets that hold
     a cut are ordered, and the cut points then go to every row. The number of rows sets the number of
-    buckets, so that a bucket has about ``per_bucket`` rows at most and no label is gathered in one task.
+    buckets, so that a bucket has about ``per_bucket`` rows at most and no label is gathered in one task: the buckets with
+    cuts and the cut points, a row per cut and one per label, are sent to the rows.
     """
     columns, buckets = df.columns, df.count() // per_bucket + 1
     df = hold(df, _u=hash_unit(*[F.col(k) for k in keys], seed=seed))
@@ -41,13 +43,14 @@ def stratified_split(
         .filter((F.col("upto") - F.col("n") < F.col("w.c")) & (F.col("w.c") <= F.col("upto")))
         .select(label, "_b", F.col("w.i").alias("i"), (F.col("w.c") - F.col("upto") + F.col("n")).alias("k"))
     )
-    near = df.select(label, *keys, bucket.alias("_b"), draw.alias("u")).join(holding, [label, "_b"])
+    near = df.select(label, *keys, bucket.alias("_b"), draw.alias("u"))
+    near = dictionary_join(near, holding, [label, "_b"], "inner")
     rank = F.row_number().over(Window.partitionBy(label, "_b", "i").orderBy("u", *keys))
     points = near.withColumn("r", rank).filter(F.col("r") == F.col("k"))
     per_label = points.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("i", F.struct("u", *keys).alias("p")))).alias("_points"))
     passed = F.size(F.filter(F.coalesce("_points", F.array().cast(per_label.schema["_points"].dataType)), lambda e: e["p"] < place))
     split = F.element_at(F.array(*[F.lit(n) for n in names]), passed + 1)
-    return df.join(per_label, label, "left").select(*columns, split.alias("split"))
+    return dictionary_join(df, per_label, label).select(*columns, split.alias("split"))
 
 
 def capped_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:

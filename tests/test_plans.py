@@ -76,3 +76,14 @@ def test_texts_are_cut_a_few_rows_at_a_time(spark):
     """No Arrow batch of 10,000 whole texts and all their pieces in Python."""
     text = plan(spark, "chunk_chars")
     assert "BatchEvalPython" in text and "ArrowEvalPython" not in text
+
+
+def test_split_shuffles_no_rows_by_label(spark):
+    """A few labels would be as many tasks; what is joined by label is sent to the rows at any size of theirs."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark, "stratified_split")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
