@@ -99,6 +99,17 @@ def next_in_series(df: DataFrame, series: str, place: Column, value: str) -> Dat
     return agg.select(series, "n", (F.col("my") + F.coalesce("b", F.lit(0.0)) * (F.col("n") - F.col("mx"))).alias("next_value"))
 
 
+def indicator_correlation(n: Column, s: Column, k: Column, ky: Column) -> Column:
+    """Pearson correlation of two 0/1 columns from the rows, the ones of each and those of both; NULL where one is constant.
+
+    Differences of products are exact decimals: with 100 million rows they are beyond a double, and a category and its
+    complement would no longer be equal but for their sign.
+    """
+    n, s, k, ky = (c.cast("decimal(18,0)") for c in (n, s, k, ky))
+    spread = (n * k - k * k).cast("double") * (n * s - s * s).cast("double")
+    return F.when(spread > 0, (n * ky - k * s).cast("double") / F.sqrt(spread))
+
+
 def correlation_with_target(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """(feature, n, correlation) of numeric columns and of every category value with a 0/1 target.
 
@@ -121,9 +132,7 @@ def correlation_with_target(df: DataFrame, target: str, numeric: Sequence[str],
     names = [c for c in categorical]
     long = rows.select(y.alias("_y"), *[F.coalesce(F.col(c).cast("string"), F.lit("__MISSING__")).alias(c) for c in names])
     counts = long.unpivot(["_y"], names, "column", "value").groupBy("column", "value").agg(F.count("*").alias("k"), F.sum("_y").alias("ky"))
-    n, s, k, ky = totals["n"], totals["s"], F.col("k").cast("double"), F.col("ky")
-    spread = (n * k - k * k) * (n * s - s * s)
-    closed = F.when(spread > 0, (n * ky - k * s) / F.sqrt(spread))
+    n, closed = totals["n"], indicator_correlation(totals["n"], totals["s"], F.col("k"), F.col("ky"))
     from_values = counts.select(
         F.concat_ws("_", "column", "value").alias("feature"), n.cast("bigint").alias("n"), closed.alias("correlation")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loamwork.functions import vectors
 from loamwork.functions.values import round_scaled
 from loamwork.operators import series as S
+from loamwork.operators import stats
 from loamwork.operators.aggregates import weighted_score
 from loamwork.plans import ORACLES, QUERIES
 
@@ -61,3 +62,19 @@ def test_medians_of_many_rows_a_day(spark, tmp_path, name):
 def test_mean_of_days_without_values(spark):
     df = spark.sql("select * from values (1, timestamp_ntz '2024-01-01 00:00:00', cast(null as double)), (2, timestamp_ntz '2024-01-01 00:00:00', 0.1D), (2, timestamp_ntz '2024-01-01 00:00:00', cast('inf' as double)) t(u, ts, v)")
     assert {r.u: r.v for r in S.daily_means(df, "u", "ts", ["v"]).collect()} == {1: None, 2: float("inf")}
+
+
+def test_a_category_and_its_complement_correlate_alike_at_any_size(spark):
+    """Counts of 216 million rows and more: the two are a tie, which goes by name."""
+    draw = random.Random(9)
+    rows = []
+    for n in [216_000_000, 2_160_000_001] * 20:
+        s, k = draw.randrange(n // 4, n // 2), draw.randrange(n // 4, n // 2)
+        ky = s * k // n + draw.randrange(100_000)
+        rows.append((float(n), float(s), k, float(ky)))
+    df = spark.createDataFrame(rows, "n double, s double, k bigint, ky double")
+    n, s, k, ky = (F.col(c) for c in df.columns)
+    got = df.select(*df.columns, stats.indicator_correlation(n, s, k, ky).alias("a"), stats.indicator_correlation(n, s, n - k, s - ky).alias("b")).collect()
+    for r in got:
+        n, s, k, ky = map(int, (r.n, r.s, r.k, r.ky))
+        assert r.a == -r.b and r.a == pytest.approx((n * ky - k * s) / math.sqrt((n * k - k * k) * (n * s - s * s)), rel=1e-14)
