@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -12,7 +14,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.errors import AnalysisException
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamwork.functions.values import hash_unit
-from loamwork.operators.forests import bin_edges, binned
+from loamwork.operators.forests import PART, bin_edges, binned
 from loamwork.operators.forests import forest_importance as segment_importance
 from loamwork.operators.forests import segment_forest
 from loamwork.operators.ordered import running_best
@@ -33,27 +35,48 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
-def balance_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Weight negatives / positives on positive rows, 1 on negative rows."""
-    ratio = df.agg(F.try_divide(F.count_if(F.col(label) == 0).cast("double"), F.count_if(F.col(label) == 1).cast("double")).alias("r")).scalar()
-    return df.withColumn(name, F.when(F.col(label) == 1, F.coalesce(ratio, F.lit(1.0))).otherwise(1.0))
+def balance_weights(cells: DataFrame, label: str, n: str, name: str = "weight") -> DataFrame:
+    """Weight of cells of ``n`` rows: a row counts negatives / positives in positive cells, 1 in negative ones."""
+    negatives, positives = (F.sum(F.when(F.col(label) == k, F.col(n)).otherwise(0.0)) for k in (0, 1))
+    ratio = cells.agg(F.try_divide(negatives, positives).alias("r")).scalar()
+    return cells.withColumn(name, F.col(n) * F.when(F.col(label) == 1, F.coalesce(ratio, F.lit(1.0))).otherwise(1.0))
+
+
+def bin_stage(df: DataFrame, features: Sequence[str], bins: int) -> Bucketizer:
+    """Numbers of about equally full bins as columns ``_bin_<feature>``. A limit belongs to the bin below it; NaN has a bin above all."""
+    splits = []
+    for edges in bin_edges(df, features, bins):
+        inner = sorted({math.nextafter(e, math.inf) + 0.0 for e in edges if e < sys.float_info.max}) or [0.0]
+        splits.append([-math.inf, *inner, math.inf])
+    return Bucketizer(splitsArray=splits, inputCols=list(features), outputCols=[f"_bin_{f}" for f in features], handleInvalid="keep")
 
 
 def train_binary_gbt(
-    df: DataFrame, features: Sequence[str], label: str, key: str, validation: float = 0.2, rounds: int = 50, depth: int = 4, seed: int = 42
+    df: DataFrame, features: Sequence[str], label: str, key: str, validation: float = 0.2, rounds: int = 50, depth: int = 4, seed: int = 42, bins: int = 32
 ) -> PipelineModel:
-    """Boosted trees with class weights; boosting stops when the validation rows stop improving."""
+    """Boosted trees with class weights; boosting stops when the validation rows stop improving.
+
+    All rows are binned and counted once: rows of equal bins and label are one weighted row of the fit, so that its time and
+    its cached rows are bounded by the bins. Limits of the bins come from the training rows; the model bins what it scores.
+    """
     held_out = hash_unit(F.col(key), seed=seed) < validation
-    rows = balance_weights(df, label).withColumn("validation", held_out).withColumn(label, F.col(label).cast("double"))
+    rows = df.select(*features, F.col(label).cast("double").alias(label), held_out.alias("validation"))
+    binning = bin_stage(rows.filter(~F.col("validation")), features, bins)
+    names, last = binning.getOutputCols(), [float(len(s) - 1) for s in binning.getSplitsArray()]  # NULL is binned as NaN
+    placed = binning.transform(rows).select("validation", label, *[F.coalesce(F.col(c), F.lit(k)).alias(c) for c, k in zip(names, last, strict=True)])
+    cells = cut_lineage(placed.groupBy("validation", label, *names).agg(F.count("*").cast("double").alias("n")))
+    weighted = balance_weights(cells, label, "n").repartition(cells.count() // PART + 1)
     booster = GBTClassifier(
-        labelCol=label, weightCol="weight", validationIndicatorCol="validation", maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=seed
+        labelCol=label, weightCol="weight", validationIndicatorCol="validation", maxIter=rounds, maxDepth=depth, maxBins=bins + 1, stepSize=0.1, seed=seed
     )
-    return Pipeline(stages=[assembler(features), booster]).fit(rows)
+    ready = assembler(names)
+    return PipelineModel(stages=[binning, ready, booster.fit(ready.transform(weighted))])
 
 
 def positive_score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame:
     """Probability of class 1 for every row."""
-    return model.transform(df).withColumn(name, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+    scored = model.transform(df).withColumn(name, vector_to_array("probability")[1])
+    return scored.drop(*[c for c in scored.columns if c != name and c not in df.columns])
 
 
 def forest_importance(df: DataFrame, features: Sequence[str], label: str, trees: int = 300, depth: int = 5, seed: int = 42) -> DataFrame:

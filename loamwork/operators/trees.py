@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from math import factorial
 
@@ -9,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 
 from loamwork.session import scratch_folder
 
-#: A node: number in its tree (0 is the root), children (-1 in a leaf), split, rows of the fit, value of a leaf times the tree's weight.
+#: A node: number in its tree (0 is the root), children (-1 in a leaf), split, weight of the rows of the fit, value of a leaf times the tree's weight.
 NODES = "tree int, node int, left int, right int, feature int, threshold double, categories array<double>, cover double, value double"
 
 
@@ -24,7 +26,7 @@ def fitted_nodes(model: PipelineModel) -> DataFrame:
     """Node table of the tree ensemble at the end of a fitted pipeline, read from what it saves.
 
     Values add up to the score of boosted trees, the prediction of a regression forest, the probability of class 1 of a
-    classification forest.
+    classification forest. Splits of a model that bins its features first are given back as limits of the features.
     """
     spark, fitted = SparkSession.active(), model.stages[-1]
     path = scratch_folder(spark, "trees")
@@ -35,11 +37,18 @@ def fitted_nodes(model: PipelineModel) -> DataFrame:
     split, n = F.col("nodeData.split"), F.col("nodeData")
     counts = n["impurityStats"]
     leaf = F.get(counts, F.lit(1)) / F.aggregate(counts, F.lit(0.0), lambda a, b: a + b) if isinstance(fitted, RandomForestClassificationModel) else n["prediction"]
+    cover = F.aggregate(counts, F.lit(0.0), lambda a, b: a + b) if isinstance(fitted, RandomForestClassificationModel) else F.get(counts, F.lit(0))
+    threshold = F.get(split["leftCategoriesOrThreshold"], F.lit(0))
+    for stage in model.stages:
+        if isinstance(stage, Bucketizer):  # bins up to b hold what is below the limit behind b; the last one all but NaN
+            limits = [[math.nextafter(s, -math.inf) for s in own[1:-1]] + [math.inf] for own in stage.getSplitsArray()]
+            known = F.array(*[F.array(*[F.lit(x) for x in own]) for own in limits])
+            threshold = F.get(F.get(known, split["featureIndex"]), F.floor(threshold).cast("int"))
     rows = spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"), n["id"].alias("node"), n["leftChild"].alias("left"), n["rightChild"].alias("right"), split["featureIndex"].alias("feature"),
-        F.when(split["numCategories"] < 0, F.get(split["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
+        F.when(split["numCategories"] < 0, threshold).alias("threshold"),
         F.when(split["numCategories"] >= 0, split["leftCategoriesOrThreshold"]).alias("categories"),
-        n["rawCount"].cast("double").alias("cover"), leaf.alias("p"),
+        cover.alias("cover"), leaf.alias("p"),
     )
     return rows.join(F.broadcast(weights), "tree").withColumn("value", F.col("p") * F.col("weight")).select(*[f.name for f in T.StructType.fromDDL(NODES)])  # a row per tree
 
@@ -126,7 +135,7 @@ def tree_attribution(df: DataFrame, nodes: DataFrame, features: Sequence[str], p
     """All rows with ``base``, ``raw`` and a column ``by_<feature>`` each: base + contributions = raw, the sum of the leaves.
 
     Contributions are the Shapley values of the ensemble's expectation along its paths: where a feature is unknown, a
-    split sends a row both ways, in the shares of the rows of the fit. They are exact, for every row, from the node table
+    split sends a row both ways, in the shares of the weight of the rows of the fit. They are exact, for every row, from the node table
     alone (NODES; ``fitted_nodes`` gives it for a fitted model). NaN and NULL go right, as in the fit. A node table has as many
     rows as the model has nodes, whatever the data; it is sent to the tasks, which work batch by batch.
     """

@@ -76,6 +76,47 @@ def test_every_row_against_all_subsets(spark, kind):
     assert both.agg(F.max(F.abs(F.col("score") - F.col("raw")))).first()[0] < 1e-9
 
 
+def test_a_boosted_fit_sees_cells_not_rows(spark, monkeypatch):
+    """Its rows are bounded by bins and labels; they weigh what the rows weigh."""
+    seen = []
+
+    class Booster(ML.GBTClassifier):
+        def fit(self, df, *more):
+            seen.append(df.count())
+            return super().fit(df, *more)
+
+    monkeypatch.setattr(ML, "GBTClassifier", Booster)
+    draw = np.random.default_rng(4)
+    x = draw.integers(0, 3, (3000, 2))
+    y = (x[:, 0] + draw.random(3000) > 1.4).astype(int)
+    rows = spark.createDataFrame([(i, float(a), int(b), int(t)) for i, ((a, b), t) in enumerate(zip(x, y, strict=True))], "id int, a double, b int, y int").cache()
+    nodes = TR.fitted_nodes(ML.train_binary_gbt(rows, ["a", "b"], "y", "id", rounds=2)).filter("node = 0 and tree = 0").collect()
+    assert seen and seen[0] <= 3 * 3 * 2 * 2
+    train = [r.y for r in rows.filter(ML.hash_unit(F.col("id"), seed=42) >= 0.2).collect()]
+    assert nodes[0].cover == pytest.approx(len(train) - sum(train) + sum(train) * (3000 - y.sum()) / y.sum())
+
+
+def test_a_binned_model_scores_gaps_and_limits_as_its_node_table(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    nan, inf = float("nan"), float("inf")
+    draw = np.random.default_rng(6)
+    given = [(i, None if i % 11 == 0 else nan if i % 13 == 0 else float(v), int(k), None) for i, (v, k) in enumerate(zip(np.round(draw.normal(size=1500), 1), draw.integers(0, 4, 1500), strict=True))]
+    rows = spark.createDataFrame([(*r, int((r[1] is None or r[1] != r[1] or r[1] > 0.3) ^ (r[2] == 2))) for r in given], "id int, a double, k int, none double, y int").cache()
+    model = ML.train_binary_gbt(rows, ["a", "k", "none"], "y", "id", rounds=5)
+    model.write().save(str(tmp_path / "m"))
+    odd = spark.createDataFrame([(-1, v, k, None, 0) for v in (inf, -inf, 0.0, -0.0, 0.30000000000000004, 1e308, None, nan) for k in (0, 2, 9, None)], rows.schema)
+    every = rows.union(odd)
+    found = TR.tree_attribution(every, TR.fitted_nodes(model), ["a", "k", "none"])
+    for m in (model, PipelineModel.load(str(tmp_path / "m"))):
+        scored = m.transform(found).select(F.abs(vector_to_array("rawPrediction")[1] - F.col("raw")).alias("off"))
+        assert scored.agg(F.max("off")).first()[0] < 1e-9
+    scored = ML.positive_score(model, rows)
+    assert scored.columns == [*rows.columns, "score"]
+    assert scored.filter((F.col("score") > 0.5) != (F.col("y") == 1)).count() < 15
+
+
 def test_given_trees_with_categories_repeated_features_and_missing_values(spark):
     nodes = [
         (0, 0, 1, 2, 0, 0.5, None, 10.0, 0.0), (0, 1, 3, 4, 0, -0.5, None, 6.0, 0.0), (0, 2, -1, -1, -1, None, None, 4.0, 3.0),
