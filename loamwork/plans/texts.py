@@ -468,8 +468,7 @@ def retrieval_query_text(spark, sf):
     from loamwork.operators.terms import ranked_terms
     from loamwork.plans.joining import by_count
 
-    terms = ranked_terms(matched_terms(spark, sf), "doc_id", by_count, sep=None)
-    joined = documents(spark, sf).join(terms, "doc_id")
+    joined = ranked_terms(matched_terms(spark, sf, ["text"]), "doc_id", by_count, sep=None, keep=["text"]).filter("doc_id is not null")
     return joined.select("doc_id", T.retrieval_query_text(F.col("text"), F.col("terms")).alias("query"))
 
 

@@ -560,3 +560,33 @@ def test_encoding_of_unseen_and_missing(spark):
 def test_preprocessor_constant_column(spark):
     df = spark.createDataFrame([(5.0, "u"), (5.0, "v"), (None, "u")], "x double, c string")
     assert {r.x for r in FE.Preprocessor(["x"], ["c"]).fit(df).apply(df).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_terms_of_any_form_against_all_positions(monkeypatch, few):
+    """Words, phrases, overlaps, signs and letters beyond Latin-1, with phrases looked for one by one or in one walk."""
+    import random
+
+    monkeypatch.setattr(M, "FEW", few)
+    draw = random.Random(2)
+    pieces = ["a", "b", "ab", "é", "ž", "x_1", "½", "a", " ", " ", ", ", "-", "+", "\u00a0", "\n", "—", "\x85"]
+    made = lambda n: "".join(draw.choices(pieces, k=n))
+    terms = sorted({made(draw.randrange(1, 6)) for _ in range(400)} | {"a a", "a+", "ab-ab"})
+    trie = M.TermTrie([(t.upper(), t) for t in terms] + [("again", "a a")])
+    for text in [made(draw.randrange(0, 60)) for _ in range(300)] + ["", "a a a", "a+ a+", "a+b", "ab-ab-ab"]:
+        parts, want = M.PARTS.findall(text), {}
+        for t in terms:
+            own = M.PARTS.findall(t)
+            n = sum(parts[i : i + len(own)] == own for i in range(len(parts))) if M.PARTS.fullmatch("a" + own[0]) else 0
+            want |= {t.upper(): n} | ({"again": n} if t == "a a" else {}) if n else {}
+        assert trie.counts(text) == want
+
+
+@pytest.mark.parametrize("size", [1 << 20, 20])
+def test_kept_columns_stay_with_their_text(spark, monkeypatch, size):
+    """In the row, or by document where the terms fill several blocks."""
+    monkeypatch.setattr(M, "TRIE_BYTES", size)
+    docs = spark.createDataFrame([(1, "big data, big plan", "u"), (2, "none", None), (3, None, "w"), (4, "Plan", None)], "d int, t string, k string")
+    words = spark.createDataFrame([("big data",), ("plan",), ("big",)], "term string")
+    got = M.ranked_terms(M.term_counts(docs, "d", "t", words, "term", ["t", "k"]), "d", lambda f: [-f["n"], f["term"]], sep=None, keep=["k", "t"])
+    assert sorted(map(tuple, got.collect())) == [(1, "u", "big data, big plan", ["big", "big data", "plan"]), (4, None, "Plan", ["plan"])]

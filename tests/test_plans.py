@@ -87,3 +87,8 @@ def test_split_shuffles_no_rows_by_label(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+
+
+def test_a_query_text_is_made_in_the_row_of_its_document(spark):
+    text = plan(spark, "retrieval_query_text")
+    assert "Exchange" not in text and "Join" not in text and text.count("MapInArrow") == 1
