@@ -96,6 +96,30 @@ def test_a_boosted_fit_sees_cells_not_rows(spark, monkeypatch):
     assert nodes[0].cover == pytest.approx(len(train) - sum(train) + sum(train) * (3000 - y.sum()) / y.sum())
 
 
+def test_a_saved_model_is_fitted_once_on_cells_and_scores_every_row(spark, tmp_path, monkeypatch):
+    """Four times the rows give the fit no more rows than the bins allow; the second call loads what the first one saved."""
+    from loamwork.plans import QUERIES
+
+    seen = []
+
+    class Booster(ML.GBTClassifier):
+        def fit(self, df, *more):
+            seen.append(df.count())
+            self.setMaxIter(2)
+            return super().fit(df, *more)
+
+    monkeypatch.setattr(ML, "GBTClassifier", Booster)
+    k = F.col("id")
+    for n in (1000, 4000):
+        spark.range(n).select(
+            k.alias("l_orderkey"), F.when(k % 3 == 0, "A").otherwise("N").alias("l_returnflag"), (k % 4 * 12.0).alias("l_quantity"), F.lit(9.5).alias("l_extendedprice"),
+            (k % 5 * 0.02).alias("l_discount"), F.lit(0.0).alias("l_tax"), (k % 2).cast("int").alias("l_linenumber"),
+        ).write.parquet(f"{tmp_path}/{n}/lineitem.parquet")
+        found = {r.l_returnflag: (r.n, r.equal) for r in QUERIES["score_and_save"](spark, f"{tmp_path}/{n}").collect()}
+        assert found == {"A": ((n + 2) // 3, True), "N": (n - (n + 2) // 3, True)}
+    assert len(seen) == 2 and max(seen) <= 4 * 5 * 2 * 2 * 2
+
+
 def test_a_binned_model_scores_gaps_and_limits_as_its_node_table(spark, tmp_path):
     from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
