@@ -14,10 +14,11 @@ from loamwork.functions.values import clamp, recode
 
 
 def contains_any(c: Column, parts: Sequence[str]) -> Column:
-    """Whether one of the parts occurs; one scan by an alternation of literal texts."""
-    if not parts:
-        return F.lit(False)
-    return c.rlike(f"{W.first_letters(list(parts))}(?:{'|'.join(re.escape(p) for p in parts)})")
+    """Whether one of the parts occurs; one scan (see ``any_text``). A part that holds another one needs no look."""
+    least = [p for p in parts if not any(o != p and o in p for o in parts)]
+    if "" in least:
+        return c.isNotNull() | F.lit(None)
+    return c.rlike(W.any_text([(p, "", "") for p in least])) if least else F.lit(False)
 
 
 def detect_section(line: Column, must: Sequence[str] = W.MUST_HEADERS, nice: Sequence[str] = W.NICE_HEADERS) -> Column:
@@ -59,9 +60,12 @@ def section_bonus(section: Column) -> Column:
 
 def line_score(
     line: Column, section: Column, must: Sequence[str] = W.MUST_CUES, nice: Sequence[str] = W.NICE_CUES,
-    patterns: Mapping[str, Sequence[str]] = CATEGORY_PATTERNS,
+    patterns: Mapping[str, Sequence[str]] = CATEGORY_PATTERNS, plain: Column | None = None,
 ) -> Column:
-    """Sum of the signals that a line states a requirement; 0 for very short or long lines."""
+    """Sum of the signals that a line states a requirement; 0 for very short or long lines.
+
+    ``plain`` tells, where the caller knows it, that none of the cues and patterns is in the line.
+    """
     # fixed values: weight of every category
     weights = {"experience": 2.0, "hard_skill": 2.5, "education": 2.5, "language": 2.0, "location": 1.5, "soft_skill": 1.5}
 
@@ -69,15 +73,28 @@ def line_score(
         return F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
 
     def signals(low: Column) -> Column:
-        shape = points(line.rlike(r"^[•\-*]"), 2.0) + section_bonus(section) + points(line.contains(":") & (F.length(F.substring_index(line, ":", 1)) < 35), 0.5)
+        first = F.left(line, F.lit(1))
+        shape = points(first.isin("•", "-", "*"), 2.0) + section_bonus(section) + points(line.contains(":") & (F.length(F.substring_index(line, ":", 1)) < 35), 0.5)
+        if plain is not None:
+            return shape + F.when(plain, F.lit(0.0)).otherwise(words(low))
+        return shape + words(low)
+
+    def words(low: Column) -> Column:
         cues = F.when(contains_any(low, [*must, *nice]), points(contains_any(low, must), 3.0) + points(contains_any(low, nice), 2.0)).otherwise(F.lit(0.0))
         named = [points(low.rlike(W.java_pattern(list(patterns[name]))), weight) for name, weight in weights.items() if name in patterns]
         known = F.when(low.rlike(any_category({n: p for n, p in patterns.items() if n in weights})), sum(named, F.lit(0.0))).otherwise(F.lit(0.0))
-        return shape + cues + known
+        return cues + known
 
     return F.when(bind(F.length(line), lambda n: n.between(12, 320)), bind(F.lower(line), signals)).otherwise(0.0)
 
 
+def says_nothing(low: Column) -> Column:
+    """Whether a lower-case line has no header phrase, cue or category pattern; one scan for all of them, as most lines have none."""
+    phrases = [*W.MUST_HEADERS, *W.NICE_HEADERS, *W.MUST_CUES, *W.NICE_CUES]
+    least = [p for p in phrases if not any(o != p and o in p for o in phrases)]
+    return ~low.rlike(W.java_pattern([*[re.escape(p) for p in least], *[p for own in CATEGORY_PATTERNS.values() for p in own]]))
+
+
 def strip_bullet(line: Column) -> Column:
     return normalize_space(F.regexp_replace(line, r"^[•\-*]\s*", ""))
 
@@ -128,12 +145,27 @@ def requirement_key(
     text: Column, synonyms: Mapping[str, str] = W.SYNONYMS, fillers: Sequence[str] = W.STOP_PHRASES, aliases: Mapping[str, str] = W.ALIASES
 ) -> Column:
     """Plain key of a requirement text: synonyms, without filler phrases, aliases."""
-    bare = bind(F.lower(normalize_space(text)), strip_accents)
+    return clean_key(normalize_space(text), synonyms, fillers, aliases)
+
+
+def clean_key(
+    clean: Column, synonyms: Mapping[str, str] = W.SYNONYMS, fillers: Sequence[str] = W.STOP_PHRASES, aliases: Mapping[str, str] = W.ALIASES
+) -> Column:
+    """``requirement_key`` of a text that has gone through ``normalize_space``."""
+    bare = bind(F.lower(clean), strip_accents)
     plain = F.regexp_replace(F.replace(bare, F.lit("&"), F.lit(" and ")), NO_KEY_SIGN + "+", " ")
     key = bind(plain, lambda k: recode(k, synonyms))
-    for pattern in filler_passes(fillers):
-        key = F.regexp_replace(key, pattern, " ")
-    return bind(F.trim(F.regexp_replace(key, r"\s+", " ")), lambda k: recode(k, aliases))
+
+    def without_fillers(k: Column) -> Column:
+        bare = k
+        for pattern in filler_passes(fillers):
+            bare = F.regexp_replace(bare, pattern, " ")
+        return F.when(contains_any(k, fillers), bare).otherwise(k)
+
+    spaced = lambda k: F.regexp_replace(k, r"\s+", " ")
+    if not any(re.search(r"[^\S ]", v) for v in synonyms.values()):  # then blanks are the only white space
+        spaced = lambda k: F.when(k.contains("  "), F.regexp_replace(k, "  +", " ")).otherwise(k)
+    return bind(F.trim(bind(bind(key, without_fillers), spaced)), lambda k: recode(k, aliases))
 
 
 def canonical_requirement(text: Column, key: Column, entries: Mapping[str, Sequence[str]] = W.CANONICAL) -> Column:
@@ -166,18 +198,17 @@ def whole_part(first: str, core: str) -> str:
 
 def genericness(key: Column, generic: Sequence[str] = W.GENERIC_PARTS, concrete: Sequence[str] = W.CONCRETE_PARTS) -> Column:
     """Struct (is_generic, score, confidence, band) of a plain requirement key (see ``requirement_key``)."""
-    words = key_words(key)
     # fixed values: weight of every signal
-    score = (
+    score = bind(key_words(key), lambda words: bind(key.rlike("[0-9]"), lambda digit: (
         F.lit(0.50)
         + F.when(contains_any(key, generic), 0.32).otherwise(0.0)
-        + F.when((words <= 2) & ~key.rlike("[0-9]"), 0.12).otherwise(0.0)
-        - F.when(key.rlike(whole_part("am", r"aspon|min\.?|minimalne")), 0.18).otherwise(0.0)
-        - F.when(key.rlike(whole_part("abc", "[abc][12]")), 0.24).otherwise(0.0)
-        - F.when(key.rlike(whole_part("0-9", "[0-9]+")), 0.20).otherwise(0.0)
+        + F.when((words <= 2) & ~digit, 0.12).otherwise(0.0)
+        - F.when(contains_any(key, ["aspon", "min"]) & key.rlike(whole_part("am", r"aspon|min\.?|minimalne")), 0.18).otherwise(0.0)
+        - F.when(digit & key.rlike(whole_part("abc", "[abc][12]")), 0.24).otherwise(0.0)
+        - F.when(digit & key.rlike(whole_part("0-9", "[0-9]+")), 0.20).otherwise(0.0)
         - F.when(contains_any(key, concrete), 0.30).otherwise(0.0)
         - F.when(words >= 6, 0.08).otherwise(0.0)
-    )
+    )))
     return bind(F.round(clamp(score, 0.0, 1.0), 4), lambda bounded: F.struct(
         (bounded >= 0.5).alias("is_generic"), bounded.alias("score"),
         F.round(F.least(F.abs(bounded - 0.5) + 0.55, F.lit(0.99)), 4).alias("confidence"),

@@ -37,8 +37,18 @@ def bind(c: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def normalize_space(c: Column) -> Column:
-    """NUL and every run of white space become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(c, SPACE_CLASS + "+", " "))
+    """NUL and every run of white space become one space; ends are trimmed.
+
+    Nothing is replaced in texts whose white space is single blanks, which is what most are.
+    """
+    replaced = lambda x: F.regexp_replace(x, SPACE_CLASS + "+", " ")
+    odd = lambda x: x.contains("  ") | x.rlike(rf"[[^ -~]&&{SPACE_CLASS}]")
+    return F.trim(bind(c, lambda x: F.when(odd(x), replaced(x)).otherwise(x)))
+
+
+def is_ascii(c: Column) -> Column:
+    """Whether every character takes one byte."""
+    return F.octet_length(c) == F.length(c)
 
 
 def strip_accents(c: Column) -> Column:
@@ -47,7 +57,7 @@ def strip_accents(c: Column) -> Column:
     Texts without such characters skip the per-character table.
     """
     bare = F.regexp_replace(F.translate(c, ACCENTED, UNACCENTED), r"[\x{300}-\x{36F}]", "")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), bare).otherwise(c)
+    return F.when(is_ascii(c), c).otherwise(bare)
 
 
 @F.pandas_udf(StringType())
@@ -59,7 +69,12 @@ def strip_accents_full(texts: pd.Series) -> pd.Series:
 
 def normalize_key(c: Column) -> Column:
     """Lower-case ASCII letters and digits, all else one space."""
-    return F.trim(F.regexp_replace(F.lower(normalize_space(c)), r"[^\p{Alnum}]+", " "))
+    return key_of_clean(normalize_space(c))
+
+
+def key_of_clean(c: Column) -> Column:
+    """``normalize_key`` of a text that has gone through ``normalize_space``."""
+    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{Alnum}]+", " "))
 
 
 def lookup_key(c: Column) -> Column:
@@ -74,7 +89,7 @@ def lookup_key_text(name: str) -> str:
 
 def split_lines(c: Column) -> Column:
     """Lines of a text as an array."""
-    return F.split(F.regexp_replace(c, "\r\n?", "\n"), "\n")
+    return F.split(bind(c, lambda x: F.when(x.contains("\r"), F.regexp_replace(x, "\r\n?", "\n")).otherwise(x)), "\n")
 
 
 def split_words(c: Column) -> Column:

@@ -18,47 +18,48 @@ SMALL = 64
 PAIR = 1 << 31
 
 
-def runs(df: DataFrame, column: str, key: str, name: str, keep: list[str]) -> DataFrame:
-    """Add ``name``: the sorted array ``column`` cut where the field ``key`` changes. Only the columns ``keep`` stay."""
-    c = F.col(column)
-    edge = F.transform(c, lambda e, i: F.when((i == 0) | (F.get(c, F.greatest(i - 1, F.lit(0)))[key] != e[key]), i))
-    held = hold(df.select(*keep, column), _starts=F.filter(edge, lambda i: i.isNotNull()))
-    cut = F.transform("_starts", lambda s, r: F.slice(c, s + 1, F.coalesce(F.get("_starts", r + 1), F.size(c)) - s))
-    return hold(held, **{name: cut}).select(*keep, name)
+def runs(c: Column, key: str) -> Column:
+    """A sorted array of structs, cut where the field ``key`` changes."""
 
+    def cut(c: Column) -> Column:
+        edge = F.transform(c, lambda e, i: F.when((i == 0) | (F.get(c, F.greatest(i - 1, F.lit(0)))[key] != e[key]), i))
+        return bind(F.filter(edge, lambda i: i.isNotNull()), lambda starts: F.transform(
+            starts, lambda s, r: F.slice(c, s + 1, F.coalesce(F.get(starts, r + 1), F.size(c)) - s)))
 
-def rarest_first(df: DataFrame, entries: Column, name: str, keep: list[str]) -> DataFrame:
-    """Add ``name``: for every list entry i its parts as (i, n, t, x), those that the fewest entries have first.
+    return bind(c, cut)
+
+
+def rarest_first(entries: Column) -> Column:
+    """For every list entry i its parts as (i, n, t, x), those that the fewest entries have first.
 
     entries: array of (t, i, x), a part t once per entry, with a mark x.
     """
-    by_part = runs(hold(df, _e=F.sort_array(entries)), "_e", "t", "_runs", keep)
-    counted = F.flatten(F.transform("_runs", lambda r: F.transform(r, lambda e: F.struct(e["i"].alias("i"), F.size(r).alias("n"), e["t"].alias("t"), e["x"].alias("x")))))
-    return runs(hold(by_part, _e=F.sort_array(counted)), "_e", "i", name, keep)
+    counted = F.transform(runs(F.sort_array(entries), "t"), lambda r: F.transform(r, lambda e: F.struct(e["i"].alias("i"), F.size(r).alias("n"), e["t"].alias("t"), e["x"].alias("x"))))
+    return runs(F.sort_array(F.flatten(counted)), "i")
 
 
-def containing(df: DataFrame, parts: str, keys: Column, name: str, keep: list[str]) -> DataFrame:
-    """Add ``name``: codes of the pairs of about equal length in which one entry's rarest marked part is a part of the other."""
+def containing(parts: Column, keys: Column) -> Column:
+    """Codes of the pairs of about equal length in which one entry's rarest marked part is a part of the other."""
 
     def marked(r: Column) -> Column:
         return bind(F.get(F.filter(r, lambda e: e["x"]), F.lit(0))["t"], lambda own: F.transform(r, lambda e: F.struct(
             e["t"].alias("t"), (~e["t"].eqNullSafe(own)).alias("other"), e["i"].alias("i"), F.length(F.get(keys, e["i"])).alias("m"))))
 
     every = F.filter(F.flatten(F.transform(parts, marked)), lambda e: e["m"] >= SIMILAR_SHORTEST)
-    shared = runs(hold(df, _e=F.sort_array(every)), "_e", "t", "_runs", keep)
     # entries that stand for their whole key come first in a run, and meet all entries behind them
-    pairs = F.flatten(F.transform("_runs", lambda r: F.flatten(F.transform(F.filter(r, lambda e: ~e["other"]), lambda e, a: F.transform(
+    return F.flatten(F.transform(runs(F.sort_array(every), "t"), lambda r: F.flatten(F.transform(F.filter(r, lambda e: ~e["other"]), lambda e, a: F.transform(
         F.filter(F.slice(r, a + 2, F.size(r)), lambda f: close_lengths(e["m"], f["m"])), lambda f: code(e["i"], f["i"]))))))
-    return hold(shared, **{name: pairs}).select(*keep, name)
 
 
 def same_words_or_part(x: Column, y: Column) -> Column:
-    """``looks_like_duplicate`` for entries (k, t) of a key and its distinct words, cheap tests first."""
-    shorter, longer = F.least(F.length(x["k"]), F.length(y["k"])), F.greatest(F.length(x["k"]), F.length(y["k"]))
-    part = (shorter >= SIMILAR_SHORTEST) & (shorter / longer >= SIMILAR_LEAST) & (F.contains(x["k"], y["k"]) | F.contains(y["k"], x["k"]))
-    sizes = F.size(x["t"]) + F.size(y["t"])
-    words = close_lengths(F.size(x["t"]), F.size(y["t"])) & bind(F.size(F.array_intersect(x["t"], y["t"])), lambda n: n / (sizes - n) >= SIMILAR_LEAST)
-    return F.when((x["k"] == "") | (y["k"] == ""), F.lit(False)).otherwise((x["k"] == y["k"]) | part | words)
+    """``looks_like_duplicate`` for entries (k, t, m, n) of a key, its distinct words and how many characters and words these are.
+
+    Cheap tests first: equal keys have as many words.
+    """
+    long = (F.least(x["m"], y["m"]) >= SIMILAR_SHORTEST) & (F.least(x["m"], y["m"]) / F.greatest(x["m"], y["m"]) >= SIMILAR_LEAST)
+    part = long & (F.contains(x["k"], y["k"]) | F.contains(y["k"], x["k"]))
+    shared = bind(F.size(F.array_intersect(x["t"], y["t"])), lambda n: n / (x["n"] + y["n"] - n) >= SIMILAR_LEAST)
+    return (x["m"] > 0) & (y["m"] > 0) & ((close_lengths(x["n"], y["n"]) & ((x["k"] == y["k"]) | shared)) | part)
 
 
 def code(i: Column, j: Column) -> Column:
@@ -69,51 +70,56 @@ def close_lengths(a: Column, b: Column) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * SIMILAR_LEAST - 1e-9
 
 
-def similar_pairs(df: DataFrame, keys: str, name: str) -> DataFrame:
-    """Add ``name``: sorted codes j * PAIR + i of all i < j with similar keys (see ``looks_like_duplicate``).
+def keyed_entries(keys: Column) -> Column:
+    """(k, t, m, n) of every key, see ``same_words_or_part``."""
+    words = lambda x: F.array_distinct(F.filter(F.split(x, " "), lambda t: t != ""))
+    return F.transform(keys, lambda x: bind(words(x), lambda t: F.struct(x.alias("k"), t.alias("t"), F.length(x).alias("m"), F.size(t).alias("n"))))
+
+
+def pairs_of(s: Column) -> Column:
+    """Sorted codes j * PAIR + i of all i < j with similar keys; s: ``keyed_entries``.
 
     Keys with a Jaccard similarity of t share one of their first m - ceil(t m) + 1 words in any common order of words; the
     order taken is rarest first. Of a key that another contains, all words but the first and the last are words of the
     other, so its rarest inner word is. Of one without inner words every window of SIMILAR_SHORTEST characters stands in the
     other, so the rarest least gram of its windows is one of the other's. Only such pairs of about equal length are
-    tested.
+    tested. Short lists skip all of that.
     """
-    given, whole = list(df.columns), F.col(keys)
-    entries = F.transform(whole, lambda x: F.struct(x.alias("k"), F.array_distinct(F.filter(F.split(x, " "), lambda t: t != "")).alias("t")))
-    split = hold(df, _s=entries)
+    earlier = lambda j: F.when(j > 0, F.sequence(F.lit(0), j - 1)).otherwise(F.array().cast("array<int>"))
+    direct = F.flatten(F.transform(s, lambda y, j: F.transform(F.filter(earlier(j), lambda i: bind(F.get(s, i), lambda x: same_words_or_part(x, y))), lambda i: code(i, j))))
+    return F.sort_array(F.when(F.size(s) <= SMALL, direct).otherwise(bind(F.transform(s, lambda e: e["k"]), lambda k: indexed_pairs(s, k))))
 
-    def similar(i: Column, j: Column) -> Column:
-        return bind(F.get("_s", i), lambda x: bind(F.get("_s", j), lambda y: same_words_or_part(x, y)))
 
-    earlier = lambda j: F.when(j > 0, F.sequence(F.lit(0), j - 1)).otherwise(F.array().cast("array<int>"))
-    small = F.size(keys) <= SMALL
-    direct = F.flatten(F.transform("_s", lambda _, j: F.transform(F.filter(earlier(j), lambda i: similar(i, j)), lambda i: code(i, j))))
-    long = hold(split, _p0=F.when(small, direct).otherwise(F.array().cast("array<bigint>")), _k=F.when(small, F.slice(whole, 1, 0)).otherwise(whole))
-    keep, k = [*given, "_s", "_k", "_p0"], F.col("_k")
-    inner = lambda x: F.slice(F.split(x, " "), 2, F.greatest(F.size(F.split(x, " ")) - 2, F.lit(0)))
-    every = F.flatten(F.transform(k, lambda x, i: bind(inner(x), lambda own: F.transform(F.get("_s", i)["t"], lambda t: F.struct(t.alias("t"), i.alias("i"), F.array_contains(own, t).alias("x"))))))
-    words = rarest_first(long, every, "_w", keep)
-    prefix = F.flatten(F.transform("_w", lambda r: F.transform(F.slice(r, 1, F.floor(F.size(r) * (1 - SIMILAR_LEAST) + 1e-9).cast("int") + 1), lambda e: F.struct(e["t"].alias("t"), e["i"].alias("i"), F.size(r).alias("m")))))
-    shared = runs(hold(words, _e=F.sort_array(prefix)), "_e", "t", "_runs", [*keep, "_w"])
-    by_words = F.flatten(F.transform("_runs", lambda r: F.flatten(F.transform(r, lambda e, a: F.transform(
-        F.filter(F.slice(r, 1, a), lambda f: close_lengths(e["m"], f["m"])), lambda f: code(f["i"], e["i"]))))))
-    first = hold(shared, _p1=by_words).select(*keep, "_w", "_p1")
-    second = containing(first, "_w", k, "_p2", [*keep, "_p1"])
+def indexed_pairs(s: Column, k: Column) -> Column:
+    """Codes of all similar pairs of a long list, see ``pairs_of``; k: the keys alone."""
+    inner = lambda x: bind(F.split(x, " "), lambda w: F.slice(w, 2, F.greatest(F.size(w) - 2, F.lit(0))))
+    every = F.flatten(F.transform(s, lambda e, i: bind(inner(e["k"]), lambda own: F.transform(e["t"], lambda t: F.struct(t.alias("t"), i.alias("i"), F.array_contains(own, t).alias("x"))))))
+
+    def by_words(w: Column) -> Column:
+        prefix = F.flatten(F.transform(w, lambda r: F.transform(F.slice(r, 1, F.floor(F.size(r) * (1 - SIMILAR_LEAST) + 1e-9).cast("int") + 1), lambda e: F.struct(e["t"].alias("t"), e["i"].alias("i"), F.size(r).alias("m")))))
+        return F.flatten(F.transform(runs(F.sort_array(prefix), "t"), lambda r: F.flatten(F.transform(r, lambda e, a: F.transform(
+            F.filter(F.slice(r, 1, a), lambda f: close_lengths(e["m"], f["m"])), lambda f: code(f["i"], e["i"]))))))
 
     # grams only where a key without inner words may be contained
     few = F.filter(k, lambda x: (F.length(x) >= SIMILAR_SHORTEST) & ~x.rlike(" .* "))
-    limited = hold(second, _most=F.coalesce(F.array_max(F.transform(few, lambda x: F.length(x))) / SIMILAR_LEAST, F.lit(0.0)))
 
     def grams(x: Column) -> Column:
         hashes = F.transform(F.sequence(F.lit(1), F.length(x) - GRAM + 1), lambda p: F.xxhash64(F.substring(x, p, F.lit(GRAM))))
         width = SIMILAR_SHORTEST - GRAM + 1
         return bind(hashes, lambda h: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(h) - width + 1), lambda p: F.array_min(F.slice(h, p, width)))))
 
-    every = F.flatten(F.transform(k, lambda x, i: F.when(F.length(x).between(SIMILAR_SHORTEST, F.col("_most")), F.transform(grams(x), lambda t: F.struct(t.alias("t"), i.alias("i"), (~x.rlike(" .* ")).alias("x")))).otherwise(F.array())))
-    third = containing(rarest_first(limited, every, "_g", [*keep, "_p1", "_p2"]), "_g", k, "_p3", [*keep, "_p1", "_p2"])
-    both = hold(third, _both=F.array_distinct(F.concat("_p1", "_p2", "_p3"))).select(*given, "_s", "_p0", "_both")
-    found = F.filter("_both", lambda p: similar((p / PAIR).cast("int"), (p % PAIR).cast("int")))
-    return hold(both, **{name: F.sort_array(F.concat("_p0", found))}).select(*given, name)
+    def by_grams(most: Column) -> Column:
+        every = F.flatten(F.transform(k, lambda x, i: F.when(F.length(x).between(SIMILAR_SHORTEST, most), F.transform(grams(x), lambda t: F.struct(t.alias("t"), i.alias("i"), (~x.rlike(" .* ")).alias("x")))).otherwise(F.array())))
+        return containing(rarest_first(every), k)
+
+    most = F.coalesce(F.array_max(F.transform(few, lambda x: F.length(x))) / SIMILAR_LEAST, F.lit(0.0))
+    candidates = F.array_distinct(F.concat(bind(rarest_first(every), lambda w: F.concat(by_words(w), containing(w, k))), bind(most, by_grams)))
+    return F.filter(candidates, lambda p: bind(F.get(s, (p / PAIR).cast("int")), lambda x: bind(F.get(s, (p % PAIR).cast("int")), lambda y: same_words_or_part(x, y))))
+
+
+def similar_pairs(df: DataFrame, keys: str, name: str) -> DataFrame:
+    """Add ``name``: sorted codes j * PAIR + i of all i < j with similar keys (see ``looks_like_duplicate``)."""
+    return hold(df, **{name: bind(keyed_entries(F.col(keys)), pairs_of)})
 
 
 def similar_places(df: DataFrame, keys: str, name: str, scores: str | None = None) -> DataFrame:
@@ -123,10 +129,8 @@ def similar_places(df: DataFrame, keys: str, name: str, scores: str | None = Non
     by the entry; the others belong to the first place whose holder is similar, and take it if they have a better
     score (with ``scores``). Only entries with a similar one before them are looked at again.
     """
-    keep = list(df.columns)
-    coded = similar_pairs(df, keys, "_codes")
-    coded = hold(coded, _e=F.transform("_codes", lambda p: F.struct((p / PAIR).cast("int").alias("j"), (p % PAIR).cast("int").alias("i")))).select(*keep, "_e")
-    twins = runs(coded, "_e", "j", "_t", keep)
+    codes = bind(keyed_entries(F.col(keys)), pairs_of)
+    twins = runs(F.transform(codes, lambda p: F.struct((p / PAIR).cast("int").alias("j"), (p % PAIR).cast("int").alias("i"))), "j")
 
     def put(places: Column, at: Column, value: Column) -> Column:
         return F.concat(F.slice(places, 1, at), F.array(value), F.slice(places, at + 2, F.size(places)))
@@ -145,4 +149,4 @@ def similar_places(df: DataFrame, keys: str, name: str, scores: str | None = Non
         return bind(F.array_min(held), moved)
 
     start = F.when(F.size(keys) > 0, F.sequence(F.lit(0), F.size(keys) - 1)).otherwise(F.array().cast("array<int>"))
-    return hold(twins, **{name: F.aggregate("_t", start, step)}).select(*keep, name)
+    return hold(df, **{name: F.aggregate(twins, start, step)})

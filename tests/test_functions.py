@@ -203,3 +203,29 @@ def test_white_space_is_told_like_by_its_ranges(spark):
     df = spark.createDataFrame([(text,)], "t string")
     one, two = df.select(F.regexp_replace("t", T.SPACE_CLASS, "~"), F.regexp_replace("t", ranges, "~")).first()
     assert one == two
+
+
+def test_texts_are_found_by_their_rare_letters(spark):
+    """Any characters, texts that overlap or hold others, with and without edges of words."""
+    draw = random.Random(17)
+    lists = [W.MUST_HEADERS, W.STOP_PHRASES, W.CONCRETE_PARTS, ["ab", "b", "a b", "c++", "+", "é-a", "]^", "\\d", "x.", "•"], ["a"], ["aaa", "aab"], ["q^q", "[q", "-"]]
+    for parts in lists:
+        letters = sorted(set("".join(parts)) | set("ab é_"))
+        lines = ["".join(draw.choice([draw.choice(parts), draw.choice(letters), draw.choice(letters)]) for _ in range(draw.randint(0, 6))) for _ in range(400)]
+        df = spark.createDataFrame([(x,) for x in lines], "x string")
+        edges = [(p, r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])") for p in parts]
+        got = df.select(F.col("x").rlike(W.any_text([(p, "", "") for p in parts])), F.col("x").rlike(W.any_text(edges))).collect()
+        whole = [any(re.search(rf"(?<!\w){re.escape(p)}(?!\w)", x) for p in parts) for x in lines]
+        assert [tuple(r) for r in got] == list(zip([any(p in x for p in parts) for x in lines], whole, strict=True))
+
+
+def test_lines_that_say_nothing_have_no_signal(spark):
+    """One scan for all phrases and patterns tells what each of them tells."""
+    draw = random.Random(23)
+    words = [*W.MUST_HEADERS, *W.NICE_CUES, "python", "c++", "b2", "3 years", "12+ roky", "degree", "mysql", "x", "some", "surplus", "é", "-", ":", "(sql)"]
+    lines = [draw.choice(["", "- ", "• "]) + " ".join(draw.choice(words) if draw.random() < 0.3 else "word" for _ in range(draw.randint(0, 9))) for _ in range(800)]
+    df = spark.createDataFrame([(x,) for x in lines], "x string")
+    plain = R.says_nothing(F.lower("x"))
+    cues = R.contains_any(F.lower("x"), [*W.MUST_HEADERS, *W.NICE_HEADERS, *W.MUST_CUES, *W.NICE_CUES])
+    rows = df.select(plain, ~(cues | (R.classify_category(F.col("x")) != "other")), R.line_score(F.col("x"), F.lit(None).cast("string")), R.line_score(F.col("x"), F.lit(None).cast("string"), plain=plain)).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in rows) and {r[0] for r in rows} == {True, False}

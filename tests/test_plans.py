@@ -64,6 +64,12 @@ def test_lists_are_computed_once(spark, name):
     assert not [x for x in text.splitlines() if "Filter" in x and "size(" in x and ("transform(" in x or "lambda" in x)]
 
 
+def test_similar_keys_cost_one_step_a_list(spark):
+    """Short lists pass by the index of long ones, and no step of it copies their rows."""
+    text = QUERIES["merge_requirement_lists"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Generate explode") <= 20
+
+
 @pytest.mark.parametrize("name", ["synthesize_marginals", "complete_row_by_sampling"])
 def test_drawn_columns_are_never_broadcast(spark, name):
     """The numbered source grows with the input."""
